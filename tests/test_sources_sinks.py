@@ -1,0 +1,127 @@
+"""S1-S15 and R1/R2/W8 loading: files with provenance, first-wins, sinks."""
+import datetime as dt
+import math
+import os
+
+from pyspark.sql import functions as F
+
+from wattgrid.operators import reshape as R
+from wattgrid.plans.registry import load_wide_prices
+from wattgrid.schemas import HOUR_COLUMNS, PRICES_DAY_AHEAD, WIDE_PRICES
+from wattgrid.sources import catalog, files, sinks
+
+
+def _wide_rows(day, concept, base, h25=None, drop=()):
+    hours = [None if i in drop else base + i for i in range(1, 25)]
+    return (day, concept, *hours, h25)
+
+
+def _write_wide(spark, path, rows, with_h25=True):
+    names = ["DATE", "CONCEPT"] + HOUR_COLUMNS
+    df = spark.createDataFrame(rows, WIDE_PRICES)
+    if not with_h25:
+        df = df.drop("H25")
+    df.select(*[c for c in names if c in df.columns]).write.parquet(path)
+
+
+def test_f12_overlapping_files_first_wins(spark, tmpdir_path):
+    d1, d2, d3 = dt.date(2022, 6, 14), dt.date(2022, 6, 15), dt.date(2022, 6, 16)
+    _write_wide(spark, tmpdir_path + "/a", [
+        _wide_rows(d1, "PRICE_SP", 100.0), _wide_rows(d2, "PRICE_SP", 100.0), _wide_rows(d2, "PRICE_PT", 200.0),
+        _wide_rows(d2, "OTHER", 1.0)], with_h25=False)
+    _write_wide(spark, tmpdir_path + "/b", [
+        _wide_rows(d2, "PRICE_SP", 150.0),           # overlap, different price
+        _wide_rows(d3, "PRICE_SP", 100.0, drop=(24,)),
+        (d3, "PRICE_PT", *([float("nan")] + [1.0] * 23), 9.0)])
+    wide = files.read_wide_prices(spark, [tmpdir_path + "/a", tmpdir_path + "/b"])
+    assert "source" in wide.columns
+    long = load_wide_prices(wide)
+    rows = long.collect()
+    keys = [(r["timestamp"], r["country"]) for r in rows]
+    assert len(keys) == len(set(keys))
+    es_d2 = [r for r in rows if r["country"] == "ES" and r["timestamp"].date() == d2]
+    assert len(es_d2) == 24 and all(r["price_eur_mwh"] < 150 for r in es_d2)  # file a wins by name
+    pt_d3 = [r for r in rows if r["country"] == "PT" and r["timestamp"].date() == d3]
+    assert len(pt_d3) == 23  # NaN dropped, H25 dropped in label mode
+    es_d3 = [r for r in rows if r["country"] == "ES" and r["timestamp"].date() == d3]
+    assert len(es_d3) == 23  # H24 null on the spring-like day
+    assert len(rows) == 24 + 24 + 24 + 23 + 23
+    again = load_wide_prices(wide).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))  # deterministic
+
+
+def test_wide_to_long_hour_index_and_h25(spark):
+    df = spark.createDataFrame([(dt.date(2022, 10, 30), "PRICE_SP", *[float(i) for i in range(1, 26)])], WIDE_PRICES)
+    assert R.hour_columns(df) == HOUR_COLUMNS[:24]
+    long = R.wide_to_long(df, ["DATE", "CONCEPT"], include_h25=True).orderBy("hour_index").collect()
+    assert [r["hour_index"] for r in long] == list(range(25)) and long[0]["value"] == 1.0
+
+
+def test_long_to_wide_explicit_list(spark):
+    rows = [(1, "ES", "FR", 5.0), (1, "ES", "FR", 1.0), (1, "FR", "ES", 2.0), (2, "ES", "PT", 3.0)]
+    df = spark.createDataFrame(rows, "t int, f string, o string, v double")
+    w = R.long_to_wide(df, ["t"], ["f", "o"], [("ES", "FR"), ("FR", "ES"), ("ES", "PT")], "v", "sum",
+                       "{0}_to_{1}_mw").orderBy("t").collect()
+    assert w[0]["ES_to_FR_mw"] == 6.0 and w[0]["ES_to_PT_mw"] is None and w[1]["ES_to_PT_mw"] == 3.0
+
+
+def test_sinks_roundtrip(spark, tmpdir_path):
+    rows = [(dt.datetime(2022, 6, 15, h), c, 10.0 + h, None) for h in range(3) for c in ("ES", "PT")]
+    df = spark.createDataFrame(rows, PRICES_DAY_AHEAD)
+    base = tmpdir_path + "/prices"
+    sinks.overwrite(df, base, PRICES_DAY_AHEAD)
+    sinks.append(df.filter("country = 'ES'"), base, PRICES_DAY_AHEAD)
+    assert spark.read.parquet(base).count() == 9
+    kept = sinks.delete_where(spark, base, F.col("country") == "ES", tmpdir_path + "/prices2")
+    assert kept.count() == 3 and {r["country"] for r in kept.collect()} == {"PT"}
+    # insert-or-ignore: stored rows win, then first within the batch
+    new = spark.createDataFrame([(dt.datetime(2022, 6, 15, 0), "PT", 999.0, None),
+                                 (dt.datetime(2022, 6, 15, 5), "PT", 2.0, None),
+                                 (dt.datetime(2022, 6, 15, 5), "PT", 1.0, None)], PRICES_DAY_AHEAD)
+    sinks.append_ignore(spark, new, tmpdir_path + "/prices2", PRICES_DAY_AHEAD, ["timestamp", "country"],
+                        ["price_eur_mwh"])
+    t = spark.read.parquet(tmpdir_path + "/prices2")
+    assert t.count() == 4
+    assert t.filter("price_eur_mwh = 999").count() == 0 and t.filter("price_eur_mwh = 1.0").count() == 1
+
+
+def test_panel_sink_and_inventory(spark, tmpdir_path):
+    rows = [(dt.datetime(y, 1, 1, h), "ES", float(h)) for y in (2022, 2023) for h in range(24)]
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, country string, price_eur_mwh double")
+    sinks.write_panel(df, tmpdir_path + "/panel")
+    assert sorted(os.listdir(tmpdir_path + "/panel"))[-2:] == ["year=2022", "year=2023"]
+    p = files.read_panel(spark, tmpdir_path + "/panel", "2023-01-01", "2024-01-01")
+    assert p.count() == 24
+    inv = files.file_inventory(spark, tmpdir_path + "/panel", "timestamp").collect()
+    assert sum(r["rows"] for r in inv) == 48 and all(r["file_size"] > 0 for r in inv)
+    sinks.write_csv(df.limit(8), tmpdir_path + "/csv")
+    assert len([f for f in os.listdir(tmpdir_path + "/csv") if f.endswith(".csv")]) == 1
+
+
+def test_catalog(spark, tmpdir_path):
+    paths = catalog.create_tables(spark, tmpdir_path + "/db")
+    assert set(paths) == {"prices_day_ahead", "generation", "cross_border_flows", "weather", "bid_curves"}
+    catalog.register_tables(spark, paths)
+    assert catalog.execute_query(spark, "SELECT :x AS answer", x=42).collect()[0]["answer"] == 42
+    prof = catalog.table_profile({n: spark.read.parquet(p) for n, p in paths.items()}).collect()
+    assert {r["table_name"]: r["n_columns"] for r in prof}["weather"] == 12
+    assert all(r["n_rows"] == 0 for r in prof)
+    sch = catalog.describe_schema({"w": spark.read.parquet(paths["weather"])})
+    assert sch.count() == 12
+
+
+def test_arrival_coverage(spark):
+    rows = [(dt.datetime(2022, 1, 5),), (dt.datetime(2022, 1, 6),), (dt.datetime(2022, 8, 1),)]
+    df = spark.createDataFrame(rows, "d timestamp_ntz")
+    out = files.arrival_coverage(df, "d").orderBy("window_start").collect()
+    assert [r["label"] for r in out] == ["2022Q1", "2022Q2", "2022Q3"]
+    assert [r["days_landed"] for r in out] == [2, 0, 1]
+    assert out[0]["days_expected"] == 90 and out[0]["window_end"] == dt.date(2022, 3, 31)
+
+
+def test_normalise_long(spark):
+    df = spark.createDataFrame([(dt.datetime(2022, 1, 1), "ES", float("nan"))], "ts timestamp_ntz, cc string, p double")
+    out = files.normalise_long(df, PRICES_DAY_AHEAD, {"ts": "timestamp", "cc": "country", "p": "price_eur_mwh"})
+    r = out.collect()[0]
+    assert out.columns == PRICES_DAY_AHEAD.names and r["price_eur_mwh"] is None and r["energy_mwh"] is None
+    assert not math.isnan(0.0)
