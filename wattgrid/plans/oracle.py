@@ -447,3 +447,9 @@ WHERE price_eur_mwh IS NOT NULL ORDER BY price_eur_mwh DESC, "timestamp", countr
 SQL["day_lookup"] = with_hourly(f"""SELECT "timestamp", country, {r('price_eur_mwh', 'price_eur_mwh')} FROM hourly
 WHERE "timestamp" >= TIMESTAMP '{POLICY[0]} 00:00:00' AND "timestamp" < TIMESTAMP '{POLICY[0]} 00:00:00' + INTERVAL 1 DAY
   AND country = '{A}'""")
+SQL["stream_hourly"] = f"""SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n,
+  {r('sum(value)', 'total')}, {r('avg(value)', 'mean')}
+FROM (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS w, event_type, value FROM events WHERE ts IS NOT NULL) e
+GROUP BY w, event_type
+HAVING w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"""
+SQL["stream_load_prices"] = SQL["load_prices"]

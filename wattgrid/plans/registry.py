@@ -402,5 +402,39 @@ def q_day_lookup(spark, sf):
     return h.filter(tc.day_range(TS, SI.POLICY[0]) & (F.col(KEY) == PA)).select(TS, KEY, PRICE)
 
 
+@query("stream_hourly")
+def q_stream_hourly(spark, sf):
+    """Events as a file stream, watermark 2 h, tumbling hourly windows (append)."""
+    from ..streaming import incremental as Z
+    path = f"{sf}/event[s].parquet"  # a glob: the file source lists a pattern or a folder
+    schema = spark.read.parquet(path).schema
+    st = spark.readStream.schema(schema).parquet(path)
+    return Z.run_to_table(spark, Z.hourly_window_aggregate(st, "ts", "event_type", "value", "2 hours"))
+
+
+@query("stream_load_prices")
+def q_stream_load_prices(spark, sf):
+    """The two wide 'files' land one per micro-batch; first write wins on key."""
+    import uuid
+    from ..schemas import PRICES_DAY_AHEAD
+    from ..session import scratch_path
+    from ..streaming import incremental as Z
+    base = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
+    wide = SI.wide_prices(spark, sf)
+    for part in ("part_a", "part_b"):  # landing order = arrival order
+        wide.filter(F.col("source") == part).write.parquet(f"{base}/landing/{part}")
+    target = f"{base}/prices_day_ahead"
+    schema = spark.read.parquet(f"{base}/landing/part_a").schema
+    Z.incremental_first_wins(spark, f"{base}/landing/*/*.parquet", schema, load_wide_prices, target,
+                             _with_source(PRICES_DAY_AHEAD), [TS, KEY], ["source", PRICE],
+                             max_files_per_trigger=1)
+    return spark.read.parquet(target).select(TS, KEY, PRICE, "source")
+
+
+def _with_source(schema):
+    from pyspark.sql import types as T
+    return T.StructType(list(schema.fields) + [T.StructField("source", T.StringType())])
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
