@@ -44,6 +44,28 @@ def panel_rules(price_col: str = "price_eur_mwh", key_col: str = "country",
     }
 
 
+def weather_rules() -> dict[str, Column]:
+    """Plausible ranges for weather columns (NULLs are not checked)."""
+    def rng(c, lo, hi, hi_inclusive=False):
+        x = F.col(c)
+        upper = (x <= hi) if hi_inclusive else (x < hi)
+        return F.when(x.isNotNull(), (x > lo) & upper if c == "temperature_c" else (x >= lo) & upper)
+    return {"temperature_in_range": rng("temperature_c", -20, 50),
+            "wind_in_range": rng("wind_speed_100m", 0, 50),
+            "radiation_in_range": rng("solar_radiation", 0, 1500, True)}
+
+
+def wide_schema_check(df: DataFrame) -> dict[str, bool]:
+    """A wide price file has DATE, CONCEPT and at least 24 hour columns.
+
+    A schema-level check (metadata only, no job).
+    """
+    from .reshape import hour_columns
+    cols = set(df.columns)
+    return {"has_date": "DATE" in cols, "has_concept": "CONCEPT" in cols,
+            "has_24_hours": len(hour_columns(df, include_h25=True)) >= 24}
+
+
 def quality_report(panel: DataFrame, price_col: str = "price_eur_mwh", key_col: str = "country",
                    flag_col: str = "in_policy", timestamp_col: str = "timestamp") -> DataFrame:
     """Q-quality: one row: rows, range, series, missing prices and rate, phase counts."""

@@ -180,3 +180,38 @@ def shares(df: DataFrame, group_cols: list[str], part_col: str, value_col: str)
     tot = parts.groupBy(*group_cols).agg(F.sum("total").alias("group_total"))
     return parts.join(tot, group_cols).withColumn(
         "share", safe_div(F.col("total"), F.col("group_total"))).drop("group_total")
+
+
+def _one_row_join(parts: list[DataFrame]) -> DataFrame:
+    """Side-by-side join of single-row results on a constant key (no cross join)."""
+    out = parts[0].withColumn("_one", F.lit(1))
+    for p in parts[1:]:
+        out = out.join(p.withColumn("_one", F.lit(1)), "_one")
+    return out.drop("_one")
+
+
+def findings(panel: DataFrame, a: str, b: str, key: str = KEY, value: str = PRICE, ts: str = TS,
+             hour: str = "hour", weekend: str = "is_weekend",
+             bucket_hours: int = S.DEFAULT_BUCKET_HOURS) -> DataFrame:
+    """Q-findings: one-row record of the headline facts for series ``a`` (vs ``b``).
+
+    Price levels, coupling, hourly pattern, weekday vs weekend and volatility,
+    each computed by its own operator and joined as single rows.
+    """
+    k, v, w = F.col(key), F.col(value), F.col(weekend)
+    va = F.when(k == a, v)
+    levels = panel.filter(k.isin(a, b)).agg(
+        F.avg(va).alias("mean_a"), F.avg(F.when(k == b, v)).alias("mean_b"),
+        F.min(va).alias("min_a"), F.max(va).alias("max_a"), F.stddev_samp(va).alias("std_a"),
+        A.coefficient_of_variation(va).alias("cv_a"),
+        F.avg(F.when((k == a) & ~w, v)).alias("weekday_mean_a"),
+        F.avg(F.when((k == a) & w, v)).alias("weekend_mean_a"))
+    gap = F.abs(F.col("weekday_mean_a") - F.col("weekend_mean_a"))
+    levels = levels.withColumns({"daytype_abs_diff": gap,
+                                 "daytype_pct_diff": safe_div(gap, F.col("weekday_mean_a")) * 100})
+    coup = coupling(panel, a, b, key, value, ts).select("correlation", "coupling_label")
+    sa = panel.filter(k == a)
+    peak = peak_trough(hourly_profile(sa, key, value, hour), key, hour).select("peak_hour", "trough_hour", "spread")
+    ch = S.changes(sa.select(key, ts, value), [key], ts, value, True, bucket_hours) \
+        .agg(F.avg(F.abs(F.col("diff"))).alias("mean_abs_change_a"))
+    return _one_row_join([levels, coup, peak, ch])

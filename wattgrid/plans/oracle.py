@@ -453,3 +453,27 @@ FROM (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS w, event_type, value F
 GROUP BY w, event_type
 HAVING w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"""
 SQL["stream_load_prices"] = SQL["load_prices"]
+SQL["findings"] = with_panel(f"""SELECT {r('mean_a', 'mean_a')}, {r('mean_b', 'mean_b')}, {r('min_a', 'min_a')},
+  {r('max_a', 'max_a')}, {r('std_a', 'std_a')}, {r('std_a / NULLIF(mean_a, 0)', 'cv_a')},
+  {r('wd', 'weekday_mean_a')}, {r('we', 'weekend_mean_a')}, {r('abs(wd - we)', 'daytype_abs_diff')},
+  {r('abs(wd - we) / NULLIF(wd, 0) * 100', 'daytype_pct_diff')},
+  {r('c.correlation', 'correlation')},
+  CASE WHEN c.correlation > 0.95 THEN 'Strongly coupled market' WHEN c.correlation > 0.80
+       THEN 'Moderately coupled market' ELSE 'Weakly coupled market' END AS coupling_label,
+  pk.peak_hour, pk.trough_hour, {r('pk.spread', 'spread')}, {r('ch.m', 'mean_abs_change_a')}
+FROM (SELECT avg(CASE WHEN country = '{A}' THEN price_eur_mwh END) AS mean_a,
+             avg(CASE WHEN country = '{B}' THEN price_eur_mwh END) AS mean_b,
+             min(CASE WHEN country = '{A}' THEN price_eur_mwh END) AS min_a,
+             max(CASE WHEN country = '{A}' THEN price_eur_mwh END) AS max_a,
+             stddev_samp(CASE WHEN country = '{A}' THEN price_eur_mwh END) AS std_a,
+             avg(CASE WHEN country = '{A}' AND NOT is_weekend THEN price_eur_mwh END) AS wd,
+             avg(CASE WHEN country = '{A}' AND is_weekend THEN price_eur_mwh END) AS we
+      FROM panel WHERE country IN ('{A}', '{B}')) lv,
+     (SELECT corr(a, b) AS correlation FROM pair) c,
+     (SELECT CAST(max(CASE WHEN rn_max = 1 THEN hour END) AS BIGINT) AS peak_hour,
+             CAST(max(CASE WHEN rn_min = 1 THEN hour END) AS BIGINT) AS trough_hour, max(mean) - min(mean) AS spread
+      FROM (SELECT *, row_number() OVER (ORDER BY mean DESC, hour) AS rn_max,
+                   row_number() OVER (ORDER BY mean ASC, hour) AS rn_min
+            FROM (SELECT hour, avg(price_eur_mwh) AS mean FROM panel WHERE country = '{A}' GROUP BY 1) p
+            WHERE mean IS NOT NULL) t) pk,
+     (SELECT avg(abs(diff)) AS m FROM changed WHERE country = '{A}') ch""", CTE["pair"], CTE["changed"])

@@ -402,6 +402,11 @@ def q_day_lookup(spark, sf):
     return h.filter(tc.day_range(TS, SI.POLICY[0]) & (F.col(KEY) == PA)).select(TS, KEY, PRICE)
 
 
+@query("findings")
+def q_findings(spark, sf):
+    return X.findings(_panel(spark, sf), PA, PB)
+
+
 @query("stream_hourly")
 def q_stream_hourly(spark, sf):
     """Events as a file stream, watermark 2 h, tumbling hourly windows (append)."""

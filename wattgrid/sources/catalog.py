@@ -58,3 +58,10 @@ def describe_schema(tables: dict[str, DataFrame]) -> DataFrame:
             for t, df in tables.items() for i, f in enumerate(df.schema.fields)]
     return spark.createDataFrame(rows, "table_name string, position int, column_name string, "
                                        "data_type string, nullable boolean")
+
+
+def missing_tables(spark: SparkSession, expected: list[str], present: list[str]) -> DataFrame:
+    """Expected-vs-present table names as a left join of the expected list."""
+    e = spark.createDataFrame([(t,) for t in expected], "table_name string")
+    p = spark.createDataFrame([(t,) for t in present], "table_name string").withColumn("present", F.lit(True))
+    return e.join(p, "table_name", "left").select("table_name", F.coalesce("present", F.lit(False)).alias("present"))
