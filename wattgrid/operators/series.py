@@ -68,28 +68,6 @@ def rolling_stats(df: DataFrame, keys: list[str], timestamp_col: str, value_col:
 # Cross-bucket carries (lag, forward fill)
 # ---------------------------------------------------------------------------
 
-def _carry_in(df: DataFrame, keys: list[str], bucket_col: str, ord_col: str, value_col: str,
-              how: str, out_col: str) -> DataFrame:
-    """Per bucket: the value carried in from earlier buckets.
-
-    ``how='last_row'``: the value on the last row of the nearest earlier bucket
-    (lag). ``how='last_non_null'``: the last non-null value of any earlier
-    bucket (forward fill). The summary has one row per (key, bucket), so the
-    window over it is small even for a hot key.
-    """
-    v, o = F.col(value_col), F.col(ord_col)
-    if how == "last_row":
-        summ = df.groupBy(*keys, bucket_col).agg(F.max_by(v, o).alias("_s"),
-                                                 F.max(o).alias("_so"))
-        w = Window.partitionBy(*keys).orderBy(bucket_col)
-        return summ.select(*keys, bucket_col, F.lag("_s").over(w).alias(out_col),
-                           F.lag("_so").over(w).alias(out_col + "_ord"))
-    summ = df.groupBy(*keys, bucket_col).agg(
-        F.max_by(v, F.when(v.isNotNull(), o)).alias("_s"))
-    w = Window.partitionBy(*keys).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
-    return summ.select(*keys, bucket_col, F.last("_s", ignorenulls=True).over(w).alias(out_col))
-
-
 def add_prev_and_fill(df: DataFrame, keys: list[str], timestamp_col: str, value_col: str,
                       bucket_hours: int = DEFAULT_BUCKET_HOURS, ord_col: str | None = None) -> DataFrame:
     """Adds, per row of each series ordered by ``timestamp_col``:
@@ -98,22 +76,33 @@ def add_prev_and_fill(df: DataFrame, keys: list[str], timestamp_col: str, value_
     * ``_prev_exists``: whether a previous row exists,
     * ``_ffill``: last non-null value at or before this row,
     * ``_ffill_prev``: last non-null value strictly before this row.
+
+    Rows are windowed per (key, bucket). The per-bucket summary (last row, last
+    non-null value) is aggregated from those windowed rows, which are already
+    partitioned by (key, bucket), so it adds no exchange over the data; the
+    carry-in window runs over one row per bucket and joins back on
+    (key, bucket).
     """
     ord_col = ord_col or timestamp_col
     b = df.withColumn("_bk", _bucket(tc.hour_number(timestamp_col), bucket_hours))
-    lag_in = _carry_in(b, keys, "_bk", ord_col, value_col, "last_row", "_lag_in")
-    fill_in = _carry_in(b, keys, "_bk", ord_col, value_col, "last_non_null", "_fill_in")
     w = Window.partitionBy(*keys, "_bk").orderBy(ord_col)
     wcum = w.rowsBetween(Window.unboundedPreceding, 0)
     wbef = w.rowsBetween(Window.unboundedPreceding, -1)
-    v = F.col(value_col)
+    v, o = F.col(value_col), F.col(ord_col)
     inner = b.withColumns({
         "_rn": F.row_number().over(w),
         "_lag": F.lag(v).over(w),
         "_f_in": F.last(v, ignorenulls=True).over(wcum),
         "_f_bef": F.last(v, ignorenulls=True).over(wbef),
     })
-    j = inner.join(lag_in, [*keys, "_bk"], "left").join(fill_in, [*keys, "_bk"], "left")
+    summ = inner.groupBy(*keys, "_bk").agg(F.max_by(v, o).alias("_s_last"), F.max(o).alias("_s_ord"),
+                                           F.max_by(v, F.when(v.isNotNull(), o)).alias("_s_nn"))
+    ws = Window.partitionBy(*keys).orderBy("_bk")
+    carry = summ.select(*keys, "_bk", F.lag("_s_last").over(ws).alias("_lag_in"),
+                        F.lag("_s_ord").over(ws).alias("_lag_in_ord"),
+                        F.last("_s_nn", ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, -1))
+                        .alias("_fill_in"))
+    j = inner.join(carry, [*keys, "_bk"], "left")
     first = F.col("_rn") == 1
     return j.select(
         *df.columns,
@@ -179,8 +168,10 @@ def duration_steps(df: DataFrame, keys: list[str], value_col: str, drop_nulls: b
     for each distinct value, a run of ranks ``rank_first..rank_last``;
     ``position = 100 * rank / n`` with ``n`` all rows (NULLs included, Q10).
     Ranks come from a two-level prefix sum: coarse value bands (width
-    ``coarse_width``) then values within a band, so no window ever holds a whole
-    series. ``drop_nulls`` removes NULL values before counting.
+    ``coarse_width``; NULL is its own last band) summed per key over one row per
+    band, then values within a band, so no window ever holds a whole series.
+    The frequency table is built once and both levels derive from it.
+    ``drop_nulls`` removes NULL values before counting.
     """
     ks = list(keys) or ["_g"]
     d = df.select(*keys, F.col(value_col).alias("_v"))
@@ -188,23 +179,20 @@ def duration_steps(df: DataFrame, keys: list[str], value_col: str, drop_nulls: b
         d = d.withColumn("_g", F.lit(0))
     if drop_nulls:
         d = d.filter(F.col("_v").isNotNull())
-    freq = d.groupBy(*ks, "_v").agg(F.count(F.lit(1)).alias("n_rows"))
-    nonnull = freq.filter(F.col("_v").isNotNull()) \
+    freq = d.groupBy(*ks, "_v").agg(F.count(F.lit(1)).alias("n_rows")) \
         .withColumn("_band", F.floor(F.col("_v") / F.lit(coarse_width)).cast("bigint"))
-    bands = nonnull.groupBy(*ks, "_band").agg(F.sum("n_rows").alias("_bn"))
-    wb = Window.partitionBy(*ks).orderBy(F.col("_band").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    bands = bands.select(*ks, "_band", F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_boff"))
-    wi = Window.partitionBy(*ks, "_band").orderBy(F.col("_v").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    nonnull = nonnull.withColumn("_ioff", F.coalesce(F.sum("n_rows").over(wi), F.lit(0)))
-    steps_nn = nonnull.join(bands, [*ks, "_band"]).select(
-        *ks, "_v", "n_rows", (F.col("_boff") + F.col("_ioff")).alias("rank_first"))
-    totals = freq.groupBy(*ks).agg(F.sum("n_rows").alias("n_total"),
-                                   F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("n_rows"))),
-                                              F.lit(0)).alias("_nn"))
-    steps_null = freq.filter(F.col("_v").isNull()).join(totals.select(*ks, "_nn"), ks) \
-        .select(*ks, "_v", "n_rows", F.col("_nn").alias("rank_first"))
-    steps = steps_nn.unionByName(steps_null).join(totals.select(*ks, "n_total"), ks)
-    out = steps.select(
+    bands = freq.groupBy(*ks, "_band").agg(F.sum("n_rows").alias("_bn"))
+    wk = Window.partitionBy(*ks)
+    wb = wk.orderBy(F.col("_band").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    bands = bands.select(*ks, F.col("_band").alias("_band2"),
+                         F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_boff"),
+                         F.sum("_bn").over(wk).alias("n_total"))
+    cond = [freq[k] == bands[k] for k in ks] + [freq["_band"].eqNullSafe(bands["_band2"])]
+    j = freq.join(bands, cond).select(freq["*"], "_boff", "n_total")
+    wi = Window.partitionBy(*ks, "_band").orderBy(F.col("_v").desc_nulls_last()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    rank_first = F.col("_boff") + F.coalesce(F.sum("n_rows").over(wi), F.lit(0))
+    out = j.withColumn("rank_first", rank_first).select(
         *ks, F.col("_v").alias(value_col), "n_rows", "rank_first",
         (F.col("rank_first") + F.col("n_rows") - 1).alias("rank_last"), "n_total",
         (F.col("rank_first") * 100.0 / F.col("n_total")).alias("position_first"),
