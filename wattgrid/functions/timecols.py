@@ -88,6 +88,18 @@ def day_range(col, day) -> Column:
     return time_range(col, d, d + _dt.timedelta(days=1))
 
 
+def parse_timestamp(col, formats: tuple[str, ...] = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss",
+                                                   "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "dd/MM/yyyy")) -> Column:
+    """Heterogeneous date/time strings to NTZ; the first format that parses
+    wins, unparseable values give NULL (``try_to_timestamp``, never an error).
+
+    The parsed value is rendered back as text in the session zone and read as
+    NTZ, so the wall-clock fields are kept whatever the session zone.
+    """
+    c = _c(col).cast("string")
+    return F.coalesce(*[F.to_timestamp_ntz(F.try_to_timestamp(c, F.lit(f)).cast("string")) for f in formats])
+
+
 # ---- calendar features (T4) ----------------------------------------------
 
 def calendar_columns(col) -> dict[str, Column]:

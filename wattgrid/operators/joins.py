@@ -54,12 +54,14 @@ def series_equal(a: DataFrame, b: DataFrame, key_cols: list[str], value_col: str
     ``np.array_equal`` treats NaN as unequal; here NaN on both sides is
     reported in ``nan_pairs`` and counted as equal by ``<=>``.
     """
-    x = a.select(*key_cols, F.col(value_col).alias("_x"))
-    y = b.select(*key_cols, F.col(value_col).alias("_y"))
+    x = a.select(*key_cols, F.col(value_col).alias("_x"), F.lit(True).alias("_pa"))
+    y = b.select(*key_cols, F.col(value_col).alias("_y"), F.lit(True).alias("_pb"))
     j = x.join(y, key_cols, "full_outer")
+    # a key on one side only is a difference even when the present value is NULL
+    same = F.col("_pa").isNotNull() & F.col("_pb").isNotNull() & F.col("_x").eqNullSafe(F.col("_y"))
     return j.agg(F.count(F.lit(1)).alias("n"),
-                 F.coalesce(F.bool_and(F.col("_x").eqNullSafe(F.col("_y"))), F.lit(True)).alias("equal"),
-                 F.count_if(~F.col("_x").eqNullSafe(F.col("_y"))).alias("n_different"),
+                 F.coalesce(F.bool_and(same), F.lit(True)).alias("equal"),
+                 F.count_if(~same).alias("n_different"),
                  F.count_if(F.isnan("_x") & F.isnan("_y")).alias("nan_pairs"))
 
 
@@ -67,31 +69,23 @@ def nearest_match(left: DataFrame, right: DataFrame, keys: list[str], timestamp_
                   bucket_hours: int = 24) -> DataFrame:
     """For each distinct left (key, timestamp), the nearest right timestamp.
 
-    Both sides are unioned; the previous right timestamp is a forward fill and
-    the next one a forward fill on the mirrored axis (t -> -t), both with the
-    bucketed carry of ``series.add_prev_and_fill`` (exact, unbounded look-back,
-    no window over a whole key). The smaller absolute gap wins, the earlier one
-    on a tie. Output: keys, ``timestamp``, ``nearest`` and ``diff_seconds``
-    (nearest - timestamp, signed); NULL when the key has no right rows.
+    Both sides are unioned and ordered by (time, side) with left rows first at
+    the same instant. One bucketed pass (``series.add_fills``) gives the last
+    right timestamp at or before each left row and the first at or after it
+    (exact, unbounded reach, no window over a whole key). The smaller absolute
+    gap wins, the earlier one on a tie. Output: keys, ``timestamp``,
+    ``nearest`` and ``diff_seconds`` (nearest - timestamp, signed); NULL when
+    the key has no right rows.
     """
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     l = left.select(*keys, F.col(timestamp_col).alias("_t")).filter(F.col("_t").isNotNull()).distinct() \
         .select(*keys, "_t", F.lit(None).cast("timestamp_ntz").alias("_r"), F.lit(0).alias("_side"))
     r = right.select(*keys, F.col(timestamp_col).alias("_t")).filter(F.col("_t").isNotNull()).distinct() \
         .select(*keys, "_t", F.col("_t").alias("_r"), F.lit(1).alias("_side"))
-    u = l.unionByName(r)
-    # At the same instant the right row sorts first, so an exact match is distance 0.
-    fwd = S.add_prev_and_fill(u.withColumn("_ord", F.struct(F.col("_t"), -F.col("_side"))),
-                              keys, "_t", "_r", bucket_hours, ord_col="_ord") \
-        .filter(F.col("_side") == 0).select(*keys, "_t", F.col("_ffill").alias("_prev_r"))
-    neg = u.withColumn("_nt", F.timestamp_add("SECOND", -tc.seconds_between(epoch, F.col("_t")), epoch))
-    bwd = S.add_prev_and_fill(neg.withColumn("_ord", F.struct(F.col("_nt"), -F.col("_side"))),
-                              keys, "_nt", "_r", bucket_hours, ord_col="_ord") \
-        .filter(F.col("_side") == 0).select(*keys, "_t", F.col("_ffill").alias("_next_r"))
-    j = fwd.join(bwd, [*keys, "_t"])
-    dp = tc.seconds_between("_t", "_prev_r")
-    dn = tc.seconds_between("_t", "_next_r")
-    choose_prev = F.col("_next_r").isNull() | (F.col("_prev_r").isNotNull() & (F.abs(dp) <= F.abs(dn)))
-    nearest = F.when(choose_prev, F.col("_prev_r")).otherwise(F.col("_next_r"))
+    u = l.unionByName(r).withColumn("_ord", F.struct(F.col("_t"), F.col("_side")))
+    j = S.add_fills(u, keys, "_t", "_r", bucket_hours, ord_col="_ord").filter(F.col("_side") == 0)
+    dp = tc.seconds_between("_t", "_ffill")
+    dn = tc.seconds_between("_t", "_bfill")
+    choose_prev = F.col("_bfill").isNull() | (F.col("_ffill").isNotNull() & (F.abs(dp) <= F.abs(dn)))
+    nearest = F.when(choose_prev, F.col("_ffill")).otherwise(F.col("_bfill"))
     out = j.select(*keys, F.col("_t").alias(timestamp_col), nearest.alias("nearest"))
     return out.withColumn("diff_seconds", tc.seconds_between(timestamp_col, "nearest"))

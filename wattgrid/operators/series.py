@@ -112,6 +112,35 @@ def add_prev_and_fill(df: DataFrame, keys: list[str], timestamp_col: str, value_
         F.coalesce("_f_bef", "_fill_in").alias("_ffill_prev"))
 
 
+def add_fills(df: DataFrame, keys: list[str], timestamp_col: str, value_col: str,
+              bucket_hours: int = DEFAULT_BUCKET_HOURS, ord_col: str | None = None) -> DataFrame:
+    """Adds ``_ffill`` (last non-null value at or before the row) and ``_bfill``
+    (first non-null value at or after it), per series, in one windowed pass.
+
+    Same bucketed scheme as ``add_prev_and_fill``: a per-bucket summary of the
+    first and last non-null values, windows over one row per bucket for the
+    carry in each direction, and a join back.
+    """
+    ord_col = ord_col or timestamp_col
+    b = df.withColumn("_bk", _bucket(tc.hour_number(timestamp_col), bucket_hours))
+    w = Window.partitionBy(*keys, "_bk").orderBy(ord_col)
+    v, o = F.col(value_col), F.col(ord_col)
+    inner = b.withColumns({
+        "_f_in": F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        "_b_in": F.first(v, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)),
+    })
+    nn = F.when(v.isNotNull(), o)
+    summ = inner.groupBy(*keys, "_bk").agg(F.max_by(v, nn).alias("_s_last"), F.min_by(v, nn).alias("_s_first"))
+    ws = Window.partitionBy(*keys).orderBy("_bk")
+    carry = summ.select(
+        *keys, "_bk",
+        F.last("_s_last", ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("_fill_in"),
+        F.first("_s_first", ignorenulls=True).over(ws.rowsBetween(1, Window.unboundedFollowing)).alias("_bfill_in"))
+    j = inner.join(carry, [*keys, "_bk"], "left")
+    return j.select(*df.columns, F.coalesce("_f_in", "_fill_in").alias("_ffill"),
+                    F.coalesce("_b_in", "_bfill_in").alias("_bfill"))
+
+
 def changes(df: DataFrame, keys: list[str], timestamp_col: str, value_col: str,
             fill: bool = True, bucket_hours: int = DEFAULT_BUCKET_HOURS) -> DataFrame:
     """W2 + W3: ``diff`` = x - previous x; ``pct_change`` = 100 * (f / f_prev - 1).
