@@ -189,6 +189,39 @@ def step_check(df: DataFrame, keys: list[str], timestamp_col: str = "timestamp",
 # Duration curve as a step table, markers, optional row expansion
 # ---------------------------------------------------------------------------
 
+def prefix_sum(df: DataFrame, group_cols: list[str], order_col: str, value_col: str,
+               descending: bool = False, band_width: float = 1.0, out_col: str = "sum_before",
+               total_col: str | None = None) -> DataFrame:
+    """Exact running sum without a window over a whole group.
+
+    Adds ``out_col`` = sum of ``value_col`` over rows of the same group that
+    come strictly before the row in ``order_col`` order (NULL orders last;
+    ``order_col`` values should be distinct within a group, e.g. after an
+    aggregation by them). Two levels: bands of width ``band_width`` on the
+    order value are summed and prefix-summed over one row per band, then rows
+    are prefix-summed inside their band. A group holding a third of all rows
+    is therefore spread over its bands. ``total_col`` adds the group total.
+    """
+    ks = list(group_cols) or ["_g"]
+    d = df if group_cols else df.withColumn("_g", F.lit(0))
+    d = d.withColumn("_band", F.floor(F.col(order_col) / F.lit(band_width)).cast("bigint"))
+    bands = d.groupBy(*ks, "_band").agg(F.sum(value_col).alias("_bsum"))
+    border = F.col("_band").desc_nulls_last() if descending else F.col("_band").asc_nulls_last()
+    wk = Window.partitionBy(*ks)
+    wb = wk.orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
+    sel = [*ks, F.col("_band").alias("_band2"), F.coalesce(F.sum("_bsum").over(wb), F.lit(0)).alias("_boff")]
+    if total_col:
+        sel.append(F.sum("_bsum").over(wk).alias(total_col))
+    bands = bands.select(*sel)
+    cond = [d[k] == bands[k] for k in ks] + [d["_band"].eqNullSafe(bands["_band2"])]
+    j = d.join(bands, cond).select(d["*"], *[c for c in ["_boff", total_col] if c])
+    vorder = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
+    wi = Window.partitionBy(*ks, "_band").orderBy(vorder).rowsBetween(Window.unboundedPreceding, -1)
+    out = j.withColumn(out_col, F.col("_boff") + F.coalesce(F.sum(value_col).over(wi), F.lit(0))) \
+        .drop("_band", "_boff")
+    return out if group_cols else out.drop("_g")
+
+
 def duration_steps(df: DataFrame, keys: list[str], value_col: str, drop_nulls: bool = False,
                    coarse_width: float = 1.0) -> DataFrame:
     """W5 in exact compressed form: one row per (key, distinct value).
@@ -196,37 +229,22 @@ def duration_steps(df: DataFrame, keys: list[str], value_col: str, drop_nulls: b
     Sorting a series descending (NULLs last) and numbering rows from 0 gives,
     for each distinct value, a run of ranks ``rank_first..rank_last``;
     ``position = 100 * rank / n`` with ``n`` all rows (NULLs included, Q10).
-    Ranks come from a two-level prefix sum: coarse value bands (width
-    ``coarse_width``; NULL is its own last band) summed per key over one row per
-    band, then values within a band, so no window ever holds a whole series.
-    The frequency table is built once and both levels derive from it.
-    ``drop_nulls`` removes NULL values before counting.
+    ``rank_first`` is the number of rows with a larger value: a ``prefix_sum``
+    of the value counts (coarse bands of width ``coarse_width``, then values),
+    so no window ever holds a whole series. ``drop_nulls`` removes NULL values
+    before counting.
     """
-    ks = list(keys) or ["_g"]
     d = df.select(*keys, F.col(value_col).alias("_v"))
-    if not keys:
-        d = d.withColumn("_g", F.lit(0))
     if drop_nulls:
         d = d.filter(F.col("_v").isNotNull())
-    freq = d.groupBy(*ks, "_v").agg(F.count(F.lit(1)).alias("n_rows")) \
-        .withColumn("_band", F.floor(F.col("_v") / F.lit(coarse_width)).cast("bigint"))
-    bands = freq.groupBy(*ks, "_band").agg(F.sum("n_rows").alias("_bn"))
-    wk = Window.partitionBy(*ks)
-    wb = wk.orderBy(F.col("_band").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    bands = bands.select(*ks, F.col("_band").alias("_band2"),
-                         F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_boff"),
-                         F.sum("_bn").over(wk).alias("n_total"))
-    cond = [freq[k] == bands[k] for k in ks] + [freq["_band"].eqNullSafe(bands["_band2"])]
-    j = freq.join(bands, cond).select(freq["*"], "_boff", "n_total")
-    wi = Window.partitionBy(*ks, "_band").orderBy(F.col("_v").desc_nulls_last()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    rank_first = F.col("_boff") + F.coalesce(F.sum("n_rows").over(wi), F.lit(0))
-    out = j.withColumn("rank_first", rank_first).select(
-        *ks, F.col("_v").alias(value_col), "n_rows", "rank_first",
+    freq = d.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("n_rows"))
+    ranked = prefix_sum(freq, keys, "_v", "n_rows", descending=True, band_width=coarse_width,
+                        out_col="rank_first", total_col="n_total")
+    return ranked.select(
+        *keys, F.col("_v").alias(value_col), "n_rows", "rank_first",
         (F.col("rank_first") + F.col("n_rows") - 1).alias("rank_last"), "n_total",
         (F.col("rank_first") * 100.0 / F.col("n_total")).alias("position_first"),
         ((F.col("rank_first") + F.col("n_rows") - 1) * 100.0 / F.col("n_total")).alias("position_last"))
-    return out if keys else out.drop("_g")
 
 
 def duration_markers(steps: DataFrame, keys: list[str], value_col: str,

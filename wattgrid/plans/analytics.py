@@ -161,17 +161,18 @@ def diff_in_diff(panel: DataFrame, treated: str, control: str, start: str, key:
 
 
 def supply_curve(bids: DataFrame, group_cols: list[str], price: str = "price_eur_mwh",
-                 quantity: str = "quantity_mw") -> DataFrame:
+                 quantity: str = "quantity_mw", price_band: float = 10.0) -> DataFrame:
     """Q-curve: stepwise cumulative quantity by ascending price per group.
 
-    Bids are first summed per price level (partial aggregation), so the running
-    sum runs over distinct price levels, not over every bid.
+    Bids are first summed per price level (partial aggregation), then the
+    running sum over price levels is an exact two-level prefix sum
+    (``series.prefix_sum``, bands of ``price_band``), so an hour holding a
+    large share of all bids is not sorted in one task.
     """
-    from pyspark.sql.window import Window
     lv = bids.groupBy(*group_cols, price).agg(F.sum(quantity).alias("quantity"),
                                               F.count(F.lit(1)).alias("n_bids"))
-    w = Window.partitionBy(*group_cols).orderBy(price).rowsBetween(Window.unboundedPreceding, 0)
-    return lv.withColumn("cum_quantity", F.sum("quantity").over(w))
+    cum = S.prefix_sum(lv, group_cols, price, "quantity", band_width=price_band, out_col="_before")
+    return cum.withColumn("cum_quantity", F.col("_before") + F.col("quantity")).drop("_before")
 
 
 def shares(df: DataFrame, group_cols: list[str], part_col: str, value_col: str) -> DataFrame:
