@@ -118,3 +118,22 @@ def test_nearest_match_brute_force(spark):
         best = cand[dist == dist.min()].min()  # earliest on a tie
         assert pd.Timestamp(row["nearest"]) == best
         assert row["diff_seconds"] == int((best - t).total_seconds())
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_prefix_sum_hot_group(spark, descending):
+    rng = np.random.default_rng(6)
+    rows = [("hot", float(x), float(q)) for x, q in zip(rng.choice(5000, 3000, replace=False) / 7.0,
+                                                      rng.integers(1, 9, 3000))]
+    rows += [("cold", float(x), 1.0) for x in range(5)] + [("cold", None, 2.0)]
+    df = spark.createDataFrame(rows, "g string, p double, q double")
+    got = S.prefix_sum(df, ["g"], "p", "q", descending=descending, band_width=13.0, total_col="tot").toPandas()
+    pdf = pd.DataFrame(rows, columns=["g", "p", "q"])
+    for g, grp in pdf.groupby("g"):
+        srt = grp.sort_values("p", ascending=not descending, na_position="last")
+        exp = srt["q"].cumsum() - srt["q"]
+        mine = got[got.g == g].set_index("p", drop=False)
+        for (p, e) in zip(srt["p"], exp):
+            row = mine[mine["p"].isna()] if pd.isna(p) else mine.loc[[p]]
+            assert float(row["sum_before"].iloc[0]) == e
+        assert (got[got.g == g]["tot"] == grp["q"].sum()).all()

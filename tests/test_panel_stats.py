@@ -123,3 +123,22 @@ def test_f11_append_filter_limit(spark, tmpdir_path):
     assert back.columns == PRICES_DAY_AHEAD.names
     top = back.filter("country = 'ES'").orderBy("timestamp").limit(5).collect()
     assert [r["price_eur_mwh"] for r in top] == [100.0, 105.0, 110.0, 115.0, 120.0]
+
+
+def test_build_main_panel_parameters(spark):
+    prices = f9_prices(spark)
+    p = P.build_main_panel(spark, prices, "2022-06-15", "2022-06-16", ["ES", "PT"], weather=f10_weather(spark))
+    assert p.count() == 96 and p.filter("price_eur_mwh IS NULL").count() == 0
+    assert p.filter("country = 'PT' AND temperature_c IS NULL").count() == 48
+
+
+def test_panel_golden_sizes(spark):
+    # SURVEY 7.7: 2022-01-01..2023-12-31 x {ES, PT} = 35,040 rows; 13,560 policy hours per country
+    empty = spark.createDataFrame([], "timestamp timestamp_ntz, country string, price_eur_mwh double")
+    p = P.build_main_panel(spark, empty, "2022-01-01", "2023-12-31", ["ES", "PT"])
+    assert p.count() == 35040
+    per = {r["country"]: r for r in p.groupBy("country").agg(F.count_if("in_policy").alias("d"),
+                                                             F.count_if(~F.col("in_policy")).alias("pre")).collect()}
+    assert per["ES"]["d"] == 13560 and per["ES"]["pre"] == 3960
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan

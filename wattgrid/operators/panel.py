@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import timecols as tc
 from . import timeaxis as tx
 
 
@@ -59,3 +60,35 @@ def build_panel(spine: DataFrame, prices: DataFrame, weather: DataFrame | None =
     if features:
         p = tx.add_time_features(p, timestamp_col, policy, flag_col)
     return p
+
+
+def country_hour_spine(spark: SparkSession, start_date, end_date, countries: list[str],
+                       timestamp_col: str = "timestamp", key_col: str = "country",
+                       num_partitions: int | None = None) -> DataFrame:
+    """T2 + T3 for explicit parameters: every hour x every listed country.
+
+    Hours come from ``spark.range`` (generated in parallel); each hour row
+    expands the literal country list, so no join is involved.
+    """
+    hours = tx.hour_spine(spark, start_date, end_date, timestamp_col, num_partitions)
+    return hours.select(timestamp_col, F.explode(F.array(*[F.lit(c) for c in countries])).alias(key_col))
+
+
+def build_main_panel(spark: SparkSession, prices: DataFrame, start_date, end_date, countries: list[str],
+                     weather: DataFrame | None = None, flows_wide: DataFrame | None = None,
+                     policy: tuple[str, str] | None = tx.DEFAULT_POLICY, flag_col: str = "in_policy",
+                     timestamp_col: str = "timestamp", key_col: str = "country") -> DataFrame:
+    """Q-panel with the reference's parameters ``(start_date, end_date, countries)``.
+
+    Sources are restricted to the range (half-open, pushed to the scan) and to
+    the listed countries before the joins; the result has exactly
+    hours x countries rows, end date inclusive through 23:00.
+    """
+    import datetime as _dt
+    end_excl = (_dt.date.fromisoformat(str(end_date)[:10]) + _dt.timedelta(days=1)).isoformat()
+    rng = tc.time_range(timestamp_col, str(start_date)[:10], end_excl)
+    spine = country_hour_spine(spark, start_date, end_date, countries, timestamp_col, key_col)
+    p = prices.filter(rng & F.col(key_col).isin(countries))
+    w = weather.filter(rng & F.col(key_col).isin(countries)) if weather is not None else None
+    f = flows_wide.filter(rng) if flows_wide is not None else None
+    return build_panel(spine, p, w, f, timestamp_col, key_col, policy, flag_col)
