@@ -142,3 +142,11 @@ def test_panel_golden_sizes(spark):
     assert per["ES"]["d"] == 13560 and per["ES"]["pre"] == 3960
     plan = p._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_flows_repeat_for_each_country(spark):
+    prices = f9_prices(spark)
+    flows = spark.createDataFrame([(ts("2022-06-15 03:00:00"), 7.0)], "timestamp timestamp_ntz, ES_to_FR_mw double")
+    p = P.build_main_panel(spark, prices, "2022-06-15", "2022-06-16", ["ES", "PT"], flows_wide=flows)
+    hit = p.filter(F.col("ES_to_FR_mw").isNotNull()).collect()
+    assert sorted(r["country"] for r in hit) == ["ES", "PT"] and p.count() == 96

@@ -21,6 +21,7 @@ from ..operators import stats as A
 from ..operators import timeaxis as tx
 from . import analytics as X
 from . import standins as SI
+from .loading import load_wide_prices  # noqa: F401  (re-exported)
 from .oracle import PRIORITY_NAMES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,23 +216,6 @@ def q_dup_report(spark, sf):
         .select(TS, KEY, "occurrences", "n_distinct_values", "min_value", "max_value", "n_sources")
 
 
-def load_wide_prices(wide: DataFrame, mode: str = "label", keep: str = "first") -> DataFrame:
-    """Q-load: wide price rows -> ``(timestamp, country, price_eur_mwh, source)``.
-
-    S1 P1 R1 R2 P4 P6 W8 in one lazy plan: filter both concepts in one pass,
-    unpivot the hour columns, drop missing values, stamp the hour, map the
-    concept to a country code and keep the first row per key by source name.
-    """
-    from ..schemas import CONCEPT_TO_COUNTRY
-    w = wide.filter(F.col("CONCEPT").isin(list(CONCEPT_TO_COUNTRY)))
-    long = R.wide_to_long(w, ["DATE", "CONCEPT", "source"], value_col=PRICE,
-                          include_h25=(mode == "market"))
-    long = tx.hour_labels_to_timestamp(long, "DATE", "hour_index", mode)
-    cmap = F.create_map(*[x for k, v in CONCEPT_TO_COUNTRY.items() for x in (F.lit(k), F.lit(v))])
-    long = long.select(TS, cmap[F.col("CONCEPT")].alias(KEY), PRICE, "source")
-    return D.keep_first(long, [TS, KEY], ["source", PRICE], keep)
-
-
 @query("load_prices")
 def q_load_prices(spark, sf):
     return load_wide_prices(SI.wide_prices(spark, sf))

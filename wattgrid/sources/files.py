@@ -18,8 +18,9 @@ def read_wide_prices(spark: SparkSession, path: str | list[str], schema: T.Struc
     """S1 + S2: wide price files (``DATE, CONCEPT, H1..H24[, H25]``) with provenance.
 
     An explicit nullable schema makes a missing ``H25`` (or any hour) read as
-    NULL. ``source`` is the file name (``_metadata.file_name``), the
-    deterministic tie-break for first-wins loading. NaN becomes NULL (Q1).
+    NULL. ``source`` is the file's full path (``_metadata.file_path``): it
+    sorts like a sorted glob (folder, then name), is unique across folders, and
+    is the deterministic tie-break for first-wins loading. NaN becomes NULL (Q1).
     ``ignore_corrupt`` skips unreadable files instead of failing (Q18).
     """
     r = spark.read.schema(schema)
@@ -27,7 +28,7 @@ def read_wide_prices(spark: SparkSession, path: str | list[str], schema: T.Struc
         r = r.option("ignoreCorruptFiles", "true")
     paths = [path] if isinstance(path, str) else list(path)
     df = r.parquet(*paths)
-    df = df.withColumn("source", F.col("_metadata.file_name"))
+    df = df.withColumn("source", F.col("_metadata.file_path"))
     return nans_to_nulls(df)
 
 
@@ -56,7 +57,7 @@ def file_inventory(spark: SparkSession, path: str | list[str], timestamp_col: st
                    date_col: str | None = None) -> DataFrame:
     """One row per file: name, size, rows, time range, distinct dates.
 
-    A single scan grouped by ``_metadata.file_name``; no per-file loop.
+    A single scan grouped by ``_metadata.file_path``; no per-file loop.
     """
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.parquet(*paths)
@@ -66,7 +67,8 @@ def file_inventory(spark: SparkSession, path: str | list[str], timestamp_col: st
     d = date_col or timestamp_col
     if d:
         aggs.append(F.count_distinct(F.to_date(d)).alias("distinct_dates"))
-    return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(*aggs)
+    return df.groupBy(F.col("_metadata.file_path").alias("file_path"),
+                      F.col("_metadata.file_name").alias("file_name")).agg(*aggs)
 
 
 def arrival_coverage(df: DataFrame, date_col: str, months: int = 3) -> DataFrame:

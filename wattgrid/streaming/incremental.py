@@ -26,7 +26,7 @@ def _checkpoint(spark: SparkSession, name: str | None) -> str:
 def incremental_first_wins(spark: SparkSession, landing: str, source_schema: T.StructType,
                            transform, target: str, target_schema: T.StructType, keys: list[str],
                            order_cols: list[str], checkpoint_name: str | None = None,
-                           max_files_per_trigger: int | None = None):
+                           max_files_per_trigger: int | None = None, range_col: str | None = "timestamp"):
     """Load new landing files as they arrive; first write wins on key.
 
     Each micro-batch is transformed (e.g. ``load_wide_prices``), deduplicated
@@ -40,14 +40,22 @@ def incremental_first_wins(spark: SparkSession, landing: str, source_schema: T.S
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(landing)
     if "source" not in source_schema.names:
-        stream = stream.withColumn("source", F.col("_metadata.file_name"))
+        stream = stream.withColumn("source", F.col("_metadata.file_path"))
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        incoming = transform(batch)
         try:
             stored = spark.read.schema(target_schema).parquet(target)
         except Exception:  # noqa: BLE001 - first batch: no table yet
             stored = spark.createDataFrame([], target_schema)
-        new = insert_or_ignore(transform(batch), stored, keys, order_cols)
+        if range_col:
+            # One-row bounds of this batch; the stored side is read only for that
+            # range (pushed to the Parquet scan), not in full on every batch.
+            lo_hi = incoming.agg(F.min(range_col).alias("lo"), F.max(range_col).alias("hi")).first()
+            if lo_hi["lo"] is None:
+                return
+            stored = stored.filter(F.col(range_col).between(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"])))
+        new = insert_or_ignore(incoming, stored, keys, order_cols)
         conform(new, target_schema).write.mode("append").parquet(target)
 
     q = (stream.writeStream.foreachBatch(load)
