@@ -161,3 +161,16 @@ def test_resample_keeps_empty_periods(spark):
     assert d[1]["mean"] is None and d[2]["mean"] == 4.0 and d[2]["max"] == 5.0
     m = tx.resample(df, [], "timestamp", "value", "month").collect()
     assert m[0]["period_end"] == dt.date(2022, 1, 31)
+
+
+def test_handle_dst_transitions_per_series(spark):
+    from wattgrid.operators.quality import handle_dst_transitions
+    rows = [(ts("2022-10-30 00:00:00"), "ES", 1.0), (ts("2022-10-30 01:00:00"), "ES", 2.0),
+            (ts("2022-10-30 01:00:00"), "ES", 3.0), (ts("2022-10-30 04:00:00"), "ES", 4.0),
+            (ts("2022-10-30 01:00:00"), "PT", 9.0)]
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, country string, v double")
+    out = handle_dst_transitions(df, ["country"])
+    assert out["gaps"].count() == 1 and out["duplicates"].count() == 2
+    clean = out["clean"].orderBy("country", "timestamp").collect()
+    assert len(clean) == 4 and [r["v"] for r in clean if r["country"] == "ES"] == [1.0, 2.0, 4.0]
+    assert any(r["country"] == "PT" for r in clean)  # other series at the same hour survives (Q8)

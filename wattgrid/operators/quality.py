@@ -66,6 +66,24 @@ def wide_schema_check(df: DataFrame) -> dict[str, bool]:
             "has_24_hours": len(hour_columns(df, include_h25=True)) >= 24}
 
 
+def handle_dst_transitions(df: DataFrame, keys: list[str], timestamp_col: str = "timestamp",
+                           order_cols: list[str] | None = None, threshold_hours: float = 1.5) -> dict[str, DataFrame]:
+    """Check and clean hourly series around clock changes.
+
+    Returns three lazy DataFrames: ``gaps`` (steps over ``threshold_hours``),
+    ``duplicates`` (every row of a repeated (key, timestamp)) and ``clean``
+    (first row kept per (key, timestamp) by ``order_cols``). Keys are per series,
+    so a multi-country panel keeps one row per country and hour (Q8).
+    """
+    from . import dedupe as D
+    from . import series as S
+    k = [*keys, timestamp_col]
+    order = order_cols or [c for c in df.columns if c not in k]
+    return {"gaps": S.gaps(df, keys, timestamp_col, threshold_hours),
+            "duplicates": D.duplicated_rows(df, k),
+            "clean": D.keep_first(df, k, order)}
+
+
 def quality_report(panel: DataFrame, price_col: str = "price_eur_mwh", key_col: str = "country",
                    flag_col: str = "in_policy", timestamp_col: str = "timestamp") -> DataFrame:
     """Q-quality: one row: rows, range, series, missing prices and rate, phase counts."""
@@ -75,7 +93,9 @@ def quality_report(panel: DataFrame, price_col: str = "price_eur_mwh", key_col:
         F.max(timestamp_col).alias("end"), F.count_distinct(key_col).alias("n_series"),
         F.count_if(p.isNull()).alias("missing_prices"),
         F.count_if(F.col(flag_col)).alias("rows_during"),
-        F.count_if(~F.col(flag_col)).alias("rows_pre"))
+        F.count_if(~F.col(flag_col)).alias("rows_pre"),
+        F.bool_or(p.isNull()).alias("any_missing"),
+        F.max(F.when(F.col(flag_col), p)).alias("max_price_during"))
     return out.withColumn("missing_rate", safe_div(F.col("missing_prices").cast("double"),
                                                    F.col("rows").cast("double"))) \
               .withColumn("missing_warning", F.col("missing_rate") > 0.3)

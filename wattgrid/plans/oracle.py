@@ -292,8 +292,11 @@ FROM (SELECT CAST(range AS BIGINT) AS hour FROM range(0, 24)) h LEFT JOIN (
 
 SQL["quality"] = with_panel(f"""SELECT rows, start, "end", n_series, missing_prices, rows_during, rows_pre,
   {r('CAST(missing_prices AS DOUBLE) / NULLIF(rows, 0)', 'missing_rate')},
-  CAST(missing_prices AS DOUBLE) / NULLIF(rows, 0) > 0.3 AS missing_warning
+  CAST(missing_prices AS DOUBLE) / NULLIF(rows, 0) > 0.3 AS missing_warning, any_missing,
+  {r('max_price_during', 'max_price_during')}
 FROM (SELECT count(*) AS rows, min("timestamp") AS start, max("timestamp") AS "end",
+             bool_or(price_eur_mwh IS NULL) AS any_missing,
+             max(CASE WHEN in_policy THEN price_eur_mwh END) AS max_price_during,
              count(DISTINCT country) AS n_series, count(*) FILTER (WHERE price_eur_mwh IS NULL) AS missing_prices,
              count(*) FILTER (WHERE in_policy) AS rows_during, count(*) FILTER (WHERE NOT in_policy) AS rows_pre
       FROM panel) t""")

@@ -191,7 +191,7 @@ def q_hourly_pair(spark, sf):
 def q_quality(spark, sf):
     return Q.quality_report(_panel(spark, sf)).select(
         "rows", "start", "end", "n_series", "missing_prices", "rows_during", "rows_pre", "missing_rate",
-        "missing_warning")
+        "missing_warning", "any_missing", "max_price_during")
 
 
 @query("expectations")
