@@ -191,7 +191,7 @@ def step_check(df: DataFrame, keys: list[str], timestamp_col: str = "timestamp",
 
 def prefix_sum(df: DataFrame, group_cols: list[str], order_col: str, value_col: str,
                descending: bool = False, band_width: float = 1.0, out_col: str = "sum_before",
-               total_col: str | None = None) -> DataFrame:
+               total_col: str | None = None, bands_from: DataFrame | None = None) -> DataFrame:
     """Exact running sum without a window over a whole group.
 
     Adds ``out_col`` = sum of ``value_col`` over rows of the same group that
@@ -201,11 +201,21 @@ def prefix_sum(df: DataFrame, group_cols: list[str], order_col: str, value_col:
     order value are summed and prefix-summed over one row per band, then rows
     are prefix-summed inside their band. A group holding a third of all rows
     is therefore spread over its bands. ``total_col`` adds the group total.
+
+    ``bands_from`` may give the finer rows that ``df`` was aggregated from
+    (same group, order and value columns, same sums): band totals are then
+    combined map-side from those rows, and ``df`` itself, often an aggregate
+    with nearly unique rows, is evaluated and shuffled only once.
     """
     ks = list(group_cols) or ["_g"]
-    d = df if group_cols else df.withColumn("_g", F.lit(0))
-    d = d.withColumn("_band", F.floor(F.col(order_col) / F.lit(band_width)).cast("bigint"))
-    bands = d.groupBy(*ks, "_band").agg(F.sum(value_col).alias("_bsum"))
+
+    def banded(x: DataFrame) -> DataFrame:
+        x = x if group_cols else x.withColumn("_g", F.lit(0))
+        return x.withColumn("_band", F.floor(F.col(order_col) / F.lit(band_width)).cast("bigint"))
+
+    d = banded(df)
+    src = banded(bands_from) if bands_from is not None else d
+    bands = src.groupBy(*ks, "_band").agg(F.sum(value_col).alias("_bsum"))
     border = F.col("_band").desc_nulls_last() if descending else F.col("_band").asc_nulls_last()
     wk = Window.partitionBy(*ks)
     wb = wk.orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
@@ -239,7 +249,8 @@ def duration_steps(df: DataFrame, keys: list[str], value_col: str, drop_nulls: b
         d = d.filter(F.col("_v").isNotNull())
     freq = d.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("n_rows"))
     ranked = prefix_sum(freq, keys, "_v", "n_rows", descending=True, band_width=coarse_width,
-                        out_col="rank_first", total_col="n_total")
+                        out_col="rank_first", total_col="n_total",
+                        bands_from=d.withColumn("n_rows", F.lit(1).cast("bigint")))
     return ranked.select(
         *keys, F.col("_v").alias(value_col), "n_rows", "rank_first",
         (F.col("rank_first") + F.col("n_rows") - 1).alias("rank_last"), "n_total",

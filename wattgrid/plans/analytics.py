@@ -171,7 +171,8 @@ def supply_curve(bids: DataFrame, group_cols: list[str], price: str = "price_eur
     """
     lv = bids.groupBy(*group_cols, price).agg(F.sum(quantity).alias("quantity"),
                                               F.count(F.lit(1)).alias("n_bids"))
-    cum = S.prefix_sum(lv, group_cols, price, "quantity", band_width=price_band, out_col="_before")
+    cum = S.prefix_sum(lv, group_cols, price, "quantity", band_width=price_band, out_col="_before",
+                       bands_from=bids.select(*group_cols, price, F.col(quantity).alias("quantity")))
     return cum.withColumn("cum_quantity", F.col("_before") + F.col("quantity")).drop("_before")
 
 
