@@ -480,3 +480,7 @@ FROM (SELECT avg(CASE WHEN country = '{A}' THEN price_eur_mwh END) AS mean_a,
             FROM (SELECT hour, avg(price_eur_mwh) AS mean FROM panel WHERE country = '{A}' GROUP BY 1) p
             WHERE mean IS NOT NULL) t) pk,
      (SELECT avg(abs(diff)) AS m FROM changed WHERE country = '{A}') ch""", CTE["pair"], CTE["changed"])
+SQL["load_prices_market"] = SQL["load_prices"].replace(
+    'CAST("DATE" AS TIMESTAMP) + to_hours(',
+    'timezone(\'UTC\', timezone(\'Europe/Madrid\', CAST("DATE" AS TIMESTAMP))) + to_hours(')
+SQL["normalize_utc"] = """SELECT event_id, timezone('UTC', timezone('Europe/Madrid', ts)) AS ts FROM events"""

@@ -221,6 +221,19 @@ def q_load_prices(spark, sf):
     return load_wide_prices(SI.wide_prices(spark, sf))
 
 
+@query("load_prices_market")
+def q_load_prices_market(spark, sf):
+    """Q-load with T14: hour labels are market-local (Europe/Madrid) hours, converted to true UTC."""
+    return load_wide_prices(SI.wide_prices(spark, sf), mode="market")
+
+
+@query("normalize_utc")
+def q_normalize_utc(spark, sf):
+    """Event times read as Europe/Madrid wall time and normalised to UTC."""
+    e = SI.table(spark, sf, "events").select("event_id", "ts")
+    return tx.normalize_to_utc(e, "ts", source_tz="Europe/Madrid")
+
+
 @query("concept_alignment")
 def q_concept_alignment(spark, sf):
     """Q-aligned / U3: do H1..H24 agree between the two concepts on each date?"""
