@@ -484,3 +484,12 @@ SQL["load_prices_market"] = SQL["load_prices"].replace(
     'CAST("DATE" AS TIMESTAMP) + to_hours(',
     'timezone(\'UTC\', timezone(\'Europe/Madrid\', CAST("DATE" AS TIMESTAMP))) + to_hours(')
 SQL["normalize_utc"] = """SELECT event_id, timezone('UTC', timezone('Europe/Madrid', ts)) AS ts FROM events"""
+SQL["file_compare"] = with_hourly("""SELECT count(*) AS n, coalesce(bool_and(same), true) AS equal,
+  count(*) FILTER (WHERE NOT same) AS n_different, count(*) FILTER (WHERE isnan(x) AND isnan(y)) AS nan_pairs
+FROM (SELECT a.v AS x, b.v AS y,
+             a."DATE" IS NOT NULL AND b."DATE" IS NOT NULL AND a.v IS NOT DISTINCT FROM b.v AS same
+      FROM (SELECT "DATE", "CONCEPT", hcol, v FROM wide_pa UNPIVOT INCLUDE NULLS (v FOR hcol IN (""" + _hlist + """))) a
+      FULL OUTER JOIN (SELECT "DATE", "CONCEPT", hcol, v FROM wide_pb UNPIVOT INCLUDE NULLS (v FOR hcol IN (""" + _hlist + """))) b
+        ON a."DATE" = b."DATE" AND a."CONCEPT" = b."CONCEPT" AND a.hcol = b.hcol) t""", CTE["wide"],
+    """wide_pa AS (SELECT * FROM wide WHERE source = 'part_a'),
+wide_pb AS (SELECT * FROM wide WHERE source = 'part_b')""")

@@ -234,6 +234,15 @@ def q_normalize_utc(spark, sf):
     return tx.normalize_to_utc(e, "ts", source_tz="Europe/Madrid")
 
 
+@query("file_compare")
+def q_file_compare(spark, sf):
+    """Are the two landing files equal cell by cell (one-sided cells count as different)?"""
+    w = SI.wide_prices(spark, sf)
+    longs = {p: R.wide_to_long(w.filter(F.col("source") == p), ["DATE", "CONCEPT"], value_col="v", drop_missing=False)
+             for p in ("part_a", "part_b")}
+    return J.series_equal(longs["part_a"], longs["part_b"], ["DATE", "CONCEPT", "hour_index"], "v")
+
+
 @query("concept_alignment")
 def q_concept_alignment(spark, sf):
     """Q-aligned / U3: do H1..H24 agree between the two concepts on each date?"""
