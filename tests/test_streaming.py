@@ -50,3 +50,22 @@ def test_dedupe_within_watermark(spark, tmpdir_path):
     out = Z.run_to_table(spark, Z.dedupe_within_watermark(st, "ts", ["ts", "k"], "1 hour"))
     assert out.count() == 2
     assert keep_first(out, ["ts", "k"], ["v"]).count() == 2
+
+
+def test_incremental_resume_after_new_file(spark, tmpdir_path):
+    from wattgrid.plans.loading import load_wide_prices
+    d1, d2 = dt.date(2022, 6, 14), dt.date(2022, 6, 15)
+    ck = "z1-resume-" + tmpdir_path.rsplit("-", 1)[-1]
+    target = tmpdir_path + "/prices"
+    args = (tmpdir_path + "/landing/*/*.parquet", WIDE_PRICES, load_wide_prices, target, PRICES_DAY_AHEAD,
+            ["timestamp", "country"], ["source", "price_eur_mwh"])
+    spark.createDataFrame([_wide(d1, "PRICE_SP", 1.0)], WIDE_PRICES).write.parquet(tmpdir_path + "/landing/f1")
+    Z.incremental_first_wins(spark, *args, checkpoint_name=ck)
+    assert spark.read.parquet(target).count() == 24
+    # a later file repeats day 1 with other prices and adds day 2
+    spark.createDataFrame([_wide(d1, "PRICE_SP", 500.0), _wide(d2, "PRICE_SP", 2.0)], WIDE_PRICES) \
+        .write.parquet(tmpdir_path + "/landing/f2")
+    Z.incremental_first_wins(spark, *args, checkpoint_name=ck)
+    t = spark.read.parquet(target)
+    assert t.count() == 48
+    assert t.filter(F.col("price_eur_mwh") > 400).count() == 0  # stored rows win over later arrivals
