@@ -5,7 +5,7 @@ columns to 6 digits and casts integers to BIGINT, as ``registry.finish`` does.
 """
 from __future__ import annotations
 
-from .standins import (CITY_TO_SERIES, CONCEPTS, FILE_A_LAST_DAY, FILE_B_FIRST_DAY, FLOW_PAIRS, PAIR,
+from .standins import (CITY_TO_SERIES, CITY_WEIGHTS, CONCEPTS, FILE_A_LAST_DAY, FILE_B_FIRST_DAY, FLOW_PAIRS, PAIR,
                        POLICY, SERIES_TO_CONCEPT)
 
 A, B = PAIR
@@ -493,3 +493,9 @@ FROM (SELECT a.v AS x, b.v AS y,
         ON a."DATE" = b."DATE" AND a."CONCEPT" = b."CONCEPT" AND a.hcol = b.hcol) t""", CTE["wide"],
     """wide_pa AS (SELECT * FROM wide WHERE source = 'part_a'),
 wide_pb AS (SELECT * FROM wide WHERE source = 'part_b')""")
+_wdim = ", ".join(f"('{k}', '{v}', {CITY_WEIGHTS[k]})" for k, v in CITY_TO_SERIES.items())
+SQL["weather_weighted"] = with_panel(f"""SELECT c."timestamp", d.country,
+  {r('sum(c.temperature_c * d.weight) / NULLIF(sum(CASE WHEN c.temperature_c IS NOT NULL THEN d.weight END), 0)', 'temperature_c')},
+  {r('sum(c.wind_speed_100m * d.weight) / NULLIF(sum(CASE WHEN c.wind_speed_100m IS NOT NULL THEN d.weight END), 0)', 'wind_speed_100m')}
+FROM city c JOIN (SELECT * FROM (VALUES {_wdim}) t(location, country, weight)) d ON c.location = d.location
+GROUP BY 1, 2""")

@@ -388,6 +388,12 @@ def q_weather_season(spark, sf):
                                                           F.avg("wind_speed_100m").alias("wind_speed_100m"))
 
 
+@query("weather_weighted")
+def q_weather_weighted(spark, sf):
+    """A22 / J4 with weights: weighted mean of city weather per series and hour."""
+    return SI.country_weather_weighted(spark, sf)
+
+
 @query("first_rows")
 def q_first_rows(spark, sf):
     """O3: first five hours of one series (explicit order + limit)."""

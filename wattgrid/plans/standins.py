@@ -27,6 +27,7 @@ POLICY = ("2024-01-10", "2024-01-19")
 PAIR = ("purchase", "view")
 CITY_TO_SERIES = {"L0": "purchase", "L1": "purchase", "L2": "purchase", "L3": "purchase",
                   "L4": "view", "L5": "view", "L6": "view"}
+CITY_WEIGHTS = {"L0": 4.0, "L1": 3.0, "L2": 2.0, "L3": 1.0, "L4": 3.0, "L5": 2.0, "L6": 1.0}
 SERIES_TO_CONCEPT = {"purchase": "PRICE_SP", "view": "PRICE_PT"}
 CONCEPTS = ["PRICE_SP", "PRICE_PT"]
 FILE_A_LAST_DAY = 20
@@ -62,6 +63,14 @@ def country_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.weather_by_country(city_weather(spark, sf_dir), dim, ["temperature_c", "wind_speed_100m"])
 
 
+def country_weather_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q12 option: population-style weights per city instead of a plain mean."""
+    rows = [(k, v, CITY_WEIGHTS[k]) for k, v in CITY_TO_SERIES.items()]
+    dim = spark.createDataFrame(rows, "location string, country string, weight double")
+    return P.weather_by_country(city_weather(spark, sf_dir), dim, ["temperature_c", "wind_speed_100m"],
+                                weight_col="weight")
+
+
 def spine(hourly: DataFrame) -> DataFrame:
     """Gapless hour x series spine over the data's whole day range."""
     return tx.keyed_hour_spine(tx.shared_day_bounds(hourly, ["country"]), ["country"], "first_day", "last_day")

@@ -53,15 +53,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only a local-mode session (tests) gets a private folder when the setting is
     unset; on a cluster an unset value is an error, never a machine-local path.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - sessions without a SparkContext handle
+            d = None
     if d:
         return d
-    master = spark.sparkContext.master
+    master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
     d = tempfile.mkdtemp(prefix="wattgrid-ckpt-")
     spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001
+        pass
     return d
 
 
