@@ -94,6 +94,7 @@ def test_panel_sink_and_inventory(spark, tmpdir_path):
     assert p.count() == 24
     inv = files.file_inventory(spark, tmpdir_path + "/panel", "timestamp").collect()
     assert sum(r["rows"] for r in inv) == 48 and all(r["file_size"] > 0 for r in inv)
+    assert all(r["file_name"].endswith(".parquet") for r in inv)
     sinks.write_csv(df.limit(8), tmpdir_path + "/csv")
     assert len([f for f in os.listdir(tmpdir_path + "/csv") if f.endswith(".csv")]) == 1
 
@@ -125,3 +126,21 @@ def test_normalise_long(spark):
     r = out.collect()[0]
     assert out.columns == PRICES_DAY_AHEAD.names and r["price_eur_mwh"] is None and r["energy_mwh"] is None
     assert not math.isnan(0.0)
+
+
+def test_inventory_reports_empty_files(spark, tmpdir_path):
+    base = tmpdir_path + "/landing"
+    spark.createDataFrame([(dt.datetime(2022, 1, 1, 5),)], "timestamp timestamp_ntz").coalesce(1) \
+        .write.parquet(base + "/a")
+    spark.createDataFrame([], "timestamp timestamp_ntz").coalesce(1).write.parquet(base + "/b")
+    inv = files.file_inventory(spark, base, "timestamp").collect()
+    by_dir = {r["file_path"].split("/")[-2]: r for r in inv}
+    assert by_dir["a"]["rows"] == 1 and not by_dir["a"]["empty"]
+    assert by_dir["b"]["rows"] == 0 and by_dir["b"]["empty"]
+
+
+def test_q17_no_matching_concept_is_empty(spark):
+    from wattgrid.plans.loading import load_wide_prices
+    df = spark.createDataFrame([(dt.date(2022, 1, 1), "OTHER", *[1.0] * 25)], WIDE_PRICES).withColumn("source", F.lit("x"))
+    out = load_wide_prices(df)
+    assert out.count() == 0 and out.columns == ["timestamp", "country", "price_eur_mwh", "source"]

@@ -53,22 +53,32 @@ def normalise_long(df: DataFrame, schema: T.StructType, renames: dict[str, str]
     return nans_to_nulls(conform(df, schema))
 
 
-def file_inventory(spark: SparkSession, path: str | list[str], timestamp_col: str | None = None,
-                   date_col: str | None = None) -> DataFrame:
-    """One row per file: name, size, rows, time range, distinct dates.
-
-    A single scan grouped by ``_metadata.file_path``; no per-file loop.
+def file_inventory(spark: SparkSession, path: str, timestamp_col: str | None = None,
+                   date_col: str | None = None, glob: str = "*.parquet") -> DataFrame:
+    """S13 (+ Q18): one row per landed file: path, name, size, modification
+    time, rows, time range, distinct dates, and whether it gave no rows.
+
+    Files are listed by the ``binaryFile`` source (metadata only, the content
+    column is pruned) and left-joined with one Parquet scan grouped by
+    ``_metadata.file_path``, so an empty file still appears (``rows = 0``).
+    No per-file loop and nothing collected.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.parquet(*paths)
-    aggs = [F.count(F.lit(1)).alias("rows"), F.max(F.col("_metadata.file_size")).alias("file_size")]
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+               .option("recursiveFileLookup", "true").load(path)
+               .select(F.col("path").alias("file_path"), F.col("length").alias("file_size"),
+                       F.col("modificationTime").alias("modified")))
+    df = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    aggs = [F.count(F.lit(1)).alias("rows")]
     if timestamp_col:
         aggs += [F.min(timestamp_col).alias("first"), F.max(timestamp_col).alias("last")]
     d = date_col or timestamp_col
     if d:
         aggs.append(F.count_distinct(F.to_date(d)).alias("distinct_dates"))
-    return df.groupBy(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_name").alias("file_name")).agg(*aggs)
+    per_file = df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(*aggs)
+    out = listing.join(per_file, "file_path", "left")
+    return out.withColumns({"file_name": F.regexp_extract("file_path", r"([^/]+)$", 1),
+                            "rows": F.coalesce("rows", F.lit(0)),
+                            "empty": F.coalesce("rows", F.lit(0)) == 0})
 
 
 def arrival_coverage(df: DataFrame, date_col: str, months: int = 3) -> DataFrame:
