@@ -5,7 +5,7 @@ columns to 6 digits and casts integers to BIGINT, as ``registry.finish`` does.
 """
 from __future__ import annotations
 
-from .standins import (CITY_TO_SERIES, CITY_WEIGHTS, CONCEPTS, FILE_A_LAST_DAY, FILE_B_FIRST_DAY, FLOW_PAIRS, PAIR,
+from .standins import (TECHNOLOGIES, CITY_TO_SERIES, CITY_WEIGHTS, CONCEPTS, FILE_A_LAST_DAY, FILE_B_FIRST_DAY, FLOW_PAIRS, PAIR,
                        POLICY, SERIES_TO_CONCEPT)
 
 A, B = PAIR
@@ -499,3 +499,11 @@ SQL["weather_weighted"] = with_panel(f"""SELECT c."timestamp", d.country,
   {r('sum(c.wind_speed_100m * d.weight) / NULLIF(sum(CASE WHEN c.wind_speed_100m IS NOT NULL THEN d.weight END), 0)', 'wind_speed_100m')}
 FROM city c JOIN (SELECT * FROM (VALUES {_wdim}) t(location, country, weight)) d ON c.location = d.location
 GROUP BY 1, 2""")
+_gen_cols = ", ".join(f"sum(CASE WHEN l_returnflag = '{t}' THEN l_quantity END) AS gen_{t}_mw" for t in TECHNOLOGIES)
+SQL["generation_panel"] = f"""WITH g AS (SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS "timestamp", {_gen_cols}
+  FROM lineitem GROUP BY 1),
+b AS (SELECT min(CAST(date_trunc('month', l_shipdate) AS TIMESTAMP)) AS lo,
+             max(CAST(date_trunc('month', l_shipdate) AS TIMESTAMP)) AS hi FROM lineitem),
+m AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS "timestamp" FROM b)
+SELECT m."timestamp", {', '.join(r(f'gen_{t}_mw', f'gen_{t}_mw') for t in TECHNOLOGIES)}
+FROM m LEFT JOIN g ON g."timestamp" = m."timestamp" """

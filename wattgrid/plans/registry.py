@@ -337,6 +337,15 @@ def q_generation_shares(spark, sf):
     return X.shares(li, ["month"], "technology", "l_quantity")
 
 
+@query("generation_panel")
+def q_generation_panel(spark, sf):
+    """Q-gen: monthly generation by technology as columns (R3), left-joined onto a month spine."""
+    li = SI.table(spark, sf, "lineitem").select(tc.trunc_month("l_shipdate").alias(TS),
+                                                F.col("l_returnflag").alias("technology"), "l_quantity")
+    wide = R.long_to_wide(li, [TS], ["technology"], SI.TECHNOLOGIES, "l_quantity", "sum", name_fmt="gen_{0}_mw")
+    return _month_spine(li, TS).join(wide, TS, "left")
+
+
 @query("gaps")
 def q_gaps(spark, sf):
     return S.gaps(SI.hourly_prices(spark, sf), [KEY], TS)

@@ -34,6 +34,7 @@ FILE_A_LAST_DAY = 20
 FILE_B_FIRST_DAY = 15
 REGION_KEYS = [0, 1, 2, 3, 4]
 FLOW_PAIRS = [(a, b) for a in REGION_KEYS for b in REGION_KEYS]
+TECHNOLOGIES = ["A", "N", "R"]
 ORDER_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
