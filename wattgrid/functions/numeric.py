@@ -66,3 +66,17 @@ def ints_to_bigint(df: DataFrame) -> DataFrame:
     if not cols:
         return df
     return df.withColumns({c: F.col(c).cast("bigint") for c in cols})
+
+
+def combine_single_rows(parts: list[DataFrame]) -> DataFrame:
+    """Put several one-row results side by side without a join.
+
+    Each part keeps its own columns (NULL elsewhere) in a by-name union, then
+    one aggregate takes the non-null value of every column. Column names must
+    be distinct across parts.
+    """
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p, allowMissingColumns=True)
+    cols = [c for p in parts for c in p.columns]
+    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])

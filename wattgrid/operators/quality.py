@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import safe_div
+from ..functions.numeric import combine_single_rows, safe_div
 from . import joins as J
 
 
@@ -140,9 +140,5 @@ def merge_diagnosis(left: DataFrame, right: DataFrame, keys: list[str],
     lt = left.select(timestamp_col).distinct().agg(F.count(F.lit(1)).alias("left_timestamps"))
     rt = right.select(timestamp_col).distinct().agg(F.count(F.lit(1)).alias("right_timestamps"))
     ov = J.key_overlap(left, right, timestamp_col)
-    # Single-row aggregates side by side: join on a constant key.
-    parts = [p.withColumn("_one", F.lit(1)) for p in (tot, unmatched, lt, rt, ov)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, "_one")
-    return out.drop("_one").withColumn("matched", F.col("left_rows") - F.col("unmatched"))
+    out = combine_single_rows([tot, unmatched, lt, rt, ov])
+    return out.withColumn("matched", F.col("left_rows") - F.col("unmatched"))

@@ -115,13 +115,16 @@ def histogram(df: DataFrame, group_cols: list, value_col: str, bins: int = 50,
     kept (count 0). Pass 1 is a tiny per-group min/max table that the counting
     pass joins back (broadcast by AQE when small, shuffled otherwise).
     """
-    d, keys = _with_group(df.filter(F.col(value_col).isNotNull()), group_cols)
+    not_null = F.col(value_col).isNotNull()
+    for k in group_cols:  # a NULL group key could never join back; drop it once, up front
+        not_null = not_null & F.col(k).isNotNull()
+    d, keys = _with_group(df.filter(not_null), group_cols)
     v = F.col(value_col)
     rng = d.groupBy(*keys).agg(F.min(v).alias("_mn"), F.max(v).alias("_mx"), F.count(v).alias("_n"))
     rng = rng.select(*keys, "_n",
                      F.when(F.col("_mx") > F.col("_mn"), F.col("_mn")).otherwise(F.col("_mn") - 0.5).alias("_lo"),
                      F.when(F.col("_mx") > F.col("_mn"), F.col("_mx")).otherwise(F.col("_mx") + 0.5).alias("_hi"))
-    keyed = d.select(*keys, v.alias("_v")).join(rng.select(*keys, "_lo", "_hi"), keys)
+    keyed = d.select(*keys, v.alias("_v")).join(rng, keys)
     idx = F.least(F.floor((F.col("_v") - F.col("_lo")) * F.lit(bins) / (F.col("_hi") - F.col("_lo"))),
                   F.lit(bins - 1)).cast("bigint")
     counts = keyed.groupBy(*keys, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
@@ -154,13 +157,16 @@ def box_stats(df: DataFrame, group_cols: list, value_col: str, whis: float = 1.5
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lo_fence", F.col("q1") - whis * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + whis * F.col("iqr"))
-    joined = d.select(*keys, F.col(value_col).alias("_v")).join(q.select(*keys, "lo_fence", "hi_fence"), keys)
+    # The quartile row rides through the join, so the small quartile table is
+    # joined once (no second join that would recompute it).
+    qcols = ["q1", "median", "q3", "iqr", "lo_fence", "hi_fence"]
+    joined = d.select(*keys, F.col(value_col).alias("_v")).join(q, keys)
     inside = (F.col("_v") >= F.col("lo_fence")) & (F.col("_v") <= F.col("hi_fence"))
-    agg = joined.groupBy(*keys).agg(
+    out = joined.groupBy(*keys).agg(
+        *[F.first(c).alias(c) for c in qcols],
         F.min(F.when(inside, F.col("_v"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_hi"),
         F.count_if(~inside).alias("n_outliers"), F.count(F.lit(1)).alias("n"))
-    out = q.join(agg, keys)
     return out.drop("_g") if not group_cols else out
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import timecols as tc
-from ..functions.numeric import safe_div
+from ..functions.numeric import combine_single_rows, safe_div
 from ..operators import joins as J
 from ..operators import series as S
 from ..operators import stats as A
@@ -184,14 +184,6 @@ def shares(df: DataFrame, group_cols: list[str], part_col: str, value_col: str)
         "share", safe_div(F.col("total"), F.col("group_total"))).drop("group_total")
 
 
-def _one_row_join(parts: list[DataFrame]) -> DataFrame:
-    """Side-by-side join of single-row results on a constant key (no cross join)."""
-    out = parts[0].withColumn("_one", F.lit(1))
-    for p in parts[1:]:
-        out = out.join(p.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
-
-
 def findings(panel: DataFrame, a: str, b: str, key: str = KEY, value: str = PRICE, ts: str = TS,
              hour: str = "hour", weekend: str = "is_weekend",
              bucket_hours: int = S.DEFAULT_BUCKET_HOURS) -> DataFrame:
@@ -216,4 +208,4 @@ def findings(panel: DataFrame, a: str, b: str, key: str = KEY, value: str = PRIC
     peak = peak_trough(hourly_profile(sa, key, value, hour), key, hour).select("peak_hour", "trough_hour", "spread")
     ch = S.changes(sa.select(key, ts, value), [key], ts, value, True, bucket_hours) \
         .agg(F.avg(F.abs(F.col("diff"))).alias("mean_abs_change_a"))
-    return _one_row_join([levels, coup, peak, ch])
+    return combine_single_rows([levels, coup, peak, ch])

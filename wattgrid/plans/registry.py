@@ -296,8 +296,7 @@ def q_arrival_coverage(spark, sf):
 @query("hourly_range_avg")
 def q_hourly_range_avg(spark, sf):
     """A4 + P2: mean and count per series over a half-open time range."""
-    h = SI.hourly_prices(spark, sf)
-    h = h.filter(tc.time_range(TS, f"{SI.POLICY[0]} 00:00:00", _next_day(SI.POLICY[1])))
+    h = SI.hourly_prices(spark, sf, where=tc.time_range("ts", f"{SI.POLICY[0]} 00:00:00", _next_day(SI.POLICY[1])))
     return h.groupBy(KEY).agg(F.avg(PRICE).alias("mean"), F.count(F.lit(1)).alias("n"))
 
 
@@ -419,8 +418,8 @@ def q_top_prices(spark, sf):
 @query("day_lookup")
 def q_day_lookup(spark, sf):
     """P3 rewritten as a range (P2) + P12 key filter."""
-    h = SI.hourly_prices(spark, sf)
-    return h.filter(tc.day_range(TS, SI.POLICY[0]) & (F.col(KEY) == PA)).select(TS, KEY, PRICE)
+    h = SI.hourly_prices(spark, sf, where=tc.day_range("ts", SI.POLICY[0]) & (F.col("event_type") == PA))
+    return h.select(TS, KEY, PRICE)
 
 
 @query("findings")

@@ -42,9 +42,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def hourly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(timestamp, country, price_eur_mwh, energy_mwh): unique per key by construction."""
+def hourly_prices(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+    """(timestamp, country, price_eur_mwh, energy_mwh): unique per key by construction.
+
+    ``where`` filters the raw events (so it reaches the Parquet scan); a time
+    range on hour boundaries selects exactly the same hours as filtering the
+    hourly result.
+    """
     e = table(spark, sf_dir, "events").filter(F.col("ts").isNotNull() & F.col("event_type").isNotNull())
+    if where is not None:
+        e = e.filter(where)
     v = nan_to_null("value")
     return e.groupBy(tc.trunc_hour("ts").alias("timestamp"), F.col("event_type").alias("country")) \
         .agg(F.avg(v).alias("price_eur_mwh"), F.sum(v).alias("energy_mwh"))
