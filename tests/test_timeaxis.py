@@ -174,3 +174,15 @@ def test_handle_dst_transitions_per_series(spark):
     clean = out["clean"].orderBy("country", "timestamp").collect()
     assert len(clean) == 4 and [r["v"] for r in clean if r["country"] == "ES"] == [1.0, 2.0, 4.0]
     assert any(r["country"] == "PT" for r in clean)  # other series at the same hour survives (Q8)
+
+
+def test_fill_period_gaps(spark):
+    rows = [(ts("2022-01-01 00:00:00"), "a", 1.0), (ts("2022-04-01 00:00:00"), "a", 4.0),
+            (ts("2022-02-01 00:00:00"), "b", 2.0)]
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, k string, v double")
+    out = tx.fill_period_gaps(df, "timestamp", ["k"], "month").orderBy("k", "timestamp").collect()
+    assert [(r["k"], r["timestamp"].month, r["v"]) for r in out] == \
+        [("a", 1, 1.0), ("a", 2, None), ("a", 3, None), ("a", 4, 4.0), ("b", 2, 2.0)]
+    days = spark.createDataFrame([(ts("2022-01-01 00:00:00"), 1.0), (ts("2022-01-04 00:00:00"), 2.0)],
+                                 "timestamp timestamp_ntz, v double")
+    assert tx.fill_period_gaps(days, "timestamp", unit="day").count() == 4

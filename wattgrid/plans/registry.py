@@ -256,18 +256,11 @@ def q_concept_alignment(spark, sf):
                                     F.count_if(~same).alias("n_different"))
 
 
-def _month_spine(df: DataFrame, ts: str) -> DataFrame:
-    b = df.agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    m = b.select(F.explode(F.sequence(F.to_date("_lo"), F.to_date("_hi"), F.expr("INTERVAL 1 MONTH"))).alias("_m"))
-    return m.select(F.col("_m").cast("timestamp_ntz").alias(ts))
-
-
 @query("flows_panel")
 def q_flows_panel(spark, sf):
-    """R3 + J3: monthly spine left-joined with the wide flow table on timestamp."""
-    fl = SI.flows_long(spark, sf)
-    wide = SI.flows_wide(fl)
-    return _month_spine(fl, TS).join(wide, TS, "left")
+    """R3 + J3: wide flow table on a gapless monthly axis (missing months as NULL rows)."""
+    wide = SI.flows_wide(SI.flows_long(spark, sf))
+    return tx.fill_period_gaps(wide, TS, unit="month")
 
 
 @query("flow_phases")
@@ -338,11 +331,11 @@ def q_generation_shares(spark, sf):
 
 @query("generation_panel")
 def q_generation_panel(spark, sf):
-    """Q-gen: monthly generation by technology as columns (R3), left-joined onto a month spine."""
+    """Q-gen: monthly generation by technology as columns (R3) on a gapless month axis."""
     li = SI.table(spark, sf, "lineitem").select(tc.trunc_month("l_shipdate").alias(TS),
                                                 F.col("l_returnflag").alias("technology"), "l_quantity")
     wide = R.long_to_wide(li, [TS], ["technology"], SI.TECHNOLOGIES, "l_quantity", "sum", name_fmt="gen_{0}_mw")
-    return _month_spine(li, TS).join(wide, TS, "left")
+    return tx.fill_period_gaps(wide, TS, unit="month")
 
 
 @query("gaps")
