@@ -120,18 +120,16 @@ def hour_labels_to_timestamp(df: DataFrame, date_col: str, hour_index_col: str,
     return df.withColumn(timestamp_col, tc.add_hours(midnight, F.col(hour_index_col)))
 
 
-def _period_spine(bounds: DataFrame, key_cols: list[str], unit: str) -> DataFrame:
-    step = F.expr("INTERVAL 1 DAY") if unit == "day" else F.expr("INTERVAL 1 MONTH")
-    return bounds.select(*key_cols, F.explode(F.sequence(F.col("_lo"), F.col("_hi"), step)).alias("_p"))
-
-
 def resample(df: DataFrame, key_cols: list[str], timestamp_col: str, value_col: str,
-             unit: str = "month", aggs: tuple[str, ...] = ("mean",)) -> DataFrame:
+             unit: str = "month", aggs: tuple[str, ...] = ("mean",), extra: dict | None = None) -> DataFrame:
     """Calendar resample with empty periods kept (NULL aggregates).
 
     Output: keys, ``period_start`` (NTZ), ``period_end`` (DATE, last day of the
     period: the label pandas uses for month-end resampling), ``n`` and the
-    requested aggregates among mean, min, max, sum.
+    requested aggregates among mean, min, max, sum, plus any ``extra``
+    aggregate expressions (name -> Column) computed in the same grouped pass.
+    Empty periods between a key's first and last period are inserted by
+    ``fill_period_gaps`` (one pass over the grouped table, no spine join).
     """
     if unit not in ("day", "month"):
         raise ValueError("unit must be 'day' or 'month'")
@@ -139,16 +137,15 @@ def resample(df: DataFrame, key_cols: list[str], timestamp_col: str, value_col:
     if unit == "month":
         p = F.trunc(p, "month")
     fns = {"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum}
-    grouped = (df.select(*key_cols, p.alias("_p"), F.col(value_col).alias("_v"))
-               .groupBy(*key_cols, "_p")
-               .agg(F.count("_v").alias("n"), *[fns[a]("_v").alias(a) for a in aggs]))
-    bounds = grouped.groupBy(*key_cols).agg(F.min("_p").alias("_lo"), F.max("_p").alias("_hi"))
-    spine = _period_spine(bounds, key_cols, unit)
-    out = spine.join(grouped, [*key_cols, "_p"], "left")
-    end = F.col("_p") if unit == "day" else F.last_day("_p")
-    return out.select(*key_cols, F.col("_p").cast("timestamp_ntz").alias("period_start"),
-                      end.alias("period_end"), F.coalesce("n", F.lit(0)).alias("n"),
-                      *[F.col(a) for a in aggs])
+    v = F.col(value_col)
+    exprs = [F.count(v).alias("n"), *[fns[a](v).alias(a) for a in aggs],
+             *[e.alias(name) for name, e in (extra or {}).items()]]
+    grouped = df.groupBy(*key_cols, p.cast("timestamp_ntz").alias("period_start")).agg(*exprs)
+    grouped = grouped.filter(F.col("period_start").isNotNull())
+    filled = fill_period_gaps(grouped, "period_start", key_cols, unit)
+    end = F.to_date("period_start") if unit == "day" else F.last_day("period_start")
+    return filled.select(*key_cols, "period_start", end.alias("period_end"),
+                         F.coalesce("n", F.lit(0)).alias("n"), *list(aggs), *list(extra or {}))
 
 
 def fill_period_gaps(df: DataFrame, timestamp_col: str, key_cols: list[str] | None = None,

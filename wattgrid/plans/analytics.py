@@ -142,10 +142,8 @@ def monthly_profile(panel: DataFrame, key: str = KEY, value: str = PRICE, ts: st
                     flag: str = FLAG) -> DataFrame:
     """Q-monthly / T11: month mean labelled by start and end, with the share of
     policy hours (Q11: a month-end label alone hides a partial month)."""
-    m = tx.resample(panel, [key], ts, value, "month", ("mean",))
-    share = panel.groupBy(key, tc.trunc_month(ts).alias("period_start")).agg(
-        F.avg(F.col(flag).cast("double")).alias("policy_share"), F.count(F.lit(1)).alias("rows"))
-    return m.join(share, [key, "period_start"], "left")
+    return tx.resample(panel, [key], ts, value, "month", ("mean",),
+                       extra={"policy_share": F.avg(F.col(flag).cast("double")), "rows": F.count(F.lit(1))})
 
 
 def diff_in_diff(panel: DataFrame, treated: str, control: str, start: str, key: str = KEY,
