@@ -96,3 +96,38 @@ def test_group_stats_and_correlation(spark):
     assert g["a"]["median"] == 2.0 and g["b"]["std"] is None
     nc = A.null_counts(df, ["y"], ["k"]).filter("k = 'a'").collect()[0]
     assert nc["y_nulls"] == 1
+
+
+def test_quantiles_approx_close_to_exact(spark):
+    df = spark.range(0, 10001).select(F.col("id").cast("double").alias("v"), F.lit("k").alias("g"))
+    ex = A.quantiles(df, ["g"], "v", [0.1, 0.5, 0.9]).collect()[0]
+    ap = A.quantiles(df, ["g"], "v", [0.1, 0.5, 0.9], approx=True).collect()[0]
+    assert ex["q50"] == 5000.0 and ex["q10"] == 1000.0
+    for c in ("q10", "q50", "q90"):
+        assert abs(ap[c] - ex[c]) <= 10001 / 10000 + 1
+
+
+def test_pct_change_without_fill(spark):
+    vals = [1.0, None, 2.0, 4.0]
+    rows = [(T0 + dt.timedelta(hours=i), "k", v) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, key string, v double")
+    out = S.changes(df, ["key"], "timestamp", "v", fill=False, bucket_hours=2).orderBy("timestamp").collect()
+    assert [r["pct_change"] for r in out] == [None, None, None, 100.0]
+
+
+def test_delete_where_keeps_null_predicate_rows(spark, tmpdir_path):
+    from wattgrid.sources import sinks
+    df = spark.createDataFrame([("ES", 1.0), (None, 2.0), ("PT", 3.0)], "country string, v double")
+    df.write.parquet(tmpdir_path + "/t")
+    kept = sinks.delete_where(spark, tmpdir_path + "/t", F.col("country") == "ES", tmpdir_path + "/t2")
+    assert sorted(r["v"] for r in kept.collect()) == [2.0, 3.0]
+
+
+def test_loader_keep_last(spark):
+    from wattgrid.plans.loading import load_wide_prices
+    from wattgrid.schemas import WIDE_PRICES
+    d = dt.date(2022, 6, 15)
+    a = spark.createDataFrame([(d, "PRICE_SP", *[1.0] * 24, None)], WIDE_PRICES).withColumn("source", F.lit("a"))
+    b = spark.createDataFrame([(d, "PRICE_SP", *[9.0] * 24, None)], WIDE_PRICES).withColumn("source", F.lit("b"))
+    last = load_wide_prices(a.unionByName(b), keep="last").collect()
+    assert len(last) == 24 and {r["price_eur_mwh"] for r in last} == {9.0}
