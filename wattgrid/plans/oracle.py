@@ -507,3 +507,9 @@ b AS (SELECT min(CAST(date_trunc('month', l_shipdate) AS TIMESTAMP)) AS lo,
 m AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS "timestamp" FROM b)
 SELECT m."timestamp", {', '.join(r(f'gen_{t}_mw', f'gen_{t}_mw') for t in TECHNOLOGIES)}
 FROM m LEFT JOIN g ON g."timestamp" = m."timestamp" """
+SQL["pair_equal"] = with_panel(f"""SELECT count(*) AS n, coalesce(bool_and(same), true) AS equal,
+  count(*) FILTER (WHERE NOT same) AS n_different, count(*) FILTER (WHERE isnan(x) AND isnan(y)) AS nan_pairs
+FROM (SELECT a.price_eur_mwh AS x, b.price_eur_mwh AS y,
+             a.country IS NOT NULL AND b.country IS NOT NULL AND a.price_eur_mwh IS NOT DISTINCT FROM b.price_eur_mwh AS same
+      FROM (SELECT * FROM panel WHERE country = '{A}') a
+      FULL OUTER JOIN (SELECT * FROM panel WHERE country = '{B}') b ON a."timestamp" = b."timestamp") t""")

@@ -243,6 +243,13 @@ def q_file_compare(spark, sf):
     return J.series_equal(longs["part_a"], longs["part_b"], ["DATE", "CONCEPT", "hour_index"], "v")
 
 
+@query("pair_equal")
+def q_pair_equal(spark, sf):
+    """U3 on the panel: are the two series' prices identical hour by hour?"""
+    p = _panel(spark, sf).select(KEY, TS, PRICE)
+    return J.series_equal(p.filter(F.col(KEY) == PA), p.filter(F.col(KEY) == PB), [TS], PRICE)
+
+
 @query("concept_alignment")
 def q_concept_alignment(spark, sf):
     """Q-aligned / U3: do H1..H24 agree between the two concepts on each date?"""
