@@ -513,3 +513,6 @@ FROM (SELECT a.price_eur_mwh AS x, b.price_eur_mwh AS y,
              a.country IS NOT NULL AND b.country IS NOT NULL AND a.price_eur_mwh IS NOT DISTINCT FROM b.price_eur_mwh AS same
       FROM (SELECT * FROM panel WHERE country = '{A}') a
       FULL OUTER JOIN (SELECT * FROM panel WHERE country = '{B}') b ON a."timestamp" = b."timestamp") t""")
+SQL["key_stats"] = with_panel(f"""SELECT country, {stats_cols('price_eur_mwh')} FROM panel GROUP BY country""")
+_dp = _resample_sql("panel", ["country"], '"timestamp"', "price_eur_mwh", "day", ["min", "max", "mean"])
+SQL["daily_panel"] = with_panel("SELECT " + _dp.split("\nSELECT ", 1)[1], _dp.split("\nSELECT ", 1)[0])

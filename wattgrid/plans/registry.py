@@ -154,6 +154,18 @@ def q_monthly_panel(spark, sf):
     return X.monthly_profile(_panel(spark, sf))
 
 
+@query("key_stats")
+def q_key_stats(spark, sf):
+    """A11 / Q-overview: mean, median, sample std, min, max per series."""
+    return A.group_stats(_panel(spark, sf), [KEY], PRICE)
+
+
+@query("daily_panel")
+def q_daily_panel(spark, sf):
+    """Q-daily: daily min, max and mean per series, empty days kept."""
+    return tx.resample(_panel(spark, sf), [KEY], TS, PRICE, "day", ("min", "max", "mean"))
+
+
 @query("daily_orders")
 def q_daily_orders(spark, sf):
     o = SI.table(spark, sf, "orders")
