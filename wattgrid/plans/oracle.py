@@ -516,3 +516,7 @@ FROM (SELECT a.price_eur_mwh AS x, b.price_eur_mwh AS y,
 SQL["key_stats"] = with_panel(f"""SELECT country, {stats_cols('price_eur_mwh')} FROM panel GROUP BY country""")
 _dp = _resample_sql("panel", ["country"], '"timestamp"', "price_eur_mwh", "day", ["min", "max", "mean"])
 SQL["daily_panel"] = with_panel("SELECT " + _dp.split("\nSELECT ", 1)[1], _dp.split("\nSELECT ", 1)[0])
+SQL["country_summary"] = with_hourly("""SELECT country, count(*) AS row_count, min("timestamp") AS start,
+  max("timestamp") AS "end" FROM hourly GROUP BY country""")
+SQL["day_head"] = with_hourly(f"""SELECT "timestamp", country, {r('price_eur_mwh', 'price_eur_mwh')} FROM hourly
+WHERE date_trunc('day', "timestamp") = TIMESTAMP '{POLICY[0]} 00:00:00' ORDER BY country, "timestamp" LIMIT 10""")

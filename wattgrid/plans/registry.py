@@ -427,6 +427,21 @@ def q_top_prices(spark, sf):
     return h.orderBy(F.col(PRICE).desc(), TS, KEY).limit(10).select(TS, KEY, PRICE)
 
 
+@query("country_summary")
+def q_country_summary(spark, sf):
+    """A5: rows, first and last timestamp per series of the stored hourly table."""
+    return SI.hourly_prices(spark, sf).groupBy(KEY).agg(
+        F.count(F.lit(1)).alias("row_count"), F.min(TS).alias("start"), F.max(TS).alias("end"))
+
+
+@query("day_head")
+def q_day_head(spark, sf):
+    """P3 + O3: first ten rows of one day ordered by (country, timestamp); the day
+    filter is the pushable range form of ``date_trunc('day', ts) = d``."""
+    h = SI.hourly_prices(spark, sf, where=tc.day_range("ts", SI.POLICY[0]))
+    return h.orderBy(KEY, TS).limit(10).select(TS, KEY, PRICE)
+
+
 @query("day_lookup")
 def q_day_lookup(spark, sf):
     """P3 rewritten as a range (P2) + P12 key filter."""
