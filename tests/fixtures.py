@@ -1,8 +1,6 @@
 """Small inputs from FIXTURES.md (F1-F11), built as DataFrames."""
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 
 def ts(s):
     return dt.datetime.fromisoformat(s)
@@ -38,4 +36,4 @@ def col_values(df, c, order):
     return [r[c] for r in df.orderBy(*order).select(c, *order).collect()]
 
 
-__all__ = ["ts", "hourly", "f9_prices", "f10_weather", "collect_sorted", "col_values", "F"]
+__all__ = ["ts", "hourly", "f9_prices", "f10_weather", "collect_sorted", "col_values"]

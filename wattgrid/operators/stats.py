@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.numeric import safe_div
 
@@ -184,6 +183,3 @@ def circular_mean_deg(col) -> Column:
     """Mean direction in degrees [0, 360) for wind directions (Q12)."""
     r = F.radians(_c(col))
     return F.pmod(F.degrees(F.atan2(F.avg(F.sin(r)), F.avg(F.cos(r)))), F.lit(360.0))
-
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("Window",)]
