@@ -520,3 +520,5 @@ SQL["country_summary"] = with_hourly("""SELECT country, count(*) AS row_count, m
   max("timestamp") AS "end" FROM hourly GROUP BY country""")
 SQL["day_head"] = with_hourly(f"""SELECT "timestamp", country, {r('price_eur_mwh', 'price_eur_mwh')} FROM hourly
 WHERE date_trunc('day', "timestamp") = TIMESTAMP '{POLICY[0]} 00:00:00' ORDER BY country, "timestamp" LIMIT 10""")
+SQL["stream_dedupe"] = """SELECT DISTINCT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS "timestamp", event_type AS country
+FROM events WHERE ts IS NOT NULL"""

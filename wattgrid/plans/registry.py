@@ -464,6 +464,18 @@ def q_stream_hourly(spark, sf):
     return Z.run_to_table(spark, Z.hourly_window_aggregate(st, "ts", "event_type", "value", "2 hours"))
 
 
+@query("stream_dedupe")
+def q_stream_dedupe(spark, sf):
+    """Z1 (bounded lateness): repeated (hour, series) keys dropped within a 2 h watermark."""
+    from ..streaming import incremental as Z
+    path = f"{sf}/event[s].parquet"
+    schema = spark.read.parquet(path).schema
+    st = spark.readStream.schema(schema).parquet(path) \
+        .select("ts", tc.trunc_hour("ts").alias(TS), F.col("event_type").alias(KEY))
+    out = Z.run_to_table(spark, Z.dedupe_within_watermark(st, "ts", [TS, KEY], "2 hours"))
+    return out.select(TS, KEY)
+
+
 @query("stream_load_prices")
 def q_stream_load_prices(spark, sf):
     """The two wide 'files' land one per micro-batch; first write wins on key."""
