@@ -57,100 +57,119 @@ def q_panel(spark, sf):
 
 @query("policy_impact")
 def q_policy_impact(spark, sf):
+    """Q-impact: pre vs during statistics per series and the policy effect."""
     return X.policy_impact(_panel(spark, sf))
 
 
 @query("stats5")
 def q_stats5(spark, sf):
+    """Q-stats5: mean, median, std, P10, P90 per series and flag phase."""
     p = tx.add_phase(_panel(spark, sf), mode="flag")
     return X.phase_stats(p)
 
 
 @query("phase_stats3")
 def q_phase_stats3(spark, sf):
+    """Q-stats5 by three phases before / during / after."""
     p = tx.add_phase(_panel(spark, sf), mode="three", policy=SI.POLICY)
     return X.phase_stats(p)
 
 
 @query("coupling")
 def q_coupling(spark, sf):
+    """Q-coupling + Q-couple-label: correlation, differences, identical hours, label."""
     return X.coupling(_panel(spark, sf), PA, PB)
 
 
 @query("divergence")
 def q_divergence(spark, sf):
+    """Q-split: hours where the two series diverge, by month and hour."""
     return X.divergence(_panel(spark, sf), PA, PB)
 
 
 @query("duration_steps")
 def q_duration_steps(spark, sf):
+    """Duration curve as an exact step table per series."""
     return S.duration_steps(_panel(spark, sf), [KEY], PRICE)
 
 
 @query("duration_markers")
 def q_duration_markers(spark, sf):
+    """P10..P90 markers of the duration curve per series."""
     return S.duration_markers(S.duration_steps(_panel(spark, sf), [KEY], PRICE), [KEY], PRICE)
 
 
 @query("duration_curve")
 def q_duration_curve(spark, sf):
+    """The per-row duration curve (rank, position, price), expanded in chunks."""
     return S.duration_rows(S.duration_steps(_panel(spark, sf), [KEY], PRICE), [KEY], PRICE)
 
 
 @query("hourly_profile")
 def q_hourly_profile(spark, sf):
+    """Q-hourly / A8 / W9: hourly mean, std and band per series."""
     return X.hourly_profile(_panel(spark, sf))
 
 
 @query("daytype_hourly")
 def q_daytype_hourly(spark, sf):
+    """Hourly profile by weekday / weekend."""
     return X.hourly_profile(_panel(spark, sf), extra_keys=["is_weekend"])
 
 
 @query("phase_hourly")
 def q_phase_hourly(spark, sf):
+    """Q-phase-hourly: hourly profile before / during / after."""
     p = tx.add_phase(_panel(spark, sf), mode="three", policy=SI.POLICY)
     return X.hourly_profile(p, extra_keys=["phase"])
 
 
 @query("peak_trough")
 def q_peak_trough(spark, sf):
+    """Q-hourly / A15 / O4: peak and trough hour, first on ties."""
     return X.peak_trough(X.hourly_profile(_panel(spark, sf)))
 
 
 @query("daytype_stats")
 def q_daytype_stats(spark, sf):
+    """Q-daytype: mean, std, min, max by day type (P10)."""
     return X.daytype_stats(_panel(spark, sf))
 
 
 @query("daytype_diff")
 def q_daytype_diff(spark, sf):
+    """Q-daytype: weekday minus weekend mean and its percentage."""
     return X.daytype_difference(_panel(spark, sf))
 
 
 @query("box_stats")
 def q_box_stats(spark, sf):
+    """Box-plot statistics by series and day type."""
     p = _panel(spark, sf).withColumn("day_type", tc.day_type("is_weekend"))
     return A.box_stats(p, [KEY, "day_type"], PRICE)
 
 
 @query("rolling")
 def q_rolling(spark, sf):
+    """Centred 24-hour rolling mean and std (halo buckets)."""
     return S.rolling_stats(_panel(spark, sf).select(KEY, TS, PRICE), [KEY], TS, PRICE, 24, True)
 
 
 @query("changes")
 def q_changes(spark, sf):
+    """First difference and forward-filled percent change."""
     return S.changes(_panel(spark, sf).select(KEY, TS, PRICE), [KEY], TS, PRICE, fill=True)
 
 
 @query("volatility")
 def q_volatility(spark, sf):
+    """Q-vol: rolling-std summary, mean absolute change, largest rise / fall, CV."""
     return X.volatility(_panel(spark, sf))
 
 
 @query("monthly_panel")
 def q_monthly_panel(spark, sf):
+    """Q-monthly / T11: month mean with start / end labels and policy share."""
     return X.monthly_profile(_panel(spark, sf))
 
 
@@ -168,39 +187,46 @@ def q_daily_panel(spark, sf):
 
 @query("daily_orders")
 def q_daily_orders(spark, sf):
+    """Daily mean, min, max of order prices, empty days kept."""
     o = SI.table(spark, sf, "orders")
     return tx.resample(o, [], "o_orderdate", "o_totalprice", "day", ("mean", "min", "max"))
 
 
 @query("monthly_orders")
 def q_monthly_orders(spark, sf):
+    """Monthly mean per order priority, empty months kept."""
     o = SI.table(spark, sf, "orders")
     return tx.resample(o, ["o_orderpriority"], "o_orderdate", "o_totalprice", "month", ("mean",))
 
 
 @query("histogram_phase")
 def q_histogram_phase(spark, sf):
+    """Q-hist / A20: 50-bin density histogram per series and phase."""
     p = tx.add_phase(_panel(spark, sf), mode="flag")
     return A.histogram(p, [KEY, "phase"], PRICE, bins=50, density=True)
 
 
 @query("histogram_country")
 def q_histogram_country(spark, sf):
+    """Q-hist / A20: 30-bin count histogram per series."""
     return A.histogram(_panel(spark, sf), [KEY], PRICE, bins=30)
 
 
 @query("describe_pair")
 def q_describe_pair(spark, sf):
+    """describe() of the two series side by side."""
     return R.describe_side_by_side(_panel(spark, sf), KEY, PRICE, [PA, PB])
 
 
 @query("hourly_pair")
 def q_hourly_pair(spark, sf):
+    """Hourly mean and std of the two series side by side, 24-hour spine."""
     return R.hourly_side_by_side(_panel(spark, sf), KEY, PRICE, [PA, PB])
 
 
 @query("quality")
 def q_quality(spark, sf):
+    """Q-quality: rows, range, series, missing prices and rate, phase counts."""
     return Q.quality_report(_panel(spark, sf)).select(
         "rows", "start", "end", "n_series", "missing_prices", "rows_during", "rows_pre", "missing_rate",
         "missing_warning", "any_missing", "max_price_during")
@@ -208,6 +234,7 @@ def q_quality(spark, sf):
 
 @query("expectations")
 def q_expectations(spark, sf):
+    """Rule checks in one aggregate pass."""
     return Q.expectations(_panel(spark, sf), Q.panel_rules(), {"price_present": 0.3})
 
 
@@ -219,17 +246,20 @@ def _raw_events(spark, sf):
 
 @query("dup_keys")
 def q_dup_keys(spark, sf):
+    """(hour, series) keys of the raw events seen more than once."""
     return D.duplicate_keys(_raw_events(spark, sf), [TS, KEY])
 
 
 @query("dup_report")
 def q_dup_report(spark, sf):
+    """Q-dups: occurrences, distinct values, range and sources per duplicated key (A18 re-aimed, A19)."""
     return Q.duplicate_report(_raw_events(spark, sf), [TS, KEY], "v", "user_id") \
         .select(TS, KEY, "occurrences", "n_distinct_values", "min_value", "max_value", "n_sources")
 
 
 @query("load_prices")
 def q_load_prices(spark, sf):
+    """Q-load: wide stand-in files -> long prices, first file wins."""
     return load_wide_prices(SI.wide_prices(spark, sf))
 
 
@@ -293,6 +323,7 @@ def q_flow_phases(spark, sf):
 
 @query("year_matrix")
 def q_year_matrix(spark, sf):
+    """Year x priority matrix of means."""
     o = SI.table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
     m = R.pivot_matrix(o, "year", "o_orderpriority", SI.ORDER_PRIORITIES, "o_totalprice", "avg")
     return m.select("year", *[F.col(f"`{p}`").alias(n) for p, n in zip(SI.ORDER_PRIORITIES, PRIORITY_NAMES)])
@@ -300,6 +331,7 @@ def q_year_matrix(spark, sf):
 
 @query("arrival_coverage")
 def q_arrival_coverage(spark, sf):
+    """Quarterly acquisition windows and the days that landed in each."""
     from ..sources.files import arrival_coverage
     o = SI.table(spark, sf, "orders")
     return arrival_coverage(o, "o_orderdate", months=3)
@@ -319,11 +351,13 @@ def _next_day(d: str) -> str:
 
 @query("summary")
 def q_summary(spark, sf):
+    """A1: rows, series, first and last timestamp."""
     return A.series_summary(SI.hourly_prices(spark, sf)).select("rows", "n_keys", "start", "end")
 
 
 @query("series_days")
 def q_series_days(spark, sf):
+    """A2 / A3: rows, distinct days and NULL counts per series."""
     h = SI.hourly_prices(spark, sf)
     days = A.distinct_days(h, TS, [KEY])
     nulls = A.null_counts(h, ["energy_mwh"], [KEY])
@@ -332,17 +366,20 @@ def q_series_days(spark, sf):
 
 @query("did")
 def q_did(spark, sf):
+    """Q-did: 2 x 2 difference in differences around the policy start."""
     return X.diff_in_diff(_panel(spark, sf), PA, PB, f"{SI.POLICY[0]} 00:00:00")
 
 
 @query("supply_curve")
 def q_supply_curve(spark, sf):
+    """Q-curve: stepwise cumulative quantity by price per day and bid type."""
     return X.supply_curve(SI.bids(spark, sf), [TS, KEY, "bid_type"]).select(TS, KEY, "bid_type", PRICE, "quantity", "n_bids",
                                                           "cum_quantity")
 
 
 @query("generation_shares")
 def q_generation_shares(spark, sf):
+    """Q-gen: quantity per technology and its share of the month."""
     li = SI.table(spark, sf, "lineitem").select(tc.trunc_month("l_shipdate").alias("month"),
                                                 F.col("l_returnflag").alias("technology"), "l_quantity")
     return X.shares(li, ["month"], "technology", "l_quantity")
@@ -359,11 +396,13 @@ def q_generation_panel(spark, sf):
 
 @query("gaps")
 def q_gaps(spark, sf):
+    """Steps over 1.5 h in each observed series."""
     return S.gaps(SI.hourly_prices(spark, sf), [KEY], TS)
 
 
 @query("nearest_weather")
 def q_nearest_weather(spark, sf):
+    """Nearest weather hour for panel rows without a weather match."""
     p = _panel(spark, sf).select(KEY, TS)
     w = SI.country_weather(spark, sf).select(KEY, TS)
     left = J.unmatched(p, w, [KEY, TS])
@@ -372,6 +411,7 @@ def q_nearest_weather(spark, sf):
 
 @query("merge_diag")
 def q_merge_diag(spark, sf):
+    """Q-merge-diag: matched / unmatched rows and key overlap."""
     p = _panel(spark, sf).select(KEY, TS)
     w = SI.country_weather(spark, sf).select(KEY, TS)
     return Q.merge_diagnosis(p, w, [KEY, TS]).select("left_rows", "unmatched", "left_timestamps",
@@ -380,12 +420,14 @@ def q_merge_diag(spark, sf):
 
 @query("key_alignment")
 def q_key_alignment(spark, sf):
+    """Do the two observed series cover the same hours?"""
     h = SI.hourly_prices(spark, sf)
     return J.key_alignment(h.filter(F.col(KEY) == PA).select(TS), h.filter(F.col(KEY) == PB).select(TS), [TS])
 
 
 @query("table_profile")
 def q_table_profile(spark, sf):
+    """Columns and rows of each driver table."""
     from ..sources.catalog import table_profile
     names = ["events", "orders", "lineitem", "customer", "supplier", "part", "nation", "region"]
     return table_profile({n: SI.table(spark, sf, n) for n in names})
@@ -393,16 +435,19 @@ def q_table_profile(spark, sf):
 
 @query("value_counts")
 def q_value_counts(spark, sf):
+    """Rows per series."""
     return _panel(spark, sf).groupBy(KEY).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("series_balance")
 def q_series_balance(spark, sf):
+    """Equal row counts and aligned ranges across series."""
     return Q.series_balance(_panel(spark, sf))
 
 
 @query("weather_season")
 def q_weather_season(spark, sf):
+    """Q-weather-season / A22: weather means per series and month."""
     w = SI.country_weather(spark, sf)
     return w.groupBy(KEY, F.month(TS).alias("month")).agg(F.avg("temperature_c").alias("temperature_c"),
                                                           F.avg("wind_speed_100m").alias("wind_speed_100m"))
@@ -451,6 +496,7 @@ def q_day_lookup(spark, sf):
 
 @query("findings")
 def q_findings(spark, sf):
+    """Q-findings: one-row record of levels, coupling, hourly pattern, day type and volatility."""
     return X.findings(_panel(spark, sf), PA, PB)
 
 
