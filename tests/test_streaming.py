@@ -69,3 +69,22 @@ def test_incremental_resume_after_new_file(spark, tmpdir_path):
     t = spark.read.parquet(target)
     assert t.count() == 48
     assert t.filter(F.col("price_eur_mwh") > 400).count() == 0  # stored rows win over later arrivals
+
+
+def test_late_event_beyond_watermark_is_dropped(spark, tmpdir_path):
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "ts timestamp_ntz, k string, v double"
+    name = "z2-late-" + tmpdir_path.rsplit("-", 1)[-1]
+    spark.createDataFrame([(t0 + dt.timedelta(minutes=30 * i), "a", 1.0) for i in range(21)], schema) \
+        .coalesce(1).write.parquet(tmpdir_path + "/ev/f1")          # events 00:00 .. 10:00
+    first = lambda: Z.run_to_table(spark, Z.hourly_window_aggregate(
+        spark.readStream.schema(schema).parquet(tmpdir_path + "/ev/*/*.parquet"), "ts", "k", "v", "2 hours"), name)
+    out1 = {r["window_start"].hour: r["n"] for r in first().collect()}
+    assert out1 == {h: 2 for h in range(8)}                        # watermark 08:00: windows up to 07:00 final
+    # later file: one event at 02:15 (behind the watermark) and new events up to 14:00
+    rows = [(t0 + dt.timedelta(hours=2, minutes=15), "a", 100.0)] + \
+        [(t0 + dt.timedelta(hours=11 + i), "a", 1.0) for i in range(4)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(tmpdir_path + "/ev/f2")
+    out2 = {r["window_start"].hour: (r["n"], r["total"]) for r in first().collect()}
+    assert out2[2] == (2, 2.0)                                     # the late row did not reopen 02:00
+    assert out2[8] == (2, 2.0) and out2[10] == (1, 1.0)            # windows closed by the new watermark
