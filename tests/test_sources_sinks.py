@@ -2,6 +2,7 @@
 import datetime as dt
 import math
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -92,6 +93,8 @@ def test_panel_sink_and_inventory(spark, tmpdir_path):
     assert sorted(os.listdir(tmpdir_path + "/panel"))[-2:] == ["year=2022", "year=2023"]
     p = files.read_panel(spark, tmpdir_path + "/panel", "2023-01-01", "2024-01-01")
     assert p.count() == 24
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*year", plan), plan
     inv = files.file_inventory(spark, tmpdir_path + "/panel", "timestamp").collect()
     assert sum(r["rows"] for r in inv) == 48 and all(r["file_size"] > 0 for r in inv)
     assert all(r["file_name"].endswith(".parquet") for r in inv)

@@ -33,16 +33,25 @@ def read_wide_prices(spark: SparkSession, path: str | list[str], schema: T.Struc
 
 
 def read_panel(spark: SparkSession, path: str, start: str | None = None, end: str | None = None,
-               timestamp_col: str = "timestamp") -> DataFrame:
+               timestamp_col: str = "timestamp", partition_col: str = "year") -> DataFrame:
     """S3: a stored panel, optionally restricted to a half-open time range.
 
-    The range filter is written as ``>= start AND < end`` so it is pushed to
-    the Parquet reader (and prunes ``year`` partitions when partitioned).
+    The range is written as ``>= start AND < end`` so it is pushed to the
+    Parquet reader (row-group skipping), and, when the panel is partitioned by
+    ``year`` (``sinks.write_panel``), the implied year bounds prune whole
+    partition folders before any file is opened.
     """
+    import datetime as _dt
+
     from ..functions.timecols import time_range
     df = spark.read.parquet(path)
     if start is not None and end is not None:
-        df = df.filter(time_range(timestamp_col, start, end))
+        cond = time_range(timestamp_col, start, end)
+        if partition_col in df.columns:
+            y0 = _dt.date.fromisoformat(str(start)[:10]).year
+            last = _dt.datetime.fromisoformat(str(end)) - _dt.timedelta(microseconds=1)
+            cond = cond & F.col(partition_col).between(y0, last.year)
+        df = df.filter(cond)
     return df
 
 
