@@ -45,17 +45,26 @@ def delete_where(spark: SparkSession, path: str, predicate: Column, out_path: st
 
 
 def append_ignore(spark: SparkSession, incoming: DataFrame, path: str, schema: T.StructType,
-                  keys: list[str], order_cols: list[str]) -> int | None:
+                  keys: list[str], order_cols: list[str], range_col: str | None = "timestamp") -> None:
     """Insert-or-ignore: first write wins on key, within the batch and
-    against stored rows. Rows already stored are read as the anti-join side."""
+    against stored rows (read as the anti-join side).
+
+    With ``range_col`` the stored side is read only for the batch's
+    ``[min, max]`` range (one-row bounds, pushed to the scan and to partition
+    pruning), not in full.
+    """
     try:
         target = spark.read.schema(schema).parquet(path)
     except Exception:  # noqa: BLE001 - no table yet: everything is new
         target = spark.createDataFrame([], schema)
     cols = [c for c in dict.fromkeys(schema.names + list(order_cols)) if c in incoming.columns]
-    new = insert_or_ignore(incoming.select(*cols), target, keys, order_cols)
-    append(new, path, schema)
-    return None
+    inc = incoming.select(*cols)
+    if range_col and range_col in inc.columns:
+        b = inc.agg(F.min(range_col).alias("lo"), F.max(range_col).alias("hi")).first()
+        if b["lo"] is None:
+            return
+        target = target.filter(F.col(range_col).between(F.lit(b["lo"]), F.lit(b["hi"])))
+    append(insert_or_ignore(inc, target, keys, order_cols), path, schema)
 
 
 def write_panel(panel: DataFrame, path: str, timestamp_col: str = "timestamp", key_col: str = "country",
