@@ -137,3 +137,37 @@ def test_prefix_sum_hot_group(spark, descending):
             row = mine[mine["p"].isna()] if pd.isna(p) else mine.loc[[p]]
             assert float(row["sum_before"].iloc[0]) == e
         assert (got[got.g == g]["tot"] == grp["q"].sum()).all()
+
+
+def test_trailing_rolling_matches_pandas(spark):
+    rows = _series(7, n=120)
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, k string, v double")
+    got = S.rolling_stats(df, ["k"], "timestamp", "v", 6, center=False, min_periods=3, bucket_hours=10).toPandas()
+    pdf = pd.DataFrame(rows, columns=["timestamp", "k", "v"])
+    for k, g in pdf.groupby("k"):
+        g = g.sort_values("timestamp")
+        mine = got[got.k == k].sort_values("timestamp")
+        np.testing.assert_allclose(mine["rolling_mean"].astype(float).to_numpy(),
+                                   g["v"].rolling(6, min_periods=3).mean().to_numpy(), equal_nan=True)
+
+
+def test_duration_drop_nulls(spark):
+    rows = _series(8, n=80)
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, k string, v double")
+    curve = S.duration_rows(S.duration_steps(df, ["k"], "v", drop_nulls=True), ["k"], "v").toPandas()
+    pdf = pd.DataFrame(rows, columns=["timestamp", "k", "v"]).dropna()
+    for k, g in pdf.groupby("k"):
+        srt = g["v"].sort_values(ascending=False).to_numpy()
+        mine = curve[curve.k == k].sort_values("rank")
+        np.testing.assert_allclose(mine["v"].to_numpy(dtype=float), srt)
+        np.testing.assert_allclose(mine["position"].to_numpy(), np.arange(len(srt)) * 100 / len(srt))
+
+
+def test_nearest_match_exact_hit_and_tie(spark):
+    l = spark.createDataFrame([("a", T0 + dt.timedelta(hours=2)), ("a", T0 + dt.timedelta(hours=5))],
+                              "k string, timestamp timestamp_ntz")
+    r = spark.createDataFrame([("a", T0 + dt.timedelta(hours=2)), ("a", T0 + dt.timedelta(hours=4)),
+                               ("a", T0 + dt.timedelta(hours=6))], "k string, timestamp timestamp_ntz")
+    got = {row["timestamp"].hour: (row["nearest"].hour, row["diff_seconds"])
+           for row in J.nearest_match(l, r, ["k"], bucket_hours=1).collect()}
+    assert got[2] == (2, 0) and got[5] == (4, -3600)  # exact hit; tie resolved to the earlier one
