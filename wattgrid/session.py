@@ -18,12 +18,15 @@ REQUIRED_CONF = {
 
 
 def get_session(master: str | None = None, app: str = "wattgrid",
-                shuffle_partitions: int | None = None,
+                shuffle_partitions: int | None = None, partition_mb: int | None = None,
                 extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's required settings.
 
     ``master`` is only meant for tests and local runs; on a cluster leave it
-    ``None`` so spark-submit decides.
+    ``None`` so spark-submit decides. ``partition_mb`` sets both the scan split
+    size (``spark.sql.files.maxPartitionBytes``) and AQE's target size for
+    post-shuffle partitions, so tasks stay within executor memory; AQE then
+    coalesces small partitions and splits skewed ones around that size.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -32,6 +35,9 @@ def get_session(master: str | None = None, app: str = "wattgrid",
     conf["spark.ui.enabled"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if partition_mb:
+        conf["spark.sql.files.maxPartitionBytes"] = f"{partition_mb}m"
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = f"{partition_mb}m"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
