@@ -56,3 +56,13 @@ def test_merge_diagnosis(spark):
     d = Q.merge_diagnosis(left, right, ["country", "timestamp"]).collect()[0]
     assert d["left_rows"] == 4 and d["unmatched"] == 3 and d["matched"] == 1 and d["overlap"] == 1
     assert F is not None
+
+
+def test_top_level_api(spark):
+    import wattgrid as W
+    idx = W.create_hour_index(spark, "2022-06-15", "2022-06-16")
+    assert idx.count() == 48
+    feats = W.add_time_features(W.normalize_to_utc(idx))
+    assert "is_weekend" in feats.columns
+    assert W.get_row_count(feats).collect()[0]["row_count"] == 48
+    assert [r["column_name"] for r in W.get_table_info(idx).collect()] == ["timestamp"]

@@ -65,3 +65,15 @@ def missing_tables(spark: SparkSession, expected: list[str], present: list[str])
     e = spark.createDataFrame([(t,) for t in expected], "table_name string")
     p = spark.createDataFrame([(t,) for t in present], "table_name string").withColumn("present", F.lit(True))
     return e.join(p, "table_name", "left").select("table_name", F.coalesce("present", F.lit(False)).alias("present"))
+
+
+def get_table_info(df: DataFrame) -> DataFrame:
+    """Column names, types and nullability of one table, as a DataFrame (metadata only)."""
+    spark = df.sparkSession
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    return spark.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
+
+
+def get_row_count(df: DataFrame) -> DataFrame:
+    """Row count as a one-row DataFrame (lazy; nothing is collected here)."""
+    return df.agg(F.count(F.lit(1)).alias("row_count"))
