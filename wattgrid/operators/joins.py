@@ -28,8 +28,11 @@ def align_pair(df: DataFrame, timestamp_col: str, key_col: str, value_col: str,
 
 
 def unmatched(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left rows without a key match on the right (by key, not by a NULL test)."""
-    return left.join(right.select(*keys).distinct(), keys, "left_anti")
+    """Left rows without a key match on the right (by key, not by a NULL test).
+
+    Duplicate right keys do not change an anti join, so no distinct is taken.
+    """
+    return left.join(right.select(*keys), keys, "left_anti")
 
 
 def key_alignment(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

@@ -134,8 +134,7 @@ def merge_diagnosis(left: DataFrame, right: DataFrame, keys: list[str],
     distinct timestamps on each side and their intersection (U2).
     """
     lk = left.select(*keys)
-    rk = right.select(*keys).distinct()
-    unmatched = J.unmatched(lk, rk, keys).agg(F.count(F.lit(1)).alias("unmatched"))
+    unmatched = J.unmatched(lk, right, keys).agg(F.count(F.lit(1)).alias("unmatched"))
     tot = lk.agg(F.count(F.lit(1)).alias("left_rows"))
     lt = left.select(timestamp_col).distinct().agg(F.count(F.lit(1)).alias("left_timestamps"))
     rt = right.select(timestamp_col).distinct().agg(F.count(F.lit(1)).alias("right_timestamps"))
