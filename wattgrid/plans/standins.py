@@ -115,22 +115,27 @@ def flows_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(timestamp = month start, country_from, country_to, flow_mw).
 
     Customer region -> supplier region, sum of ``l_quantity`` per order month.
+    Line items are mapped to their supplier's region and summed per (order,
+    region) before the large line item x order join, so that join sees at
+    most one row per order and region; orders are tagged with the customer's
+    region on their own side.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    nc = n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("_from"))
-    ns = n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_regionkey").alias("_to"))
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(c, F.col("o_custkey") == F.col("c_custkey"))
-         .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
-         .join(nc, "c_nationkey").join(ns, "s_nationkey"))
-    return j.groupBy(tc.trunc_month("o_orderdate").alias("timestamp"),
+    supp_region = s.join(n, s.s_nationkey == n.n_nationkey).select("s_suppkey", F.col("n_regionkey").alias("_to"))
+    cust_region = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", F.col("n_regionkey").alias("_from"))
+    li_by_region = li.join(supp_region, li.l_suppkey == supp_region.s_suppkey) \
+        .groupBy("l_orderkey", "_to").agg(F.sum("l_quantity").alias("_q"))
+    orders = o.join(cust_region, o.o_custkey == cust_region.c_custkey) \
+        .select("o_orderkey", tc.trunc_month("o_orderdate").alias("timestamp"), "_from")
+    j = li_by_region.join(orders, li_by_region.l_orderkey == orders.o_orderkey)
+    return j.groupBy("timestamp",
                      F.concat(F.lit("R"), F.col("_from").cast("string")).alias("country_from"),
                      F.concat(F.lit("R"), F.col("_to").cast("string")).alias("country_to")) \
-        .agg(F.sum("l_quantity").alias("flow_mw"))
+        .agg(F.sum("_q").alias("flow_mw"))
 
 
 def flows_wide(flows: DataFrame) -> DataFrame:
