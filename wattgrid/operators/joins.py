@@ -77,8 +77,8 @@ def nearest_match(left: DataFrame, right: DataFrame, keys: list[str], timestamp_
     right timestamp at or before each left row and the first at or after it
     (exact, unbounded reach, no window over a whole key). The smaller absolute
     gap wins, the earlier one on a tie. Output: keys, ``timestamp``,
-    ``nearest`` and ``diff_seconds`` (nearest - timestamp, signed); NULL when
-    the key has no right rows.
+    ``nearest`` and ``diff_seconds`` (nearest - timestamp, signed seconds as
+    DOUBLE); NULL when the key has no right rows.
     """
     l = left.select(*keys, F.col(timestamp_col).alias("_t")).filter(F.col("_t").isNotNull()).distinct() \
         .select(*keys, "_t", F.lit(None).cast("timestamp_ntz").alias("_r"), F.lit(0).alias("_side"))
@@ -91,4 +91,5 @@ def nearest_match(left: DataFrame, right: DataFrame, keys: list[str], timestamp_
     choose_prev = F.col("_bfill").isNull() | (F.col("_ffill").isNotNull() & (F.abs(dp) <= F.abs(dn)))
     nearest = F.when(choose_prev, F.col("_ffill")).otherwise(F.col("_bfill"))
     out = j.select(*keys, F.col("_t").alias(timestamp_col), nearest.alias("nearest"))
-    return out.withColumn("diff_seconds", tc.seconds_between(timestamp_col, "nearest"))
+    # seconds as DOUBLE, like a timedelta's total_seconds()
+    return out.withColumn("diff_seconds", tc.seconds_between(timestamp_col, "nearest").cast("double"))

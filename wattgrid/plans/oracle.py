@@ -79,8 +79,8 @@ for name, cond in (("pre", "NOT in_policy"), ("during", "in_policy")):
     avg({v}) FILTER (WHERE {cond}) AS mean_{name}, median({v}) FILTER (WHERE {cond}) AS median_{name},
     stddev_samp({v}) FILTER (WHERE {cond}) AS std_{name}, min({v}) FILTER (WHERE {cond}) AS min_{name},
     max({v}) FILTER (WHERE {cond}) AS max_{name},
-    CAST(min("timestamp") FILTER (WHERE {cond}) AS DATE) AS first_{name},
-    CAST(max("timestamp") FILTER (WHERE {cond}) AS DATE) AS last_{name}""")
+    CAST(CAST(min("timestamp") FILTER (WHERE {cond}) AS DATE) AS TIMESTAMP) AS first_{name},
+    CAST(CAST(max("timestamp") FILTER (WHERE {cond}) AS DATE) AS TIMESTAMP) AS last_{name}""")
 _imp_out = []
 for name in ("pre", "during"):
     _imp_out.append(f"""rows_{name}, n_{name}, {r(f'mean_{name}', f'mean_{name}')}, {r(f'median_{name}', f'median_{name}')},
@@ -226,7 +226,7 @@ def _resample_sql(src: str, keys: list[str], ts: str, v: str, unit: str, aggs: l
     fns = {"mean": "avg", "min": "min", "max": "max", "sum": "sum"}
     agg_in = ", ".join(f"{fns[a]}({v}) AS {a}" for a in aggs)
     agg_out = ", ".join(r(f"g.{a}", a) for a in aggs)
-    end = "s.p" if unit == "day" else "last_day(s.p)"
+    end = "CAST(s.p AS TIMESTAMP)" if unit == "day" else "CAST(last_day(s.p) AS TIMESTAMP)"
     on = " AND ".join([f"g.{x} = s.{x}" for x in keys] + ["g.p = s.p"])
     skeys = ", ".join(f"s.{x}" for x in keys)
     skc = skeys + ", " if keys else ""
@@ -339,7 +339,7 @@ SQL["load_prices"] = with_hourly(f"""SELECT "timestamp", country, {r('price_eur_
     FROM (UNPIVOT (SELECT * FROM wide WHERE "CONCEPT" IN ({', '.join(repr(c) for c in CONCEPTS)}))
           ON {_hlist} INTO NAME hcol VALUE price_eur_mwh)
     WHERE price_eur_mwh IS NOT NULL AND NOT isnan(price_eur_mwh)) l) d WHERE rn = 1""", CTE["wide"])
-SQL["concept_alignment"] = with_hourly(f"""SELECT "DATE", count(*) AS n_hours,
+SQL["concept_alignment"] = with_hourly(f"""SELECT CAST("DATE" AS TIMESTAMP) AS "DATE", count(*) AS n_hours,
   bool_and(sp IS NOT DISTINCT FROM pt) AS equal, count(*) FILTER (WHERE sp IS DISTINCT FROM pt) AS n_different
 FROM (SELECT "DATE", hcol, max(CASE WHEN "CONCEPT" = 'PRICE_SP' THEN v END) AS sp,
              max(CASE WHEN "CONCEPT" = 'PRICE_PT' THEN v END) AS pt
@@ -378,7 +378,7 @@ SQL["arrival_coverage"] = """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE
 landed AS (SELECT CAST(date_trunc('quarter', d) AS DATE) AS q, count(*) AS days_landed FROM d GROUP BY 1),
 b AS (SELECT min(q) AS lo, max(q) AS hi FROM landed),
 w AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 3 MONTH)) AS DATE) AS q FROM b)
-SELECT w.q AS window_start, CAST(w.q + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS window_end,
+SELECT CAST(w.q AS TIMESTAMP) AS window_start, CAST(CAST(w.q + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS TIMESTAMP) AS window_end,
   CAST(year(w.q) AS VARCHAR) || 'Q' || CAST(quarter(w.q) AS VARCHAR) AS label,
   CAST(date_diff('day', w.q, CAST(w.q + INTERVAL 3 MONTH AS DATE)) AS BIGINT) AS days_expected,
   coalesce(landed.days_landed, 0) AS days_landed
@@ -411,7 +411,8 @@ SQL["gaps"] = with_hourly("""SELECT country, "timestamp", previous,
   date_diff('hour', previous, "timestamp") - 1 AS missing_hours
 FROM (SELECT country, "timestamp", lag("timestamp") OVER (PARTITION BY country ORDER BY "timestamp") AS previous
       FROM hourly) t WHERE previous IS NOT NULL AND date_diff('second', previous, "timestamp") > 5400""")
-SQL["nearest_weather"] = with_panel("""SELECT country, "timestamp", nearest, date_diff('second', "timestamp", nearest) AS diff_seconds
+SQL["nearest_weather"] = with_panel("""SELECT country, "timestamp", nearest,
+  CAST(date_diff('second', "timestamp", nearest) AS DOUBLE) AS diff_seconds
 FROM (SELECT u.country, u."timestamp", w."timestamp" AS nearest,
              row_number() OVER (PARTITION BY u.country, u."timestamp"
                                 ORDER BY abs(date_diff('second', u."timestamp", w."timestamp")), w."timestamp") AS rn

@@ -31,7 +31,12 @@ PA, PB = SI.PAIR
 
 
 def finish(df: DataFrame) -> DataFrame:
-    """Report boundary: DOUBLE rounded to 6 digits, integers widened to BIGINT."""
+    """Report boundary: DOUBLE rounded to 6 digits, integers widened to BIGINT and
+    DATE given as a midnight TIMESTAMP_NTZ (one temporal type across clients)."""
+    from pyspark.sql import types as T
+    dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
+    if dates:
+        df = df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in dates})
     return round_doubles(ints_to_bigint(df), 6)
 
 
