@@ -3,7 +3,9 @@ from __future__ import annotations
 
 from .exact_dedup import ORACLE_SQL as _OP6_SQL
 from .exact_dedup import op6_exact_dedup
+from .packing import op8_best_fit_packing
 from .simhash_dedup import op7_simhash_pigeonring
+from .token_records import op2_token_records
 
-QUERIES = {f.__name__: f for f in (op6_exact_dedup, op7_simhash_pigeonring)}
+QUERIES = {f.__name__: f for f in (op2_token_records, op6_exact_dedup, op7_simhash_pigeonring, op8_best_fit_packing)}
 ORACLE_SQL = {"op6_exact_dedup": _OP6_SQL}
