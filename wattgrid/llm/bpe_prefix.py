@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, text_rows
-from .tokens import tokenizer_path
+from .tokens import byte_letters, tokenizer_path
 
 WORD_BPE = "word_bpe_49k.json"
 WORDS = 700_000  # remembered words; a worker starts anew beyond that
@@ -35,14 +35,6 @@ SLICE = 1 << 20
 END = 0x1000  # code point of byte 0 with the word-end mark
 
 
-def byte_letters() -> dict[str, int]:
-    """The printable letter that byte-level vocabularies use for each byte, by rule:
-    printable Latin-1 stands for itself, the others follow from 256 on."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Bpe:
     """Exact encoder and decoder of one byte-level BPE file."""
 

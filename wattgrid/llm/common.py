@@ -1,7 +1,10 @@
 """What the operators share: written intermediates, row identities, graph components."""
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,24 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/wattgrid-llm/{label}-{uuid.uuid4().hex}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, once per application, so that the
+    operators run wherever the driver's own import path ends."""
+    sc = spark.sparkContext
+    if getattr(sc, "_wattgrid_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="wattgrid-"), "wattgrid.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("wattgrid", os.path.relpath(full, top)))
+    sc.addPyFile(path)
+    sc._wattgrid_shipped = True
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, a lost
     executor costs no recomputation, and row numbers stored in it stay as they are."""
@@ -33,6 +54,7 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     content: rows that share them are repeats of each other and interchangeable.
     Only the two named columns are read, so extra columns may have any names.
     """
+    ship(docs.sparkSession)
     text = F.coalesce(docs[text_col], F.lit(""))
     return docs.select(docs[id_col].alias("_id"), F.xxhash64(text).alias("_x"),
                        F.octet_length(text).alias("_n"), text.alias("_text"))
