@@ -3,12 +3,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattgrid.llm import exact_dedup, simhash_dedup
+from wattgrid.llm import exact_dedup, packing, pii_surrogates, simhash_dedup, toxicity
 from wattgrid.llm.common import table, written
 
 STAGES = [
+    ("toxicity", toxicity.stage),
     ("exact dedup", exact_dedup.stage),
     ("simhash near-dedup", simhash_dedup.stage),
+    ("pii", pii_surrogates.stage),
+    ("best-fit packing", packing.stage),
 ]
 
 # Stages that SQL cannot express make the whole inexpressible; see tests/llm.

@@ -2,15 +2,19 @@
 from __future__ import annotations
 
 from .bpe_prefix import op5_bpe_prefix
+from .cross_entropy import op9_cross_entropy
 from .exact_dedup import ORACLE_SQL as _OP6_SQL
 from .exact_dedup import op6_exact_dedup
 from .packing import op8_best_fit_packing
+from .pii_surrogates import op1_pii_surrogates
 from .rabitq import op4_rabitq
 from .simhash_dedup import op7_simhash_pigeonring
 from .token_records import op2_token_records
+from .toxicity import op3_toxicity_kernel
 from .warc import ORACLE_SQL as _OP10_SQL
 from .warc import op10_warc_salvage
 
-QUERIES = {f.__name__: f for f in (op2_token_records, op4_rabitq, op5_bpe_prefix, op6_exact_dedup,
-                                   op7_simhash_pigeonring, op8_best_fit_packing, op10_warc_salvage)}
+QUERIES = {f.__name__: f for f in (
+    op1_pii_surrogates, op2_token_records, op3_toxicity_kernel, op4_rabitq, op5_bpe_prefix, op6_exact_dedup,
+    op7_simhash_pigeonring, op8_best_fit_packing, op9_cross_entropy, op10_warc_salvage)}
 ORACLE_SQL = {"op6_exact_dedup": _OP6_SQL, "op10_warc_salvage": _OP10_SQL}
