@@ -44,7 +44,7 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,18}(?![A-Za-z0-9])",
     "ip": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
-    "phone": (r"(?<![\w+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){1,4}(?!\w)"
+    "phone": (r"(?<![\w+])\+[0-9]{8,15}(?!\w)|(?<![\w+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-][0-9]{2,8}){1,3}(?!\w)"
               r"|(?<!\w)\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?!\w)|(?<![\w.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w-])"),
     "card": r"(?<!\w)(?:[0-9]{4}[ -]){3}[0-9]{4}(?!\w)|(?<![\w.,-])[0-9]{13,19}(?![\w])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
