@@ -37,18 +37,21 @@ def safe_div(a, b) -> Column:
     return F.try_divide(_c(a), _c(b))
 
 
-def round_half_up(col, digits: int = 6) -> Column:
-    """``floor(x * 10^d + 0.51) / 10^d`` in plain IEEE arithmetic.
-
-    The same sequence of float operations in any SQL engine. Aggregates of
-    2-decimal inputs often land exactly on a half-way tie, where two engines'
-    last-bit summation noise would round opposite ways; the extra 0.01 of the
-    last unit (1e-8 at 6 digits) moves the cut away from the tie, so engines
-    that agree to within float noise report the same digits.
+NOISE_DIGITS = 9  # sums in another order differ far beyond this decimal
+
+
+def round_even(col, digits: int = 6) -> Column:
+    """Round to ``digits`` decimals, half to even, after noise beyond the ninth decimal is gone.
+
+    Plain IEEE steps on DOUBLE (``rint(x * 10^d) / 10^d``), the same in any engine. Means of
+    two-decimal inputs often lie exactly half-way; without the first step the last bit of
+    a sum's order would decide. NULL, NaN, infinities and values without such decimals
+    stay as they are.
     """
     c = _c(col)
-    scale = float(10 ** digits)
-    return F.when(F.isnan(c), c).otherwise(F.floor(c * F.lit(scale) + F.lit(0.51)) / F.lit(scale))
+    fine, scale = float(10 ** max(digits, NOISE_DIGITS)), float(10 ** digits)
+    rounded = F.rint(F.rint(c * F.lit(fine)) / F.lit(fine) * F.lit(scale)) / F.lit(scale)
+    return F.when(F.abs(c) < F.lit(1e290), rounded).otherwise(c)  # beyond, the product overflows
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -56,7 +59,7 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
     if not cols:
         return df
-    return df.withColumns({c: round_half_up(c, digits) for c in cols})
+    return df.withColumns({c: round_even(c, digits) for c in cols})
 
 
 def ints_to_bigint(df: DataFrame) -> DataFrame:

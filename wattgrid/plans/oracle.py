@@ -14,9 +14,13 @@ P1 = f"TIMESTAMP '{POLICY[1]} 23:59:59'"
 NN = "CASE WHEN isnan(value) THEN NULL ELSE value END"
 
 
+def rounded(expr: str) -> str:
+    """Same float operations as ``functions.numeric.round_even``."""
+    return f"round_even(round_even(({expr}) * 1000000000.0, 0) / 1000000000.0 * 1000000.0, 0) / 1000000.0"
+
+
 def r(expr: str, alias: str) -> str:
-    """Same float operations as ``functions.numeric.round_half_up``."""
-    return f"floor(({expr}) * 1000000.0 + 0.51) / 1000000.0 AS {alias}"
+    return f"{rounded(expr)} AS {alias}"
 
 
 CTE = {}
@@ -406,8 +410,8 @@ SQL["generation_shares"] = f"""SELECT month, technology, {r('total', 'total')},
   {r('total / NULLIF(sum(total) OVER (PARTITION BY month), 0)', 'share')}
 FROM (SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS month, l_returnflag AS technology,
              sum(l_quantity) AS total FROM lineitem GROUP BY 1, 2) t"""
-SQL["gaps"] = with_hourly("""SELECT country, "timestamp", previous,
-  floor(CAST(date_diff('second', previous, "timestamp") AS DOUBLE) / 3600 * 1000000.0 + 0.51) / 1000000.0 AS gap_hours,
+SQL["gaps"] = with_hourly(f"""SELECT country, "timestamp", previous,
+  {r("CAST(date_diff('second', previous, \"timestamp\") AS DOUBLE) / 3600", 'gap_hours')},
   date_diff('hour', previous, "timestamp") - 1 AS missing_hours
 FROM (SELECT country, "timestamp", lag("timestamp") OVER (PARTITION BY country ORDER BY "timestamp") AS previous
       FROM hourly) t WHERE previous IS NOT NULL AND date_diff('second', previous, "timestamp") > 5400""")
