@@ -60,7 +60,7 @@ def test_changes_match_pandas(spark, bucket):
 def test_duration_matches_sorted_series(spark):
     rows = _series(3, n=150)
     df = spark.createDataFrame(rows, "timestamp timestamp_ntz, k string, v double")
-    steps = S.duration_steps(df, ["k"], "v", coarse_width=2.0)
+    steps = S.duration_steps(df, ["k"], "v")
     curve = S.duration_rows(steps, ["k"], "v", chunk=7).toPandas()
     marks = S.duration_markers(steps, ["k"], "v").toPandas().set_index("k")
     pdf = pd.DataFrame(rows, columns=["timestamp", "k", "v"])
@@ -127,7 +127,7 @@ def test_prefix_sum_hot_group(spark, descending):
                                                       rng.integers(1, 9, 3000))]
     rows += [("cold", float(x), 1.0) for x in range(5)] + [("cold", None, 2.0)]
     df = spark.createDataFrame(rows, "g string, p double, q double")
-    got = S.prefix_sum(df, ["g"], "p", "q", descending=descending, band_width=13.0, total_col="tot").toPandas()
+    got = S.prefix_sum(df, ["g"], "p", "q", descending=descending, total_col="tot").toPandas()
     pdf = pd.DataFrame(rows, columns=["g", "p", "q"])
     for g, grp in pdf.groupby("g"):
         srt = grp.sort_values("p", ascending=not descending, na_position="last")

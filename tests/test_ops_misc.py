@@ -36,11 +36,13 @@ def test_align_pair_inner_and_outer(spark):
 def test_key_alignment_and_series_equal(spark):
     a = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None)], "k int, v double")
     b = spark.createDataFrame([(1, 1.0), (2, float("nan")), (4, 5.0)], "k int, v double")
-    ka = J.key_alignment(a, b, ["k"]).collect()[0]
+    both = a.withColumn("side", F.lit("a")).unionByName(b.withColumn("side", F.lit("b")))
+    left, right = F.col("side") == "a", F.col("side") == "b"
+    ka = J.key_alignment(both, ["k"], left, right).collect()[0]
     assert (ka["matched"], ka["only_left"], ka["only_right"], ka["aligned"]) == (2, 1, 1, False)
-    eq = J.series_equal(a, b, ["k"], "v").collect()[0]
+    eq = J.series_equal(both, ["k"], "v", left, right).collect()[0]
     assert eq["n"] == 4 and not eq["equal"] and eq["n_different"] == 2 and eq["nan_pairs"] == 1
-    same = J.series_equal(a, a, ["k"], "v").collect()[0]
+    same = J.series_equal(a, ["k"], "v", F.lit(True), F.lit(True)).collect()[0]
     assert same["equal"]
 
 

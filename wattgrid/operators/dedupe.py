@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import join_on_keys
+
 
 def _order_struct(order_cols: list[str]):
     return F.struct(*[F.col(c) for c in order_cols])
@@ -40,9 +42,10 @@ def duplicate_keys(df: DataFrame, keys: list[str], count_col: str = "occurrences
 def duplicated_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """Every row whose key occurs more than once (pandas ``keep=False``).
 
-    A semi join against the duplicate-key aggregate; AQE splits a skewed key.
+    A semi join against the duplicate-key aggregate; AQE splits a skewed key. NULL keys
+    are keys like any other, as in the aggregate.
     """
-    return df.join(duplicate_keys(df, keys).select(*keys), keys, "left_semi")
+    return join_on_keys(df, duplicate_keys(df, keys).select(*keys), keys, "left_semi")
 
 
 def insert_or_ignore(incoming: DataFrame, target: DataFrame, keys: list[str],
@@ -50,7 +53,7 @@ def insert_or_ignore(incoming: DataFrame, target: DataFrame, keys: list[str],
     """Rows of ``incoming`` to append so that the first write wins.
 
     First-wins inside the batch (``keep_first``) and against rows already stored
-    (``left_anti`` on the key).
+    (``left_anti`` on the key, NULLs equal).
     """
     first = keep_first(incoming, keys, order_cols)
-    return first.join(target.select(*keys), keys, "left_anti")
+    return join_on_keys(first, target.select(*keys), keys, "left_anti")

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import timecols as tc
+from ..functions.keys import join_on_keys
 from . import series as S
 
 
@@ -30,19 +31,24 @@ def align_pair(df: DataFrame, timestamp_col: str, key_col: str, value_col: str,
 def unmatched(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left rows without a key match on the right (by key, not by a NULL test).
 
-    Duplicate right keys do not change an anti join, so no distinct is taken.
+    Duplicate right keys do not change an anti join, so no distinct is taken. NULL keys
+    match NULL keys.
     """
-    return left.join(right.select(*keys), keys, "left_anti")
+    return join_on_keys(left, right.select(*keys), keys, "left_anti")
 
 
-def key_alignment(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Do two tables hold the same keys? Counts of matched and one-sided keys."""
-    ka = a.select(*keys).distinct().withColumn("_a", F.lit(1))
-    kb = b.select(*keys).distinct().withColumn("_b", F.lit(1))
-    j = ka.join(kb, keys, "full_outer")
-    return j.agg(F.count_if(F.col("_a").isNotNull() & F.col("_b").isNotNull()).alias("matched"),
-                 F.count_if(F.col("_b").isNull()).alias("only_left"),
-                 F.count_if(F.col("_a").isNull()).alias("only_right")) \
+def presence(df: DataFrame, keys: list[str], left, right) -> DataFrame:
+    """One row per key of a tagged table: is it among the rows of ``left``, of ``right`` (conditions)?"""
+    return df.groupBy(*keys).agg(F.max(F.coalesce(left, F.lit(False))).alias("_l"), F.max(F.coalesce(right, F.lit(False))).alias("_r"))
+
+
+def key_alignment(df: DataFrame, keys: list[str], left, right) -> DataFrame:
+    """Do two parts of one table (two conditions) hold the same keys? Counts of matched and
+    one-sided keys, from one scan and one grouped pass; NULL keys count like others."""
+    p = presence(df.filter(left | right), keys, left, right)
+    return p.agg(F.count_if(F.col("_l") & F.col("_r")).alias("matched"),
+                 F.count_if(F.col("_l") & ~F.col("_r")).alias("only_left"),
+                 F.count_if(F.col("_r") & ~F.col("_l")).alias("only_right")) \
         .withColumn("aligned", (F.col("only_left") == 0) & (F.col("only_right") == 0))
 
 
@@ -51,18 +57,21 @@ def key_overlap(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     return a.select(col).intersect(b.select(col)).agg(F.count(F.lit(1)).alias("overlap"))
 
 
-def series_equal(a: DataFrame, b: DataFrame, key_cols: list[str], value_col: str) -> DataFrame:
-    """Are two keyed series equal everywhere? NULL-safe, with a NaN flag.
+def series_equal(df: DataFrame, key_cols: list[str], value_col: str, left, right) -> DataFrame:
+    """Are two keyed series (two conditions on one table) equal everywhere?
 
-    ``np.array_equal`` treats NaN as unequal; here NaN on both sides is
-    reported in ``nan_pairs`` and counted as equal by ``<=>``.
+    One scan and one grouped pass over the keys. NULL-safe, with a NaN flag:
+    ``np.array_equal`` treats NaN as unequal; here NaN on both sides is reported in
+    ``nan_pairs`` and counted as equal. A key on one side only is a difference even
+    when the present value is NULL; several rows of one key and side compare by
+    their largest value.
     """
-    x = a.select(*key_cols, F.col(value_col).alias("_x"), F.lit(True).alias("_pa"))
-    y = b.select(*key_cols, F.col(value_col).alias("_y"), F.lit(True).alias("_pb"))
-    j = x.join(y, key_cols, "full_outer")
-    # a key on one side only is a difference even when the present value is NULL
-    same = F.col("_pa").isNotNull() & F.col("_pb").isNotNull() & F.col("_x").eqNullSafe(F.col("_y"))
-    return j.agg(F.count(F.lit(1)).alias("n"),
+    v = F.col(value_col)
+    g = df.filter(left | right).groupBy(*key_cols).agg(
+        F.max(F.when(left, v)).alias("_x"), F.max(F.when(right, v)).alias("_y"),
+        F.max(F.coalesce(left, F.lit(False))).alias("_pa"), F.max(F.coalesce(right, F.lit(False))).alias("_pb"))
+    same = F.col("_pa") & F.col("_pb") & F.col("_x").eqNullSafe(F.col("_y"))
+    return g.agg(F.count(F.lit(1)).alias("n"),
                  F.coalesce(F.bool_and(same), F.lit(True)).alias("equal"),
                  F.count_if(~same).alias("n_different"),
                  F.count_if(F.isnan("_x") & F.isnan("_y")).alias("nan_pairs"))

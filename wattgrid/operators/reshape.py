@@ -35,13 +35,15 @@ def wide_to_long(df: DataFrame, id_cols: list[str], value_cols: list[str] | None
 
 
 def long_to_wide(df: DataFrame, index_cols: list[str], pivot_cols: list[str], values: list,
-                 value_col: str, agg: str = "sum", name_fmt: str | None = None) -> DataFrame:
+                 value_col: str, agg: str = "sum", name_fmt: str | None = None,
+                 other: str | None = None) -> DataFrame:
     """One column per pivot value, from an explicit value list.
 
     An explicit list avoids the extra distinct job a bare ``pivot`` runs, and
     keeps the output schema stable. ``pivot_cols`` may be several columns (e.g.
     from/to); each entry of ``values`` is then a tuple. ``name_fmt`` formats the
-    output column name from the value(s), e.g. ``"{0}_to_{1}_mw"``.
+    output column name from the value(s), e.g. ``"{0}_to_{1}_mw"``. ``other`` names
+    a column for everything that is not listed (NULLs too), so no row is lost.
     """
     fn = {"sum": F.sum, "avg": F.avg, "mean": F.avg, "max": F.max, "min": F.min, "first": F.first}[agg]
     multi = len(pivot_cols) > 1
@@ -54,14 +56,17 @@ def long_to_wide(df: DataFrame, index_cols: list[str], pivot_cols: list[str], va
         for c, v in zip(pivot_cols, t):
             cond = cond & (F.col(c) == F.lit(v))
         exprs.append(fn(F.when(cond, F.col(value_col))).alias(fmt.format(*t)))
+    if other:
+        listed = F.struct(*[F.col(c) for c in pivot_cols]).isin([F.struct(*[F.lit(v) for v in t]) for t in tuples]) if multi else F.col(pivot_cols[0]).isin(list(values))
+        exprs.append(fn(F.when(~F.coalesce(listed, F.lit(False)), F.col(value_col))).alias(other))
     return df.groupBy(*index_cols).agg(*exprs)
 
 
 def pivot_matrix(df: DataFrame, row_col: str, pivot_col: str, values: list, value_col: str,
-                 agg: str = "avg") -> DataFrame:
-    """E.g. year x country matrix of means, one column per listed value."""
-    fn = {"avg": "avg", "mean": "avg", "sum": "sum", "max": "max", "min": "min"}[agg]
-    return df.groupBy(row_col).pivot(pivot_col, values).agg(F.expr(f"{fn}(`{value_col}`)"))
+                 agg: str = "avg", other: str | None = None) -> DataFrame:
+    """E.g. year x country matrix of means, one column per listed value; ``other`` as in
+    ``long_to_wide``."""
+    return long_to_wide(df, [row_col], [pivot_col], values, value_col, agg, "{0}", other)
 
 
 DESCRIBE_STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
@@ -70,17 +75,12 @@ DESCRIBE_STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 def describe_long(df: DataFrame, key_col: str, value_col: str) -> DataFrame:
     """A13 in long form: (key, stat, value) for the eight ``describe`` statistics.
 
-    Exact linear-interpolated quartiles (``percentile``), sample std; NULLs skipped.
+    Exact linear-interpolated quartiles (``stats.quantiles``), sample std; NULLs skipped.
     """
-    v = F.col(value_col)
-    q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    agg = df.groupBy(key_col).agg(
-        F.count(v).cast("double").alias("count"), F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"), F.min(v).cast("double").alias("min"),
-        q.alias("_q"), F.max(v).cast("double").alias("max"))
-    agg = agg.select(key_col, "count", "mean", "std", "min",
-                     F.col("_q")[0].alias("25%"), F.col("_q")[1].alias("50%"),
-                     F.col("_q")[2].alias("75%"), "max")
+    from .stats import group_stats  # stats builds on series; reshape is below both
+    agg = group_stats(df, [key_col], value_col, ("n", "mean", "std", "min", "max"), {"25%": 0.25, "50%": 0.5, "75%": 0.75})
+    agg = agg.select(key_col, F.col("n").cast("double").alias("count"), "mean", "std", F.col("min").cast("double").alias("min"),
+                     "`25%`", "`50%`", "`75%`", F.col("max").cast("double").alias("max"))
     return agg.unpivot([key_col], DESCRIBE_STATS, "stat", "value")
 
 

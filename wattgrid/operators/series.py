@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import timecols as tc
+from ..functions.keys import join_on_keys
 from ..functions.numeric import safe_div
 
 DEFAULT_BUCKET_HOURS = 24 * 7
@@ -102,7 +103,7 @@ def add_prev_and_fill(df: DataFrame, keys: list[str], timestamp_col: str, value_
                         F.lag("_s_ord").over(ws).alias("_lag_in_ord"),
                         F.last("_s_nn", ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, -1))
                         .alias("_fill_in"))
-    j = inner.join(carry, [*keys, "_bk"], "left")
+    j = join_on_keys(inner, carry, [*keys, "_bk"], "left")
     first = F.col("_rn") == 1
     return j.select(
         *df.columns,
@@ -136,7 +137,7 @@ def add_fills(df: DataFrame, keys: list[str], timestamp_col: str, value_col: str
         *keys, "_bk",
         F.last("_s_last", ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("_fill_in"),
         F.first("_s_first", ignorenulls=True).over(ws.rowsBetween(1, Window.unboundedFollowing)).alias("_bfill_in"))
-    j = inner.join(carry, [*keys, "_bk"], "left")
+    j = join_on_keys(inner, carry, [*keys, "_bk"], "left")
     return j.select(*df.columns, F.coalesce("_f_in", "_fill_in").alias("_ffill"),
                     F.coalesce("_b_in", "_bfill_in").alias("_bfill"))
 
@@ -189,42 +190,47 @@ def step_check(df: DataFrame, keys: list[str], timestamp_col: str = "timestamp",
 # Duration curve as a step table, markers, optional row expansion
 # ---------------------------------------------------------------------------
 
+STEPS_PER_OCTAVE = 4096
+
+
+def value_band(col: Column) -> Column:
+    """A whole number that grows with the value: its octave and 1/4096 of that.
+
+    The same relative width at every scale, so values in [0, 1] and up to 1e9 spread
+    alike, and it needs no look at the data. NULL stays NULL (a band of its own); NaN and
+    infinities come after everything else.
+    """
+    x = F.abs(col)
+    octave = F.floor(F.log2(x))
+    step = (octave + F.lit(1100)) * F.lit(STEPS_PER_OCTAVE) + F.floor(x / F.pow(F.lit(2.0), octave) * F.lit(STEPS_PER_OCTAVE))
+    top = F.lit(1 << 40).cast("bigint")
+    size = F.when(x == 0, F.lit(0).cast("bigint")).when(x < F.lit(1e300), F.when(x > F.lit(1e-300), step).otherwise(F.lit(1)).cast("bigint")).otherwise(top)
+    return F.when(col.isNotNull(), F.when(F.isnan(col), top + 1).when(col < 0, -size).otherwise(size))
+
+
 def prefix_sum(df: DataFrame, group_cols: list[str], order_col: str, value_col: str,
-               descending: bool = False, band_width: float = 1.0, out_col: str = "sum_before",
-               total_col: str | None = None, bands_from: DataFrame | None = None) -> DataFrame:
+               descending: bool = False, out_col: str = "sum_before", total_col: str | None = None) -> DataFrame:
     """Exact running sum without a window over a whole group.
 
-    Adds ``out_col`` = sum of ``value_col`` over rows of the same group that
-    come strictly before the row in ``order_col`` order (NULL orders last;
-    ``order_col`` values should be distinct within a group, e.g. after an
-    aggregation by them). Two levels: bands of width ``band_width`` on the
-    order value are summed and prefix-summed over one row per band, then rows
-    are prefix-summed inside their band. A group holding a third of all rows
-    is therefore spread over its bands. ``total_col`` adds the group total.
-
-    ``bands_from`` may give the finer rows that ``df`` was aggregated from
-    (same group, order and value columns, same sums): band totals are then
-    combined map-side from those rows, and ``df`` itself, often an aggregate
-    with nearly unique rows, is evaluated and shuffled only once.
+    Adds ``out_col`` = sum of ``value_col`` over rows of the same group that come strictly
+    before the row in ``order_col`` order (NULL orders last; ``order_col`` values should be
+    distinct within a group, e.g. after an aggregation by them). Two levels: bands of
+    the order value (``value_band``) are summed and prefix-summed over one row per band, then
+    rows are prefix-summed inside their band. A group holding a third of all rows is
+    therefore spread over its bands, at any scale of values. ``total_col`` adds the group
+    total. NULL group keys are a group like any other.
     """
     ks = list(group_cols) or ["_g"]
-
-    def banded(x: DataFrame) -> DataFrame:
-        x = x if group_cols else x.withColumn("_g", F.lit(0))
-        return x.withColumn("_band", F.floor(F.col(order_col) / F.lit(band_width)).cast("bigint"))
-
-    d = banded(df)
-    src = banded(bands_from) if bands_from is not None else d
-    bands = src.groupBy(*ks, "_band").agg(F.sum(value_col).alias("_bsum"))
+    d = df if group_cols else df.withColumn("_g", F.lit(0))
+    d = d.withColumn("_band", value_band(F.col(order_col).cast("double")))
+    bands = d.groupBy(*ks, "_band").agg(F.sum(value_col).alias("_bsum"))
     border = F.col("_band").desc_nulls_last() if descending else F.col("_band").asc_nulls_last()
     wk = Window.partitionBy(*ks)
     wb = wk.orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
-    sel = [*ks, F.col("_band").alias("_band2"), F.coalesce(F.sum("_bsum").over(wb), F.lit(0)).alias("_boff")]
+    sel = [*ks, "_band", F.coalesce(F.sum("_bsum").over(wb), F.lit(0)).alias("_boff")]
     if total_col:
         sel.append(F.sum("_bsum").over(wk).alias(total_col))
-    bands = bands.select(*sel)
-    cond = [d[k] == bands[k] for k in ks] + [d["_band"].eqNullSafe(bands["_band2"])]
-    j = d.join(bands, cond).select(d["*"], *[c for c in ["_boff", total_col] if c])
+    j = join_on_keys(d, bands.select(*sel), [*ks, "_band"])
     vorder = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
     wi = Window.partitionBy(*ks, "_band").orderBy(vorder).rowsBetween(Window.unboundedPreceding, -1)
     out = j.withColumn(out_col, F.col("_boff") + F.coalesce(F.sum(value_col).over(wi), F.lit(0))) \
@@ -232,30 +238,29 @@ def prefix_sum(df: DataFrame, group_cols: list[str], order_col: str, value_col:
     return out if group_cols else out.drop("_g")
 
 
-def duration_steps(df: DataFrame, keys: list[str], value_col: str, drop_nulls: bool = False,
-                   coarse_width: float = 1.0) -> DataFrame:
+def value_ranks(df: DataFrame, keys: list[str], value_col: str, descending: bool = False) -> DataFrame:
+    """One row per (key, distinct value): ``_v``, ``n_rows``, ``rank_first`` (rows before it)
+    and ``n_total``; the common base of duration curves and exact quantiles."""
+    freq = df.select(*keys, F.col(value_col).alias("_v")).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("n_rows"))
+    return prefix_sum(freq, keys, "_v", "n_rows", descending=descending, out_col="rank_first", total_col="n_total")
+
+
+def duration_steps(df: DataFrame, keys: list[str], value_col: str, drop_nulls: bool = False) -> DataFrame:
     """W5 in exact compressed form: one row per (key, distinct value).
 
     Sorting a series descending (NULLs last) and numbering rows from 0 gives,
     for each distinct value, a run of ranks ``rank_first..rank_last``;
     ``position = 100 * rank / n`` with ``n`` all rows (NULLs included, Q10).
     ``rank_first`` is the number of rows with a larger value: a ``prefix_sum``
-    of the value counts (coarse bands of width ``coarse_width``, then values),
-    so no window ever holds a whole series. ``drop_nulls`` removes NULL values
-    before counting.
+    of the value counts, so no window ever holds a whole series. ``drop_nulls``
+    removes NULL values before counting.
     """
-    d = df.select(*keys, F.col(value_col).alias("_v"))
-    if drop_nulls:
-        d = d.filter(F.col("_v").isNotNull())
-    freq = d.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("n_rows"))
-    ranked = prefix_sum(freq, keys, "_v", "n_rows", descending=True, band_width=coarse_width,
-                        out_col="rank_first", total_col="n_total",
-                        bands_from=d.withColumn("n_rows", F.lit(1).cast("bigint")))
-    return ranked.select(
-        *keys, F.col("_v").alias(value_col), "n_rows", "rank_first",
-        (F.col("rank_first") + F.col("n_rows") - 1).alias("rank_last"), "n_total",
+    d = df.filter(F.col(value_col).isNotNull()) if drop_nulls else df
+    last = F.col("rank_first") + F.col("n_rows") - 1
+    return value_ranks(d, keys, value_col, descending=True).select(
+        *keys, F.col("_v").alias(value_col), "n_rows", "rank_first", last.alias("rank_last"), "n_total",
         (F.col("rank_first") * 100.0 / F.col("n_total")).alias("position_first"),
-        ((F.col("rank_first") + F.col("n_rows") - 1) * 100.0 / F.col("n_total")).alias("position_last"))
+        (last * 100.0 / F.col("n_total")).alias("position_last"))
 
 
 def duration_markers(steps: DataFrame, keys: list[str], value_col: str,

@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import join_on_keys
 from ..functions.numeric import safe_div
+from . import series as S
 
 
 def _c(col) -> Column:
@@ -26,34 +28,48 @@ def series_summary(df: DataFrame, timestamp_col: str = "timestamp",
 def distinct_days(df: DataFrame, timestamp_col: str = "timestamp", group_cols=(),
                   approx: bool = False) -> DataFrame:
     """A2: ``COUNT(DISTINCT day)``; ``approx`` uses HyperLogLog++."""
+    return df.groupBy(*group_cols).agg(distinct_days_expr(timestamp_col, approx))
+
+
+def distinct_days_expr(timestamp_col: str = "timestamp", approx: bool = False) -> Column:
+    """A2 as an aggregate expression, to share a grouped pass with others."""
     d = F.to_date(timestamp_col)
-    fn = F.approx_count_distinct(d) if approx else F.count_distinct(d)
-    return df.groupBy(*group_cols).agg(fn.alias("distinct_days"))
+    return (F.approx_count_distinct(d) if approx else F.count_distinct(d)).alias("distinct_days")
 
 
-def null_counts(df: DataFrame, cols: list[str], group_cols=()) -> DataFrame:
-    """A3: per column, number of NULLs (``count_if``), in one pass."""
+def null_counts(df: DataFrame, cols: list[str], group_cols=(), extra: list[Column] | None = None) -> DataFrame:
+    """A3: per column, number of NULLs (``count_if``), with any ``extra`` aggregates in the same pass."""
     return df.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in cols])
+        *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in cols], *(extra or []))
+
 
+def value_stats(value_col, prefix: str = "", which=("n", "mean", "std", "min", "max")) -> list[Column]:
+    """A8/A11 building block: aggregate expressions for one value column, each combined map-side.
 
-def value_stats(value_col, prefix: str = "", which=("n", "mean", "median", "std", "min", "max"),
-                approx: bool = False) -> list[Column]:
-    """A8/A11 building block: aggregate expressions for one value column."""
+    The median is not among them (see ``group_stats``): as an aggregate it would hold
+    every distinct value of a group in one task.
+    """
     v = _c(value_col)
-    med = F.percentile_approx(v, 0.5, 10000) if approx else F.median(v)
     table = {
-        "rows": F.count(F.lit(1)), "n": F.count(v), "mean": F.avg(v), "median": med,
+        "rows": F.count(F.lit(1)), "n": F.count(v), "mean": F.avg(v),
         "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v), "sum": F.sum(v),
     }
     return [table[w].alias(prefix + w) for w in which]
 
 
 def group_stats(df: DataFrame, group_cols: list, value_col: str,
-                which=("n", "mean", "median", "std", "min", "max"), approx: bool = False) -> DataFrame:
-    """Grouped count, mean, median, sample std, min, max."""
-    return df.groupBy(*group_cols).agg(*value_stats(value_col, "", which, approx))
+                which=("n", "mean", "median", "std", "min", "max"), probs: dict[str, float] | None = None) -> DataFrame:
+    """Grouped count, mean, median, sample std, min, max; ``probs`` adds
+    named quantiles. Order statistics come from ``quantiles`` and are joined on the group."""
+    base = df.groupBy(*group_cols).agg(*value_stats(value_col, "", [w for w in which if w != "median"]))
+    named = ({"median": 0.5} if "median" in which else {}) | (probs or {})
+    if not named:
+        return base
+    q = quantiles(df, group_cols, value_col, list(named.values()), list(named))
+    if not group_cols:
+        return base.withColumn("_g", F.lit(0)).join(q.withColumn("_g", F.lit(0)), "_g", "left").select(*which, *(probs or {}))
+    return join_on_keys(base, q, list(group_cols), "left").select(*group_cols, *which, *(probs or {}))
 
 
 def quantiles(df: DataFrame, group_cols: list, value_col: str, probs: list[float],
@@ -61,15 +77,32 @@ def quantiles(df: DataFrame, group_cols: list, value_col: str, probs: list[float
               accuracy: int = 10000) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas / DuckDB ``quantile_cont``).
 
-    ``approx=True`` switches to ``percentile_approx`` (bounded memory per group,
-    relative rank error about 1/accuracy) for very large groups.
+    Values are ranked by ``series.value_ranks`` (two-level prefix sum of value counts) and
+    the two ranks around each position are looked up in one aggregate, so a group's
+    values never meet in one task. NULLs are skipped; a group of NULLs alone gives no row.
+    ``approx=True`` uses ``percentile_approx`` (relative rank error about 1/accuracy).
     """
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    q = (F.percentile_approx(_c(value_col), arr, accuracy) if approx
-         else F.percentile(_c(value_col), arr))
-    out = df.groupBy(*group_cols).agg(q.alias("_q"))
-    return out.select(*group_cols, *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    d = df.filter(F.col(value_col).isNotNull())
+    if approx:
+        q = F.percentile_approx(_c(value_col), F.array(*[F.lit(float(p)) for p in probs]), accuracy)
+        out = d.groupBy(*group_cols).agg(q.alias("_q"))
+        return out.select(*group_cols, *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    ranks = S.value_ranks(d, list(group_cols), value_col)
+    first, v, aggs = F.col("rank_first"), F.col("_v").cast("double"), []
+    for i, p in enumerate(probs):
+        at = F.lit(float(p)) * (F.col("n_total") - 1)
+        for side, index in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            # the value at an index: the largest whose run starts at or before it
+            aggs.append(F.max(F.when(first <= index, v)).alias(f"_{side}{i}"))
+    out = ranks.groupBy(*group_cols).agg(F.max("n_total").alias("_n"), *aggs)
+    sel = []
+    for i, (p, n) in enumerate(zip(probs, names)):
+        at = F.lit(float(p)) * (F.col("_n") - 1)
+        part = at - F.floor(at)
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        sel.append(F.when(part == 0, lo).otherwise(lo + (hi - lo) * part).alias(n))
+    return out.select(*group_cols, *sel)
 
 
 def correlation(df: DataFrame, a: str, b: str, group_cols=()) -> DataFrame:
@@ -114,23 +147,20 @@ def histogram(df: DataFrame, group_cols: list, value_col: str, bins: int = 50,
     kept (count 0). Pass 1 is a tiny per-group min/max table that the counting
     pass joins back (broadcast by AQE when small, shuffled otherwise).
     """
-    not_null = F.col(value_col).isNotNull()
-    for k in group_cols:  # a NULL group key could never join back; drop it once, up front
-        not_null = not_null & F.col(k).isNotNull()
-    d, keys = _with_group(df.filter(not_null), group_cols)
+    d, keys = _with_group(df.filter(F.col(value_col).isNotNull()), group_cols)
     v = F.col(value_col)
     rng = d.groupBy(*keys).agg(F.min(v).alias("_mn"), F.max(v).alias("_mx"), F.count(v).alias("_n"))
     rng = rng.select(*keys, "_n",
                      F.when(F.col("_mx") > F.col("_mn"), F.col("_mn")).otherwise(F.col("_mn") - 0.5).alias("_lo"),
                      F.when(F.col("_mx") > F.col("_mn"), F.col("_mx")).otherwise(F.col("_mx") + 0.5).alias("_hi"))
-    keyed = d.select(*keys, v.alias("_v")).join(rng, keys)
+    keyed = join_on_keys(d.select(*keys, v.alias("_v")), rng, keys)
     idx = F.least(F.floor((F.col("_v") - F.col("_lo")) * F.lit(bins) / (F.col("_hi") - F.col("_lo"))),
                   F.lit(bins - 1)).cast("bigint")
     counts = keyed.groupBy(*keys, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     spine = rng.select(*keys, "_n", "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("_b")) \
         .withColumn("bin", F.col("_b").cast("bigint")).drop("_b")
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-    out = spine.join(counts, [*keys, "bin"], "left").select(
+    out = join_on_keys(spine, counts, [*keys, "bin"], "left").select(
         *keys, "bin", "_n",
         (F.col("_lo") + F.col("bin") * width).alias("bin_lo"),
         (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"),
@@ -159,7 +189,7 @@ def box_stats(df: DataFrame, group_cols: list, value_col: str, whis: float = 1.5
     # The quartile row rides through the join, so the small quartile table is
     # joined once (no second join that would recompute it).
     qcols = ["q1", "median", "q3", "iqr", "lo_fence", "hi_fence"]
-    joined = d.select(*keys, F.col(value_col).alias("_v")).join(q, keys)
+    joined = join_on_keys(d.select(*keys, F.col(value_col).alias("_v")), q, keys)
     inside = (F.col("_v") >= F.col("lo_fence")) & (F.col("_v") <= F.col("hi_fence"))
     out = joined.groupBy(*keys).agg(
         *[F.first(c).alias(c) for c in qcols],

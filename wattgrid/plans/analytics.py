@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import timecols as tc
+from ..functions.keys import join_on_keys
 from ..functions.numeric import combine_single_rows, safe_div
 from ..operators import joins as J
 from ..operators import series as S
@@ -36,12 +37,15 @@ def policy_impact(panel: DataFrame, key: str = KEY, value: str = PRICE, flag: st
     for name, cond in (("pre", ~f), ("during", f)):
         x = F.when(cond, v)
         aggs += [F.count_if(cond).alias(f"rows_{name}"), F.count(x).alias(f"n_{name}"),
-                 F.avg(x).alias(f"mean_{name}"), F.median(x).alias(f"median_{name}"),
+                 F.avg(x).alias(f"mean_{name}"),
                  F.stddev_samp(x).alias(f"std_{name}"), F.min(x).alias(f"min_{name}"),
                  F.max(x).alias(f"max_{name}"),
                  F.to_date(F.min(F.when(cond, F.col(ts)))).alias(f"first_{name}"),
                  F.to_date(F.max(F.when(cond, F.col(ts)))).alias(f"last_{name}")]
     out = panel.groupBy(key).agg(*aggs)
+    q = A.quantiles(panel.filter(f.isNotNull()), [key, flag], value, [0.5], ["_med"])
+    q = q.groupBy(key).agg(F.max(F.when(~f, F.col("_med"))).alias("median_pre"), F.max(F.when(f, F.col("_med"))).alias("median_during"))
+    out = join_on_keys(out, q, [key], "left")
     diff = F.col("mean_during") - F.col("mean_pre")
     return out.withColumns({
         "mean_diff": diff,
@@ -54,12 +58,8 @@ def policy_impact(panel: DataFrame, key: str = KEY, value: str = PRICE, flag: st
 def phase_stats(panel: DataFrame, phase_col: str = "phase", key: str = KEY, value: str = PRICE,
                 probs=(0.1, 0.9)) -> DataFrame:
     """Q-stats5: mean, median, std, P10, P90 (plus rows, n, min, max) per series and phase."""
-    v = F.col(value)
-    q = F.percentile(v, F.array(*[F.lit(p) for p in probs]))
-    out = panel.groupBy(key, phase_col).agg(
-        F.count(F.lit(1)).alias("rows"), *A.value_stats(v), q.alias("_q"))
-    return out.select(*[c for c in out.columns if c != "_q"],
-                      *[F.col("_q")[i].alias(f"p{int(round(p * 100)):02d}") for i, p in enumerate(probs)])
+    names = {f"p{int(round(p * 100)):02d}": p for p in probs}
+    return A.group_stats(panel, [key, phase_col], value, ("rows", "n", "mean", "median", "std", "min", "max"), names)
 
 
 def coupling(panel: DataFrame, a: str, b: str, key: str = KEY, value: str = PRICE, ts: str = TS,
@@ -159,26 +159,25 @@ def diff_in_diff(panel: DataFrame, treated: str, control: str, start: str, key:
 
 
 def supply_curve(bids: DataFrame, group_cols: list[str], price: str = "price_eur_mwh",
-                 quantity: str = "quantity_mw", price_band: float = 10.0) -> DataFrame:
+                 quantity: str = "quantity_mw") -> DataFrame:
     """Q-curve: stepwise cumulative quantity by ascending price per group.
 
     Bids are first summed per price level (partial aggregation), then the
     running sum over price levels is an exact two-level prefix sum
-    (``series.prefix_sum``, bands of ``price_band``), so an hour holding a
-    large share of all bids is not sorted in one task.
+    (``series.prefix_sum``), so an hour holding a large share of all bids is not
+    sorted in one task. Bids without a price come last; NULL group keys are kept.
     """
     lv = bids.groupBy(*group_cols, price).agg(F.sum(quantity).alias("quantity"),
                                               F.count(F.lit(1)).alias("n_bids"))
-    cum = S.prefix_sum(lv, group_cols, price, "quantity", band_width=price_band, out_col="_before",
-                       bands_from=bids.select(*group_cols, price, F.col(quantity).alias("quantity")))
-    return cum.withColumn("cum_quantity", F.col("_before") + F.col("quantity")).drop("_before")
+    cum = S.prefix_sum(lv, group_cols, price, "quantity", out_col="_before")
+    return cum.withColumn("cum_quantity", F.col("_before") + F.coalesce("quantity", F.lit(0))).drop("_before")
 
 
 def shares(df: DataFrame, group_cols: list[str], part_col: str, value_col: str) -> DataFrame:
     """Q-gen: value per part and its share of the group total."""
     parts = df.groupBy(*group_cols, part_col).agg(F.sum(value_col).alias("total"))
     tot = parts.groupBy(*group_cols).agg(F.sum("total").alias("group_total"))
-    return parts.join(tot, group_cols).withColumn(
+    return join_on_keys(parts, tot, group_cols).withColumn(
         "share", safe_div(F.col("total"), F.col("group_total"))).drop("group_total")
 
 

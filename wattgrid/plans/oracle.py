@@ -343,17 +343,18 @@ SQL["load_prices"] = with_hourly(f"""SELECT "timestamp", country, {r('price_eur_
     FROM (UNPIVOT (SELECT * FROM wide WHERE "CONCEPT" IN ({', '.join(repr(c) for c in CONCEPTS)}))
           ON {_hlist} INTO NAME hcol VALUE price_eur_mwh)
     WHERE price_eur_mwh IS NOT NULL AND NOT isnan(price_eur_mwh)) l) d WHERE rn = 1""", CTE["wide"])
-SQL["concept_alignment"] = with_hourly(f"""SELECT CAST("DATE" AS TIMESTAMP) AS "DATE", count(*) AS n_hours,
+SQL["concept_alignment"] = with_hourly(f"""SELECT source, CAST("DATE" AS TIMESTAMP) AS "DATE", count(*) AS n_hours,
   bool_and(sp IS NOT DISTINCT FROM pt) AS equal, count(*) FILTER (WHERE sp IS DISTINCT FROM pt) AS n_different
-FROM (SELECT "DATE", hcol, max(CASE WHEN "CONCEPT" = 'PRICE_SP' THEN v END) AS sp,
+FROM (SELECT source, "DATE", hcol, max(CASE WHEN "CONCEPT" = 'PRICE_SP' THEN v END) AS sp,
              max(CASE WHEN "CONCEPT" = 'PRICE_PT' THEN v END) AS pt
-      FROM wide_a UNPIVOT INCLUDE NULLS (v FOR hcol IN ({_hlist}))
-      GROUP BY 1, 2) t GROUP BY 1""", CTE["wide"], """wide_a AS (SELECT * FROM wide WHERE source = 'part_a'
-  AND "CONCEPT" IN ('PRICE_SP', 'PRICE_PT'))""")
+      FROM wide_pair UNPIVOT INCLUDE NULLS (v FOR hcol IN ({_hlist}))
+      GROUP BY 1, 2, 3) t GROUP BY 1, 2""", CTE["wide"], """wide_pair AS (SELECT * FROM wide
+  WHERE "CONCEPT" IN ('PRICE_SP', 'PRICE_PT'))""")
 
 _flow_cols = ", ".join(
     f"sum(CASE WHEN country_from = 'R{a}' AND country_to = 'R{b}' THEN flow_mw END) AS R{a}_to_R{b}_mw"
-    for a, b in FLOW_PAIRS)
+    for a, b in FLOW_PAIRS) + ", sum(CASE WHEN NOT coalesce((country_from, country_to) IN (" + ", ".join(
+    f"('R{a}', 'R{b}')" for a, b in FLOW_PAIRS) + "), false) THEN flow_mw END) AS other_mw"
 CTE["flows"] = """flows AS (
   SELECT CAST(date_trunc('month', o.o_orderdate) AS TIMESTAMP) AS "timestamp", 'R' || CAST(nc.n_regionkey AS VARCHAR)
          AS country_from, 'R' || CAST(ns.n_regionkey AS VARCHAR) AS country_to, sum(l.l_quantity) AS flow_mw
@@ -364,7 +365,7 @@ SQL["flows_panel"] = f"""WITH {CTE['flows']},
 fw AS (SELECT "timestamp", {_flow_cols} FROM flows GROUP BY 1),
 mb AS (SELECT min("timestamp") AS lo, max("timestamp") AS hi FROM flows),
 ms AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS "timestamp" FROM mb)
-SELECT ms."timestamp", {', '.join(r(f'R{a}_to_R{b}_mw', f'R{a}_to_R{b}_mw') for a, b in FLOW_PAIRS)}
+SELECT ms."timestamp", {', '.join(r(f'R{a}_to_R{b}_mw', f'R{a}_to_R{b}_mw') for a, b in FLOW_PAIRS)}, {r('other_mw', 'other_mw')}
 FROM ms LEFT JOIN fw ON fw."timestamp" = ms."timestamp" """
 SQL["flow_phases"] = f"""WITH {CTE['flows']}
 SELECT country_from, country_to,
@@ -377,6 +378,7 @@ PRIORITY_NAMES = ["urgent", "high", "medium", "not_specified", "low"]
 _prios = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 SQL["year_matrix"] = "SELECT CAST(year(o_orderdate) AS BIGINT) AS year, " + ", ".join(
     r(f"avg(CASE WHEN o_orderpriority = '{p}' THEN o_totalprice END)", n) for p, n in zip(_prios, PRIORITY_NAMES)) \
+    + ", " + r("avg(CASE WHEN NOT coalesce(o_orderpriority IN (" + ", ".join(f"'{p}'" for p in _prios) + "), false) THEN o_totalprice END)", "other") \
     + " FROM orders GROUP BY 1"
 SQL["arrival_coverage"] = """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderdate IS NOT NULL),
 landed AS (SELECT CAST(date_trunc('quarter', d) AS DATE) AS q, count(*) AS days_landed FROM d GROUP BY 1),
@@ -402,10 +404,10 @@ FROM (SELECT avg(CASE WHEN country = '{A}' AND "timestamp" < {P0} THEN price_eur
              avg(CASE WHEN country = '{B}' AND "timestamp" >= {P0} THEN price_eur_mwh END) AS cpost
       FROM panel WHERE country IN ('{A}', '{B}')) t""")
 SQL["supply_curve"] = f"""SELECT "timestamp", country, bid_type, {r('price_eur_mwh', 'price_eur_mwh')}, {r('quantity', 'quantity')},
-  n_bids, {r('sum(quantity) OVER (PARTITION BY "timestamp", country, bid_type ORDER BY price_eur_mwh ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)', 'cum_quantity')}
+  n_bids, {r('sum(quantity) OVER (PARTITION BY "timestamp", country, bid_type ORDER BY price_eur_mwh NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)', 'cum_quantity')}
 FROM (SELECT CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS "timestamp", 'XX' AS country, l_linestatus AS bid_type,
-             l_extendedprice / l_quantity AS price_eur_mwh, sum(l_quantity) AS quantity, count(*) AS n_bids
-      FROM lineitem WHERE l_quantity > 0 GROUP BY 1, 2, 3, 4) t"""
+             l_extendedprice / NULLIF(l_quantity, 0) AS price_eur_mwh, sum(l_quantity) AS quantity, count(*) AS n_bids
+      FROM lineitem GROUP BY 1, 2, 3, 4) t"""
 SQL["generation_shares"] = f"""SELECT month, technology, {r('total', 'total')},
   {r('total / NULLIF(sum(total) OVER (PARTITION BY month), 0)', 'share')}
 FROM (SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS month, l_returnflag AS technology,
@@ -504,13 +506,14 @@ SQL["weather_weighted"] = with_panel(f"""SELECT c."timestamp", d.country,
   {r('sum(c.wind_speed_100m * d.weight) / NULLIF(sum(CASE WHEN c.wind_speed_100m IS NOT NULL THEN d.weight END), 0)', 'wind_speed_100m')}
 FROM city c JOIN (SELECT * FROM (VALUES {_wdim}) t(location, country, weight)) d ON c.location = d.location
 GROUP BY 1, 2""")
-_gen_cols = ", ".join(f"sum(CASE WHEN l_returnflag = '{t}' THEN l_quantity END) AS gen_{t}_mw" for t in TECHNOLOGIES)
+_gen_cols = ", ".join(f"sum(CASE WHEN l_returnflag = '{t}' THEN l_quantity END) AS gen_{t}_mw" for t in TECHNOLOGIES) + \
+    ", sum(CASE WHEN NOT coalesce(l_returnflag IN (" + ", ".join(f"'{t}'" for t in TECHNOLOGIES) + "), false) THEN l_quantity END) AS gen_other_mw"
 SQL["generation_panel"] = f"""WITH g AS (SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS "timestamp", {_gen_cols}
   FROM lineitem GROUP BY 1),
 b AS (SELECT min(CAST(date_trunc('month', l_shipdate) AS TIMESTAMP)) AS lo,
              max(CAST(date_trunc('month', l_shipdate) AS TIMESTAMP)) AS hi FROM lineitem),
 m AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS "timestamp" FROM b)
-SELECT m."timestamp", {', '.join(r(f'gen_{t}_mw', f'gen_{t}_mw') for t in TECHNOLOGIES)}
+SELECT m."timestamp", {', '.join(r(f'gen_{t}_mw', f'gen_{t}_mw') for t in [*TECHNOLOGIES, 'other'])}
 FROM m LEFT JOIN g ON g."timestamp" = m."timestamp" """
 SQL["pair_equal"] = with_panel(f"""SELECT count(*) AS n, coalesce(bool_and(same), true) AS equal,
   count(*) FILTER (WHERE NOT same) AS n_different, count(*) FILTER (WHERE isnan(x) AND isnan(y)) AS nan_pairs

@@ -284,29 +284,27 @@ def q_normalize_utc(spark, sf):
 @query("file_compare")
 def q_file_compare(spark, sf):
     """Are the two landing files equal cell by cell (one-sided cells count as different)?"""
-    w = SI.wide_prices(spark, sf)
-    longs = {p: R.wide_to_long(w.filter(F.col("source") == p), ["DATE", "CONCEPT"], value_col="v", drop_missing=False)
-             for p in ("part_a", "part_b")}
-    return J.series_equal(longs["part_a"], longs["part_b"], ["DATE", "CONCEPT", "hour_index"], "v")
+    long = R.wide_to_long(SI.wide_prices(spark, sf), ["DATE", "CONCEPT", "source"], value_col="v", drop_missing=False)
+    return J.series_equal(long, ["DATE", "CONCEPT", "hour_index"], "v", F.col("source") == "part_a", F.col("source") == "part_b")
 
 
 @query("pair_equal")
 def q_pair_equal(spark, sf):
     """U3 on the panel: are the two series' prices identical hour by hour?"""
     p = _panel(spark, sf).select(KEY, TS, PRICE)
-    return J.series_equal(p.filter(F.col(KEY) == PA), p.filter(F.col(KEY) == PB), [TS], PRICE)
+    return J.series_equal(p, [TS], PRICE, F.col(KEY) == PA, F.col(KEY) == PB)
 
 
 @query("concept_alignment")
 def q_concept_alignment(spark, sf):
-    """Q-aligned / U3: do H1..H24 agree between the two concepts on each date?"""
-    w = SI.wide_prices(spark, sf).filter((F.col("source") == "part_a") & F.col("CONCEPT").isin("PRICE_SP", "PRICE_PT"))
-    long = R.wide_to_long(w, ["DATE", "CONCEPT"], value_col="v", drop_missing=False)
-    pair = long.groupBy("DATE", "hour_index").agg(
+    """Q-aligned / U3: do H1..H24 agree between the two concepts on each date of each file?"""
+    w = SI.wide_prices(spark, sf).filter(F.col("CONCEPT").isin("PRICE_SP", "PRICE_PT"))
+    long = R.wide_to_long(w, ["source", "DATE", "CONCEPT"], value_col="v", drop_missing=False)
+    pair = long.groupBy("source", "DATE", "hour_index").agg(
         F.max(F.when(F.col("CONCEPT") == "PRICE_SP", F.col("v"))).alias("sp"),
         F.max(F.when(F.col("CONCEPT") == "PRICE_PT", F.col("v"))).alias("pt"))
     same = F.col("sp").eqNullSafe(F.col("pt"))
-    return pair.groupBy("DATE").agg(F.count(F.lit(1)).alias("n_hours"), F.bool_and(same).alias("equal"),
+    return pair.groupBy("source", "DATE").agg(F.count(F.lit(1)).alias("n_hours"), F.bool_and(same).alias("equal"),
                                     F.count_if(~same).alias("n_different"))
 
 
@@ -330,8 +328,8 @@ def q_flow_phases(spark, sf):
 def q_year_matrix(spark, sf):
     """Year x priority matrix of means."""
     o = SI.table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
-    m = R.pivot_matrix(o, "year", "o_orderpriority", SI.ORDER_PRIORITIES, "o_totalprice", "avg")
-    return m.select("year", *[F.col(f"`{p}`").alias(n) for p, n in zip(SI.ORDER_PRIORITIES, PRIORITY_NAMES)])
+    m = R.pivot_matrix(o, "year", "o_orderpriority", SI.ORDER_PRIORITIES, "o_totalprice", "avg", other="other")
+    return m.select("year", *[F.col(f"`{p}`").alias(n) for p, n in zip(SI.ORDER_PRIORITIES, PRIORITY_NAMES)], "other")
 
 
 @query("arrival_coverage")
@@ -364,9 +362,7 @@ def q_summary(spark, sf):
 def q_series_days(spark, sf):
     """A2 / A3: rows, distinct days and NULL counts per series."""
     h = SI.hourly_prices(spark, sf)
-    days = A.distinct_days(h, TS, [KEY])
-    nulls = A.null_counts(h, ["energy_mwh"], [KEY])
-    return nulls.join(days, KEY).select(KEY, "rows", "distinct_days", "energy_mwh_nulls")
+    return A.null_counts(h, ["energy_mwh"], [KEY], extra=[A.distinct_days_expr(TS)]).select(KEY, "rows", "distinct_days", "energy_mwh_nulls")
 
 
 @query("did")
@@ -395,7 +391,7 @@ def q_generation_panel(spark, sf):
     """Q-gen: monthly generation by technology as columns (R3) on a gapless month axis."""
     li = SI.table(spark, sf, "lineitem").select(tc.trunc_month("l_shipdate").alias(TS),
                                                 F.col("l_returnflag").alias("technology"), "l_quantity")
-    wide = R.long_to_wide(li, [TS], ["technology"], SI.TECHNOLOGIES, "l_quantity", "sum", name_fmt="gen_{0}_mw")
+    wide = R.long_to_wide(li, [TS], ["technology"], SI.TECHNOLOGIES, "l_quantity", "sum", name_fmt="gen_{0}_mw", other="gen_other_mw")
     return tx.fill_period_gaps(wide, TS, unit="month")
 
 
@@ -427,7 +423,7 @@ def q_merge_diag(spark, sf):
 def q_key_alignment(spark, sf):
     """Do the two observed series cover the same hours?"""
     h = SI.hourly_prices(spark, sf)
-    return J.key_alignment(h.filter(F.col(KEY) == PA).select(TS), h.filter(F.col(KEY) == PB).select(TS), [TS])
+    return J.key_alignment(h, [TS], F.col(KEY) == PA, F.col(KEY) == PB)
 
 
 @query("table_profile")

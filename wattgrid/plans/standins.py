@@ -137,15 +137,15 @@ def flows_wide(flows: DataFrame) -> DataFrame:
     """One column per directed pair, ``R{a}_to_R{b}_mw``."""
     pairs = [(f"R{a}", f"R{b}") for a, b in FLOW_PAIRS]
     return R.long_to_wide(flows, ["timestamp"], ["country_from", "country_to"], pairs, "flow_mw", "sum",
-                          name_fmt="{0}_to_{1}_mw")
+                          name_fmt="{0}_to_{1}_mw", other="other_mw")
 
 
 def bids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bid-curve stand-in in the ``bid_curves`` shape (one row per line item)."""
     li = table(spark, sf_dir, "lineitem")
-    return li.filter(F.col("l_quantity") > 0).select(
+    return li.select(
         tc.trunc_day("l_shipdate").alias("timestamp"), F.lit("XX").alias("country"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("generator_id"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price_eur_mwh"),
+        F.try_divide("l_extendedprice", "l_quantity").alias("price_eur_mwh"),
         F.col("l_quantity").alias("quantity_mw"), F.col("l_linestatus").alias("bid_type"),
         F.col("l_returnflag").alias("technology"))
