@@ -52,3 +52,18 @@ def test_supply_curve_levels_combine_before_shuffle(spark):
     plan = _plan(X.supply_curve(bids, ["timestamp", "country"]))
     assert "partial_sum" in plan
     assert "windowspecdefinition(timestamp" in plan and "_band" in plan
+
+
+def test_no_registered_query_windows_over_everything(spark):
+    """No window without a key over rows of data: one task would see them all."""
+    from wattgrid.plans import registry
+    for name, fn in registry.queries().items():
+        if name.startswith(("stream_", "load_files", "file_inventory")):
+            continue  # they write tables; their plans are covered by their operators
+        plan = fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        for spec in re.findall(r"windowspecdefinition\(([^)]*)", plan):
+            first = spec.split(",")[0]
+            if first.startswith("_y#"):
+                continue  # one row per year: the carry of a table without keys
+            assert "ASC" not in first and "DESC" not in first and "specifiedwindowframe" not in first, (name, spec)
+        assert "Cartesian" not in fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString(), name

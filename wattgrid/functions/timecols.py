@@ -30,8 +30,11 @@ def epoch_ntz() -> Column:
 
 
 def hour_number(col) -> Column:
-    """Whole hours since 1970-01-01 00:00 (floor), as BIGINT."""
-    return F.timestamp_diff("HOUR", epoch_ntz(), _c(col))
+    """Whole hours since 1970-01-01 00:00 as BIGINT, rounded down on either side of it
+    (``timestamp_diff`` alone rounds towards it)."""
+    micros = F.timestamp_diff("MICROSECOND", epoch_ntz(), _c(col))
+    hour = F.lit(3_600_000_000)
+    return ((micros - F.pmod(micros, hour)) / hour).cast("bigint")  # a whole multiple: exact
 
 
 def from_hour_number(col) -> Column:

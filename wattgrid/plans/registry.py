@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import timecols as tc
 from ..functions.numeric import ints_to_bigint, is_missing, round_doubles
@@ -337,7 +338,7 @@ def q_arrival_coverage(spark, sf):
     """Quarterly acquisition windows and the days that landed in each."""
     from ..sources.files import arrival_coverage
     o = SI.table(spark, sf, "orders")
-    return arrival_coverage(o, "o_orderdate", months=3)
+    return arrival_coverage(o, "o_orderdate", months=3, start="1991-01-01", end="1999-12-31")
 
 
 @query("hourly_range_avg")
@@ -501,49 +502,186 @@ def q_findings(spark, sf):
     return X.findings(_panel(spark, sf), PA, PB)
 
 
+def _name(kind: str, sf: str) -> str:
+    """A checkpoint name that stays the same for the same input."""
+    import zlib
+    return f"wattgrid-{kind}-{zlib.crc32(sf.encode()):08x}"
+
+
+def _event_stream(spark, sf):
+    path = f"{sf}/event[s].parquet"  # a glob: the file source lists a pattern or a folder
+    return path, spark.read.parquet(path).schema
+
+
 @query("stream_hourly")
 def q_stream_hourly(spark, sf):
-    """Events as a file stream, watermark 2 h, tumbling hourly windows (append)."""
+    """Events as a file stream, exact hourly totals whatever the batches, nothing late or open lost."""
     from ..streaming import incremental as Z
-    path = f"{sf}/event[s].parquet"  # a glob: the file source lists a pattern or a folder
-    schema = spark.read.parquet(path).schema
-    st = spark.readStream.schema(schema).parquet(path)
-    return Z.run_to_table(spark, Z.hourly_window_aggregate(st, "ts", "event_type", "value", "2 hours"))
+    path, schema = _event_stream(spark, sf)
+    st = spark.readStream.schema(schema).option("maxFilesPerTrigger", Z.FILES_PER_BATCH).parquet(path)
+    st = st.filter(F.col("ts").isNotNull()).select(tc.trunc_hour("ts").alias("window_start"), "event_type", "value")
+    out = Z.incremental_totals(spark, st, ["window_start", "event_type"], "value", _name("hourly", sf))
+    return out.select("window_start", tc.add_hours("window_start", 1).alias("window_end"), "event_type", "n", "total", "mean")
 
 
 @query("stream_dedupe")
 def q_stream_dedupe(spark, sf):
-    """Z1 (bounded lateness): repeated (hour, series) keys dropped within a 2 h watermark."""
+    """Each (hour, series) key of an event stream once, whatever the batches and however late."""
+    from ..session import scratch_path
     from ..streaming import incremental as Z
-    path = f"{sf}/event[s].parquet"
-    schema = spark.read.parquet(path).schema
-    st = spark.readStream.schema(schema).parquet(path) \
-        .select("ts", tc.trunc_hour("ts").alias(TS), F.col("event_type").alias(KEY))
-    out = Z.run_to_table(spark, Z.dedupe_within_watermark(st, "ts", [TS, KEY], "2 hours"))
-    return out.select(TS, KEY)
+    path, schema = _event_stream(spark, sf)
+    target = scratch_path(spark, _name("dedupe", sf) + "-table")
+    keys = T.StructType([T.StructField(TS, T.TimestampNTZType()), T.StructField(KEY, T.StringType())])
+
+    def hours(batch):
+        return batch.filter(F.col("ts").isNotNull()).select(tc.trunc_hour("ts").alias(TS), F.col("event_type").alias(KEY))
+    Z.incremental_first_wins(spark, path, schema, hours, target, keys, [TS, KEY], [], checkpoint_name=_name("dedupe", sf))
+    return Z.stored_table(spark, target, keys)
 
 
 @query("stream_load_prices")
 def q_stream_load_prices(spark, sf):
     """The two wide 'files' land one per micro-batch; first write wins on key."""
-    import uuid
     from ..schemas import PRICES_DAY_AHEAD
     from ..session import scratch_path
     from ..streaming import incremental as Z
-    base = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
+    base = scratch_path(spark, _name("landing", sf))
     wide = SI.wide_prices(spark, sf)
-    for part in ("part_a", "part_b"):  # landing order = arrival order
-        wide.filter(F.col("source") == part).write.parquet(f"{base}/landing/{part}")
+    for part in ("part_a", "part_b"):  # landing order = arrival order; a second run finds them landed
+        wide.filter(F.col("source") == part).write.mode("ignore").parquet(f"{base}/landing/{part}")
     target = f"{base}/prices_day_ahead"
     schema = spark.read.parquet(f"{base}/landing/part_a").schema
     Z.incremental_first_wins(spark, f"{base}/landing/*/*.parquet", schema, load_wide_prices, target,
                              _with_source(PRICES_DAY_AHEAD), [TS, KEY], ["source", PRICE],
-                             max_files_per_trigger=1)
+                             checkpoint_name=_name("landing", sf) + "-checkpoint", max_files_per_trigger=1)
     return spark.read.parquet(target).select(TS, KEY, PRICE, "source")
 
 
+@query("load_files")
+def q_load_files(spark, sf):
+    """Wide files with dates of different types are read, loaded first-wins
+    in two batches (the second again in full), and one hour of the day is deleted."""
+    import uuid
+    from ..schemas import PRICES_DAY_AHEAD
+    from ..session import scratch_path
+    from ..sources import files, sinks
+    base = scratch_path(spark, f"files-{uuid.uuid4().hex}")
+    paths = SI.land_wide_files(spark, sf, f"{base}/landing")
+    schema, target = _with_source(PRICES_DAY_AHEAD), f"{base}/prices"
+
+    def load(some):
+        long = load_wide_prices(files.read_wide_prices(spark, some))
+        return long.withColumn("source", F.regexp_extract("source", "(part_[ab])", 1))
+    sinks.overwrite(load(paths[:1]), target, schema)
+    for some in (paths[1:], paths):
+        sinks.append_ignore(spark, load(some), target, schema, [TS, KEY], ["source", PRICE])
+    kept = sinks.delete_where(spark, target, F.hour(TS) == 3, f"{base}/prices-kept")
+    return kept.select(TS, KEY, PRICE, "source")
+
+
+@query("file_inventory")
+def q_file_inventory(spark, sf):
+    """What landed per folder: rows, dates and range, columns renamed to the table's."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources import files
+    paths = SI.land_wide_files(spark, sf, scratch_path(spark, f"inventory-{uuid.uuid4().hex}"))
+    out = None
+    for path in paths:
+        inv = files.file_inventory(spark, path)
+        days = files.read_wide_prices(spark, path).agg(F.min("DATE").alias("first_day"), F.max("DATE").alias("last_day"), F.count_distinct("DATE").alias("dates"))
+        one = inv.agg(F.sum("rows").alias("rows"), F.count_if(F.col("file_size") <= 0).alias("no_bytes")).withColumn("_one", F.lit(0))
+        one = one.join(days.withColumn("_one", F.lit(0)), "_one").select(F.lit(path.rsplit("/", 1)[1]).alias("folder"), "rows", "no_bytes", "first_day", "last_day", "dates")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("panel_flows")
+def q_panel_flows(spark, sf):
+    """Q-panel with flows (J3): every panel hour carries the hour's flow columns."""
+    from ..operators import panel as P
+    p = P.build_panel(SI.spine(spark, sf), SI.hourly_prices(spark, sf), None, SI.hourly_flows_wide(spark, sf), policy=SI.POLICY)
+    return p.select(TS, KEY, PRICE, *[f"{a}_to_{b}_mw" for a, b in SI.HOURLY_FLOW_PAIRS], "other_mw")
+
+
+@query("duration_phase")
+def q_duration_phase(spark, sf):
+    """Q-duration before / during / after the policy: step tables per series and phase."""
+    p = tx.add_phase(_panel(spark, sf), mode="three", policy=SI.POLICY)
+    return S.duration_steps(p, [KEY, "phase"], PRICE)
+
+
+@query("monthly_gap")
+def q_monthly_gap(spark, sf):
+    """Monthly means of the two series and their gap."""
+    k, v = F.col(KEY), F.col(PRICE)
+    m = _panel(spark, sf).filter(k.isin(PA, PB)).groupBy(tc.trunc_month(TS).alias("month")).agg(
+        F.avg(F.when(k == PA, v)).alias("mean_a"), F.avg(F.when(k == PB, v)).alias("mean_b"))
+    return m.withColumn("gap", F.col("mean_a") - F.col("mean_b"))
+
+
+@query("dup_evidence")
+def q_dup_evidence(spark, sf):
+    """Q-dups / W7 / A18: every source row of a duplicated (hour, series) key, with its value."""
+    return D.duplicated_rows(_raw_events(spark, sf), [TS, KEY]).select(TS, KEY, "user_id", "v")
+
+
+@query("dst_clean")
+def q_dst_clean(spark, sf):
+    """One row kept per hour and series of the raw events, the rest of its check aside."""
+    return Q.handle_dst_transitions(_raw_events(spark, sf), [KEY], TS, ["user_id", "v"])["clean"].select(TS, KEY, "user_id", "v")
+
+
+@query("split_at_start")
+def q_split_at_start(spark, sf):
+    """Rows and mean per series before and from the policy's start."""
+    p = tx.add_phase(_panel(spark, sf), mode="start", policy=SI.POLICY)
+    return p.groupBy(KEY, "phase").agg(F.count(F.lit(1)).alias("rows"), F.avg(PRICE).alias("mean"))
+
+
+@query("series_by_mean")
+def q_series_by_mean(spark, sf):
+    """O2: the three series with the lowest mean, ascending."""
+    m = _panel(spark, sf).groupBy(KEY).agg(F.avg(PRICE).alias("mean"))
+    return m.orderBy(F.col("mean").asc_nulls_last(), KEY).limit(3)
+
+
+@query("day_equal")
+def q_day_equal(spark, sf):
+    """Rows of one calendar day by equality of dates."""
+    h = SI.hourly_prices(spark, sf)
+    return h.filter(F.to_date(TS) == F.lit(SI.POLICY[0]).cast("date")).groupBy(KEY).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("rule_checks")
+def q_rule_checks(spark, sf):
+    """E1 (wide band) E8: possible prices, whole hours, code format and required columns."""
+    h = SI.hourly_prices(spark, sf)
+    return Q.expectations(h, Q.wide_price_rules() | Q.key_rules(TS, KEY, (PRICE, "energy_mwh")))
+
+
+@query("weather_bounds")
+def q_weather_bounds(spark, sf):
+    """Mean weather per series within plausible bounds."""
+    return Q.mean_bounds(SI.country_weather(spark, sf), {"temperature_c": (-20.0, 50.0), "wind_speed_100m": (0.0, 50.0)}, [KEY])
+
+
+@query("hourly_steps")
+def q_hourly_steps(spark, sf):
+    """Steps that are not one hour, in the panel (none) and in the observed hours."""
+    both = _panel(spark, sf).select(F.lit("panel").alias("what"), KEY, TS).unionByName(SI.hourly_prices(spark, sf).select(F.lit("observed").alias("what"), KEY, TS))
+    return S.step_check(both, ["what", KEY], TS)
+
+
+@query("wide_schema")
+def q_wide_schema(spark, sf):
+    """The wide table has its date, concept and 24 hour columns; and how many rows carry them."""
+    w = SI.wide_prices(spark, sf)
+    ok = Q.wide_schema_check(w)
+    return w.agg(F.count(F.lit(1)).alias("rows")).select("rows", *[F.lit(v).alias(k) for k, v in ok.items()])
+
+
 def _with_source(schema):
-    from pyspark.sql import types as T
     return T.StructType(list(schema.fields) + [T.StructField("source", T.StringType())])
 
 

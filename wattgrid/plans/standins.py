@@ -79,15 +79,17 @@ def country_weather_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 weight_col="weight")
 
 
-def spine(hourly: DataFrame) -> DataFrame:
-    """Gapless hour x series spine over the data's whole day range."""
-    return tx.keyed_hour_spine(tx.shared_day_bounds(hourly, ["country"]), ["country"], "first_day", "last_day")
+def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gapless hour x series spine over the data's whole day range, bounds from the raw rows."""
+    e = table(spark, sf_dir, "events").filter(F.col("ts").isNotNull() & F.col("event_type").isNotNull())
+    raw = e.select(F.col("ts").alias("timestamp"), F.col("event_type").alias("country"))
+    return tx.keyed_hour_spine(tx.shared_day_bounds(raw, ["country"]), ["country"], "first_day", "last_day")
 
 
 def panel(spark: SparkSession, sf_dir: str, with_weather: bool = True) -> DataFrame:
     hourly = hourly_prices(spark, sf_dir)
     weather = country_weather(spark, sf_dir) if with_weather else None
-    return P.build_panel(spine(hourly), hourly, weather, policy=POLICY)
+    return P.build_panel(spine(spark, sf_dir), hourly, weather, policy=POLICY)
 
 
 def wide_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +142,29 @@ def flows_wide(flows: DataFrame) -> DataFrame:
                           name_fmt="{0}_to_{1}_mw", other="other_mw")
 
 
+HOURLY_FLOW_PAIRS = [(f"U{a}", f"V{b}") for a in range(2) for b in range(3)]
+
+
+def hourly_flows_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly flows from the events (user group to user group, summed value), one column a pair."""
+    e = table(spark, sf_dir, "events").filter(F.col("ts").isNotNull())
+    fl = e.select(tc.trunc_hour("ts").alias("timestamp"), F.concat(F.lit("U"), (F.col("user_id") % 2).cast("string")).alias("country_from"),
+                  F.concat(F.lit("V"), (F.col("user_id") % 3).cast("string")).alias("country_to"), nan_to_null("value").alias("flow_mw"))
+    return R.long_to_wide(fl, ["timestamp"], ["country_from", "country_to"], HOURLY_FLOW_PAIRS, "flow_mw", "sum", name_fmt="{0}_to_{1}_mw", other="other_mw")
+
+
+def land_wide_files(spark: SparkSession, sf_dir: str, base: str) -> list[str]:
+    """Write the two wide 'files' as they come from different tools: one with a timestamp
+    ``DATE`` and no ``H25``, one with text dates. Returns their folders."""
+    wide = wide_prices(spark, sf_dir)
+    a = wide.filter(F.col("source") == "part_a").drop("source").withColumn("DATE", F.col("DATE").cast("timestamp_ntz"))
+    b = wide.filter(F.col("source") == "part_b").drop("source").withColumn("DATE", F.date_format("DATE", "dd/MM/yyyy")).withColumn("H25", F.lit(None).cast("double"))
+    paths = [f"{base}/part_a", f"{base}/part_b"]
+    for df, path in zip((a, b), paths):
+        df.write.mode("overwrite").parquet(path)
+    return paths
+
+
 def bids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bid-curve stand-in in the ``bid_curves`` shape (one row per line item)."""
     li = table(spark, sf_dir, "lineitem")

@@ -5,31 +5,50 @@ Parquet scan (``PushedFilters``) and only the selected columns are read.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import timecols as tc
 from ..functions.numeric import nans_to_nulls
 from ..schemas import WIDE_PRICES, conform
 
 
+def _date_of(df: DataFrame, col: str) -> Column:
+    """A DATE from whatever a file holds: date, timestamp (zoned or not) or text."""
+    t = df.schema[col].dataType
+    if isinstance(t, T.DateType):
+        return F.col(col)
+    if isinstance(t, T.TimestampType):
+        return F.to_date(tc.instant_to_utc_ntz(col))
+    if isinstance(t, T.TimestampNTZType):
+        return F.to_date(col)
+    return F.to_date(tc.parse_timestamp(col))
+
+
 def read_wide_prices(spark: SparkSession, path: str | list[str], schema: T.StructType = WIDE_PRICES,
                      ignore_corrupt: bool = False) -> DataFrame:
     """S1 + S2: wide price files (``DATE, CONCEPT, H1..H24[, H25]``) with provenance.
 
-    An explicit nullable schema makes a missing ``H25`` (or any hour) read as
-    NULL. ``source`` is the file's full path (``_metadata.file_path``): it
-    sorts like a sorted glob (folder, then name), is unique across folders, and
-    is the deterministic tie-break for first-wins loading. NaN becomes NULL (Q1).
-    ``ignore_corrupt`` skips unreadable files instead of failing (Q18).
+    Files are read with the types they have and then brought to ``schema`` by name: ``DATE``
+    may be a date, a timestamp or text in any of ``parse_timestamp``'s forms, hours may be
+    integers, a missing ``H25`` (or any hour) reads as NULL. Give paths whose files
+    differ in a column's type as a list; each is read by itself. ``source`` is the
+    file's full path (``_metadata.file_path``): it sorts like a sorted glob, is unique
+    across folders, and is the deterministic tie-break for first-wins loading. NaN
+    becomes NULL (Q1). ``ignore_corrupt`` skips unreadable files instead of failing (Q18).
     """
-    r = spark.read.schema(schema)
+    r = spark.read.option("mergeSchema", "true")
     if ignore_corrupt:
         r = r.option("ignoreCorruptFiles", "true")
-    paths = [path] if isinstance(path, str) else list(path)
-    df = r.parquet(*paths)
-    df = df.withColumn("source", F.col("_metadata.file_path"))
-    return nans_to_nulls(df)
+    out = None
+    for one in ([path] if isinstance(path, str) else list(path)):
+        df = r.parquet(one)
+        if "DATE" in df.columns:
+            df = df.withColumn("DATE", _date_of(df, "DATE"))
+        df = conform(df.withColumn("source", F.col("_metadata.file_path")), T.StructType([*schema.fields, T.StructField("source", T.StringType())]))
+        out = df if out is None else out.unionByName(df)
+    return nans_to_nulls(out)
 
 
 def read_panel(spark: SparkSession, path: str, start: str | None = None, end: str | None = None,
@@ -90,24 +109,33 @@ def file_inventory(spark: SparkSession, path: str, timestamp_col: str | None = N
                             "empty": F.coalesce("rows", F.lit(0)) == 0})
 
 
-def arrival_coverage(df: DataFrame, date_col: str, months: int = 3) -> DataFrame:
-    """Which acquisition windows (every ``months`` months) have data, and how much.
+def arrival_coverage(df: DataFrame, date_col: str, months: int = 3, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Which expected acquisition windows (every ``months`` months) have data, and how much.
 
-    Landed dates are mapped to their window start arithmetically (an equi-join
-    key), so no range join is needed. Windows with no data get 0.
+    ``start`` and ``end`` give the expected calendar; windows in it without data get 0, and
+    windows with data outside it are reported with ``expected`` false. Without them the
+    calendar reaches from the first to the last landed window. Landed dates are mapped
+    to their window start arithmetically (an equi-join key); one scan.
     """
     d = df.select(F.to_date(date_col).alias("_d")).filter(F.col("_d").isNotNull()).distinct()
-    m = F.year("_d") * 12 + F.month("_d") - 1
-    start = F.make_date((F.floor(m / months) * months / 12).cast("int"),
-                        (F.pmod(F.floor(m / months) * months, F.lit(12)) + 1).cast("int"), F.lit(1))
-    landed = d.groupBy(start.alias("window_start")).agg(F.count(F.lit(1)).alias("days_landed"))
-    b = landed.agg(F.min("window_start").alias("_lo"), F.max("window_start").alias("_hi"))
-    windows = b.select(F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {months} MONTH"))).alias("window_start"))
-    out = windows.join(landed, "window_start", "left")
-    end = F.date_sub(F.add_months("window_start", months), 1)
+
+    def window_start(col: Column) -> Column:
+        m = F.floor((F.year(col) * 12 + F.month(col) - 1) / months) * months
+        return F.make_date((m / 12).cast("int"), (F.pmod(m, F.lit(12)) + 1).cast("int"), F.lit(1))
+
+    landed = d.groupBy(window_start(F.col("_d")).alias("window_start")).agg(F.count(F.lit(1)).alias("days_landed"))
+    step = F.expr(f"INTERVAL {months} MONTH")
+    if start and end:
+        one = df.sparkSession.range(1)
+        calendar = one.select(F.explode(F.sequence(window_start(F.lit(start).cast("date")), window_start(F.lit(end).cast("date")), step)).alias("window_start"))
+    else:
+        b = landed.agg(F.min("window_start").alias("_lo"), F.max("window_start").alias("_hi")).filter("_lo IS NOT NULL")
+        calendar = b.select(F.explode(F.sequence("_lo", "_hi", step)).alias("window_start"))
+    out = calendar.withColumn("expected", F.lit(True)).join(landed, "window_start", "full_outer")
+    last = F.date_sub(F.add_months("window_start", months), 1)
     label = F.concat(F.year("window_start").cast("string"), F.lit("Q"), F.quarter("window_start").cast("string")) \
         if months == 3 else F.date_format("window_start", "yyyy-MM")
-    return out.select("window_start", end.alias("window_end"), label.alias("label"),
+    return out.select("window_start", last.alias("window_end"), label.alias("label"),
                       F.datediff(F.add_months("window_start", months), F.col("window_start")).cast("bigint")
                       .alias("days_expected"),
-                      F.coalesce("days_landed", F.lit(0)).alias("days_landed"))
+                      F.coalesce("days_landed", F.lit(0)).alias("days_landed"), F.coalesce("expected", F.lit(False)).alias("expected"))

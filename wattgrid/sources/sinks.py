@@ -53,10 +53,8 @@ def append_ignore(spark: SparkSession, incoming: DataFrame, path: str, schema: T
     ``[min, max]`` range (one-row bounds, pushed to the scan and to partition
     pruning), not in full.
     """
-    try:
-        target = spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - no table yet: everything is new
-        target = spark.createDataFrame([], schema)
+    from ..streaming.incremental import stored_table
+    target = stored_table(spark, path, schema)
     cols = [c for c in dict.fromkeys(schema.names + list(order_cols)) if c in incoming.columns]
     inc = incoming.select(*cols)
     if range_col and range_col in inc.columns:
@@ -81,8 +79,9 @@ def write_panel(panel: DataFrame, path: str, timestamp_col: str = "timestamp", k
     out.write.mode("overwrite").option("compression", compression).partitionBy("year").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """CSV with header. ``single_file`` for small summary tables only
-    (the exported tables are 8 and 24 rows)."""
-    out = df.coalesce(1) if single_file else df
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with header, one file per partition. ``single_file`` is for small summary
+    tables (8 and 24 rows): a shuffle of the finished rows, so the work before it keeps
+    its parallelism."""
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
