@@ -83,6 +83,17 @@ def test_learns_and_tolerates_gaps(spark):
     assert again.keys == model.keys and again.odds == pytest.approx(model.odds)
 
 
+def test_stage_drops_toxic_rows_and_keeps_columns(spark, tmp_path):
+    docs, labels = corpus()
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    lab.write.parquet(str(tmp_path / "labels.parquet"))
+    d = spark.createDataFrame(docs + [(None, None, "", "")], "doc_id long, text string, _text string, TEXT string")
+    out = T.stage(spark, d, str(tmp_path))
+    assert out.columns == d.columns
+    kept = {r["doc_id"] for r in out.toDF("doc_id", "t", "a", "b").collect()}
+    assert kept == {i for i, _, t in labels if not t} | {None}
+
+
 def test_without_both_labels(spark):
     d = spark.createDataFrame([(1, "a b", "")], "doc_id long, text string, _f string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wattgrid.llm import pii_surrogates as P
 
-SCHEMA = "doc_id long, text string, m string, s string"
+SCHEMA = "doc_id long, text string, _hits string, TEXT string"
 TEXTS = [
     "Call Mrs. Anna MÜLLER at +1 (017) 555-7713 or mail Und.34@Mail7.example.COM now. Mrs. Müller is here.",
     "und.34@mail7.example.com and 233.254.104.120, 9807915762804490 4539 1488 0343 6467; г-жа Анна Петрова; г-н Иван Петров",
@@ -26,6 +26,8 @@ def run(spark, texts, key="k"):
     df = spark.createDataFrame([(i, t, "clash", "clash") for i, t in enumerate(texts)], SCHEMA)
     out = P.replace_entities(df, key=key)
     assert out.columns == [*df.columns, "_hits"]
+    out = out.toDF("doc_id", "text", "a", "b", "_hits")
+    assert out.filter("a <> 'clash' OR b <> 'clash'").count() == 0
     return {r["doc_id"]: r for r in out.collect()}
 
 
@@ -92,7 +94,8 @@ def test_plan_is_native(spark):
 
 def test_empty_table_and_stage(spark):
     assert P.replace_entities(spark.createDataFrame([], SCHEMA)).count() == 0
-    df = spark.createDataFrame([(1, TEXTS[0], "en", "s", 5), (None, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
+    df = spark.createDataFrame([(1, TEXTS[0], "en", "s", 5, "x"), (None, None, None, None, None, None)], "doc_id long, text string, _hits string, _subs string, n_chars long, Text string")
     out = P.stage(spark, df, "")
     assert out.columns == df.columns and out.count() == 2
-    assert out.filter(F.col("n_chars") != F.length("text")).count() == 0
+    out = out.toDF("doc_id", "text", "a", "b", "n_chars", "c")
+    assert out.filter(F.col("n_chars") != F.length("text")).count() == 0 and out.filter("c = 'x' AND a = 'en'").count() == 1

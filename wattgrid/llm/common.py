@@ -47,6 +47,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def masked(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named by place (``c0``, ``c1``, ...): an operator's own columns
+    cannot clash with the input's, whatever those are called."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def place_of(df: DataFrame, name: str) -> str:
+    """The name that ``masked`` gives to the column called exactly ``name``."""
+    return f"c{df.columns.index(name)}"
+
+
 def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``_id``, ``_x``, ``_n`` and ``_text`` (NULL text: empty) of every row, nothing else.
 
@@ -55,9 +66,9 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     Only the two named columns are read, so extra columns may have any names.
     """
     ship(docs.sparkSession)
-    text = F.coalesce(docs[text_col], F.lit(""))
-    return docs.select(docs[id_col].alias("_id"), F.xxhash64(text).alias("_x"),
-                       F.octet_length(text).alias("_n"), text.alias("_text"))
+    text = F.coalesce(F.col(place_of(docs, text_col)), F.lit(""))
+    return masked(docs).select(F.col(place_of(docs, id_col)).alias("_id"), F.xxhash64(text).alias("_x"),
+                               F.octet_length(text).alias("_n"), text.alias("_text"))
 
 
 IDENTITY = ["_id", "_x", "_n"]
@@ -77,26 +88,26 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str, text_col: str)
     ``decisions`` is a written table with the identity columns and ``_kept``, one row
     per row of ``docs``. The rows to drop are the smaller side, so they are what is
     joined; Spark broadcasts them only below its measured size limit. Of repeats of
-    one row as many stay as were kept.
+    one row that are not all kept, one stays.
     """
     per = decisions.groupBy(*IDENTITY).agg(F.sum(F.col("_kept").cast("long")).alias("_k"),
                                            F.count(F.lit(1)).alias("_m"))
     gone = per.filter("_k = 0").select(*[F.col(c).alias(f"_gone{c}") for c in IDENTITY])
-    text = F.coalesce(docs[text_col], F.lit(""))
-    of = {"_id": docs[id_col], "_x": F.xxhash64(text), "_n": F.octet_length(text)}
+    names, rows = docs.columns, masked(docs)
+    text = F.coalesce(F.col(place_of(docs, text_col)), F.lit(""))
+    rows = rows.select("*", F.col(place_of(docs, id_col)).alias("_id"), F.xxhash64(text).alias("_x"), F.octet_length(text).alias("_n"))
 
     def on(other: DataFrame, prefix: str) -> Column:
-        cond = of["_id"].eqNullSafe(other[f"{prefix}_id"])
-        return cond & (of["_x"] == other[f"{prefix}_x"]) & (of["_n"] == other[f"{prefix}_n"])
+        cond = rows["_id"].eqNullSafe(other[f"{prefix}_id"])
+        return cond & (rows["_x"] == other[f"{prefix}_x"]) & (rows["_n"] == other[f"{prefix}_n"])
 
-    out = docs.join(gone, on(gone, "_gone"), "left_anti")
+    out = rows.join(gone, on(gone, "_gone"), "left_anti")
     some = per.filter("_k > 0 AND _k < _m").select(*[F.col(c).alias(f"_some{c}") for c in IDENTITY])
-    if some.isEmpty():
-        return out
-    plain = out.join(some, on(some, "_some"), "left_anti")
-    once = out.join(some, on(some, "_some"), "left_semi")
-    once = once.withColumn("_x", F.xxhash64(F.coalesce(once[text_col], F.lit(""))))
-    return plain.unionByName(once.dropDuplicates([id_col, "_x"]).drop("_x"))
+    if not some.isEmpty():
+        # every row of an identity says the same, so one of them stands for those kept
+        once = out.join(some, on(some, "_some"), "left_semi").dropDuplicates(IDENTITY)
+        out = out.join(some, on(some, "_some"), "left_anti").unionByName(once)
+    return out.drop(*IDENTITY).toDF(*names)
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:

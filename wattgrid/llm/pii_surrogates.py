@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import masked, place_of, table, written
 
 KEY = "wattgrid"  # the secret of the surrogates; give your own
 
@@ -166,7 +166,9 @@ def entities(rows: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
-    """``docs`` with surrogates in its text column, and ``_hits`` (the mentions, in order)."""
+    """``docs`` with surrogates in its text column, and as a last column ``_hits`` (the mentions, in order)."""
+    names, text_col = docs.columns, place_of(docs, text_col)
+    docs = masked(docs)
     rows = docs.withColumn("_hits", F.expr(mentions(f"`{text_col}`")))
     # mentions are few and short: they alone go to the table of entities
     held = written(rows.select("_hits").filter(F.size("_hits") > 0), "mentions")
@@ -187,7 +189,7 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY) ->
     rows = rows.withColumn("_new", F.expr(f"zip_with(_hits, _subs, (m, s) -> {rendered('m', 's')})"))
     pieces = f"split(`{text_col}`, {_lit(PATTERN)}, -1)"
     done = F.expr(f"CASE WHEN size(_hits) > 0 THEN array_join(zip_with({pieces}, _new, (a, b) -> concat(a, coalesce(b, ''))), '') ELSE `{text_col}` END")
-    return rows.withColumn(text_col, done).select(*docs.columns, "_hits")
+    return rows.withColumn(text_col, done).select(*docs.columns, "_hits").toDF(*names, "_hits")
 
 
 def _kinds(hits: Column | str) -> Column:
@@ -202,5 +204,9 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: all rows and columns; texts with surrogates, ``n_chars`` as they then are."""
-    r = replace_entities(docs).drop("_hits")
-    return r.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns) if "n_chars" in docs.columns else r
+    r = masked(replace_entities(docs))
+    cols = r.columns[:-1]  # without the mentions
+    if "n_chars" in docs.columns:
+        n = place_of(docs, "n_chars")
+        r = r.withColumn(n, F.length(place_of(docs, "text")).cast(docs.schema["n_chars"].dataType))
+    return r.select(*cols).toDF(*docs.columns)

@@ -26,7 +26,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch, ship, table, written
+from .common import masked, place_of, scratch, ship, table, written
 from .token_records import place
 
 SEED = 20240521
@@ -79,8 +79,8 @@ def cosine(a: np.ndarray, q: np.ndarray) -> np.ndarray:
 def vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Usable rows ``_id``, ``_v`` (doubles), each (id, vector) once."""
     ship(rows.sparkSession)
-    v = F.transform(rows[vec_col], lambda x: x.cast("double"))
-    ok = rows.select(rows[id_col].cast("long").alias("_id"), v.alias("_v")).filter("_id IS NOT NULL AND _v IS NOT NULL")
+    v = F.transform(F.col(place_of(rows, vec_col)), lambda x: x.cast("double"))
+    ok = masked(rows).select(F.col(place_of(rows, id_col)).cast("long").alias("_id"), v.alias("_v")).filter("_id IS NOT NULL AND _v IS NOT NULL")
     fine = F.forall("_v", lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))) & ~F.isnan(x)) & F.exists("_v", lambda x: x != 0)
     return ok.filter(fine).dropDuplicates(["_id", "_v"])
 

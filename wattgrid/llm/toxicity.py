@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import IDENTITY, table, text_rows, written
+from .common import IDENTITY, masked, place_of, ship, table, text_rows, written
 
 LENGTH = 4  # letters of a subsequence
 SPAN = 7  # letters it may reach over
@@ -309,7 +309,7 @@ def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learning_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
                   sample: int = SAMPLE, held_out: Column | None = None) -> tuple[DataFrame, dict[int, int]]:
     """Written sample of labelled documents: ``_text``, ``_toxic``; and how many there are of each label."""
-    one = labels.select(labels[id_col].alias("_lid"), labels[label_col].cast("int").alias("_toxic")).filter("_lid IS NOT NULL AND _toxic IS NOT NULL")
+    one = masked(labels).select(F.col(place_of(labels, id_col)).alias("_lid"), F.col(place_of(labels, label_col)).cast("int").alias("_toxic")).filter("_lid IS NOT NULL AND _toxic IS NOT NULL")
     one = one.groupBy("_lid").agg(F.min("_toxic").alias("_toxic"), F.max("_toxic").alias("_max")).filter("_toxic = _max").drop("_max")
     one = one.filter(F.crc32(F.col("_lid").cast("string").cast("binary")) % 5 != 0 if held_out is None else ~held_out)
     rows = text_rows(docs, id_col, text_col)
@@ -388,5 +388,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train(docs, table(spark, sf_dir, "labels"))
     if model is None:
         return docs
-    scored = model.apply(docs.withColumn("_text", F.coalesce(docs["text"], F.lit(""))))
-    return scored.filter(model.probability() < 0.5).select(*docs.columns)
+    ship(spark)
+    rows = masked(docs)
+    scored = model.apply(rows.withColumn("_text", F.coalesce(F.col(place_of(docs, "text")), F.lit(""))))
+    return scored.filter(model.probability() < 0.5).select(*rows.columns).toDF(*docs.columns)

@@ -27,11 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, table, written
+from .common import masked, place_of, scratch, ship, table, written
 from .token_records import place
 
 VERSION = b"WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+HEAD_CHECK = b"X-Header-CRC32: "  # an extension, last in the header: digests cover the block alone
 GZIP = b"\x1f\x8b\x08"
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
@@ -52,7 +53,8 @@ def _clean(value: str) -> str:
 
 def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     lines = [*headers, ("WARC-Block-Digest", sha1(block)), ("Content-Length", str(len(block)))]
-    return VERSION + "".join(f"{k}: {v}\r\n" for k, v in lines).encode() + b"\r\n" + block + b"\r\n\r\n"
+    head = VERSION + "".join(f"{k}: {v}\r\n" for k, v in lines).encode()
+    return head + HEAD_CHECK + b"%08x\r\n\r\n" % zlib.crc32(head) + block + b"\r\n\r\n"
 
 
 def member(data: bytes, level: int) -> bytes:
@@ -112,8 +114,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     largest id is the response, the others revisit it. Groups are met by digest and
     length in aggregates and a join; only repeated payloads' keys are on the join's other side.
     """
-    body = F.coalesce(pages[payload_col], F.lit("")).cast("binary")
-    rows = pages.select(pages[id_col].cast("long").alias("_id"), pages[url_col].alias("_url"), body.alias("_html"))
+    ship(pages.sparkSession)
+    body = F.coalesce(F.col(place_of(pages, payload_col)), F.lit("")).cast("binary")
+    rows = masked(pages).select(F.col(place_of(pages, id_col)).cast("long").alias("_id"), F.col(place_of(pages, url_col)).alias("_url"), body.alias("_html"))
     rows = rows.withColumn("_sha", F.when(F.octet_length("_html") >= min_revisit, F.sha2("_html", 256)))
     groups = (rows.filter("_sha IS NOT NULL").groupBy("_sha", F.octet_length("_html").alias("_size"))
               .agg(F.count(F.lit(1)).alias("_m"), F.max(F.struct("_id", "_url")).alias("_last")).filter("_m > 1 AND _last._id IS NOT NULL")
@@ -209,6 +212,9 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     end = cut + 4 + int(head["content-length"])
     if data[end:] != b"\r\n\r\n":
         raise Damaged("length and data differ")
+    at = data.rfind(HEAD_CHECK, 0, cut)
+    if at >= 0 and data[at + len(HEAD_CHECK):cut] != b"%08x" % zlib.crc32(data[:at]):
+        raise Damaged("header checksum differs")
     block = data[cut + 4:end]
     want = head.get("warc-block-digest", "")
     if want.startswith("sha1:") and want != sha1(block):
@@ -301,7 +307,7 @@ def _read(folder: str, with_payload: bool):
 
 def read_archives(files: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
     """Rows of kind ``record`` and ``gap`` of every archive named in ``files.file``, one task each."""
-    return files.select("file").repartition(F.col("file")).mapInArrow(_read(folder, with_payload), READ_SCHEMA)
+    return files.select("file").repartition(max(1, files.count()), F.col("file")).mapInArrow(_read(folder, with_payload), READ_SCHEMA)
 
 
 def op10_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
