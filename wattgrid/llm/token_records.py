@@ -138,14 +138,13 @@ def write_records(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col
     return written(rows.mapInArrow(_write(folder, tokenizer, end_id), "shard int, records long, tokens long"), "manifest")
 
 
-def _read(folder: str):
+def _read(folder: str, digests: bool):
     """Arrow function over manifest rows: a row for each record, from the files alone."""
-    names = ["shard", "record", "doc_id", "start", "ids"]
+    schema = pa.schema([("shard", pa.int32()), ("record", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()),
+                        *([("n_tokens", pa.int64()), ("ids_crc32", pa.int64())] if digests else [("ids", pa.binary())])])
 
-    def batch(shard, rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([shard] * len(rows), pa.int32()), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3)),
-             pa.array([r[3] for r in rows], pa.binary())], names=names)
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, top = place(folder)
@@ -156,24 +155,27 @@ def _read(folder: str):
                 with fs.open_input_stream(path, buffer_size=1 << 20) as stream:
                     for k, (_, body) in enumerate(records(stream, path)):
                         doc_id, ids = unpack(body)
-                        rows.append((k, doc_id, start, ids.tobytes()))
-                        start, size = start + len(ids), size + 4 * len(ids)
+                        data = ids.tobytes()
+                        rows.append((shard, k, doc_id, start, *((len(ids), zlib.crc32(data)) if digests else (data,))))
+                        start, size = start + len(ids), size + (64 if digests else len(data))
                         if size >= READ_BYTES:
-                            yield batch(shard, rows)
+                            yield batch(rows)
                             rows, size = [], 0
                 if rows:
-                    yield batch(shard, rows)
+                    yield batch(rows)
     return run
 
 
-READ_SCHEMA = "shard int, record long, doc_id long, start long, ids binary"
+def _shards(manifest: DataFrame) -> DataFrame:
+    """Shard numbers, a partition for each shard or so (a given number keeps them apart)."""
+    return manifest.select("shard").repartition(max(1, manifest.count()), F.col("shard"))
 
 
-def read_records(manifest: DataFrame, folder: str) -> DataFrame:
-    """Every record in order: shard, number, document id, token ids before it in the shard,
-    ids (unsigned 32-bit). One task a shard; a damaged record raises."""
-    shards = manifest.select("shard").repartition(F.col("shard"))
-    return shards.mapInArrow(_read(folder), READ_SCHEMA)
+def read_records(manifest: DataFrame, folder: str, digests: bool = False) -> DataFrame:
+    """Every record in order: shard, number, document id, token ids before it in the shard, and
+    ids (unsigned 32-bit) or their count and checksum. One task a shard; a damaged record raises."""
+    last = "n_tokens long, ids_crc32 long" if digests else "ids binary"
+    return _shards(manifest).mapInArrow(_read(folder, digests), f"shard int, record long, doc_id long, start long, {last}")
 
 
 def _index(folder: str):
@@ -195,7 +197,7 @@ def _index(folder: str):
 
 def read_index(manifest: DataFrame, folder: str) -> DataFrame:
     """The offset index: shard, record, offset, length."""
-    return manifest.select("shard").repartition(F.col("shard")).mapInArrow(_index(folder), "shard int, record long, offset long, length long")
+    return _shards(manifest).mapInArrow(_index(folder), "shard int, record long, offset long, length long")
 
 
 def _seek(folder: str):
@@ -228,22 +230,13 @@ def read_shuffled(manifest: DataFrame, folder: str, seed: int) -> DataFrame:
             .select("shard", "record", "offset", "length").mapInArrow(_seek(folder), "shard int, record long, doc_id long, ids binary"))
 
 
-def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Token counts and checksums in the place of ids."""
-    for b in batches:
-        ids = [x.as_py() for x in b.column("ids")]
-        yield pa.RecordBatch.from_arrays(
-            [b.column("shard"), b.column("doc_id"), b.column("start"), pa.array([len(x) // 4 for x in ids], pa.int64()),
-             pa.array([zlib.crc32(x) for x in ids], pa.int64())], names=["shard", "doc_id", "start", "n_tokens", "ids_crc32"])
-
-
 def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents`` as token records, written and read back: place, count and checksum of each."""
     folder = scratch(spark, "token-records")
     manifest = write_records(table(spark, sf_dir, "documents"), folder)
-    rows = read_records(manifest, folder).mapInArrow(digest, "shard int, doc_id long, start long, n_tokens long, ids_crc32 long")
-    # one row a shard: the tokens of the shards before it
+    rows = read_records(manifest, folder, digests=True)
+    # one row a shard, so small enough for every task: the tokens of the shards before it
     before = manifest.select(F.col("shard").alias("_s"), F.coalesce(F.sum("tokens").over(
         Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    return (rows.join(before, rows["shard"] == before["_s"])
+    return (rows.join(F.broadcast(before), rows["shard"] == before["_s"])
             .select("doc_id", (F.col("start") + F.col("_before")).alias("start"), "n_tokens", "ids_crc32"))

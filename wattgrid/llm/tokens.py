@@ -2,9 +2,9 @@
 
 The tokenizers library does all encoding. Byte-level BPE treats each pre-token by
 itself, and a blank between two visible characters, or a single line break between
-them, always starts one. So a text is cut there, each distinct word is encoded once
-(many in one call) and its ids are remembered in a table of bounded size. Texts with
-any other spacing, or with a special token's string in them, are encoded whole.
+them, always starts one. So a text is cut there, each distinct word is encoded once and
+its ids are remembered in a table of bounded size. Texts with any other spacing, or
+with a special token's string in them, are encoded whole.
 """
 from __future__ import annotations
 
@@ -12,13 +12,15 @@ import functools
 import json
 import os
 import re
+import struct
 
 import numpy as np
 
 BYTE_BPE = "byte_bpe_50k.json"
-WORDS = 800_000  # remembered words; a worker starts anew beyond that
+WORDS = 300_000  # words in a generation of a worker's memory
 SLICE = 1 << 22  # characters handled at a time
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+PACKS = [struct.Struct(f"<{n}I").pack for n in range(64)]
 STOPS = ".,;:!?"  # one of these after a letter is a pre-token of its own
 
 
@@ -30,6 +32,34 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[str, int]:
+    """The printable letter that byte-level vocabularies use for each byte, by rule:
+    printable Latin-1 stands for itself, the others follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+class _Spaced(Exception):
+    """A word with blanks at an end: its text has other spacing than single blanks."""
+
+
+class _Words(dict):
+    """Ids of words, learned when first asked for. Two generations: words not asked for
+    while ``most`` others were are forgotten."""
+
+    def __init__(self, learn, most: int, old: dict | None = None):
+        super().__init__()
+        self.learn, self.most, self.old = learn, most, old or {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.learn(word)
+        self[word] = ids
+        return ids
+
+
 class Encoder:
     """``ids(text)``: what the library's ``encode(text, add_special_tokens=False).ids`` gives,
     as little-endian unsigned 32-bit integers in bytes."""
@@ -47,49 +77,45 @@ class Encoder:
         pre = spec.get("pre_tokenizer") or {}
         self.by_word = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                         and not spec.get("normalizer") and not spec.get("post_processor"))
-        self.line = self.lib.encode("\n", add_special_tokens=False).ids if self.by_word else []
-        self.by_word = self.by_word and len(self.line) == 1
+        self.tokenize, self.pre = self.lib.model.tokenize, self.lib.pre_tokenizer
+        self.bytes = str.maketrans({chr(b): c for c, b in byte_letters().items()})
+        self.blank = " ".translate(self.bytes)
+        self.line = self.whole("\n")
         self.stops = {c: self.whole(c) for c in STOPS}
-        self.most = most
-        self.memo: dict[str, bytes | bool] = {"": False}
+        self.memo = _Words(self._learn, most)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        plain, ended = [], []
-        for w in words:
-            core = w[1:] if w[0] == "\n" else w
-            if not core or core[0].isspace() or core[-1].isspace():
-                self.memo[w] = False
-            elif core[-1] in STOPS and core[-2:-1].isalpha():
-                ended.append(w)
-            else:
-                plain.append(w)
-        if ended:
-            self._encode([w for w in {w[:-1] for w in ended} if w not in self.memo and w not in words])
-        self._encode(plain)
-        for w in ended:
-            self.memo[w] = self.memo[w[:-1]] + self.stops[w[-1]]
-
-    def _encode(self, plain: list[str]) -> None:
-        if not plain:
-            return
-        text = "".join(w if w[0] == "\n" else "\n " + w for w in plain)
-        ids = np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4")
-        at = np.flatnonzero(ids == self.line[0])
-        ends = np.append(at[1:], len(ids))
-        data = ids.tobytes()
-        for w, s, e in zip(plain, at.tolist(), ends.tolist()):
-            self.memo[w] = data[4 * (s + (w[0] != "\n")):4 * e]
+    def _ids(self, form: str) -> bytes:
+        """Ids of one pre-token, given in byte letters."""
+        ids = [t.id for t in self.tokenize(form)]
+        return PACKS[len(ids)](*ids) if len(ids) < len(PACKS) else struct.pack(f"<{len(ids)}I", *ids)
+
+    def _learn(self, word: str) -> bytes:
+        """Ids of a word after a blank, or with its leading line break."""
+        if word.isalpha():  # letters after a blank are one pre-token
+            return self._ids(self.blank + word if word.isascii() else (" " + word).encode().decode("latin-1").translate(self.bytes))
+        core = word[1:] if word[:1] == "\n" else word
+        if not core or core[0].isspace() or core[-1].isspace():
+            raise _Spaced
+        if core[-1] in self.stops and core[-2:-1].isalpha():
+            return self.memo[word[:-1]] + self.stops[core[-1]]
+        text = core if core is not word else " " + word
+        if core.isalpha() and core.isascii():
+            ids = self._ids(core)
+        else:
+            ids = b"".join([self._ids(form) for form, _ in self.pre.pre_tokenize_str(text)])
+        return self.line + ids if core is not word else ids
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
         if not self.by_word or any(s in text for s in self.special):
             return self.whole(text)
-        if len(self.memo) > self.most:
-            self.memo = {"": False}
+        if len(self.memo) > self.memo.most:
+            self.memo = _Words(self._learn, self.memo.most, self.memo)
+            self.memo.old.old = {}
         out, start, lead = [], 0, "\n"
         while start < len(text):
             cut = _CUT.search(text, start + SLICE) if len(text) - start > SLICE else None
@@ -97,15 +123,11 @@ class Encoder:
             words = (lead + text[start:end]).replace("\n", " \n").split(" ")
             if lead:
                 del words[0]  # the empty word before the leading line break
-            parts = list(map(self.memo.get, words))
-            if None in parts:
-                self._learn({w for w, p in zip(words, parts) if p is None})
-                parts = list(map(self.memo.get, words))
-            if False in parts:
+            try:
+                part = b"".join(map(self.memo.__getitem__, words))
+            except _Spaced:
                 return self.whole(text)
-            if lead:
-                parts[0] = parts[0][4:]
-            out.extend(parts)
+            out.append(part[len(self.line):] if lead else part)
             start, lead = end + 1, ""
         return b"".join(out)
 
