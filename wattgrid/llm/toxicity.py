@@ -46,7 +46,7 @@ LANDMARKS = 96  # of words that mark toxic documents; half as many of common wor
 POOL = 6000  # clean words among the negatives from the start; a third as many common ones
 ROUNDS = 4
 REACH = 1.5  # decisions count up to here; the margin is 1
-WORDS = 600_000  # remembered words; a worker starts anew beyond that
+WORDS = 250_000  # words in a generation of a worker's memory
 
 # Digits and signs that stand for letters inside a word.
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
@@ -72,15 +72,18 @@ def letters(word: str) -> str:
     return word.lower()
 
 
-def words(sentence: str) -> list[str]:
-    """The blank-separated parts of a sentence; runs of single letters also as one word."""
-    parts = sentence.split()
+def words(text: str) -> list[str]:
+    """The blank-separated parts of a text; runs of three and more single letters, not all the
+    same, also as one word."""
+    parts = text.split()
+    if len({p for p in set(parts) if len(p) == 1 and p.isalpha()}) < 2:
+        return parts
     run, extra = [], []
     for p in [*parts, ""]:
         if len(p) == 1 and p.isalpha():
             run.append(p)
         else:
-            if len(run) > 2:
+            if len(run) > 2 and len(set(run)) > 1:
                 extra.append("".join(run))
             run = []
     return parts + extra
@@ -206,24 +209,17 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float) -> tuple[np.
     return w[:-1], float(w[-1])
 
 
-def platt(f: np.ndarray, y: np.ndarray, share: float) -> tuple[float, ...]:
-    """Weights of both decisions and a constant for the log odds; ``share`` of all labelled
-    documents are toxic. Neither weight may be negative: a stronger word never helps."""
+def platt(f: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]:
+    """``a, b`` of ``1 / (1 + exp(-(a f + b)))``; ``share`` of all labelled documents are toxic."""
     w = np.where(y > 0, share / max(1, (y > 0).sum()), (1 - share) / max(1, (y <= 0).sum()))
-    ridge, t = np.array([1e-4, 1e-4, 1e-8]), (y > 0).astype(float)
-    for use in ((0, 1, 2), (1, 2), (0, 2)):
-        x, r, p = np.hstack((f, np.ones((len(f), 1))))[:, use], ridge[list(use)], np.zeros(len(use))
-        for _ in range(100):
-            q = 1 / (1 + np.exp(-np.clip(x @ p, -30, 30)))
-            step = np.linalg.solve((x * (w * q * (1 - q))[:, None]).T @ x + np.diag(r), x.T @ (w * (t - q)) - r * p)
-            p = p + np.clip(step, -2, 2)
-            if np.abs(step).max() < 1e-6:
-                break
-        if p[:-1].min() >= 0:
+    x, t, r, p = np.stack((f, np.ones(len(f)))).T, (y > 0).astype(float), np.array([1e-4, 1e-8]), np.zeros(2)
+    for _ in range(100):
+        q = 1 / (1 + np.exp(-np.clip(x @ p, -30, 30)))
+        step = np.linalg.solve((x * (w * q * (1 - q))[:, None]).T @ x + np.diag(r), x.T @ (w * (t - q)) - r * p)
+        p = p + np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-6:
             break
-    out = np.zeros(3)
-    out[list(use)] = p
-    return tuple(float(max(v, 0)) for v in out[:2]) + (float(out[2]),)
+    return max(float(p[0]), 1e-6), float(p[1])
 
 
 class Scorer:
@@ -232,9 +228,13 @@ class Scorer:
     def __init__(self, keys: np.ndarray, values: np.ndarray, bias: float):
         self.weights = np.zeros(KEYS, np.float32)
         self.weights[keys] = values
-        self.bias, self.memo = bias, {}
+        self.bias, self.memo, self.old = bias, {}, {}
 
-    def learn(self, new: list[str]) -> None:
+    def learn(self, words: set[str]) -> None:
+        """Decisions of words not met lately: taken over from the generation before, or made."""
+        known = self.old.keys() & words
+        self.memo.update({w: self.old[w] for w in known})
+        new = list(words - known)
         for lo in range(0, len(new), 20_000):
             some = new[lo:lo + 20_000]
             self.memo.update(zip(some, decide([letters(w) for w in some], self.weights, self.bias).tolist()))
@@ -242,11 +242,11 @@ class Scorer:
     def strongest(self, text: str) -> tuple[float, float, str]:
         """The two highest word decisions in the text, and the first one's letters."""
         if len(self.memo) > WORDS:
-            self.memo = {}
+            self.old, self.memo = self.memo, {}
         parts = words(text)
         if not parts:
             return self.bias, self.bias, ""
-        new = list(set(parts).difference(self.memo))
+        new = set(parts).difference(self.memo)
         if new:
             self.learn(new)
         scores = list(map(self.memo.__getitem__, parts))
@@ -279,7 +279,7 @@ def _strongest(model: "Model"):
 class Model:
     """Weights of letter sequences (those that are not zero), bias and calibration."""
 
-    def __init__(self, weights: np.ndarray, bias: float, odds: tuple[float, ...] = (1.0, 0.0, 0.0)):
+    def __init__(self, weights: np.ndarray, bias: float, odds: tuple[float, float] = (1.0, 0.0)):
         at = np.flatnonzero(weights).astype(np.int64)
         self.keys, self.values = at.tobytes(), weights[at].astype(np.float32).tobytes()
         self.bias, self.odds = bias, odds
@@ -290,10 +290,10 @@ class Model:
         return rows.mapInArrow(_strongest(self), f"{fields}, _f double, _f2 double, _word string")
 
     def probability(self) -> Column:
-        """From ``_f`` and ``_f2``; beyond the margin by ``REACH`` neither counts more."""
-        a, b, c = self.odds
+        """From the sum of ``_f`` and ``_f2``; beyond ``REACH`` neither counts more."""
+        a, b = self.odds
         f, f2 = (F.greatest(F.least(F.col(x), F.lit(REACH)), F.lit(-REACH)) for x in ("_f", "_f2"))
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-(f * F.lit(a) + f2 * F.lit(b) + F.lit(c))))
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-((f + f2) * F.lit(a) + F.lit(b))))
 
 
 def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,7 +362,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         w, b = svm(space.map([*marks, *negatives]), y, weight, c * len(y))
         model = Model(space.weights(w), b)
     got = model.apply(rows).select("_toxic", "_f", "_f2").toPandas()
-    model.odds = platt(got[["_f", "_f2"]].to_numpy(float).clip(-REACH, REACH), got["_toxic"].to_numpy(int), total[1] / (total[0] + total[1]))
+    model.odds = platt(got[["_f", "_f2"]].to_numpy(float).clip(-REACH, REACH).sum(1), got["_toxic"].to_numpy(int), total[1] / (total[0] + total[1]))
     return model
 
 
