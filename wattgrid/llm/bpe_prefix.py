@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, text_rows
-from .tokens import byte_letters, tokenizer_path
+from .tokens import LONG, byte_letters, tokenizer_path
 
 WORD_BPE = "word_bpe_49k.json"
 WORDS = 700_000  # remembered words; a worker starts anew beyond that
@@ -169,7 +169,9 @@ class Bpe:
         for c in chunks:
             got = memo.get(c)
             if got is None:
-                got = memo[c] = self._chunk(c)
+                got = self._chunk(c)
+                if len(c) <= LONG:
+                    memo[c] = got
             yield got
 
     def _chunk(self, chunk: str) -> tuple[bytes, str]:
@@ -182,7 +184,9 @@ class Bpe:
             got = self.memo.get(w)  # a word as a part of its own has the same result
             if got is None:
                 i = self.word(w)
-                got = self.memo[w] = np.array(i, "<u4").tobytes(), " ".join([self.names[x] for x in i])
+                got = np.array(i, "<u4").tobytes(), " ".join([self.names[x] for x in i])
+                if len(w) <= LONG:
+                    self.memo[w] = got
             ids.append(got[0])
             names.append(got[1])
         return b"".join(ids), " ".join(names)

@@ -18,6 +18,7 @@ import numpy as np
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORDS = 300_000  # words in a generation of a worker's memory
+LONG = 200  # longer words are not remembered
 SLICE = 1 << 22  # characters handled at a time
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 PACKS = [struct.Struct(f"<{n}I").pack for n in range(64)]
@@ -56,7 +57,8 @@ class _Words(dict):
         ids = self.old.get(word)
         if ids is None:
             ids = self.learn(word)
-        self[word] = ids
+        if len(word) <= LONG:
+            self[word] = ids
         return ids
 
 

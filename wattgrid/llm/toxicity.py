@@ -45,6 +45,7 @@ MARKS = 4000  # words that mark toxic documents, at most
 LANDMARKS = 96  # of words that mark toxic documents; half as many of common words
 POOL = 6000  # clean words among the negatives from the start; a third as many common ones
 ROUNDS = 4
+LONG = 200  # longer words are not remembered
 REACH = 1.5  # decisions count up to here; the margin is 1
 WORDS = 250_000  # words in a generation of a worker's memory
 
@@ -253,6 +254,9 @@ class Scorer:
         top = max(scores)
         at = scores.index(top)
         scores[at] = -math.inf
+        for w in new:
+            if len(w) > LONG:
+                del self.memo[w]
         return top, max(max(scores), self.bias), letters(parts[at])
 
     def sentences(self, text: str) -> list[tuple[float, str]]:
