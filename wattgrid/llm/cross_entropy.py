@@ -188,7 +188,8 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str =
     their difference, of every row. ``targets`` has the target documents' ids in its first column."""
     ids = targets.select(targets[targets.columns[0]].alias("_tid")).filter("_tid IS NOT NULL").distinct().withColumn("_target", F.lit(True))
     rows = text_rows(docs, id_col, text_col)
-    rows = rows.join(ids, rows["_id"] == ids["_tid"], "left").select("_id", "_text", F.coalesce("_target", F.lit(False)).alias("_target"))
+    # one shuffle of the texts at any size, written since both counts read them
+    rows = written(rows.join(ids.hint("merge"), rows["_id"] == ids["_tid"], "left").select("_text", F.coalesce("_target", F.lit(False)).alias("_target")), "tagged")
     chars = rows.filter("_target").select("_text").mapInArrow(_char_counts, "point long, n long")
     chars = chars.groupBy("point").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
     v = Vocabulary([r["point"] for r in chars.select("point").collect()], order)  # at most one row per Unicode character
