@@ -8,7 +8,7 @@ import pytest
 from wattgrid.llm import exact_dedup as X
 from wattgrid.llm.common import IDENTITY
 
-SCHEMA = "doc_id long, text string, kept string, _row string"
+SCHEMA = "doc_id long, text string, TEXT string, _row string"
 
 
 def norm(t):
@@ -71,9 +71,10 @@ def test_hashes_combine():
 
 
 def test_stage_keeps_columns_and_one_of_repeats(spark):
-    df = spark.createDataFrame([(r[0], r[1], "en", "s") for r in ROWS], "doc_id long, text string, lang string, source string")
+    df = spark.createDataFrame([(r[0], r[1], "en", "s") for r in ROWS], "doc_id long, text string, _x string, Doc_ID string")
     out = X.stage(spark, df, "")
     assert out.columns == df.columns
+    out = out.toDF("doc_id", "text", "a", "b")
     got = [norm(r["text"]) for r in out.collect()]
     assert len(got) == len(set(got)) == brute(ROWS)[1]
     assert IDENTITY == ["_id", "_x", "_n"]

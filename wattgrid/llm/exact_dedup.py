@@ -32,10 +32,10 @@ CHUNK_BYTES = 1 << 16
 SPREAD_BYTES = 32 << 20
 
 
-def _powers(n: int) -> list[np.ndarray]:
+def _powers(n: int, primes: tuple[int, int] = PRIMES) -> list[np.ndarray]:
     """Powers ``B**(n-1) ... B**0`` of each base, by doubling."""
     out = []
-    for p, b in zip(PRIMES, BASES):
+    for p, b in zip(primes, BASES):
         pw = np.ones(1, np.int64)
         while len(pw) < n:
             step = pow(b, len(pw), p)
@@ -44,32 +44,32 @@ def _powers(n: int) -> list[np.ndarray]:
     return out
 
 
-def chunk_hashes(data: bytes, powers: list[np.ndarray]) -> tuple[int, int]:
+def chunk_hashes(data: bytes, powers: list[np.ndarray], primes: tuple[int, int] = PRIMES) -> tuple[int, int]:
     """Both hashes of one chunk (at most as long as the powers); bytes count from 1."""
     a = np.frombuffer(data, np.uint8).astype(np.int64) + 1
-    return tuple(int(a @ pw[len(pw) - len(a):]) % p for pw, p in zip(powers, PRIMES))
+    return tuple(int(a @ pw[len(pw) - len(a):]) % p for pw, p in zip(powers, primes))
 
 
-def combine(left: tuple[int, int], right: tuple[int, int], right_len: int) -> tuple[int, int]:
+def combine(left: tuple[int, int], right: tuple[int, int], right_len: int, primes: tuple[int, int] = PRIMES) -> tuple[int, int]:
     """Hashes of a concatenation from the hashes of its parts."""
-    return tuple((x * pow(b, right_len, p) + y) % p for x, y, b, p in zip(left, right, BASES, PRIMES))
+    return tuple((x * pow(b, right_len, p) + y) % p for x, y, b, p in zip(left, right, BASES, primes))
 
 
-def fingerprint(data: bytes, powers: list[np.ndarray]) -> tuple[int, int]:
+def fingerprint(data: bytes, powers: list[np.ndarray], primes: tuple[int, int] = PRIMES) -> tuple[int, int]:
     size, h = len(powers[0]), (0, 0)
     for i in range(0, len(data), size):
         part = data[i:i + size]
-        h = combine(h, chunk_hashes(part, powers), len(part))
+        h = combine(h, chunk_hashes(part, powers, primes), len(part), primes)
     return h
 
 
-def _whole(size: int):
+def _whole(size: int, primes: tuple[int, int]):
     """Arrow function: fingerprint and SHA-256 of each whole normalised text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = _powers(size)
+        powers = _powers(size, primes)
         for b in batches:
             norm = [t.as_py().translate(None, WHITE) for t in b.column("_text")]
-            fp = [fingerprint(t, powers) for t in norm]
+            fp = [fingerprint(t, powers, primes) for t in norm]
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in (*IDENTITY, "_cp")), pa.array([len(t) for t in norm], pa.int64()),
                  pa.array([x[0] for x in fp], pa.int64()), pa.array([x[1] for x in fp], pa.int64()),
@@ -78,13 +78,13 @@ def _whole(size: int):
     return run
 
 
-def _parts(size: int):
+def _parts(size: int, primes: tuple[int, int]):
     """Arrow function: hashes of chunk rows of huge texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = _powers(size)
+        powers = _powers(size, primes)
         for b in batches:
             norm = [t.as_py().translate(None, WHITE) for t in b.column("_part")]
-            fp = [fingerprint(t, powers) for t in norm]
+            fp = [fingerprint(t, powers, primes) for t in norm]
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in (*IDENTITY, "_no")), pa.array([len(t) for t in norm], pa.int64()),
                  pa.array([x[0] for x in fp], pa.int64()), pa.array([x[1] for x in fp], pa.int64())],
@@ -92,21 +92,24 @@ def _parts(size: int):
     return run
 
 
-def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _combined(primes: tuple[int, int]):
     """Arrow function: combine the ordered chunk hashes of each huge text."""
-    for b in batches:
-        rows = []
-        for parts in b.column("_parts").to_pylist():
-            h, n = (0, 0), 0
-            for p in sorted(parts, key=lambda p: p["_no"]):
-                h, n = combine(h, (p["_h1"], p["_h2"]), p["_len"]), n + p["_len"]
-            rows.append((n, *h))
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in IDENTITY), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3))],
-                                         names=[*IDENTITY, "_len", "_h1", "_h2"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for parts in b.column("_parts").to_pylist():
+                h, n = (0, 0), 0
+                for p in sorted(parts, key=lambda p: p["_no"]):
+                    h, n = combine(h, (p["_h1"], p["_h2"]), p["_len"], primes), n + p["_len"]
+                rows.append((n, *h))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in IDENTITY), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3))],
+                                             names=[*IDENTITY, "_len", "_h1", "_h2"])
+    return run
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 chunk_bytes: int = CHUNK_BYTES, spread_bytes: int = SPREAD_BYTES) -> DataFrame:
+                 chunk_bytes: int = CHUNK_BYTES, spread_bytes: int = SPREAD_BYTES,
+                 primes: tuple[int, int] = PRIMES) -> DataFrame:
     """One row per document: identity, code points, normalised length, both hashes, SHA-256.
 
     Texts over ``spread_bytes`` are cut into pieces of that many chunks' bytes which
@@ -116,7 +119,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     id_type = docs.schema[id_col].dataType.simpleString()
     key = f"_id {id_type}, _x long, _n int"
     small = (rows.filter(F.col("_n") <= spread_bytes).withColumn("_text", F.col("_text").cast("binary"))
-             .mapInArrow(_whole(chunk_bytes), f"{key}, _cp long, _len long, _h1 long, _h2 long, _sha string"))
+             .mapInArrow(_whole(chunk_bytes, primes), f"{key}, _cp long, _len long, _h1 long, _h2 long, _sha string"))
     huge = rows.filter(F.col("_n") > spread_bytes)
     if huge.isEmpty():
         return small
@@ -125,9 +128,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pieces = once.select(*IDENTITY, "_text", F.explode(F.sequence(F.lit(0), ((F.col("_n") - 1) / step).cast("int"))).alias("_no"))
     pieces = pieces.select(*IDENTITY, "_no", F.expr(f"substring(_text, _no * {step} + 1, {step})").alias("_part"))
     hashed = (pieces.repartition(F.col("_x"), F.col("_no"))
-              .mapInArrow(_parts(chunk_bytes), f"{key}, _no int, _len long, _h1 long, _h2 long"))
+              .mapInArrow(_parts(chunk_bytes, primes), f"{key}, _no int, _len long, _h1 long, _h2 long"))
     whole = (hashed.groupBy(*IDENTITY).agg(F.collect_list(F.struct("_no", "_len", "_h1", "_h2")).alias("_parts"))
-             .mapInArrow(_combined, f"{key}, _len long, _h1 long, _h2 long"))
+             .mapInArrow(_combined(primes), f"{key}, _len long, _h1 long, _h2 long"))
     sha = huge.select(*IDENTITY, "_cp", F.sha2(F.regexp_replace("_text", r"[\x20\x09-\x0D]+", "").cast("binary"), 256).alias("_sha"))
     joined = sha.join(whole, same(sha, whole, IDENTITY)).select(*[sha[c] for c in (*IDENTITY, "_cp")], "_len", "_h1", "_h2", "_sha")
     return small.unionByName(joined)
@@ -160,9 +163,10 @@ def _compare(rows: DataFrame, todo: DataFrame, chunk_bytes: int) -> DataFrame:
     on = (rows["_id"].eqNullSafe(pick["_t_id"])) & (rows["_x"] == pick["_t_x"]) & (rows["_n"] == pick["_t_n"])
     members = rows.join(pick, on).select(*IDENTITY, *FP, "_first", F.col("_text").cast("binary").alias("_text"))
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema.fields if f.name != "_text")
-    chunks = members.mapInArrow(_cut(chunk_bytes), f"{fields}, _no int, _part binary")
-    first = (chunks.filter("_first").groupBy(*FP, "_no").agg(F.first("_part").alias("_ref"))
-             .select(*[F.col(c).alias(f"_r{c}") for c in (*FP, "_no")], "_ref"))
+    # written once for both sides of the join below, which so has two shuffles of its own: Spark can split a hot group
+    chunks = written(members.mapInArrow(_cut(chunk_bytes), f"{fields}, _no int, _part binary"), "chunks")
+    first = written(chunks.filter("_first").groupBy(*FP, "_no").agg(F.first("_part").alias("_ref"))
+                    .select(*[F.col(c).alias(f"_r{c}") for c in (*FP, "_no")], "_ref"), "references")
     rest = chunks.filter("NOT _first")
     on = (rest["_len"] == first["_r_len"]) & (rest["_h1"] == first["_r_h1"]) & (rest["_h2"] == first["_r_h2"]) & (rest["_no"] == first["_r_no"])
     return (rest.join(first, on, "left").filter(~F.col("_part").eqNullSafe(F.col("_ref")))
@@ -170,10 +174,11 @@ def _compare(rows: DataFrame, todo: DataFrame, chunk_bytes: int) -> DataFrame:
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            chunk_bytes: int = CHUNK_BYTES, spread_bytes: int = SPREAD_BYTES) -> DataFrame:
+            chunk_bytes: int = CHUNK_BYTES, spread_bytes: int = SPREAD_BYTES,
+            primes: tuple[int, int] = PRIMES) -> DataFrame:
     """Written table, one row per document: identity, ``_row``, ``_cp``, ``_sha``, the class
     (fingerprint and ``_round``), proven equal text by text."""
-    fp = written(fingerprints(docs, id_col, text_col, chunk_bytes, spread_bytes)
+    fp = written(fingerprints(docs, id_col, text_col, chunk_bytes, spread_bytes, primes)
                  .withColumn("_row", F.monotonically_increasing_id()), "fingerprints")
     rows = text_rows(docs, id_col, text_col)
     found = None
@@ -199,18 +204,23 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                chunk_bytes: int = CHUNK_BYTES, spread_bytes: int = SPREAD_BYTES) -> DataFrame:
+                chunk_bytes: int = CHUNK_BYTES, spread_bytes: int = SPREAD_BYTES,
+                primes: tuple[int, int] = PRIMES) -> DataFrame:
     """One row per document: identity, ``_keep_id``, ``_size``, ``_kept``, ``_sha``, ``_cp``, hashes.
 
     Of equal texts the one with the most code points in the original stays, then the
     one with the smallest id, then any one of the repeats.
     """
-    c = classes(docs, id_col, text_col, chunk_bytes, spread_bytes)
+    c = classes(docs, id_col, text_col, chunk_bytes, spread_bytes, primes)
     cls = [*FP, "_round"]
     best = F.min(F.struct((-F.col("_cp")).alias("cp"), F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row")))
-    per = c.groupBy(*cls).agg(F.count(F.lit(1)).alias("_size"), best.alias("_best"))
-    return (c.join(per, cls).withColumn("_keep_id", F.col("_best.id"))
-            .withColumn("_kept", F.col("_row") == F.col("_best.row")).drop("_best"))
+    # groups of one need no join; the others are written, so that Spark can split a hot one
+    per = written(c.groupBy(*cls).agg(F.count(F.lit(1)).alias("_m"), best.alias("_best")).filter("_m > 1")
+                  .select(*[F.col(x).alias(f"_g{x}") for x in cls], "_m", "_best"), "groups")
+    on = (c["_len"] == per["_g_len"]) & (c["_h1"] == per["_g_h1"]) & (c["_h2"] == per["_g_h2"]) & (c["_round"] == per["_g_round"])
+    return (c.join(per, on, "left").withColumn("_size", F.coalesce("_m", F.lit(1).cast("long")))
+            .withColumn("_keep_id", F.when(F.col("_m").isNull(), F.col("_id")).otherwise(F.col("_best.id")))
+            .withColumn("_kept", F.coalesce(F.col("_row") == F.col("_best.row"), F.lit(True))).drop("_best", "_m"))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
