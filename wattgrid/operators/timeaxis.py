@@ -77,8 +77,11 @@ def shared_day_bounds(series: DataFrame, key_cols: list[str], timestamp_col: str
     """
     per_key = series.groupBy(*key_cols).agg(
         F.min(F.to_date(timestamp_col)).alias("_lo"), F.max(F.to_date(timestamp_col)).alias("_hi"))
-    whole = per_key.agg(F.min("_lo").alias("first_day"), F.max("_hi").alias("last_day")).withColumn("_one", F.lit(0))
-    return per_key.withColumn("_one", F.lit(0)).join(F.broadcast(whole), "_one").select(*key_cols, "first_day", "last_day")
+    per_key = per_key.filter(F.col("_lo").isNotNull())
+    whole = per_key.agg(F.min("_lo").alias("first_day"), F.max("_hi").alias("last_day"))
+    # the key is 0 on both sides, from a column so that it stays an equi-join
+    whole = whole.withColumn("_one", F.year("first_day") * 0)
+    return per_key.withColumn("_one", F.year("_lo") * 0).join(F.broadcast(whole), "_one").select(*key_cols, "first_day", "last_day")
 
 
 def add_time_features(df: DataFrame, timestamp_col: str = "timestamp",

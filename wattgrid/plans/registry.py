@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import timecols as tc
-from ..functions.numeric import ints_to_bigint, is_missing, round_doubles
+from ..functions.numeric import combine_single_rows, ints_to_bigint, is_missing, round_doubles
 from ..operators import dedupe as D
 from ..operators import joins as J
 from ..operators import quality as Q
@@ -590,8 +590,8 @@ def q_file_inventory(spark, sf):
     for path in paths:
         inv = files.file_inventory(spark, path)
         days = files.read_wide_prices(spark, path).agg(F.min("DATE").alias("first_day"), F.max("DATE").alias("last_day"), F.count_distinct("DATE").alias("dates"))
-        one = inv.agg(F.sum("rows").alias("rows"), F.count_if(F.col("file_size") <= 0).alias("no_bytes")).withColumn("_one", F.lit(0))
-        one = one.join(days.withColumn("_one", F.lit(0)), "_one").select(F.lit(path.rsplit("/", 1)[1]).alias("folder"), "rows", "no_bytes", "first_day", "last_day", "dates")
+        files_of = inv.agg(F.sum("rows").alias("rows"), F.count_if(F.col("file_size") <= 0).alias("no_bytes"))
+        one = combine_single_rows([files_of, days]).select(F.lit(path.rsplit("/", 1)[1]).alias("folder"), "rows", "no_bytes", "first_day", "last_day", "dates")
         out = one if out is None else out.unionByName(one)
     return out
 
