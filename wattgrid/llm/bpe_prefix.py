@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_rows
+from .common import held, table, text_rows
 from .tokens import LONG, byte_letters, tokenizer_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -199,10 +199,9 @@ class Bpe:
         return " ".join([self.names[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-@functools.lru_cache(maxsize=1)
 def bpe(name: str = WORD_BPE) -> Bpe:
     """The worker process's encoder; what it remembers serves later tasks too."""
-    return Bpe(name)
+    return held(("bpe", name), lambda: Bpe(name))
 
 
 def _encode(name: str):

@@ -35,6 +35,18 @@ def ship(spark: SparkSession) -> None:
     sc._wattgrid_shipped = True
 
 
+_HELD: dict = {}
+
+
+def held(key: tuple, make):
+    """The worker process's one large object (an encoder, a model and what it remembers). Worker
+    processes serve many operators in turn; another key lets the object before it go."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, a lost
     executor costs no recomputation, and row numbers stored in it stay as they are."""

@@ -17,7 +17,6 @@ is uniform; an empty table gives no rows.
 """
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, table, text_rows, written
+from .common import held, scratch, table, text_rows, written
 from .token_records import place
 
 ORDER = 4
@@ -140,7 +139,10 @@ def models(counts: DataFrame, v: Vocabulary) -> DataFrame:
                    .repartitionByRange("gram").sortWithinPartitions("gram"), "model")
 
 
-@functools.lru_cache(maxsize=1)
+def _model(folder: str) -> tuple[np.ndarray, ...]:
+    return held(("n-grams", folder), lambda: _load(folder))
+
+
 def _load(folder: str) -> tuple[np.ndarray, ...]:
     """The model table, sorted by n-gram; read from the shared folder once per worker."""
     fs, top = place(folder)
@@ -158,7 +160,7 @@ def _load(folder: str) -> tuple[np.ndarray, ...]:
 def _score(folder: str, v: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = v.table()
-        keys, loss, target = _load(folder)
+        keys, loss, target = _model(folder)
         for b in batches:
             rows = []
             for x in b.column("_text"):

@@ -8,7 +8,6 @@ with a special token's string in them, are encoded whole.
 """
 from __future__ import annotations
 
-import functools
 import json
 import os
 import re
@@ -16,6 +15,8 @@ import struct
 
 import numpy as np
 
+from .common import held
+
 BYTE_BPE = "byte_bpe_50k.json"
 WORDS = 300_000  # words in a generation of a worker's memory
 LONG = 200  # longer words are not remembered
@@ -134,7 +135,6 @@ class Encoder:
         return b"".join(out)
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(name: str = BYTE_BPE) -> Encoder:
     """The worker process's encoder; what it remembers serves later tasks too."""
-    return Encoder(name)
+    return held(("tokens", name), lambda: Encoder(name))

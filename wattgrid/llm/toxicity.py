@@ -23,7 +23,6 @@ left out; without documents of both labels every score is 0.
 """
 from __future__ import annotations
 
-import functools
 import itertools
 import math
 import re
@@ -35,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import IDENTITY, masked, place_of, ship, table, text_rows, written
+from .common import IDENTITY, held, masked, place_of, ship, table, text_rows, written
 
 LENGTH = 4  # letters of a subsequence
 SPAN = 7  # letters it may reach over
@@ -47,7 +46,7 @@ POOL = 6000  # clean words among the negatives from the start; a third as many c
 ROUNDS = 4
 LONG = 200  # longer words are not remembered
 REACH = 1.5  # decisions count up to here; the margin is 1
-WORDS = 250_000  # words in a generation of a worker's memory
+WORDS = 150_000  # words in a generation of a worker's memory
 
 # Digits and signs that stand for letters inside a word.
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
@@ -264,9 +263,8 @@ class Scorer:
         return [(self.strongest(s)[0], s) for s in SENTENCE.split(text) if s and s.strip()]
 
 
-@functools.lru_cache(maxsize=2)
 def _scorer(keys: bytes, values: bytes, bias: float) -> Scorer:
-    return Scorer(np.frombuffer(keys, np.int64), np.frombuffer(values, np.float32), bias)
+    return held(("toxicity", keys, values, bias), lambda: Scorer(np.frombuffer(keys, np.int64), np.frombuffer(values, np.float32), bias))
 
 
 def _strongest(model: "Model"):
