@@ -99,3 +99,14 @@ def test_empty_table_and_stage(spark):
     assert out.columns == df.columns and out.count() == 2
     out = out.toDF("doc_id", "text", "a", "b", "n_chars", "c")
     assert out.filter(F.col("n_chars") != F.length("text")).count() == 0 and out.filter("c = 'x' AND a = 'en'").count() == 1
+
+
+def test_phone_ends_before_the_next_entity(spark):
+    after = ["190.137.223.204", "4539 1488 0343 6467", "123-45-6789", "2024", "17 people"]
+    phones = ["+1 (826) 555-4081", "+44 20 7946 0958", "+33 1 23 45 67 89", "+49 30 123456"]
+    got = run(spark, [f"{p} {a}" for p in phones for a in after])
+    for i, r in got.items():
+        p, a = phones[i // 5], after[i % 5]
+        assert r["_hits"] == ([p, a] if i % 5 < 3 else [p])
+        assert r["text"].endswith(" " + a) == (i % 5 > 2) and p not in r["text"]
+        assert i % 5 or not set(re.findall(r"\d+\.\d+", r["text"])) & {"137.223", "223.204"}
