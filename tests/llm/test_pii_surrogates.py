@@ -110,3 +110,18 @@ def test_phone_ends_before_the_next_entity(spark):
         assert r["_hits"] == ([p, a] if i % 5 < 3 else [p])
         assert r["text"].endswith(" " + a) == (i % 5 > 2) and p not in r["text"]
         assert i % 5 or not set(re.findall(r"\d+\.\d+", r["text"])) & {"137.223", "223.204"}
+
+
+def test_whole_names_and_untitled_mentions(spark):
+    texts = ["Dr Juan Carlos García Márquez came.", "Mr J. Smith and Mr J Smith left.", "Herr Ludwig van Beethoven und Frau Ursula von der Leyen.",
+             "Mr John Smith came. Smith said Blacksmith and Smithson heard John; SMITHS, Smith's.", "Smith said so.", "Frau O'Neil-Meyer, then O'Neil-Meyer."]
+    got = {i: r["text"] for i, r in run(spark, texts).items()}
+    assert not re.search("Juan|Carlos|García|Márquez", got[0]) and re.fullmatch(r"Dr \w+ \w+ \w+ \w+ came\.", got[0])
+    b = re.fullmatch(r"Mr ([A-Z])\. (\w+) and Mr ([A-Z]) (\w+) left\.", got[1])
+    assert b and b[2] == b[4] != "Smith"
+    c = re.fullmatch(r"Herr (\w+) van (\w+) und Frau (\w+) von der (\w+)\.", got[2])
+    assert c and not {"Ludwig", "Beethoven", "Ursula", "Leyen"} & set(c.groups())
+    d = re.fullmatch(r"Mr (\w+) (\w+) came\. (\w+) said Blacksmith and Smithson heard (\w+); SMITHS, (\w+)'s\.", got[3])
+    assert d and d[2] == d[3] == d[5] == b[2] and d[1] == d[4] != "John"
+    assert got[4] == texts[4]
+    assert "Neil" not in got[5] and len(set(re.findall(r"[A-Z]\w+", got[5]))) == 2

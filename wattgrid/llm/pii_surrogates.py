@@ -4,7 +4,9 @@ Detected entities (e-mail addresses, IP addresses, phone, card and social securi
 keys in assignments, names after a title) give way to made-up ones drawn from a keyed hash of
 the entity's canonical form. So every mention of an entity, in any document and in
 any spelling that differs only in case or separators, gets the same surrogate; parts of names
-are replaced one by one, so "Dr Anna Gray" and "Dr Gray" stay the same person.
+are replaced one by one, so "Dr Anna Gray" and "Dr Gray" stay the same person. Particles stay, initials become
+the surrogate's; a part found after a title is also replaced where the document has it without one (such bare
+mentions are replaced, not listed as mentions).
 
 Surrogates keep type and format: length, separators, letter case and digits' places, country
 codes and top-level domains, a card number's first digit and check digit; names keep the
@@ -39,6 +41,8 @@ GREEK = "αβδεφγικλμνοπρστυωζ"
 
 _ALL_TITLES = "|".join(t for ts in TITLES.values() for t in ts)
 _NAME = r"\p{Lu}[\p{L}'’-]+"
+_PARTICLE = r"(?:v[ao]n(?: de[nmr])?|de(?: l[ao]s?)?|del|della|di|da|dos|du|ter|ten|bin|ibn|al|el|af|av)"
+_PART = rf"(?:{_PARTICLE} )?(?:{_NAME}|\p{{Lu}}\.?(?= (?:{_PARTICLE} )?\p{{Lu}}))"  # an initial has a further part after it
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _OTHER = rf"(?!(?:19|20)[0-9]{{2}}(?![0-9]|[ .-][0-9])|(?:{_OCTET}\.){{3}}|(?:[0-9]{{4}}[ -]){{3}}[0-9]{{4}}|[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}})"
 # Every quantifier is bounded or starts at a word's start only, so long texts take linear time.
@@ -54,7 +58,7 @@ PATTERNS = {
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "iban": r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "secret": r"(?<=(?i:token|secret|api_key|apikey|password) {0,2}[=:] {0,2}[\"'])[0-9A-Fa-f]{16,128}(?=[\"'])",
-    "name": rf"(?<![\p{{L}}-])(?:{_ALL_TITLES})\.? {_NAME}(?: {_NAME}){{0,2}}",
+    "name": rf"(?<![\p{{L}}-])(?:{_ALL_TITLES})\.? {_PART}(?: {_PART}){{0,30}}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -78,14 +82,25 @@ def kind(m: str) -> str:
     return "CASE " + " ".join(f"WHEN {test} THEN '{k}'" for k, test in tests) + " ELSE 'secret' END"
 
 
+def _parts(m: str) -> str:
+    """SQL: the parts of a name after its title."""
+    return f"slice(split({m}, ' '), 2, 99)"
+
+
+def _in_form(t: str, n: str) -> str:
+    """SQL: surrogate ``n`` in the form of name part ``t``: a particle, an initial, capitals or a plain name."""
+    return (f"CASE WHEN {t} = lower({t}) THEN {t} WHEN {t} RLIKE {_lit(r'^\p{Lu}\.?$')} THEN concat(upper(left({n}, 1)), substr({t}, 2)) "
+            f"WHEN {t} = upper({t}) THEN upper({n}) ELSE initcap({n}) END")
+
+
 def units(m: str) -> str:
     """SQL: what of a mention is replaced, as ``array<struct<kind, canon>>``: a name's parts, else the
     whole in lower case and, where separators tell nothing, without them."""
     k = kind(m)
     gender = "CASE " + " ".join(f"WHEN {m} RLIKE {_lit('^(?:' + '|'.join(ts) + r')\b')} THEN '{g}'" for g, ts in TITLES.items() if g != "u") + " ELSE 'u' END"
     script = f"CASE WHEN t RLIKE {_lit(r'\p{IsCyrillic}')} THEN 'cyrillic' WHEN t RLIKE {_lit(r'\p{IsGreek}')} THEN 'greek' ELSE 'latin' END"
-    parts = f"slice(split({m}, ' '), 2, 9)"
-    name = (f"transform({parts}, (t, i) -> struct(concat(CASE WHEN i = size({parts}) - 1 THEN 'family' ELSE concat('given_', {gender}) END, '_', {script}) AS kind, "
+    parts = _parts(m)
+    name = (f"transform({parts}, (t, i) -> struct(CASE WHEN t = lower(t) THEN 'particle' ELSE concat(CASE WHEN i = size({parts}) - 1 THEN 'family' ELSE concat('given_', {gender}) END, '_', {script}) END AS kind, "
             f"lower(t) AS canon))")
     bare = f"lower(regexp_replace({m}, '[^0-9A-Za-z+]', ''))"
     one = f"array(struct({k} AS kind, CASE WHEN {k} IN ('email', 'ip', 'secret') THEN lower({m}) ELSE {bare} END AS canon))"
@@ -132,7 +147,7 @@ def surrogate(k: str, c: str, turn: str, key: str) -> str:
     latin = f"concat({body_name}, {end})"
     name = (f"CASE WHEN {k} LIKE '%cyrillic' THEN translate({latin}, '{LATIN}', '{CYRILLIC}') "
             f"WHEN {k} LIKE '%greek' THEN translate({latin}, '{LATIN}', '{GREEK}') ELSE {latin} END")
-    return (f"CASE {k} WHEN 'email' THEN {email} WHEN 'ip' THEN {ip} WHEN 'phone' THEN {phone} WHEN 'ssn' THEN {chars(f'length({c})', alpha)} "
+    return (f"CASE {k} WHEN 'particle' THEN {c} WHEN 'email' THEN {email} WHEN 'ip' THEN {ip} WHEN 'phone' THEN {phone} WHEN 'ssn' THEN {chars(f'length({c})', alpha)} "
             f"WHEN 'card' THEN {card} WHEN 'iban' THEN {iban} WHEN 'secret' THEN {secret} ELSE {name} END")
 
 
@@ -143,16 +158,15 @@ def rendered(m: str, subs: str) -> str:
     spread = (f"array_join(transform(sequence(1, length({m})), i -> CASE WHEN substr({m}, i, 1) RLIKE '[0-9A-Za-z+]' THEN "
               f"CASE WHEN substr({m}, i, 1) RLIKE '[A-Z]' THEN upper(substr({s}, length(regexp_replace(left({m}, i), '[^0-9A-Za-z+]', '')), 1)) "
               f"ELSE substr({s}, length(regexp_replace(left({m}, i), '[^0-9A-Za-z+]', '')), 1) END ELSE substr({m}, i, 1) END), '')")
-    parts = f"slice(split({m}, ' '), 2, 9)"
-    name = (f"concat_ws(' ', split({m}, ' ')[0], array_join(zip_with({parts}, {subs}, (t, n) -> CASE WHEN t = upper(t) AND length(t) > 1 THEN upper(n) "
-            f"ELSE initcap(n) END), ' '))")
+    parts = _parts(m)
+    name = (f"concat_ws(' ', split({m}, ' ')[0], array_join(zip_with({parts}, {subs}, (t, n) -> {_in_form('t', 'n')}), ' '))")
     return f"CASE {k} WHEN 'name' THEN {name} WHEN 'ip' THEN {s} WHEN 'email' THEN {same} WHEN 'secret' THEN {same} ELSE {spread} END"
 
 
 def entities(rows: DataFrame, key: str = KEY) -> DataFrame:
     """Written table of the distinct entities of ``rows._hits``: ``kind``, ``canon``, ``turn`` (the draw
     whose surrogate collides with nothing)."""
-    found = rows.select(F.explode("_hits").alias("m")).distinct().select(F.explode(F.expr(units("m"))).alias("u")).select("u.kind", "u.canon").distinct()
+    found = rows.select(F.explode("_hits").alias("m")).distinct().select(F.explode(F.expr(units("m"))).alias("u")).select("u.kind", "u.canon").filter("kind <> 'particle'").distinct()
     now = written(found.withColumn("turn", F.lit(0)), "entities")
     while True:
         drawn = now.withColumn("s", F.expr(surrogate("kind", "canon", "turn", key)))
@@ -192,6 +206,11 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY) ->
     rows = rows.withColumn("_subs", F.expr(f"transform(_hits, m -> {subs})"))
     rows = rows.withColumn("_new", F.expr(f"zip_with(_hits, _subs, (m, s) -> {rendered('m', 's')})"))
     pieces = f"split(`{text_col}`, {_lit(PATTERN)}, -1)"
+    # untitled mentions of the names' parts, between the mentions found
+    pairs = (f"flatten(zip_with(_hits, _subs, (m, s) -> CASE WHEN {kind('m')} = 'name' THEN zip_with({_parts('m')}, s, (t, n) -> struct(t AS t, {_in_form('t', 'n')} AS n)) ELSE array() END))")
+    rows = rows.withColumn("_bare", F.expr(f"filter(array_distinct({pairs}), p -> p.t RLIKE {_lit(r"^\p{Lu}[\p{L}'’-]{2,}$")})"))
+    bare = f"regexp_replace(a, concat({_lit(r"(?<![\p{L}\p{N}_-])")}, p.t, {_lit(r"(?![\p{L}\p{N}_-])")}), p.n)"
+    pieces = f"CASE WHEN size(_bare) > 0 THEN transform({pieces}, x -> aggregate(_bare, x, (a, p) -> {bare})) ELSE {pieces} END"
     done = F.expr(f"CASE WHEN size(_hits) > 0 THEN array_join(zip_with({pieces}, _new, (a, b) -> concat(a, coalesce(b, ''))), '') ELSE `{text_col}` END")
     return rows.withColumn(text_col, done).select(*docs.columns, "_hits").toDF(*names, "_hits")
 
