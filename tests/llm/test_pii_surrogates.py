@@ -125,3 +125,13 @@ def test_whole_names_and_untitled_mentions(spark):
     assert d and d[2] == d[3] == d[5] == b[2] and d[1] == d[4] != "John"
     assert got[4] == texts[4]
     assert "Neil" not in got[5] and len(set(re.findall(r"[A-Z]\w+", got[5]))) == 2
+
+
+@pytest.mark.parametrize("before, entity, kind", [
+    ("-", "anna@example.com", "email"), ("...", "anna@example.com", "email"), ("_", "bob@example.com", "email"), ("%", "bob.b@example.com", "email"),
+    ("+", "bob@example.com", "email"), ("7,", "4539148803436467", "card"), ("-", "4539148803436467", "card"), ("", "3782 822463 10005", "card"),
+    ("tel ", "555 123 4567", "phone"), ("tel ", "1-800-555-1234", "phone"), ("tel ", "1 800 555 1234", "phone")])
+def test_entities_after_marks_and_further_forms(spark, before, entity, kind):
+    r = run(spark, [f"{before}{entity}, ok", "0.4539148803436467 and 12,345,678"])
+    assert r[0]["_hits"] == [entity] and r[0]["text"].startswith(before) and r[0]["text"].endswith(", ok") and entity not in r[0]["text"]
+    assert not r[1]["_hits"] and spark.sql(f"SELECT {P.kind(P._lit(entity))}").first()[0] == kind

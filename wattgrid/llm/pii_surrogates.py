@@ -47,14 +47,15 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _OTHER = rf"(?!(?:19|20)[0-9]{{2}}(?![0-9]|[ .-][0-9])|(?:{_OCTET}\.){{3}}|(?:[0-9]{{4}}[ -]){{3}}[0-9]{{4}}|[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}})"
 # Every quantifier is bounded or starts at a word's start only, so long texts take linear time.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,18}(?![A-Za-z0-9])",
+    "email": r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,18}(?![A-Za-z0-9])",
     "ip": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
     # country codes with a fixed count of digits after them, in any grouping; other codes by groups, which end
     # before a year, an IP address, a card or a social security number; then numbers without a country code
     "phone": (r"(?<![\w+])\+[0-9]{8,15}(?!\w)|(?<![\w+])\+(?:(?:1|7|20|27|30|44|52|54|57|90|91)(?:[ .()-]{0,2}[0-9]){10}|(?:31|33|34|41|48|61|351)(?:[ .()-]{0,2}[0-9]){9})(?!\w)"
               rf"|(?<![\w+])\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)|[0-9]{{1,4}})[ .-]?(?:[0-9]{{5,8}}(?!\w)|[0-9]{{2,4}}(?!\w)(?:[ .-]{_OTHER}[0-9]{{2,8}}(?!\w|\.[0-9])){{0,3}})"
-              r"|(?<!\w)\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?!\w)|(?<![\w.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w-])"),
-    "card": r"(?<!\w)(?:[0-9]{4}[ -]){3}[0-9]{4}(?!\w)|(?<![\w.,-])[0-9]{13,19}(?![\w])",
+              r"|(?<!\w)\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?!\w)|(?<![\w.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w-])"
+              r"|(?<!\w)(?<![0-9][ .,-])(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![\w-])"),
+    "card": r"(?<!\w)(?:[0-9]{4}[ -]){3}[0-9]{4}(?!\w)|(?<!\w)3[0-9]{3}[ -][0-9]{6}[ -][0-9]{4,5}(?!\w)|(?<!\w)(?<![0-9]\.|\w-)[0-9]{13,19}(?!\w)",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "iban": r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "secret": r"(?<=(?i:token|secret|api_key|apikey|password) {0,2}[=:] {0,2}[\"'])[0-9A-Fa-f]{16,128}(?=[\"'])",
@@ -77,7 +78,7 @@ def kind(m: str) -> str:
     """SQL: the kind of a mention, by its form."""
     tests = [("email", f"contains({m}, '@')"), ("name", f"{m} RLIKE {_lit('^(?:' + _ALL_TITLES + r')\.? ')}"),
              ("ip", f"{m} RLIKE {_lit(r'^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$')}"), ("ssn", f"{m} RLIKE {_lit('^[0-9]{3}-[0-9]{2}-[0-9]{4}$')}"),
-             ("phone", f"{m} RLIKE {_lit(r'^[+(]|^[0-9]{3}[.-]')}"), ("card", f"{m} RLIKE {_lit('^[0-9 -]+$')}"),
+             ("phone", f"{m} RLIKE {_lit(r'^[+(]|^[0-9]{3}[.-]|^(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}$')}"), ("card", f"{m} RLIKE {_lit('^[0-9 -]+$')}"),
              ("iban", f"{m} RLIKE '^[A-Z]{{2}}[0-9]{{2}}[A-Z0-9 ]+$' AND NOT {m} RLIKE '^[0-9A-F]+$'")]
     return "CASE " + " ".join(f"WHEN {test} THEN '{k}'" for k, test in tests) + " ELSE 'secret' END"
 
