@@ -110,6 +110,16 @@ def test_held_out_labels(spark):
     assert auc >= 0.9 and (x.predicted[x.toxic == 0] == 0).mean() > 0.97
 
 
+def test_held_out_recall_by_language(spark):
+    """Of all held-out toxic documents of each language, nine in ten are predicted toxic."""
+    sf = "/root/testdata/sf0.1"
+    r = T.op3_toxicity_kernel(spark, sf).toPandas()
+    for name in ("labels", "documents"):
+        r = r.merge(spark.read.parquet(f"{sf}/{name}.parquet").drop("text").toPandas(), on="doc_id")
+    recall = r[r.held_out & (r.toxic == 1)].groupby("lang").predicted.mean()
+    assert set(recall.index) == {"en", "de", "fr", "es"} and recall.min() >= 0.9
+
+
 TEXTS = ["abab", "abba c", None, "", "cafe É", "É", "zzz", "a" * 300, "abab"]
 
 
