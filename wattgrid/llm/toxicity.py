@@ -8,8 +8,8 @@ on landmark words (``K(x, Z) K(Z, Z)^-1/2``) and a squared-hinge SVM is trained
 is a combination of the landmarks' own features, so scoring needs one weight for each
 letter sequence and costs the same for any number of landmarks.
 
-Labels belong to documents; every sentence of a sampled document is taken with its label. A
-sentence scores as its strongest word and a document by its two strongest words. Positives
+Labels belong to documents; the SVM's rows are words of the sampled documents, not sentences,
+and a document scores by its two strongest words. Positives
 are the words found in toxic documents beyond chance, weighed by that excess; negatives are
 words that mark nothing and, round by round, the strongest words of clean documents.
 Words are compared by their letters: marks, digits in the place of letters and accents are
