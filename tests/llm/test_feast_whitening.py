@@ -19,9 +19,12 @@ def covariances():
     yield a.T @ a, 3  # without full rank
     yield np.diag([1e8, 1.0, 1e-3, 0.0]), 3
     yield np.zeros((6, 6)), 0
+    for rows in (3_000, 30_000):  # all eigenvalues close together
+        a = np.floor(RNG.standard_normal((rows, 64)) * 8)
+        yield a.T @ a / rows, 32
 
 
-@pytest.mark.parametrize("case", range(10))
+@pytest.mark.parametrize("case", range(12))
 def test_eigenvectors(case):
     v, count = list(covariances())[case]
     true = np.linalg.eigvalsh(v)
