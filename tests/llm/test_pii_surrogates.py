@@ -135,3 +135,104 @@ def test_entities_after_marks_and_further_forms(spark, before, entity, kind):
     r = run(spark, [f"{before}{entity}, ok", "0.4539148803436467 and 12,345,678"])
     assert r[0]["_hits"] == [entity] and r[0]["text"].startswith(before) and r[0]["text"].endswith(", ok") and entity not in r[0]["text"]
     assert not r[1]["_hits"] and spark.sql(f"SELECT {P.kind(P._lit(entity))}").first()[0] == kind
+
+
+def sha(*parts):
+    import hashlib
+    return hashlib.sha256("|".join(map(str, parts)).encode()).hexdigest()
+
+
+def plain_permuted(c, kind, turn, key, start, upto, hexadecimal=False):
+    sets = ["0123456789abcdef"] if hexadecimal else ["0123456789", "abcdefghijklmnopqrstuvwxyz"]
+    s = list(c)
+    for r in range(P.ROUNDS):
+        mine = [start <= i <= upto and i % 2 == r % 2 for i in range(1, len(s) + 1)]
+        rest = "".join(next((str(n) for n, a in enumerate(sets) if ch in a), ch) if m else ch for ch, m in zip(s, mine))
+        h = sha(key, kind, turn, r, 0, rest) + sha(key, kind, turn, r, 1, rest)
+        for i, m in enumerate(mine, 1):
+            a = next((a for a in sets if s[i - 1] in a), None)
+            if m and a:
+                at = 4 * ((i // 2) % 32)
+                s[i - 1] = a[(a.index(s[i - 1]) + int(h[at:at + 4], 16)) % len(a)]
+    return "".join(s)
+
+
+def luhn_sum(s, odd):
+    return sum((lambda d: d * 2 - (9 if d > 4 else 0) if (len(s) - i) % 2 == odd else d)(int(ch)) for i, ch in enumerate(s, 1))
+
+
+def plain_surrogate(kind, c, turn, key):
+    """The surrogates step by step."""
+    if kind == "email":
+        return plain_permuted(c, kind, turn, key, 1, c.rindex("."))
+    if kind == "phone":
+        return plain_permuted(c, kind, turn, key, 2 + max(1, min(3, len(c) - 11)) if c[0] == "+" else 1, len(c))
+    if kind == "card":
+        b = plain_permuted(c[:-1], kind, turn, key, 2, len(c) - 1)
+        return b + str((int(c[-1]) + luhn_sum(c[:-1], 0) - luhn_sum(b, 0)) % 10)
+    if kind == "ip":
+        s = [int(o) for o in c.split(".")]
+        for r in range(P.ROUNDS):
+            mine = [1 <= o <= 254 and i % 2 == r % 2 for i, o in enumerate(s)]
+            h = sha(key, kind, turn, r, ".".join("#" if m else str(o) for o, m in zip(s, mine)))
+            s = [1 + (o - 1 + int(h[6 * i:6 * i + 6], 16)) % 254 if m else o for i, (o, m) in enumerate(zip(s, mine))]
+        return ".".join(map(str, s))
+    if kind.startswith(("given", "family")):
+        h = "".join(sha(key, re.sub("^given_[fmu]", "given", kind), c, turn, n) for n in (0, 1))
+        body = "".join("bdfgklmnprstvz"[int(h[3 * i:3 * i + 3], 16) % 14] + "aeiou"[int(h[63 + 3 * i:66 + 3 * i], 16) % 5] for i in range(1 + turn // 4))
+        end = {"f": "na", "m": "n"}[kind[6]] if kind.startswith("given") else ["ler", "sen", "rini", "man", "ton", "dez", "nov", "lis"][int(h[-2:], 16) % 8]
+        alphabet = {"cyrillic": P.CYRILLIC, "greek": P.GREEK}.get(kind.rsplit("_", 1)[1], P.LATIN)
+        return (body + end).translate(str.maketrans(P.LATIN, alphabet))
+    return plain_permuted(c, kind, turn, key, 3 if kind == "iban" else 1, len(c), kind == "secret")
+
+
+def test_surrogates_equal_a_plain_version(spark):
+    import random
+    rng = random.Random(4)
+
+    def digits(n):
+        return "".join(rng.choices("0123456789", k=n))
+    every = [("email", f"{rng.choice('abz')}{digits(2)}.x_{i}@mail-{digits(1)}.example.co.uk") for i in range(40)] + [("email", "a@b.co"), ("email", "x" * 64 + "@" + "y" * 60 + ".org")]
+    every += [("ip", ".".join(str(rng.randint(0, 255)) for _ in range(4))) for _ in range(40)] + [("ip", "0.0.0.0"), ("ip", "255.1.0.254")]
+    every += [("phone", "+" + digits(n)) for n in (8, 11, 12, 15)] + [("phone", digits(10)), ("ssn", digits(9)), ("iban", "de89" + digits(18)), ("iban", "gb29nwbk" + digits(14))]
+    every += [("card", digits(n)) for n in range(13, 20) for _ in range(5)] + [("secret", "".join(rng.choices("0123456789abcdef", k=n))) for n in (16, 40, 300)]
+    every += [(k, n) for k in ("given_f_latin", "given_m_cyrillic", "family_greek", "family_latin") for n in ("anna", "петр", "o'neil")]
+    df = spark.createDataFrame([(k, c, t) for k, c in every for t in (0, 9)], "kind string, canon string, turn int")
+    for r in df.withColumn("s", F.expr(P.surrogate("kind", "canon", "turn", "secret key"))).collect():
+        assert r["s"] == plain_surrogate(r["kind"], r["canon"], r["turn"], "secret key"), r
+
+
+@pytest.mark.parametrize("kind, form", [
+    ("email", "concat(char(97 + id % 26), id div 26 % 10, '@', char(97 + id div 260), '.io')"), ("ssn", "lpad(id, 9, '0')"), ("card", "concat('4', lpad(id, 14, '0'))"),
+    ("ip", "concat_ws('.', id % 256, 10, id div 256, 0)"), ("secret", "lpad(hex(id), 16, '0')")])
+def test_no_two_entities_meet(spark, kind, form):
+    df = spark.range(6760).select(F.expr(f"lower({form})").alias("c"))
+    got = df.withColumn("s", F.expr(P.surrogate(f"'{kind}'", "c", "0", "k"))).select(F.countDistinct("c"), F.countDistinct("s"), F.sum(F.expr("int(s = c)"))).first()
+    assert got[0] == got[1] == 6760 and got[2] < 60
+
+
+def test_one_person_keeps_one_name(spark):
+    texts = ["Dr Anna Gray met Mrs Anna Gray and Anna.", "Prof Anna Gray", "Mrs Anna Gray", "Dr Robin Hall, then Mrs Robin Hall", "Dr Paul Hall", "Mr Paul Hall"]
+    got = {i: r["text"] for i, r in run(spark, texts).items()}
+    a = re.fullmatch(r"Dr (\w+) (\w+) met Mrs (\w+) (\w+) and (\w+)\.", got[0])
+    assert a and a[1] == a[3] == a[5] and a[2] == a[4] and got[1] == f"Prof {a[1]} {a[2]}" and got[2] == f"Mrs {a[1]} {a[2]}" and a[1].endswith("na")
+    b = re.fullmatch(r"Dr (\w+) (\w+), then Mrs (\w+) (\w+)", got[3])
+    assert b and b[1] == b[3] and b[1].endswith("na") and b[2] == b[4] == got[4].split()[2]
+    assert got[4].split()[1:] == got[5].split()[1:] and not got[4].split()[1].endswith("na")
+
+
+def test_repeated_rows_and_long_secrets(spark):
+    texts = [TEXTS[0], TEXTS[3]] + [TEXTS[0]] * 30 + ["password: '" + "0f" * 500 + "'"]
+    out = run(spark, texts)
+    alone = run(spark, texts[:2])
+    assert {out[i]["text"] for i in (0, *range(2, 32))} == {alone[0]["text"]} and out[1]["text"] == alone[1]["text"]
+    assert "0f0f0f" not in out[32]["text"] and len(out[32]["text"]) == len(texts[32])
+
+
+def test_no_text_is_shuffled_for_redraws(spark):
+    """Thousands of names: whatever is drawn again, the result's own plan holds no exchange."""
+    texts = [f"Mr Abc{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} Jones" for i in range(2000)]
+    df = P.replace_entities(spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], SCHEMA))
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    names = [r["text"].split()[1] for r in df.collect()]
+    assert len(set(names)) == 2000

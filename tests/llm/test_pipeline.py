@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered_once():
     names = sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert len(corpus_pipeline.STAGES) == 5
 
@@ -20,7 +20,7 @@ def test_every_operator_is_registered_once():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql_twins(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.sql(queries.ORACLE_SQL[name])
     r = queries.QUERIES[name](spark, SF)

@@ -1,21 +1,24 @@
 """Surrogates for personal data, in DataFrame and SQL expressions alone.
 
 Detected entities (e-mail addresses, IP addresses, phone, card and social security numbers, IBANs,
-keys in assignments, names after a title) give way to made-up ones drawn from a keyed hash of
-the entity's canonical form. So every mention of an entity, in any document and in
+keys in assignments, names after a title) give way to made-up ones that a secret key and the
+entity's canonical form decide. So every mention of an entity, in any document and in
 any spelling that differs only in case or separators, gets the same surrogate; parts of names
 are replaced one by one, so "Dr Anna Gray" and "Dr Gray" stay the same person. Particles stay, initials become
 the surrogate's; a part found after a title is also replaced where the document has it without one (such bare
 mentions are replaced, not listed as mentions).
 
 Surrogates keep type and format: length, separators, letter case and digits' places, country
-codes and top-level domains, a card number's first digit and check digit; names keep the
-gender their title tells, their script (Latin, Cyrillic or Greek) and capitals.
+codes and top-level domains, a card number's first digit and whether its check digit is true; names keep the
+gender their title tells, their script (Latin, Cyrillic or Greek) and capitals. After a neutral title, the
+gender is that of the name's other mentions in the document, else what its ending suggests.
 
-Distinctness is checked on the table of all distinct entities: of two with one surrogate, or
-one whose surrogate is itself an entity of the corpus, the loser draws again until no
-collision is left. Redrawn entities (few, if any) are joined to the documents that
-hold them; all other surrogates are computed in place, without a shuffle.
+Distinctness: all kinds but names are permuted within their format by a keyed network of rounds that can be
+undone, so no two entities can meet. Names are hashed to syllables, as many as the number of distinct names
+needs. The table of all distinct entities is then checked: a kind in which two entities share a surrogate, or
+a surrogate is an entity of the corpus, is drawn again as a whole. A draw is one number a kind, so all
+surrogates are computed in place: no text is shuffled, whatever is drawn again. Where entities fill so much of
+a format that every draw meets some (social security numbers by the million), the draw with fewest is taken.
 
 Defined results: texts without entities, NULL and empty ones stay as they are; repeats are
 replaced alike; an empty table gives no rows; other columns pass through.
@@ -58,7 +61,7 @@ PATTERNS = {
     "card": r"(?<!\w)(?:[0-9]{4}[ -]){3}[0-9]{4}(?!\w)|(?<!\w)3[0-9]{3}[ -][0-9]{6}[ -][0-9]{4,5}(?!\w)|(?<!\w)(?<![0-9]\.|\w-)[0-9]{13,19}(?!\w)",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "iban": r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
-    "secret": r"(?<=(?i:token|secret|api_key|apikey|password) {0,2}[=:] {0,2}[\"'])[0-9A-Fa-f]{16,128}(?=[\"'])",
+    "secret": r"(?<=(?i:token|secret|api_key|apikey|password) {0,2}[=:] {0,2}[\"'])[0-9A-Fa-f]{16,}+(?=[\"'])",
     "name": rf"(?<![\p{{L}}-])(?:{_ALL_TITLES})\.? {_PART}(?: {_PART}){{0,30}}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -96,7 +99,7 @@ def _in_form(t: str, n: str) -> str:
 
 def units(m: str) -> str:
     """SQL: what of a mention is replaced, as ``array<struct<kind, canon>>``: a name's parts, else the
-    whole in lower case and, where separators tell nothing, without them."""
+    whole in lower case and, where separators or leading zeros tell nothing, without them."""
     k = kind(m)
     gender = "CASE " + " ".join(f"WHEN {m} RLIKE {_lit('^(?:' + '|'.join(ts) + r')\b')} THEN '{g}'" for g, ts in TITLES.items() if g != "u") + " ELSE 'u' END"
     script = f"CASE WHEN t RLIKE {_lit(r'\p{IsCyrillic}')} THEN 'cyrillic' WHEN t RLIKE {_lit(r'\p{IsGreek}')} THEN 'greek' ELSE 'latin' END"
@@ -104,51 +107,89 @@ def units(m: str) -> str:
     name = (f"transform({parts}, (t, i) -> struct(CASE WHEN t = lower(t) THEN 'particle' ELSE concat(CASE WHEN i = size({parts}) - 1 THEN 'family' ELSE concat('given_', {gender}) END, '_', {script}) END AS kind, "
             f"lower(t) AS canon))")
     bare = f"lower(regexp_replace({m}, '[^0-9A-Za-z+]', ''))"
-    one = f"array(struct({k} AS kind, CASE WHEN {k} IN ('email', 'ip', 'secret') THEN lower({m}) ELSE {bare} END AS canon))"
+    octets = f"array_join(transform(split({m}, '[.]'), o -> cast(int(o) AS string)), '.')"
+    one = f"array(struct({k} AS kind, CASE WHEN {k} = 'ip' THEN {octets} WHEN {k} IN ('email', 'secret') THEN lower({m}) ELSE {bare} END AS canon))"
     return f"CASE WHEN {k} = 'name' THEN {name} ELSE {one} END"
 
 
-def surrogate(k: str, c: str, turn: str, key: str) -> str:
-    """SQL: the canonical surrogate of canonical form ``c`` of kind ``k`` in draw ``turn``."""
+def space(k: str) -> str:
+    """SQL: the space that kind ``k`` draws from: names of any gender share theirs."""
+    return f"regexp_replace({k}, '^given_[fmu]', 'given')"
+
+
+def resolved(us: str) -> str:
+    """SQL: a document's ``us`` (an array of units for each mention) with the gender of given names after neutral
+    titles: that of another mention of the name in the document, else what the name's ending suggests."""
+    told = f"filter(flatten({us}), v -> v.kind LIKE 'given_f%' OR v.kind LIKE 'given_m%')"
+    same = "try_element_at(transform(filter(told, v -> v.canon = u.canon), v -> substr(v.kind, 7, 1)), 1)"
+    gender = f"coalesce({same}, CASE WHEN u.canon RLIKE '[aаяηα]$' THEN 'f' ELSE 'm' END)"
+    return (f"transform(array({told}), told -> transform({us}, one -> transform(one, u -> "
+            f"CASE WHEN u.kind LIKE 'given_u%' THEN struct(concat('given_', {gender}, substr(u.kind, 8)) AS kind, u.canon AS canon) ELSE u END)))[0]")
+
+
+ROUNDS = 6
+
+
+def permuted(c: str, k: str, turn: str, key: str, start: str, upto: str, hexadecimal: bool = False) -> str:
+    """SQL: a keyed permutation of the strings in the form of ``c`` (same classes at the same places): two
+    strings never meet. In each round the characters at every second place between ``start`` and ``upto`` move
+    within their class by amounts that depend on all others, so each round can be undone."""
+    def moved(alphabet: str) -> str:
+        amount = "cast(conv(substr(h, 1 + 4 * pmod(i div 2, 32), 4), 16, 10) AS int)"
+        return f"substr('{alphabet}', 1 + pmod(instr('{alphabet}', substr(s, i, 1)) - 1 + {amount}, {len(alphabet)}), 1)"
+    classes = [("[0-9a-f]", "0123456789abcdef")] if hexadecimal else [("[0-9]", "0123456789"), ("[a-z]", "abcdefghijklmnopqrstuvwxyz")]
+    mine = f"i >= {start} AND i <= {upto} AND pmod(i, 2) = pmod(r, 2)"
+    whole = "sequence(1, length(s))"
+    rest = f"array_join(transform({whole}, i -> CASE WHEN {mine} THEN {' '.join(f"WHEN substr(s, i, 1) RLIKE '{p}' THEN '{n}'" for n, (p, _) in enumerate(classes)).join(('CASE ', ' ELSE substr(s, i, 1) END'))} ELSE substr(s, i, 1) END), '')"
+
     def stream(n: int) -> str:
-        return f"sha2(concat_ws('|', {_lit(key)}, {k}, {c}, cast({turn} AS string), '{n}'), 256)"
-    h = f"concat({stream(0)}, {stream(1)})"
-    digits = f"translate({h}, 'abcdef', '012345')"
-    alpha = f"translate({h}, '0123456789abcdef', 'abcdefghiklmnoprs')"
+        return f"sha2(concat_ws('|', {_lit(key)}, {k}, cast({turn} AS string), cast(r AS string), '{n}', rest), 256)"
+    step = f"array_join(transform({whole}, i -> CASE WHEN NOT ({mine}) THEN substr(s, i, 1) {' '.join(f"WHEN substr(s, i, 1) RLIKE '{p}' THEN {moved(a)}" for p, a in classes)} ELSE substr(s, i, 1) END), '')"
+    # an array of one binds a value that is used many times
+    one = f"transform(transform(array({rest}), rest -> concat({stream(0)}, {stream(1)})), h -> {step})[0]"
+    return f"CASE WHEN length({c}) > 0 THEN aggregate(sequence(0, {ROUNDS - 1}), {c}, (s, r) -> {one}) ELSE {c} END"
 
-    def at(s: str, i: str) -> str:
-        return f"substr({s}, 1 + pmod({i} - 1, 128), 1)"
 
-    def chars(upto: str, ch: str, start: str = "1") -> str:
-        """Class by class from place ``start`` to ``upto``; other characters stay."""
-        return (f"array_join(transform(sequence(1, length({c})), i -> CASE WHEN i < {start} OR i > {upto} THEN substr({c}, i, 1) "
-                f"WHEN substr({c}, i, 1) RLIKE '[0-9]' THEN {at(digits, 'i')} WHEN substr({c}, i, 1) RLIKE '[a-z]' THEN {at(ch, 'i')} ELSE substr({c}, i, 1) END), '')")
+def _addresses(c: str, k: str, turn: str, key: str) -> str:
+    """SQL: the same over the four numbers of an IP address; 0 and 255 stay."""
+    free = "o BETWEEN 1 AND 254"
+    rest = f"concat_ws('.', transform(s, (o, i) -> CASE WHEN {free} AND pmod(i, 2) = pmod(r, 2) THEN '#' ELSE cast(o AS string) END))"
+    hash_ = f"sha2(concat_ws('|', {_lit(key)}, {k}, cast({turn} AS string), cast(r AS string), {rest}), 256)"
+    step = (f"transform(s, (o, i) -> CASE WHEN {free} AND pmod(i, 2) = pmod(r, 2) THEN 1 + pmod(o - 1 + cast(conv(substr(h, 1 + 6 * i, 6), 16, 10) AS int), 254) ELSE o END)")
+    start = f"transform(split({c}, '[.]'), o -> int(o))"
+    return f"array_join(transform(aggregate(sequence(0, {ROUNDS - 1}), {start}, (s, r) -> transform(array({hash_}), h -> {step})[0]), o -> cast(o AS string)), '.')"
+
+
+def surrogate(k: str, c: str, turn: str, key: str) -> str:
+    """SQL: the canonical surrogate of canonical form ``c`` of kind ``k`` in draw ``turn``. All kinds but names are
+    permuted within their format; names are made of syllables, ``1 + turn div 4`` of them, and an ending."""
+    def chars(text: str, start: str, upto: str, hexadecimal: bool = False) -> str:
+        return permuted(text, k, turn, key, start, upto, hexadecimal)
 
     def luhn(s: str, odd: str) -> str:
         """Luhn sum of the digits of ``s``; places of parity ``odd`` from the right count double."""
         return (f"aggregate(sequence(1, length({s})), 0, (a, i) -> a + CASE WHEN pmod(length({s}) - i, 2) = {odd} THEN "
                 f"int(substr({s}, i, 1)) * 2 - CASE WHEN int(substr({s}, i, 1)) > 4 THEN 9 ELSE 0 END ELSE int(substr({s}, i, 1)) END)")
 
-    email = chars(f"length({c}) - length(regexp_extract({c}, {_lit(r'\.[a-z]+$')}, 0))", alpha)
+    email = chars(c, "1", f"length({c}) - length(regexp_extract({c}, {_lit(r'\.[a-z]+$')}, 0))")
     # country code and its plus sign stay: at most three digits, of which one at least where ten others follow
     code = f"CASE WHEN left({c}, 1) = '+' THEN 2 + greatest(1, least(3, length({c}) - 11)) ELSE 1 END"
-    phone = chars(f"length({c})", alpha, code)
-    body = f"concat(left({c}, 1), substr({digits}, 1, length({c}) - 2))"
-    free = f"concat(left({c}, 1), substr({digits}, 1, length({c}) - 1))"
-    card = f"CASE WHEN pmod({luhn(c, '1')}, 10) = 0 THEN concat({body}, cast(pmod(10 - pmod({luhn(body, '0')}, 10), 10) AS string)) ELSE {free} END"
-    ip = "concat_ws('.', " + ", ".join(f"cast(1 + pmod(int(conv(substr({h}, {4 * i + 1}, 4), 16, 10)), 254) AS string)" for i in range(4)) + ")"
-    secret = f"substr({h}, 1, length({c}))"
-    iban = chars(f"length({c})", alpha, "3")
-    # names: syllables, one more after every fourth draw, and an ending of the kind
-    syllable = (f"concat(substr('bdfgklmnprstvz', 1 + pmod(int(conv(substr({h}, i * 3 + 1, 3), 16, 10)), 14), 1), "
-                f"substr('aeiou', 1 + pmod(int(conv(substr({h}, 64 + i * 3, 3), 16, 10)), 5), 1))")
-    body_name = f"array_join(transform(sequence(0, least(15, 1 + {turn} div 4)), i -> {syllable}), '')"
+    phone = chars(c, code, f"length({c})")
+    # what the check digit is off by stays the same, so true numbers stay true and others false
+    body = f"substr({c}, 1, length({c}) - 1)"
+    off = f"int(right({c}, 1)) + {luhn(body, '0')} - {luhn('b', '0')}"
+    card = f"transform(array({chars(body, '2', f'length({c}) - 1')}), b -> concat(b, cast(pmod({off}, 10) AS string)))[0]"
+    secret = chars(c, "1", f"length({c})", True)
+    iban = chars(c, "3", f"length({c})")
+    h = f"concat({', '.join(f"sha2(concat_ws('|', {_lit(key)}, {space(k)}, {c}, cast({turn} AS string), '{n}'), 256)" for n in (0, 1))})"
+    syllable = ("concat(substr('bdfgklmnprstvz', 1 + pmod(int(conv(substr(h, i * 3 + 1, 3), 16, 10)), 14), 1), "
+                "substr('aeiou', 1 + pmod(int(conv(substr(h, 64 + i * 3, 3), 16, 10)), 5), 1))")
     end = (f"CASE WHEN {k} LIKE 'given_f%' THEN 'na' WHEN {k} LIKE 'given_m%' THEN 'n' WHEN {k} LIKE 'given%' THEN 'ne' "
-           f"ELSE element_at(array('ler', 'sen', 'rini', 'man', 'ton', 'dez', 'nov', 'lis'), 1 + pmod(int(conv(right({h}, 2), 16, 10)), 8)) END")
-    latin = f"concat({body_name}, {end})"
+           f"ELSE element_at(array('ler', 'sen', 'rini', 'man', 'ton', 'dez', 'nov', 'lis'), 1 + pmod(int(conv(right(h, 2), 16, 10)), 8)) END")
+    latin = f"transform(array({h}), h -> concat(array_join(transform(sequence(0, least(15, {turn} div 4)), i -> {syllable}), ''), {end}))[0]"
     name = (f"CASE WHEN {k} LIKE '%cyrillic' THEN translate({latin}, '{LATIN}', '{CYRILLIC}') "
             f"WHEN {k} LIKE '%greek' THEN translate({latin}, '{LATIN}', '{GREEK}') ELSE {latin} END")
-    return (f"CASE {k} WHEN 'particle' THEN {c} WHEN 'email' THEN {email} WHEN 'ip' THEN {ip} WHEN 'phone' THEN {phone} WHEN 'ssn' THEN {chars(f'length({c})', alpha)} "
+    return (f"CASE {k} WHEN 'particle' THEN {c} WHEN 'email' THEN {email} WHEN 'ip' THEN {_addresses(c, k, turn, key)} WHEN 'phone' THEN {phone} WHEN 'ssn' THEN {chars(c, '1', f'length({c})')} "
             f"WHEN 'card' THEN {card} WHEN 'iban' THEN {iban} WHEN 'secret' THEN {secret} ELSE {name} END")
 
 
@@ -164,24 +205,43 @@ def rendered(m: str, subs: str) -> str:
     return f"CASE {k} WHEN 'name' THEN {name} WHEN 'ip' THEN {s} WHEN 'email' THEN {same} WHEN 'secret' THEN {same} ELSE {spread} END"
 
 
-def entities(rows: DataFrame, key: str = KEY) -> DataFrame:
-    """Written table of the distinct entities of ``rows._hits``: ``kind``, ``canon``, ``turn`` (the draw
-    whose surrogate collides with nothing)."""
-    found = rows.select(F.explode("_hits").alias("m")).distinct().select(F.explode(F.expr(units("m"))).alias("u")).select("u.kind", "u.canon").filter("kind <> 'particle'").distinct()
-    now = written(found.withColumn("turn", F.lit(0)), "entities")
+CLASHES = 16  # draws that a kind takes to find one whose surrogates are no entities of the corpus
+
+
+def first_draw(kind_: str, entities: int) -> int:
+    """The draw that names start with: enough syllables that a collision is unlikely among so many."""
+    n = 1
+    while kind_.startswith(("given", "family")) and 70 ** n < 8 * entities ** 2:
+        n += 1
+    return 4 * (n - 1)
+
+
+def draws(rows: DataFrame, key: str = KEY) -> dict[str, int]:
+    """The draw of each kind (see ``space``) in which no two distinct entities of ``rows._hits`` share a surrogate and,
+    if one of the first ``CLASHES`` draws does so, none is itself an entity of the corpus; otherwise that with
+    fewest such clashes. The table of distinct entities is written; the driver sees one row a kind and draw."""
+    found = rows.select(F.explode("_hits").alias("m")).distinct().select(F.explode(F.expr(units("m"))).alias("u")).select("u.kind", "u.canon").filter("kind <> 'particle'")
+    found = written(found.select(F.expr(space("kind")).alias("kind"), "canon").distinct(), "entities")
+    start = {r["kind"]: first_draw(r["kind"], r["count"]) for r in found.groupBy("kind").count().collect()}
+    best: dict[str, tuple[int, int, int]] = {}
+    tried, more = 0, 1
     while True:
-        drawn = now.withColumn("s", F.expr(surrogate("kind", "canon", "turn", key)))
-        # one space of values a kind; gender and script are told apart by their endings and letters
-        first = drawn.groupBy("kind", "s").agg(F.min(F.struct("turn", "canon")).alias("low"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-        lost = (drawn.join(first.select(F.col("kind").alias("_k"), F.col("s").alias("_s"), "low"), (F.col("kind") == F.col("_k")) & (F.col("s") == F.col("_s")))
-                .filter(F.struct("turn", "canon") != F.col("low")).select("kind", "canon"))
-        real = now.select(F.col("kind").alias("_k"), F.col("canon").alias("_s"))
-        taken = drawn.join(real, (F.col("kind") == F.col("_k")) & (F.col("s") == F.col("_s")), "left_semi").select("kind", "canon")
-        again = written(lost.union(taken).distinct(), "redrawn")
-        if again.isEmpty():
-            return now
-        again = again.withColumn("_more", F.lit(1))
-        now = written(now.join(again, ["kind", "canon"], "left").select("kind", "canon", (F.col("turn") + F.coalesce("_more", F.lit(0))).alias("turn")), "entities")
+        open_ = [k for k in start if k not in best or best[k][0] or (best[k][1] and tried < CLASHES)]
+        if not open_:
+            return {k: turn for k, (_, _, turn) in best.items()}
+        first = "CASE kind " + " ".join(f"WHEN '{k}' THEN {start[k] + tried}" for k in open_) + " END"
+        drawn = found.filter(F.col("kind").isin(open_)).withColumn("turn", F.explode(F.expr(f"sequence({first}, {first} + {more - 1})")))
+        # a given name has a form for each gender
+        forms = "CASE WHEN kind LIKE 'given%' THEN transform(array('f', 'm'), g -> concat('given_', g, substr(kind, 6))) ELSE array(kind) END"
+        drawn = drawn.withColumn("form", F.explode(F.expr(forms))).withColumn("s", F.expr(surrogate("form", "canon", "turn", key)))
+        twice = drawn.groupBy("kind", "turn", "form", "s").agg((F.count(F.lit(1)) - 1).alias("twice")).filter("twice > 0").groupBy("kind", "turn").agg(F.sum("twice").alias("twice"))
+        real = found.select(F.col("kind").alias("_k"), F.col("canon").alias("_s"))
+        clash = drawn.join(real, (F.col("kind") == F.col("_k")) & (F.col("s") == F.col("_s")), "left_semi").groupBy("kind", "turn").agg(F.count(F.lit(1)).alias("clash"))
+        bad = {(r["kind"], r["turn"]): (r["twice"] or 0, r["clash"] or 0) for r in twice.join(clash, ["kind", "turn"], "full").collect()}
+        for k in open_:
+            for turn in range(start[k] + tried, start[k] + tried + more):
+                best[k] = min(best.get(k, (2 ** 62, 0, 0)), (*bad.get((k, turn), (0, 0)), turn))
+        tried, more = tried + more, more * 4
 
 
 def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
@@ -189,22 +249,14 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY) ->
     names, text_col = docs.columns, place_of(docs, text_col)
     docs = masked(docs)
     rows = docs.withColumn("_hits", F.expr(mentions(f"`{text_col}`")))
-    # mentions are few and short: they alone go to the table of entities
+    # mentions are few and short: they alone are shuffled, to the table of entities; texts stay where they are
     held = written(rows.select("_hits").filter(F.size("_hits") > 0), "mentions")
-    redrawn = entities(held, key).filter("turn > 0")
-    if redrawn.isEmpty():
-        turn = "0"
-    else:
-        # texts that hold redrawn entities, known by their mentions; each gets a map of their draws
-        lists = held.distinct().withColumn("_h", F.xxhash64("_hits"))
-        per = (lists.select("_h", F.explode("_hits").alias("m")).select("_h", F.explode(F.expr(units("m"))).alias("u")).select("_h", "u.kind", "u.canon").distinct()
-               .join(redrawn, ["kind", "canon"]).groupBy("_h").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "kind", "canon"), "turn"))).alias("_turns")))
-        rows = rows.withColumn("_h", F.xxhash64("_hits"))
-        rows = rows.join(per, "_h", "left").drop("_h")
-        turn = "coalesce(try_element_at(_turns, concat_ws('|', u.kind, u.canon)), 0)"
-    subs = f"transform({units('m')}, u -> {surrogate('u.kind', 'u.canon', turn, key)})"
+    chosen = draws(held, key)
+    turn = f"CASE {space('u.kind')} " + "".join(f"WHEN '{k}' THEN {t} " for k, t in sorted(chosen.items())) + "ELSE 0 END" if chosen else "0"
     # a lambda's value is used many times over, so each step is a list of its own
-    rows = rows.withColumn("_subs", F.expr(f"transform(_hits, m -> {subs})"))
+    rows = rows.withColumn("_units", F.expr(f"transform(_hits, m -> {units('m')})"))
+    rows = rows.withColumn("_units", F.expr(resolved("_units")))
+    rows = rows.withColumn("_subs", F.expr(f"transform(_units, one -> transform(one, u -> {surrogate('u.kind', 'u.canon', f'({turn})', key)}))"))
     rows = rows.withColumn("_new", F.expr(f"zip_with(_hits, _subs, (m, s) -> {rendered('m', 's')})"))
     pieces = f"split(`{text_col}`, {_lit(PATTERN)}, -1)"
     # untitled mentions of the names' parts, between the mentions found
