@@ -205,6 +205,7 @@ def rendered(m: str, subs: str) -> str:
     return f"CASE {k} WHEN 'name' THEN {name} WHEN 'ip' THEN {s} WHEN 'email' THEN {same} WHEN 'secret' THEN {same} ELSE {spread} END"
 
 
+DRAWN = 4096  # entities that a task draws surrogates for
 CLASHES = 16  # draws that a kind takes to find one whose surrogates are no entities of the corpus
 
 
@@ -222,7 +223,9 @@ def draws(rows: DataFrame, key: str = KEY) -> dict[str, int]:
     fewest such clashes. The table of distinct entities is written; the driver sees one row a kind and draw."""
     found = rows.select(F.explode("_hits").alias("m")).distinct().select(F.explode(F.expr(units("m"))).alias("u")).select("u.kind", "u.canon").filter("kind <> 'particle'")
     found = written(found.select(F.expr(space("kind")).alias("kind"), "canon").distinct(), "entities")
-    start = {r["kind"]: first_draw(r["kind"], r["count"]) for r in found.groupBy("kind").count().collect()}
+    start = {r["kind"]: r["count"] for r in found.groupBy("kind").count().collect()}
+    found = found.repartition(1 + sum(start.values()) // DRAWN, "kind", "canon")
+    start = {k: first_draw(k, n) for k, n in start.items()}
     best: dict[str, tuple[int, int, int]] = {}
     tried, more = 0, 1
     while True:
