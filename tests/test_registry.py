@@ -23,7 +23,7 @@ def _norm(df):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages"]:
+    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 

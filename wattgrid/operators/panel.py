@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import timecols as tc
+from ..functions.keys import join_on_keys
 from . import timeaxis as tx
 
 
@@ -54,14 +55,14 @@ def build_panel(spine: DataFrame, prices: DataFrame, weather: DataFrame | None =
 
     ``prices`` / ``weather`` must be unique on (timestamp, key) (dedupe first);
     ``flows_wide`` is unique on timestamp and its columns repeat for every key.
-    The panel keeps exactly one row per spine row (left joins on unique keys).
+    The panel keeps exactly one row per spine row (left joins on unique keys). A NULL key is a key.
     """
     keys = [timestamp_col, key_col]
-    p = spine.join(prices, keys, "left")
+    p = join_on_keys(spine, prices, keys, "left")
     if weather is not None:
-        p = p.join(weather, keys, "left")
+        p = join_on_keys(p, weather, keys, "left")
     if flows_wide is not None:
-        p = p.join(flows_wide, timestamp_col, "left")
+        p = join_on_keys(p, flows_wide, [timestamp_col], "left")
     if features:
         p = tx.add_time_features(p, timestamp_col, policy, flag_col)
     return p

@@ -461,7 +461,7 @@ SQL["stream_hourly"] = f"""SELECT w AS window_start, w + INTERVAL 1 HOUR AS wind
   {r('sum(value)', 'total')}, {r('avg(value)', 'mean')}
 FROM (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS w, event_type, {NN} AS value FROM events WHERE ts IS NOT NULL) e
 GROUP BY w, event_type"""
-SQL["stream_load_prices"] = SQL["load_prices"]
+SQL["stream_load_prices"] = SQL["stream_replaced_files"] = SQL["load_prices"]
 SQL["findings"] = with_panel(f"""SELECT {r('mean_a', 'mean_a')}, {r('mean_b', 'mean_b')}, {r('min_a', 'min_a')},
   {r('max_a', 'max_a')}, {r('std_a', 'std_a')}, {r('std_a / NULLIF(mean_a, 0)', 'cv_a')},
   {r('wd', 'weekday_mean_a')}, {r('we', 'weekend_mean_a')}, {r('abs(wd - we)', 'daytype_abs_diff')},

@@ -22,7 +22,7 @@ from ..operators import stats as A
 from ..operators import timeaxis as tx
 from . import analytics as X
 from . import standins as SI
-from .loading import load_wide_prices  # noqa: F401  (re-exported)
+from .loading import load_wide_prices, wide_price_rows  # noqa: F401  (re-exported)
 from .oracle import PRIORITY_NAMES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -502,81 +502,98 @@ def q_findings(spark, sf):
     return X.findings(_panel(spark, sf), PA, PB)
 
 
-def _name(kind: str, sf: str) -> str:
-    """A checkpoint name that stays the same for the same input."""
-    import zlib
-    return f"wattgrid-{kind}-{zlib.crc32(sf.encode()):08x}"
-
-
-def _event_stream(spark, sf):
-    path = f"{sf}/event[s].parquet"  # a glob: the file source lists a pattern or a folder
-    return path, spark.read.parquet(path).schema
+def _state(kind: str, state: str | None) -> str:
+    """Where a stream keeps its state: under the caller's name, else a new one, so that a run reads all that landed."""
+    import uuid
+    return f"wattgrid-{kind}-{state or uuid.uuid4().hex}"
 
 
 @query("stream_hourly")
-def q_stream_hourly(spark, sf):
-    """Events as a file stream, exact hourly totals whatever the batches, nothing late or open lost."""
-    from ..streaming import incremental as Z
-    path, schema = _event_stream(spark, sf)
-    st = spark.readStream.schema(schema).option("maxFilesPerTrigger", Z.FILES_PER_BATCH).parquet(path)
-    st = st.filter(F.col("ts").isNotNull()).select(tc.trunc_hour("ts").alias("window_start"), "event_type", "value")
-    out = Z.incremental_totals(spark, st, ["window_start", "event_type"], "value", _name("hourly", sf))
+def q_stream_hourly(spark, sf, state=None):
+    """Events as a stream of landed files, exact hourly totals whatever the batches, nothing late or open lost."""
+    from ..streaming import ledger as L
+    groups = T.StructType([T.StructField("window_start", T.TimestampNTZType()), T.StructField("event_type", T.StringType())])
+
+    def hours(df):
+        return df.filter(F.col("ts").isNotNull()).select(L.FILE, tc.trunc_hour("ts").alias("window_start"), "event_type", "value")
+    out = L.follow_totals(spark, f"{sf}/events.parquet", hours, groups, "value", _state("hourly", state))
     return out.select("window_start", tc.add_hours("window_start", 1).alias("window_end"), "event_type", "n", "total", "mean")
 
 
 @query("stream_dedupe")
-def q_stream_dedupe(spark, sf):
-    """Each (hour, series) key of an event stream once, whatever the batches and however late."""
-    from ..session import scratch_path
-    from ..streaming import incremental as Z
-    path, schema = _event_stream(spark, sf)
-    target = scratch_path(spark, _name("dedupe", sf) + "-table")
+def q_stream_dedupe(spark, sf, state=None):
+    """Each (hour, series) key of a stream of event files once, whatever the batches and however late."""
+    from ..streaming import ledger as L
     keys = T.StructType([T.StructField(TS, T.TimestampNTZType()), T.StructField(KEY, T.StringType())])
 
-    def hours(batch):
-        return batch.filter(F.col("ts").isNotNull()).select(tc.trunc_hour("ts").alias(TS), F.col("event_type").alias(KEY))
-    Z.incremental_first_wins(spark, path, schema, hours, target, keys, [TS, KEY], [], checkpoint_name=_name("dedupe", sf))
-    return Z.stored_table(spark, target, keys)
+    def hours(df):
+        return df.filter(F.col("ts").isNotNull()).select(L.FILE, tc.trunc_hour("ts").alias(TS), F.col("event_type").alias(KEY))
+    return L.follow_first_wins(spark, f"{sf}/events.parquet", hours, keys, [TS, KEY], [], _state("dedupe", state))
 
 
-@query("stream_load_prices")
-def q_stream_load_prices(spark, sf):
-    """The two wide 'files' land one per micro-batch; first write wins on key."""
+def _follow_prices(spark, landing, name):
+    """First-wins prices of the wide files at ``landing``; the folder's name is the source."""
     from ..schemas import PRICES_DAY_AHEAD
+    from ..streaming import ledger as L
+
+    def rows(df):
+        named = df.withColumn("source", F.regexp_extract(L.FILE, r"([^/]+)/[^/]+$", 1))
+        return wide_price_rows(named, carry=(L.FILE,)).withColumn("energy_mwh", F.lit(None).cast("double"))
+    return L.follow_first_wins(spark, landing, rows, _with_source(PRICES_DAY_AHEAD), [TS, KEY], ["source", PRICE], name)
+
+
+@query("stream_load_prices")
+def q_stream_load_prices(spark, sf, state=None):
+    """Two wide 'files' land one after the other; first write wins on key by source."""
     from ..session import scratch_path
-    from ..streaming import incremental as Z
-    base = scratch_path(spark, _name("landing", sf))
+    name = _state("landing", state)
+    landing = scratch_path(spark, name + "-files")
     wide = SI.wide_prices(spark, sf)
-    for part in ("part_a", "part_b"):  # landing order = arrival order; a second run finds them landed
-        wide.filter(F.col("source") == part).write.mode("ignore").parquet(f"{base}/landing/{part}")
-    target = f"{base}/prices_day_ahead"
-    schema = spark.read.parquet(f"{base}/landing/part_a").schema
-    Z.incremental_first_wins(spark, f"{base}/landing/*/*.parquet", schema, load_wide_prices, target,
-                             _with_source(PRICES_DAY_AHEAD), [TS, KEY], ["source", PRICE],
-                             checkpoint_name=_name("landing", sf) + "-checkpoint", max_files_per_trigger=1)
-    return spark.read.parquet(target).select(TS, KEY, PRICE, "source")
+    for part in ("part_a", "part_b"):
+        wide.filter(F.col("source") == part).drop("source").write.mode("overwrite").parquet(f"{landing}/{part}")
+        out = _follow_prices(spark, landing, name)
+    return out.select(TS, KEY, PRICE, "source")
+
+
+@query("stream_replaced_files")
+def q_stream_replaced_files(spark, sf, state=None):
+    """The first file lands with wrong prices and an extra one lands too; later the first is replaced and the
+    extra one vanishes. What is stored follows: the answer is that of a fresh load."""
+    from ..session import scratch_path
+    name = _state("replaced", state)
+    landing = scratch_path(spark, name + "-files")
+    wide = SI.wide_prices(spark, sf)
+    a, b = (wide.filter(F.col("source") == part).drop("source") for part in ("part_a", "part_b"))
+    wrong = a.select("DATE", "CONCEPT", *[(F.col(f"H{i}") * 3 - 7).alias(f"H{i}") for i in range(1, 25)])
+    for df, folder in ((wrong, "part_a"), (b, "part_b"), (wrong, "part_0")):
+        df.write.mode("overwrite").parquet(f"{landing}/{folder}")
+    _follow_prices(spark, landing, name)
+    a.write.mode("overwrite").parquet(f"{landing}/part_a")
+    a.limit(0).write.mode("overwrite").parquet(f"{landing}/part_0")
+    return _follow_prices(spark, landing, name).select(TS, KEY, PRICE, "source")
 
 
 @query("load_files")
 def q_load_files(spark, sf):
-    """Wide files with dates of different types are read, loaded first-wins
-    in two batches (the second again in full), and one hour of the day is deleted."""
+    """Wide files with dates of different types are read, loaded first-wins into a versioned
+    table in two batches (the second again in full), and one hour of the day is deleted in place."""
     import uuid
     from ..schemas import PRICES_DAY_AHEAD
     from ..session import scratch_path
-    from ..sources import files, sinks
+    from ..sources import files
+    from ..sources.versioned import VersionedTable
     base = scratch_path(spark, f"files-{uuid.uuid4().hex}")
     paths = SI.land_wide_files(spark, sf, f"{base}/landing")
-    schema, target = _with_source(PRICES_DAY_AHEAD), f"{base}/prices"
+    table = VersionedTable(spark, f"{base}/prices", _with_source(PRICES_DAY_AHEAD), TS)
 
     def load(some):
         long = load_wide_prices(files.read_wide_prices(spark, some))
         return long.withColumn("source", F.regexp_extract("source", "(part_[ab])", 1))
-    sinks.overwrite(load(paths[:1]), target, schema)
+    table.overwrite(load(paths[:1]))
     for some in (paths[1:], paths):
-        sinks.append_ignore(spark, load(some), target, schema, [TS, KEY], ["source", PRICE])
-    kept = sinks.delete_where(spark, target, F.hour(TS) == 3, f"{base}/prices-kept")
-    return kept.select(TS, KEY, PRICE, "source")
+        table.append_ignore(load(some), [TS, KEY], ["source", PRICE])
+    table.delete_where(F.hour(TS) == 3)
+    return table.read().select(TS, KEY, PRICE, "source")
 
 
 @query("file_inventory")
