@@ -65,6 +65,42 @@ def rolling_stats(df: DataFrame, keys: list[str], timestamp_col: str, value_col:
                             prefix + "hi": F.col(prefix + "mean") + F.col(prefix + "std")})
 
 
+def row_ranks(df: DataFrame, keys: list[str], timestamp_col: str, tie_cols: list[str],
+              bucket_hours: int = DEFAULT_BUCKET_HOURS, out_col: str = "_rank") -> DataFrame:
+    """Adds each row's number (from 0) in its series by time, then ``tie_cols``: rows of earlier buckets, a prefix
+    sum over one row per bucket, plus its place in its own bucket."""
+    b = df.withColumn("_bk", _bucket(tc.hour_number(timestamp_col), bucket_hours))
+    inner = b.withColumn("_in", F.row_number().over(Window.partitionBy(*keys, "_bk").orderBy(timestamp_col, *tie_cols)) - 1)
+    per = b.groupBy(*keys, "_bk").agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_bk")).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per.select(*keys, "_bk", F.coalesce(before, F.lit(0)).alias("_off"))
+    return join_on_keys(inner, offsets, [*keys, "_bk"]).withColumn(out_col, F.col("_in") + F.col("_off")).drop("_bk", "_in", "_off")
+
+
+def rolling_rows(df: DataFrame, keys: list[str], timestamp_col: str, value_col: str, window: int = 24, center: bool = True,
+                 min_periods: int | None = None, tie_cols: list[str] | None = None, bucket_rows: int = 4096, prefix: str = "rolling_") -> DataFrame:
+    """W1 on a series with gaps: pandas ``rolling(window, center=center)`` over the rows that exist, whatever
+    the hours between them.
+
+    Rows are numbered (``row_ranks``), cut into buckets of ``bucket_rows`` ranks, and each bucket gets the neighbouring
+    ranks its frames need, so no series is in one task. Rows of one time are ordered by
+    ``tie_cols`` (default: the value). Same outputs as ``rolling_stats``.
+    """
+    back = window // 2 if center else window - 1
+    ahead = window - 1 - back
+    min_periods = window if min_periods is None else min_periods
+    size = max(bucket_rows, window)
+    ranked = row_ranks(df, keys, timestamp_col, [value_col] if tie_cols is None else tie_cols).withColumn("_home", _bucket(F.col("_rank"), size))
+    near = F.array_distinct(F.array("_home", _bucket(F.col("_rank") - ahead, size), _bucket(F.col("_rank") + back, size)))
+    copies = ranked.withColumn("_b", F.explode(near))
+    w = Window.partitionBy(*keys, "_b").orderBy("_rank").rowsBetween(-back, ahead)
+    v = F.col(value_col)
+    cnt = F.count(v).over(w)
+    out = copies.withColumns({prefix + "mean": F.when(cnt >= min_periods, F.avg(v).over(w)), prefix + "std": F.when(cnt >= min_periods, F.stddev_samp(v).over(w))})
+    out = out.filter(F.col("_b") == F.col("_home")).drop("_rank", "_home", "_b")
+    return out.withColumns({prefix + "lo": F.col(prefix + "mean") - F.col(prefix + "std"), prefix + "hi": F.col(prefix + "mean") + F.col(prefix + "std")})
+
+
 # ---------------------------------------------------------------------------
 # Cross-bucket carries (lag, forward fill)
 # ---------------------------------------------------------------------------
@@ -186,6 +222,51 @@ def step_check(df: DataFrame, keys: list[str], timestamp_col: str = "timestamp",
                                 F.count_if(F.col("_prev").isNotNull() & (secs != 3600)).alias("bad_steps"))
 
 
+# ---------------------------------------------------------------------------
+# Coverage islands
+# ---------------------------------------------------------------------------
+
+def islands(df: DataFrame, keys: list[str], timestamp_col: str = "timestamp", step_hours: int = 1,
+            bucket_hours: int = DEFAULT_BUCKET_HOURS) -> DataFrame:
+    """W4 turned round: the unbroken stretches of every series.
+
+    Output: keys, ``start``, ``end`` (first and last hour) and ``hours`` present. A stretch ends where the next
+    hour of the series is more than ``step_hours`` later. Breaks are marked against the row before (carried over
+    bucket edges), numbered by a prefix sum, and stretches are grouped by that number, so one that holds
+    most of the rows is combined map-side. Rows without a time belong to no stretch; repeats of an hour count once.
+    """
+    hours = df.select(*keys, tc.trunc_hour(timestamp_col).alias("_ts")).filter(F.col("_ts").isNotNull()).distinct()
+    j = add_prev_and_fill(hours.withColumn("_tsv", F.col("_ts")), keys, "_ts", "_tsv", bucket_hours)
+    broken = F.col("_prev").isNull() | (tc.hour_number("_ts") - tc.hour_number("_prev") > step_hours)
+    marked = j.select(*keys, "_ts", tc.hour_number("_ts").alias("_hn"), F.when(broken, 1).otherwise(0).cast("bigint").alias("_mark"))
+    numbered = prefix_sum(marked, keys, "_hn", "_mark", out_col="_before").withColumn("_island", F.col("_before") + F.col("_mark"))
+    return numbered.groupBy(*keys, "_island").agg(F.min("_ts").alias("start"), F.max("_ts").alias("end"), F.count(F.lit(1)).alias("hours")).drop("_island")
+
+
+def joint_islands(stretches: DataFrame, keys: list[str], series: int | None = None, step_hours: int = 1,
+                  bucket_hours: int = DEFAULT_BUCKET_HOURS) -> DataFrame:
+    """Intersection of the stretches of all series (``islands`` with the same ``step_hours``): ``start``, ``end``, ``hours``.
+
+    A sweep without a join of intervals: a stretch adds one at its start and takes one away after its end; where the prefix
+    sum of these changes is the number of series (counted, if not given), all are present until the next change.
+    """
+    # a NULL key is a series too
+    n = F.lit(series).cast("bigint") if series is not None else None
+    after = tc.add_hours("end", step_hours)
+    change = F.explode(F.array(F.struct(F.col("start").alias("_ts"), F.lit(1).cast("bigint").alias("_d")), F.struct(after.alias("_ts"), F.lit(-1).cast("bigint").alias("_d"))))
+    changes_ = stretches.select(change.alias("c")).select("c.*").groupBy("_ts").agg(F.sum("_d").alias("_d")).filter("_d <> 0")
+    active = prefix_sum(changes_.withColumn("_hn", tc.hour_number("_ts")), [], "_hn", "_d", out_col="_before").withColumn("_v", F.struct("_ts", (F.col("_before") + F.col("_d")).alias("n")))
+    # the constant key has one row per bucket in its carry table
+    j = add_prev_and_fill(active.select(F.lit(0).alias("_all"), "_ts", "_v"), ["_all"], "_ts", "_v", bucket_hours)
+    found = j.filter("_prev IS NOT NULL").select(F.col("_prev._ts").alias("start"), tc.add_hours("_ts", -step_hours).alias("end"), F.col("_prev.n").alias("_n"), F.lit(0).alias("_all"))
+    if n is None:
+        total = stretches.select(*keys).distinct().agg(F.count(F.lit(1)).alias("_series")).withColumn("_all", F.lit(0))
+        found = join_on_keys(found, total, ["_all"])
+        n = F.col("_series")
+    hours = tc.hour_number("end") - tc.hour_number("start") + 1
+    return found.filter(F.col("_n") == n).select("start", "end", hours.alias("hours"))
+
+
 # ---------------------------------------------------------------------------
 # Duration curve as a step table, markers, optional row expansion
 # ---------------------------------------------------------------------------

@@ -173,6 +173,32 @@ def supply_curve(bids: DataFrame, group_cols: list[str], price: str = "price_eur
     return cum.withColumn("cum_quantity", F.col("_before") + F.coalesce("quantity", F.lit(0))).drop("_before")
 
 
+def market_clearing(bids: DataFrame, group_cols: list[str], side: str, price: str = "price_eur_mwh", quantity: str = "quantity_mw",
+                    supply: str = "supply", demand: str = "demand") -> DataFrame:
+    """Q-curve: where the supply curve meets the demand curve, per group (an hour, say).
+
+    Supply up to a price is the quantity offered at it or below, demand the quantity asked at it or
+    above. The clearing price is the lowest price level with at least as much supply as
+    demand, the quantity the smaller of the two there; both are NULL where nothing can trade. Bids are
+    summed per price level first, and both running sums are two-level prefix sums, so no window holds a group
+    and an hour with a third of all bids is spread over its price bands. Bids without price, quantity or
+    side do not count; a group without any bid that counts has no row.
+    """
+    def of(which: str):
+        return F.sum(F.when(F.col(side) == which, F.col(quantity)).otherwise(0.0))
+    ok = bids.filter(F.col(price).isNotNull() & ~F.isnan(price) & F.col(quantity).isNotNull() & F.col(side).isin(supply, demand))
+    levels = ok.groupBy(*group_cols, F.col(price).alias("_p")).agg(of(supply).alias("_s"), of(demand).alias("_d"))
+    both = S.prefix_sum(levels, group_cols, "_p", "_s", out_col="_s0", total_col="_st")
+    both = S.prefix_sum(both, group_cols, "_p", "_d", out_col="_d0", total_col="_dt")
+    offered, asked = F.col("_s0") + F.col("_s"), F.col("_dt") - F.col("_d0")
+    meet = F.when(offered >= asked, F.col("_p"))
+    first = both.withColumns({"_q": F.least(offered, asked), "_meet": meet}).groupBy(*group_cols).agg(
+        F.min("_meet").alias("_price"), F.min_by("_q", "_meet").alias("_q"), F.max("_st").alias("supply_total"), F.max("_dt").alias("demand_total"))
+    trades = F.col("_q") > 0
+    return first.select(*group_cols, F.when(trades, F.col("_price")).alias("clearing_price"), F.when(trades, F.col("_q")).alias("clearing_quantity"),
+                        "supply_total", "demand_total")
+
+
 def shares(df: DataFrame, group_cols: list[str], part_col: str, value_col: str) -> DataFrame:
     """Q-gen: value per part and its share of the group total."""
     parts = df.groupBy(*group_cols, part_col).agg(F.sum(value_col).alias("total"))

@@ -574,3 +574,25 @@ SQL["hourly_steps"] = with_panel("""SELECT what, country, count(*) AS rows, coun
 FROM (SELECT *, lag("timestamp") OVER (PARTITION BY what, country ORDER BY "timestamp") AS p FROM (
   SELECT 'panel' AS what, country, "timestamp" FROM panel UNION ALL SELECT 'observed', country, "timestamp" FROM hourly) b) t GROUP BY 1, 2""")
 SQL["wide_schema"] = with_hourly("SELECT count(*) AS rows, true AS has_date, true AS has_concept, true AS has_24_hours FROM wide", CTE["wide"])
+_near = 'PARTITION BY country ORDER BY "timestamp" ROWS BETWEEN 12 PRECEDING AND 11 FOLLOWING'
+SQL["rolling_observed"] = with_hourly(f"""SELECT country, "timestamp", {r('price_eur_mwh', 'price_eur_mwh')}, {r('m', 'rolling_mean')}, {r('s', 'rolling_std')},
+  {r('m - s', 'rolling_lo')}, {r('m + s', 'rolling_hi')} FROM (
+  SELECT *, CASE WHEN count(price_eur_mwh) OVER ({_near}) >= 24 THEN avg(price_eur_mwh) OVER ({_near}) END AS m,
+         CASE WHEN count(price_eur_mwh) OVER ({_near}) >= 24 THEN stddev_samp(price_eur_mwh) OVER ({_near}) END AS s
+  FROM hourly WHERE price_eur_mwh IS NOT NULL AND day("timestamp") % 5 <> 2) t""")
+SQL["coverage_islands"] = with_hourly("""SELECT country, min("timestamp") AS start, max("timestamp") AS "end", count(*) AS hours FROM (
+  SELECT *, "timestamp" - INTERVAL 1 HOUR * row_number() OVER (PARTITION BY country ORDER BY "timestamp") AS g FROM (
+    SELECT country, "timestamp" FROM hourly WHERE price_eur_mwh IS NOT NULL
+    UNION ALL
+    SELECT '(all)', "timestamp" FROM hourly WHERE price_eur_mwh IS NOT NULL GROUP BY "timestamp"
+    HAVING count(DISTINCT country) = (SELECT count(DISTINCT country) FROM hourly WHERE price_eur_mwh IS NOT NULL)) h) t GROUP BY country, g""")
+SQL["market_clearing"] = f"""WITH lv AS (
+  SELECT CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS "timestamp", l_extendedprice / NULLIF(l_quantity, 0) AS p,
+         coalesce(sum(l_quantity) FILTER (WHERE l_linenumber % 2 = 1), 0) AS s, coalesce(sum(l_quantity) FILTER (WHERE l_linenumber % 2 = 0), 0) AS d
+  FROM lineitem WHERE l_quantity <> 0 GROUP BY 1, 2),
+cum AS (SELECT "timestamp", p, sum(s) OVER (PARTITION BY "timestamp" ORDER BY p) AS offered,
+               sum(d) OVER (PARTITION BY "timestamp" ORDER BY p DESC) AS asked, s, d FROM lv),
+meet AS (SELECT "timestamp", min(p) FILTER (WHERE offered >= asked) AS price, sum(s) AS st, sum(d) AS dt FROM cum GROUP BY 1),
+deal AS (SELECT m.*, least(c.offered, c.asked) AS q FROM meet m LEFT JOIN cum c ON c."timestamp" = m."timestamp" AND c.p = m.price)
+SELECT "timestamp", {r('CASE WHEN q > 0 THEN price END', 'clearing_price')}, {r('CASE WHEN q > 0 THEN q END', 'clearing_quantity')},
+  {r('st', 'supply_total')}, {r('dt', 'demand_total')} FROM deal"""

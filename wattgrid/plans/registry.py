@@ -161,6 +161,28 @@ def q_rolling(spark, sf):
     return S.rolling_stats(_panel(spark, sf).select(KEY, TS, PRICE), [KEY], TS, PRICE, 24, True)
 
 
+@query("rolling_observed")
+def q_rolling_observed(spark, sf):
+    """W1 on the observed (gappy) series: frames of 24 rows, not of 24 hours."""
+    observed = SI.hourly_prices(spark, sf).filter(F.col(PRICE).isNotNull()).filter(F.dayofmonth(TS) % 5 != 2)
+    return S.rolling_rows(observed.select(KEY, TS, PRICE), [KEY], TS, PRICE, 24, True)
+
+
+@query("coverage_islands")
+def q_coverage_islands(spark, sf):
+    """Every unbroken stretch of every series, and those in which all series are present."""
+    seen = SI.hourly_prices(spark, sf).filter(F.col(PRICE).isNotNull()).select(KEY, TS)
+    each = S.islands(seen, [KEY], TS)
+    joint = S.joint_islands(each, [KEY]).withColumn(KEY, F.lit("(all)"))
+    return each.unionByName(joint)
+
+
+@query("market_clearing")
+def q_market_clearing(spark, sf):
+    """Q-curve: clearing price and quantity per day, where the two step curves meet."""
+    return X.market_clearing(SI.sided_bids(spark, sf), [TS], "bid_type")
+
+
 @query("changes")
 def q_changes(spark, sf):
     """First difference and forward-filled percent change."""

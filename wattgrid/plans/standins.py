@@ -174,3 +174,11 @@ def bids(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.try_divide("l_extendedprice", "l_quantity").alias("price_eur_mwh"),
         F.col("l_quantity").alias("quantity_mw"), F.col("l_linestatus").alias("bid_type"),
         F.col("l_returnflag").alias("technology"))
+
+
+def sided_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bids with a side: odd lines of an order offer, even lines ask; one market per ship day."""
+    li = table(spark, sf_dir, "lineitem").select("l_shipdate", "l_linenumber", "l_extendedprice", "l_quantity")
+    side = F.when(F.col("l_linenumber") % 2 == 1, "supply").otherwise("demand")
+    return li.select(tc.trunc_day("l_shipdate").alias("timestamp"), F.try_divide("l_extendedprice", "l_quantity").alias("price_eur_mwh"),
+                     F.col("l_quantity").cast("double").alias("quantity_mw"), side.alias("bid_type"))
