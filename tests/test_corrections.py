@@ -1,0 +1,96 @@
+"""Windows that close and their corrections: late and out-of-order files, repeated batches, open windows."""
+import datetime as dt
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from wattgrid.streaming import corrections as C
+
+T0 = dt.datetime(2024, 1, 1)
+SCHEMA = "ts timestamp_ntz, k string, v double"
+KEYS = T.StructType([T.StructField("k", T.StringType())])
+
+
+def land(spark, path, rows):
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
+def stream(spark, path):
+    return C.file_stream(spark, path, spark.createDataFrame([], SCHEMA).schema)
+
+
+def plain(runs, delay):
+    """Per window and key: rows, total and late rows, and the watermark in the end."""
+    mark, seen, out = None, None, {}
+    for rows in runs:
+        for t, k, v in rows:
+            if t is None:
+                continue
+            w = t.replace(minute=0, second=0, microsecond=0)
+            e = out.setdefault((w, k), [0, 0.0, 0])
+            e[0] += 1
+            e[1] += v or 0.0
+            e[2] += mark is not None and w + dt.timedelta(hours=1) <= mark
+        seen = max((t for t, _, _ in rows if t), default=seen) if seen is None else max([seen, *(t for t, _, _ in rows if t)])
+        mark = seen - dt.timedelta(hours=delay) if seen else None
+    return out, mark
+
+
+def got(w):
+    return {(r["window_start"], r["k"]): [r["n"], r["total"] or 0.0, r["n_late"]] for r in w.totals().collect()}
+
+
+def test_late_and_out_of_order_files(spark, tmpdir_path):
+    rng = random.Random(1)
+    runs = [[(T0 + dt.timedelta(hours=8), "a", 1.0), (T0 + dt.timedelta(hours=8, minutes=59, seconds=59, microseconds=999999), "a", 2.0), (None, "a", 9.0)],
+            [(T0 + dt.timedelta(minutes=rng.randint(0, 600)), rng.choice("ab"), float(rng.randint(1, 9))) for _ in range(60)] + [(T0, None, None)],
+            [(T0 + dt.timedelta(hours=30), "b", 5.0)],
+            [(T0 + dt.timedelta(minutes=rng.randint(0, 2000)), "a", 1.0) for _ in range(40)], []]
+    w = C.CorrectedWindows(spark, "late-" + uuid.uuid4().hex, "ts", KEYS, "v", 2)
+    reported = {}
+    for i, rows in enumerate(runs):
+        for part in (rows[::2], rows[1::2]):  # two files a run
+            land(spark, tmpdir_path + "/ev", part)
+        w.run(stream(spark, tmpdir_path + "/ev"))
+        want, mark = plain(runs[:i + 1], 2)
+        assert got(w) == want
+        for r in w.rows().filter("kind = 'closed'").collect():  # a final report never changes and comes once
+            key = (r["window_start"], r["k"])
+            assert reported.setdefault(key, (r["n"], r["total"])) == (r["n"], r["total"]) and key[0] + dt.timedelta(hours=1) <= mark
+        assert w.rows().filter("kind = 'closed'").groupBy("window_start", "k").count().filter("count > 1").count() == 0
+        assert all(r["window_start"] + dt.timedelta(hours=1) > mark for r in w.rows().filter("kind = 'open'").collect())
+    w.run(stream(spark, tmpdir_path + "/ev"), close_all=True)
+    assert w.rows().filter("kind = 'open'").count() == 0 and got(w) == want and w.totals().filter("NOT closed").count() == 0
+
+
+def test_a_repeated_batch_counts_once(spark, tmpdir_path, monkeypatch):
+    land(spark, tmpdir_path + "/ev", [(T0, "a", 1.0), (T0 + dt.timedelta(hours=9), "a", 2.0)])
+    name = "again-" + uuid.uuid4().hex
+    w = C.CorrectedWindows(spark, name, "ts", KEYS, "v", 2)
+    real, failed = w._add, []
+
+    def dies(batch, number):
+        real(batch, number)
+        if not failed:
+            failed.append(number)
+            raise RuntimeError("lost after the commit")
+    monkeypatch.setattr(w, "_add", dies)
+    with pytest.raises(Exception):
+        w.run(stream(spark, tmpdir_path + "/ev"))
+    C.CorrectedWindows(spark, name, "ts", KEYS, "v", 2).run(stream(spark, tmpdir_path + "/ev"))
+    assert sorted(got(w).values()) == [[1, 1.0, 0], [1, 2.0, 0]] and failed == [0]
+
+
+def test_closed_files_are_not_written_again(spark, tmpdir_path):
+    w = C.CorrectedWindows(spark, "files-" + uuid.uuid4().hex, "ts", KEYS, "v", 1)
+    kept = set()
+    for i in range(3):
+        land(spark, tmpdir_path + "/ev", [(T0 + dt.timedelta(hours=5 * i + h), "a", 1.0) for h in range(5)])
+        w.run(stream(spark, tmpdir_path + "/ev"))
+        files = {r["file"] for r in w.table.manifest().filter(F.col("hi").isNull()).collect()}
+        assert kept <= files
+        kept = files
+    assert len(got(w)) == 15 and all(n == 1 for n, _, _ in got(w).values())

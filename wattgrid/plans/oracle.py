@@ -5,7 +5,7 @@ columns to 6 digits and casts integers to BIGINT, as ``registry.finish`` does.
 """
 from __future__ import annotations
 
-from .standins import (TECHNOLOGIES, CITY_TO_SERIES, CITY_WEIGHTS, CONCEPTS, FILE_A_LAST_DAY, FILE_B_FIRST_DAY, FLOW_PAIRS, PAIR,
+from .standins import (DELAY_HOURS, TECHNOLOGIES, CITY_TO_SERIES, CITY_WEIGHTS, CONCEPTS, FILE_A_LAST_DAY, FILE_B_FIRST_DAY, FLOW_PAIRS, PAIR,
                        POLICY, SERIES_TO_CONCEPT)
 
 A, B = PAIR
@@ -596,3 +596,8 @@ meet AS (SELECT "timestamp", min(p) FILTER (WHERE offered >= asked) AS price, su
 deal AS (SELECT m.*, least(c.offered, c.asked) AS q FROM meet m LEFT JOIN cum c ON c."timestamp" = m."timestamp" AND c.p = m.price)
 SELECT "timestamp", {r('CASE WHEN q > 0 THEN price END', 'clearing_price')}, {r('CASE WHEN q > 0 THEN q END', 'clearing_quantity')},
   {r('st', 'supply_total')}, {r('dt', 'demand_total')} FROM deal"""
+SQL["stream_corrections"] = f"""WITH e AS (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS w, ts, event_type, {NN} AS value, event_id % 5 = 0 AS part3 FROM events WHERE ts IS NOT NULL),
+mark AS (SELECT max(ts) - INTERVAL {DELAY_HOURS} HOUR AS m FROM e WHERE NOT part3),
+l AS (SELECT *, part3 AND w + INTERVAL 1 HOUR <= m AS late FROM e, mark)
+SELECT w AS window_start, event_type, count(*) AS n, {r('sum(value)', 'total')}, {r('avg(value)', 'mean')}, count(*) FILTER (WHERE late) AS n_late,
+  {r('sum(value) FILTER (WHERE late)', 'total_late')}, w + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL {DELAY_HOURS} HOUR FROM e) AS closed FROM l GROUP BY w, event_type"""

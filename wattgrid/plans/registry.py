@@ -595,6 +595,24 @@ def q_stream_replaced_files(spark, sf, state=None):
     return _follow_prices(spark, landing, name).select(TS, KEY, PRICE, "source")
 
 
+@query("stream_corrections")
+def q_stream_corrections(spark, sf, state=None):
+    """Events land in three parts, the last one late by up to the whole range: hourly windows close as the
+    watermark passes, late rows go to corrections, and both together are exact."""
+    from ..session import scratch_path
+    from ..streaming import corrections as C
+    name = _state("corrections", state)
+    landing = scratch_path(spark, name + "-files")
+    e = SI.table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+    split, late = F.lit(SI.POLICY[0]).cast("timestamp_ntz"), F.col("event_id") % 5 == 0
+    keys = T.StructType([T.StructField("event_type", T.StringType())])
+    windows = C.CorrectedWindows(spark, name, "ts", keys, "value", delay_hours=SI.DELAY_HOURS)
+    for part, rows in (("1", ~late & (F.col("ts") < split)), ("2", ~late & ~(F.col("ts") < split)), ("3", late)):
+        e.filter(rows).drop("event_id").write.mode("overwrite").parquet(f"{landing}/part_{part}")
+        windows.run(C.file_stream(spark, f"{landing}/*", e.drop("event_id").schema))
+    return windows.totals()
+
+
 @query("load_files")
 def q_load_files(spark, sf):
     """Wide files with dates of different types are read, loaded first-wins into a versioned

@@ -30,6 +30,7 @@ CITY_TO_SERIES = {"L0": "purchase", "L1": "purchase", "L2": "purchase", "L3": "p
 CITY_WEIGHTS = {"L0": 4.0, "L1": 3.0, "L2": 2.0, "L3": 1.0, "L4": 3.0, "L5": 2.0, "L6": 1.0}
 SERIES_TO_CONCEPT = {"purchase": "PRICE_SP", "view": "PRICE_PT"}
 CONCEPTS = ["PRICE_SP", "PRICE_PT"]
+DELAY_HOURS = 6
 FILE_A_LAST_DAY = 20
 FILE_B_FIRST_DAY = 15
 REGION_KEYS = [0, 1, 2, 3, 4]

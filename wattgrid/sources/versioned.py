@@ -194,14 +194,19 @@ class VersionedTable:
         where it is NULL they stay, as in SQL. See ``replace_where``."""
         return self.replace_where(predicate, None, lo, hi, {"operation": "delete", **(notes or {})})
 
-    def replace_where(self, predicate: Column, df: DataFrame | None, lo=None, hi=None, notes: dict | None = None) -> int:
-        """Delete what ``predicate`` matches and add ``df``, in one version.
+    def replace_where(self, predicate: Column | None, df: DataFrame | list[DataFrame] | None, lo=None, hi=None, notes: dict | None = None,
+                      always: bool = False) -> int:
+        """Delete what ``predicate`` (None: nothing) matches and add ``df`` (of several, each in files of its own), in one version.
 
         Only files whose range can match are searched, and only those of them that hold matching rows are
-        written again; all others are in the new version as they are. Without a match and without new rows no version is made.
+        written again; all others are in the new version as they are. Without a match and without new rows no version is made,
+        unless ``always`` asks for one that carries ``notes``.
         """
-        added = None if df is None else self._write(df, True)
-        hit = predicate
+        added = None
+        for one in [df] if isinstance(df, DataFrame) else df or []:
+            more = self._write(one, True)
+            added = more if added is None else added.unionByName(more)
+        hit = F.lit(False) if predicate is None else predicate
         if lo is not None:
             hit = hit & (F.col(self.range_col) >= F.lit(lo))
         if hi is not None:
@@ -209,12 +214,12 @@ class VersionedTable:
 
         def attempt(v: int) -> int:
             manifest = self.manifest(v)
-            searched = self._list(self._within(manifest, lo, hi))
+            searched = [] if predicate is None else self._list(self._within(manifest, lo, hi))
             touched: list[str] = []
             if searched:
                 path = F.regexp_extract(F.col("_metadata.file_path"), r"(data/[^/]+/[^/]+)$", 1)
                 touched = sorted(r[0] for r in self._files(searched).filter(hit).select(path).distinct().collect())
-            if not touched and added is None:
+            if not touched and added is None and not always:
                 return v
             after = manifest
             if touched:
