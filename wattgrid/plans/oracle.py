@@ -601,3 +601,12 @@ mark AS (SELECT max(ts) - INTERVAL {DELAY_HOURS} HOUR AS m FROM e WHERE NOT part
 l AS (SELECT *, part3 AND w + INTERVAL 1 HOUR <= m AS late FROM e, mark)
 SELECT w AS window_start, event_type, count(*) AS n, {r('sum(value)', 'total')}, {r('avg(value)', 'mean')}, count(*) FILTER (WHERE late) AS n_late,
   {r('sum(value) FILTER (WHERE late)', 'total_late')}, w + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL {DELAY_HOURS} HOUR FROM e) AS closed FROM l GROUP BY w, event_type"""
+SQL["panel_incremental"] = with_panel(f"""SELECT x.country, x."timestamp", {r('x.price_eur_mwh', 'price_eur_mwh')}, {r('x.rolling_mean', 'rolling_mean')},
+  {r('x.rolling_std', 'rolling_std')}, hour(x."timestamp") AS hour, isodow(x."timestamp") - 1 AS day_of_week, isodow(x."timestamp") >= 6 AS is_weekend,
+  x."timestamp" BETWEEN {P0} AND {P1} AS in_policy FROM rolled x""", CTE["rolled"])
+SQL["panel_range"] = with_panel(f"""SELECT "timestamp", country, {r('price_eur_mwh', 'price_eur_mwh')}, {r('energy_mwh', 'energy_mwh')}, {r('temperature_c', 'temperature_c')}, hour, is_weekend
+FROM panel WHERE "timestamp" >= TIMESTAMP '{POLICY[0]} 00:00:00' AND "timestamp" < TIMESTAMP '{POLICY[1]} 00:00:00'""")
+SQL["named_sql"] = with_hourly(f"""SELECT country, count(*) AS hours, {r('avg(price_eur_mwh)', 'mean')} FROM hourly
+WHERE "timestamp" >= TIMESTAMP '{POLICY[0]} 00:00:00' AND "timestamp" < TIMESTAMP '{POLICY[1]} 00:00:00' AND country <> '{B}' GROUP BY 1""")
+SQL["csv_report"] = with_hourly(f"""SELECT country, hour("timestamp") AS hour, {r('avg(price_eur_mwh)', 'mean')}, count(price_eur_mwh) AS n FROM hourly GROUP BY 1, 2""")
+SQL["normalise_long"] = with_hourly(f"""SELECT "timestamp", country, {r('price_eur_mwh', 'price_eur_mwh')}, CAST(NULL AS DOUBLE) AS energy_mwh FROM hourly""")

@@ -61,6 +61,64 @@ def q_panel(spark, sf):
                                     "in_policy")
 
 
+@query("panel_incremental")
+def q_panel_incremental(spark, sf):
+    """Q-panel S9: the stored panel after three arrivals (days dealt by three, the last days first), each
+    computing only the days it touches; equal to one full build."""
+    import uuid
+    from .incremental_panel import StoredPanel
+    stored = StoredPanel(spark, f"wattgrid-panel-{uuid.uuid4().hex}", policy=SI.POLICY)
+    hourly = SI.hourly_prices(spark, sf).select(TS, KEY, PRICE)
+    for part in (2, 0, 1):
+        stored.arrive(hourly.filter(F.dayofmonth(TS) % 3 == part))
+    return stored.read()
+
+
+@query("panel_range")
+def q_panel_range(spark, sf):
+    """The panel written once (by year, sorted by series and time) and read back by a pushed half-open range."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources import files, sinks
+    path = scratch_path(spark, f"panel-{uuid.uuid4().hex}")
+    sinks.write_panel(_panel(spark, sf), path)
+    return files.read_panel(spark, path, *SI.POLICY).select(TS, KEY, PRICE, "energy_mwh", "temperature_c", "hour", "is_weekend")
+
+
+@query("named_sql")
+def q_named_sql(spark, sf):
+    """SQL with named parameters over views."""
+    from ..sources import catalog
+    SI.hourly_prices(spark, sf).createOrReplaceTempView("wattgrid_hourly")
+    return catalog.execute_query(spark, """SELECT country, count(*) AS hours, avg(price_eur_mwh) AS mean FROM wattgrid_hourly
+        WHERE timestamp >= CAST(:first AS TIMESTAMP_NTZ) AND timestamp < CAST(:last AS TIMESTAMP_NTZ) AND country <> :but GROUP BY country""",
+                                 first=SI.POLICY[0], last=SI.POLICY[1], but=PB)
+
+
+@query("csv_report")
+def q_csv_report(spark, sf):
+    """A summary written as CSV and read back with its types."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources import sinks
+    path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    report = SI.hourly_prices(spark, sf).groupBy(KEY, F.hour(TS).cast("bigint").alias("hour")).agg(F.avg(PRICE).alias("mean"), F.count(PRICE).alias("n"))
+    sinks.write_csv(report, path, single_file=True)
+    return spark.read.option("header", True).schema(report.schema).csv(path)
+
+
+@query("normalise_long")
+def q_normalise_long(spark, sf):
+    """A long file with other column names and order, brought to the prices table's schema by name."""
+    import uuid
+    from ..schemas import PRICES_DAY_AHEAD
+    from ..session import scratch_path
+    from ..sources import files
+    path = scratch_path(spark, f"long-{uuid.uuid4().hex}")
+    SI.hourly_prices(spark, sf).select(F.col(PRICE).alias("Price"), F.lit("x").alias("note"), F.col(KEY).alias("Zone"), F.col(TS).alias("Hour")).write.parquet(path)
+    return files.normalise_long(spark.read.parquet(path), PRICES_DAY_AHEAD, {"Price": PRICE, "Zone": KEY, "Hour": TS})
+
+
 @query("policy_impact")
 def q_policy_impact(spark, sf):
     """Q-impact: pre vs during statistics per series and the policy effect."""

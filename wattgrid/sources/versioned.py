@@ -113,13 +113,18 @@ class VersionedTable:
             return self.spark.createDataFrame([], self._manifest)
         return self.spark.read.schema(self._manifest).parquet(f"{self.path}/manifests/{self.commit_of(version)['manifest']}")
 
-    def _within(self, manifest: DataFrame, lo, hi) -> DataFrame:
-        """Files that may hold range values between ``lo`` and ``hi`` (None: open). NULLs lie in no range."""
-        if lo is not None:
-            manifest = manifest.filter(F.col("hi") >= F.lit(lo))
-        if hi is not None:
-            manifest = manifest.filter(F.col("lo") <= F.lit(hi))
-        return manifest
+    @staticmethod
+    def _meets(ranges: list[tuple], lo: str, hi: str) -> Column:
+        """Does the column pair ``lo``, ``hi`` meet any of ``ranges`` (None: open end)? NULLs lie in no range."""
+        some = F.lit(False)
+        for a, b in ranges:
+            one = F.lit(True) if a is None else F.col(hi) >= F.lit(a)
+            some = some | (one if b is None else one & (F.col(lo) <= F.lit(b)))
+        return some
+
+    def _within(self, manifest: DataFrame, ranges: list[tuple] | None) -> DataFrame:
+        """Files that may hold range values in ``ranges``; all files without any."""
+        return manifest if ranges is None else manifest.filter(self._meets(ranges, "lo", "hi"))
 
     def _files(self, files: list[str]) -> DataFrame:
         if not files:
@@ -149,14 +154,20 @@ class VersionedTable:
 
     # ------------------------------------------------------------ reading and writing
 
-    def read(self, version: int | None = None, lo=None, hi=None) -> DataFrame:
-        """The rows of a version (default: the newest now), whatever is committed later. With ``lo`` or ``hi``
-        only files whose range can match are listed, and the range is a filter that reaches the scan."""
-        out = self._files(self._list(self._within(self.manifest(version), lo, hi)))
-        c = F.col(self.range_col)
-        if lo is not None:
-            out = out.filter(c >= F.lit(lo))
-        return out if hi is None else out.filter(c <= F.lit(hi))
+    def read(self, version: int | None = None, lo=None, hi=None, ranges: list[tuple] | None = None) -> DataFrame:
+        """The rows of a version (default: the newest now), whatever is committed later. With ``lo`` or ``hi``, or
+        several ``ranges``, only files that can match are listed, and the ranges are a filter that reaches the scan."""
+        ranges = _ranges(lo, hi, ranges)
+        out = self._files(self._list(self._within(self.manifest(version), ranges)))
+        return out if ranges is None else out.filter(self._meets(ranges, self.range_col, self.range_col))
+
+    def added(self, since: int, version: int | None = None) -> DataFrame:
+        """The rows of files that ``version`` (default: the newest) has and version ``since`` did not have."""
+        return self._files(self._list(self.manifest(version).join(self.manifest(since), "file", "left_anti")))
+
+    def bounds(self, version: int | None = None) -> tuple:
+        """Smallest and largest range value, from the manifest alone; Nones for a table without any."""
+        return tuple(self.manifest(version).agg(F.min("lo"), F.max("hi")).first())
 
     def overwrite(self, df: DataFrame, notes: dict | None = None, cluster: bool = True) -> int:
         """A version that holds ``df`` alone."""
@@ -195,7 +206,7 @@ class VersionedTable:
         return self.replace_where(predicate, None, lo, hi, {"operation": "delete", **(notes or {})})
 
     def replace_where(self, predicate: Column | None, df: DataFrame | list[DataFrame] | None, lo=None, hi=None, notes: dict | None = None,
-                      always: bool = False) -> int:
+                      always: bool = False, ranges: list[tuple] | None = None) -> int:
         """Delete what ``predicate`` (None: nothing) matches and add ``df`` (of several, each in files of its own), in one version.
 
         Only files whose range can match are searched, and only those of them that hold matching rows are
@@ -207,14 +218,13 @@ class VersionedTable:
             more = self._write(one, True)
             added = more if added is None else added.unionByName(more)
         hit = F.lit(False) if predicate is None else predicate
-        if lo is not None:
-            hit = hit & (F.col(self.range_col) >= F.lit(lo))
-        if hi is not None:
-            hit = hit & (F.col(self.range_col) <= F.lit(hi))
+        ranges = _ranges(lo, hi, ranges)
+        if ranges is not None:
+            hit = hit & self._meets(ranges, self.range_col, self.range_col)
 
         def attempt(v: int) -> int:
             manifest = self.manifest(v)
-            searched = [] if predicate is None else self._list(self._within(manifest, lo, hi))
+            searched = [] if predicate is None else self._list(self._within(manifest, ranges))
             touched: list[str] = []
             if searched:
                 path = F.regexp_extract(F.col("_metadata.file_path"), r"(data/[^/]+/[^/]+)$", 1)
@@ -230,3 +240,9 @@ class VersionedTable:
                 after = after.unionByName(added)
             return self._commit(v + 1, after, {"operation": "replace", "rewritten": len(touched), **(notes or {})})
         return self._retried(attempt)
+
+
+def _ranges(lo, hi, ranges: list[tuple] | None) -> list[tuple] | None:
+    if ranges is None and (lo is not None or hi is not None):
+        return [(lo, hi)]
+    return ranges
