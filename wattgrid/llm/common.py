@@ -122,32 +122,51 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str, text_col: str)
     return out.drop(*IDENTITY).toDF(*names)
 
 
+HUBS = 5000
+
+
+def join_summary(rows: DataFrame, key: str, summary: DataFrame, n: int) -> DataFrame:
+    """Inner join of ``rows`` (written, ``n`` at most) with ``summary``: one row per key, with ``_m``, how many
+    rows hold it (or more). Hot keys do not meet in one task: those with over an ``n / HUBS`` share of the rows are fewer
+    than ``HUBS`` (the ``_m`` add up to ``n``), so their part of the summary is broadcast; all others are
+    shuffled, and none of these fills a task."""
+    limit = max(1000, n // HUBS)
+    names = [c for c in summary.columns if c not in (key, "_m")]
+    keyed = summary.withColumnRenamed(key, "_k")
+    marked = rows.join(F.broadcast(keyed.filter(F.col("_m") > limit).drop("_m").withColumn("_hub", F.lit(True))), rows[key] == F.col("_k"), "left").drop("_k")
+    hot = marked.filter("_hub").drop("_hub")
+    cold = marked.filter("_hub IS NULL").drop("_hub", *names)
+    cold = cold.join(keyed.filter(F.col("_m") <= limit).drop("_m"), cold[key] == F.col("_k")).drop("_k")
+    return hot.select(*rows.columns, *names).union(cold.select(*rows.columns, *names))
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of ``edges(a, b)``: ``node``, ``root`` (the smallest node).
 
     Large-star and small-star steps in turn: each points nodes at the smallest
-    neighbour they know, so the work per round follows the number of edges and no
-    component ever meets in one task. Every round is written to the shared folder.
+    neighbour they know, so the work per round follows the number of edges. A star's centre, which most edges may
+    hold, is joined by ``join_summary``, so no component ever meets in one task. Every step is written to the shared folder.
     Empty input gives an empty result; loops and repeated edges do no harm.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     e = written(e.filter("u <> v").distinct(), label)
-    before = None
+    n, before = e.count(), None
     while True:
         # large star: every larger neighbour of a node points at the smallest one
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_m")).select(F.col("u").alias("v"), F.least("u", "m").alias("m"), "_m")
         # e holds u > v, so the larger neighbours u of a centre v are its rows
-        large = (e.join(low, e["v"] == low["c"]).select("u", F.col("m").alias("v")).filter("u <> v")
-                 .union(low.filter("c <> m").select(F.col("c").alias("u"), F.col("m").alias("v"))).distinct())
+        large = (join_summary(e, "v", low, 2 * n).select("u", F.col("m").alias("v")).filter("u <> v")
+                 .union(low.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct())
+        large = written(large, label)
         # small star: smaller neighbours and the node itself point at the smallest
-        low2 = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m")
-        small = (large.join(low2, large["u"] == low2["c"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .filter("u <> v").union(low2.select(F.col("c").alias("u"), F.col("m").alias("v"))).distinct())
+        low2 = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_m"))
+        small = (join_summary(large, "u", low2, 3 * n).select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .filter("u <> v").union(low2.select("u", F.col("m").alias("v"))).distinct())
         e = written(small, label)
         mark = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == before:
             break
-        before = mark
+        before, n = mark, mark[0]
     roots = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())

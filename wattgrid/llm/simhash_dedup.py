@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import IDENTITY, components, keep_rows, table, text_rows, written
+from .common import IDENTITY, components, join_summary, keep_rows, table, text_rows, written
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -152,14 +152,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
     """One row per document: identity, ``_row``, ``_fp``, ``_component`` (smallest id), ``_root``."""
     fp = written(fingerprints(docs, id_col, text_col, shingle).withColumn("_row", F.monotonically_increasing_id()), "simhash")
-    reps = written(fp.groupBy("_fp").agg(F.min("_id").alias("_low")), "simhash-classes")
-    found = written(links(reps.select("_fp"), bits, chain_depth(reps.count(), bits)), "simhash-links")
+    reps = written(fp.groupBy("_fp").agg(F.min("_id").alias("_low"), F.count(F.lit(1)).alias("_m")), "simhash-classes")
+    n = reps.agg(F.count(F.lit(1)).alias("classes"), F.coalesce(F.sum("_m"), F.lit(0)).alias("rows")).first()
+    found = written(links(reps.select("_fp"), bits, chain_depth(n["classes"], bits)), "simhash-links")
     cc = components(found, "simhash-components")
-    rooted = (reps.join(cc, reps["_fp"] == cc["node"], "left")
-              .select("_fp", "_low", F.coalesce("root", "_fp").alias("_root")))
-    per = rooted.groupBy("_root").agg(F.min("_low").alias("_component")).withColumnRenamed("_root", "_r")
-    named = rooted.join(per, rooted["_root"] == per["_r"]).select(F.col("_fp").alias("_f"), "_root", "_component")
-    return fp.join(named, fp["_fp"] == named["_f"]).drop("_f")
+    rooted = written(reps.join(cc, reps["_fp"] == cc["node"], "left")
+                     .select("_fp", "_low", F.col("_m").alias("_rows"), F.coalesce("root", "_fp").alias("_root")), "simhash-rooted")
+    per = rooted.groupBy("_root").agg(F.min("_low").alias("_component"), F.count(F.lit(1)).alias("_m"))
+    named = join_summary(rooted, "_root", per, n["classes"]).select("_fp", "_root", "_component", F.col("_rows").alias("_m"))
+    return join_summary(fp, "_fp", written(named, "simhash-named"), n["rows"])
 
 
 def op7_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +172,7 @@ def op7_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each near-duplicate group, that with the smallest id."""
-    r = near_duplicates(docs)
-    first = r.groupBy("_root").agg(F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))).alias("_best")).withColumnRenamed("_root", "_r")
-    r = r.join(first, r["_root"] == first["_r"]).select(*IDENTITY, (F.col("_row") == F.col("_best._row")).alias("_kept"))
+    r = written(near_duplicates(docs), "simhash-members")
+    first = r.groupBy("_root").agg(F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))).alias("_best"), F.count(F.lit(1)).alias("_m"))
+    r = join_summary(r, "_root", first, r.count()).select(*IDENTITY, (F.col("_row") == F.col("_best._row")).alias("_kept"))
     return keep_rows(docs, written(r, "simhash-kept"), "doc_id", "text")
