@@ -255,10 +255,11 @@ def joint_islands(stretches: DataFrame, keys: list[str], series: int | None = No
     after = tc.add_hours("end", step_hours)
     change = F.explode(F.array(F.struct(F.col("start").alias("_ts"), F.lit(1).cast("bigint").alias("_d")), F.struct(after.alias("_ts"), F.lit(-1).cast("bigint").alias("_d"))))
     changes_ = stretches.select(change.alias("c")).select("c.*").groupBy("_ts").agg(F.sum("_d").alias("_d")).filter("_d <> 0")
-    active = prefix_sum(changes_.withColumn("_hn", tc.hour_number("_ts")), [], "_hn", "_d", out_col="_before").withColumn("_v", F.struct("_ts", (F.col("_before") + F.col("_d")).alias("n")))
-    # the constant key has one row per bucket in its carry table
-    j = add_prev_and_fill(active.select(F.lit(0).alias("_all"), "_ts", "_v"), ["_all"], "_ts", "_v", bucket_hours)
-    found = j.filter("_prev IS NOT NULL").select(F.col("_prev._ts").alias("start"), tc.add_hours("_ts", -step_hours).alias("end"), F.col("_prev.n").alias("_n"), F.lit(0).alias("_all"))
+    # all changes are one series: its carries, like those of any single series, run over one row per band or bucket
+    one = changes_.withColumns({"_hn": tc.hour_number("_ts"), "_all": F.year("_ts") % 1})
+    active = prefix_sum(one, ["_all"], "_hn", "_d", out_col="_before").withColumn("_v", F.struct("_ts", (F.col("_before") + F.col("_d")).alias("n")))
+    j = add_prev_and_fill(active.select("_all", "_ts", "_v"), ["_all"], "_ts", "_v", bucket_hours)
+    found = j.filter("_prev IS NOT NULL").select(F.col("_prev._ts").alias("start"), tc.add_hours("_ts", -step_hours).alias("end"), F.col("_prev.n").alias("_n"), "_all")
     if n is None:
         total = stretches.select(*keys).distinct().agg(F.count(F.lit(1)).alias("_series")).withColumn("_all", F.lit(0))
         found = join_on_keys(found, total, ["_all"])
