@@ -1,5 +1,7 @@
 """Token ids, records and packing against the tokenizers library and by invariants."""
+import hashlib
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -8,7 +10,7 @@ from tokenizers import Tokenizer
 
 from wattgrid.llm import packing as P
 from wattgrid.llm import token_records as T
-from wattgrid.llm.bpe_prefix import Bpe, decode, encode
+from wattgrid.llm.bpe_prefix import Bpe, SuffixAutomaton, decode, encode, op5_bpe_prefix
 from wattgrid.llm.common import scratch
 from wattgrid.llm.tokens import Encoder, tokenizer_path
 
@@ -49,6 +51,38 @@ def test_prefix_bpe_equals_library():
         assert " ".join(s for i, s in b.pieces(t) if i) == b.decode(got)
 
 
+def test_prefix_bpe_on_every_code_point():
+    b, lib = Bpe(), Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    points = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    rng = random.Random(7)
+    some = ["a" + c for c in points] + ["".join(rng.choices(points[:0x3000], k=rng.randint(2, 6))) for _ in range(20_000)]
+    some += ["a" + x + y for x in "\u0898\u06df\u05c2\u08d0\u0301\u0327" for y in "\u0898\u06df\u05c2\u08d0\u0301\u0327"]
+    for t, want in zip(some, lib.encode_batch(some, add_special_tokens=False)):
+        assert b.encode(t) == np.array(want.ids, "<u4").tobytes(), ascii(t)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_suffix_automaton_finds_every_match(seed):
+    rng = random.Random(seed)
+    words = {"".join(rng.choices("abc", k=rng.randint(1, 6))): i for i in range(25)}
+    text = "".join(rng.choices("abcd", k=200))
+    want = [sorted(((len(w), i) for w, i in words.items() if text[:at].endswith(w)), reverse=True) for at in range(1, len(text) + 1)]
+    assert list(SuffixAutomaton(words).matches(text)) == want
+
+
+def test_registered_bpe_query_equals_library(spark, tmp_path, monkeypatch):
+    from wattgrid.llm import bpe_prefix
+    monkeypatch.setattr(bpe_prefix, "SLICE", 64)
+    lib = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    rows = [(i, t) for i, t in enumerate([*texts(60, 9), None, "", "\u1c89x \ua7cb", "word " * 400])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in op5_bpe_prefix(spark, str(tmp_path)).collect()}
+    for i, t in rows:
+        ids = lib.encode(t or "", add_special_tokens=False).ids
+        want = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+        assert got[i] == (len(ids), *want), t
+
+
 def test_prefix_bpe_on_tables(spark):
     lib = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
     df = spark.createDataFrame(ROWS, SCHEMA)

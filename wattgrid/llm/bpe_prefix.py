@@ -1,25 +1,26 @@
 """BPE encoding by per-prefix dynamic programming, and decoding.
 
 For every prefix of a word exactly one token can be the last of its BPE encoding. It
-is found among the tokens that end there (matches of an Aho-Corasick automaton, the suffix
-links giving the shorter ones): a token fits if BPE would leave it and the last token of the
+is found among the tokens that end there (matches of a suffix automaton of the whole vocabulary,
+its suffix links giving the shorter ones): a token fits if BPE would leave it and the last token of the
 prefix before it apart. That pair test walks back through the merges that formed the
 two tokens and needs no text. Back-pointers from the whole word give the exact ids.
 
+Normal forms and words of anything beyond ASCII come from the tokenizer file's own components, as the
+library runs them: Unicode versions of other libraries differ from its own.
+
 The word-end mark belongs to the last symbol, so a word is a string over 512 symbols:
 each byte, and each byte with the mark. Words are independent, so each distinct word is
 solved once per worker and remembered in a table of bounded size.
 """
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
+import os
 import re
-import unicodedata
 from collections.abc import Iterator
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -35,12 +36,92 @@ SLICE = 1 << 20
 END = 0x1000  # code point of byte 0 with the word-end mark
 
 
+class SuffixAutomaton:
+    """All substrings of a set of strings, built over their trie level by level.
+
+    Every string of the set is the longest of its state, so a state names at most one of them.
+    """
+
+    def __init__(self, words: dict[str, int]):
+        self.next: list[dict[str, int]] = [{}]
+        self.link, self.size = [-1], [0]
+        trie: dict = {}
+        for w, i in words.items():
+            node = trie
+            for c in w:
+                node = node.setdefault(c, {})
+            node[None] = i
+        named: dict[int, int] = {}
+        level = [(0, trie)]
+        while level:
+            below = []
+            for state, node in level:
+                for c, child in node.items():
+                    if c is None:
+                        named[state] = child
+                    else:
+                        below.append((self._extend(state, c), child))
+            level = below
+        self.named = [named.get(v, -1) for v in range(len(self.next))]
+        self.up = [0] * len(self.next)  # the longest proper suffix that is a string of the set
+        for v in sorted(range(1, len(self.next)), key=self.size.__getitem__):
+            u = self.link[v]
+            self.up[v] = u if self.named[u] >= 0 else self.up[u]
+
+    def _state(self, size: int, link: int, moves: dict[str, int]) -> int:
+        self.next.append(moves)
+        self.size.append(size)
+        self.link.append(link)
+        return len(self.next) - 1
+
+    def _extend(self, last: int, c: str) -> int:
+        """State of the string of ``last`` and then ``c``, which no state has yet."""
+        moves, size, link = self.next, self.size, self.link
+        new, p = self._state(size[last] + 1, 0, {}), last
+        while p >= 0 and c not in moves[p]:
+            moves[p][c] = new
+            p = link[p]
+        if p >= 0:
+            q = moves[p][c]
+            if size[q] > size[p] + 1:
+                copy = self._state(size[p] + 1, link[q], dict(moves[q]))
+                while p >= 0 and moves[p].get(c) == q:
+                    moves[p][c] = copy
+                    p = link[p]
+                link[q] = copy
+                q = copy
+            link[new] = q
+        return new
+
+    def matches(self, s: str) -> Iterator[list[tuple[int, int]]]:
+        """For each place of ``s``, length and number of the set's strings that end there, longest first."""
+        moves, size, link, named, up = self.next, self.size, self.link, self.named, self.up
+        v = n = 0
+        for c in s:
+            while v and c not in moves[v]:
+                v = link[v]
+                n = size[v]
+            if c in moves[v]:
+                v, n = moves[v][c], n + 1
+            u = v if n == size[v] and named[v] >= 0 else up[v]
+            found = []
+            while u:
+                found.append((size[u], named[u]))
+                u = up[u]
+            yield found
+
+
 class Bpe:
     """Exact encoder and decoder of one byte-level BPE file."""
 
     def __init__(self, name: str = WORD_BPE, most: int = WORDS):
-        with open(tokenizer_path(name), encoding="utf-8") as fh:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+        path = tokenizer_path(name)
+        with open(path, encoding="utf-8") as fh:
             spec = json.load(fh)
+        lib = Tokenizer.from_file(path)
+        self.normalizer, self.splitter = lib.normalizer, lib.pre_tokenizer
         model = spec["model"]
         self.suffix = model.get("end_of_word_suffix") or ""
         vocab: dict[str, int] = model["vocab"]
@@ -48,6 +129,7 @@ class Bpe:
         self.names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         self._read_text_rules(spec)
         letters = byte_letters()
+        self.latin = str.maketrans({c: chr(b) for c, b in letters.items()})
 
         def symbols(token: str) -> str | None:
             marked = bool(self.suffix) and token.endswith(self.suffix)
@@ -68,29 +150,21 @@ class Bpe:
             if k not in self.rank:
                 self.rank[k], self.left[k], self.right[k] = r, i, j
         self.known = {s: i for t, i in vocab.items() if (s := symbols(t)) is not None and (len(s) == 1 or i in self.rank)}
-        self.automaton = ahocorasick.Automaton()
-        for s, i in self.known.items():
-            self.automaton.add_word(s, (len(s), i))
-        self.automaton.make_automaton()
+        self.automaton = SuffixAutomaton(self.known)
         self.apart: dict[int, bool] = {}
         self.most = most
-        self.memo: dict[str, tuple[bytes, str]] = {}
+        self.memo: dict[str | tuple[str], tuple[bytes, str]] = {}
 
     def _read_text_rules(self, spec: dict) -> None:
-        """Normalisation and word pattern as the file states them."""
+        """Checks that the file's rules are those known here; how they treat ASCII parts without blanks."""
         rules = spec.get("normalizer") or {}
         steps = rules.get("normalizers", [rules] if rules else [])
-        self.steps = []
         for s in steps:
-            if s["type"] in ("NFC", "NFD", "NFKC", "NFKD"):
-                self.steps.append(functools.partial(unicodedata.normalize, s["type"]))
-            elif s["type"] == "Lowercase":
-                self.steps.append(lambda t: t.lower() if t.isascii() else "".join(map(str.lower, t)))
-            elif s["type"] == "Replace" and "Regex" in s["pattern"]:
-                p = regex.compile(s["pattern"]["Regex"])
-                self.steps.append(lambda t, p=p, by=s["content"]: p.sub(lambda m: by, t))
-            else:
+            # of these only lower case changes ASCII without blanks
+            blanks = s["type"] == "Replace" and s["pattern"].get("Regex") == r"\s+"
+            if not blanks and s["type"] not in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase"):
                 raise ValueError(f"normaliser {s['type']} is not supported")
+        self.lower = any(s["type"] == "Lowercase" for s in steps)
         pre = spec["pre_tokenizer"]
         parts = pre.get("pretokenizers", [pre])
         if parts[0]["type"] != "Split" or not parts[0]["invert"] or parts[-1]["type"] != "ByteLevel" or parts[-1].get("use_regex", True):
@@ -129,16 +203,13 @@ class Bpe:
         return ok
 
     def word(self, word: str) -> list[int]:
-        """Ids of one word, by the last token of each of its prefixes."""
-        s = word.encode().decode("latin-1")
+        """Ids of one word, given as a character per byte, by the last token of each of its prefixes."""
+        s = word
         if self.suffix:
             s = s[:-1] + chr(END + ord(s[-1]))
         last = [(0, -1)] * (len(s) + 1)
-        ends: list[list[tuple[int, int]]] = [[] for _ in s]
-        for at, hit in self.automaton.iter(s):
-            ends[at].append(hit)
         compatible = self.compatible
-        for at, hits in enumerate(ends, 1):
+        for at, hits in enumerate(self.automaton.matches(s), 1):
             for size, i in hits:
                 if size == at or (last[at - size][1] >= 0 and compatible(last[at - size][1], i)):
                     last[at] = (size, i)
@@ -174,19 +245,25 @@ class Bpe:
                     memo[c] = got
             yield got
 
+    def _words(self, part: str) -> list[str]:
+        """The part's words, as a character per byte."""
+        if part.isascii() and not any(c.isspace() for c in part):
+            return self.words.findall(part.lower() if self.lower else part)
+        if self.normalizer is not None:
+            part = self.normalizer.normalize_str(part)
+        return [form.translate(self.latin) for form, _ in self.splitter.pre_tokenize_str(part)]
+
     def _chunk(self, chunk: str) -> tuple[bytes, str]:
         """A part without blanks; its words are remembered too."""
-        text = chunk
-        for step in self.steps:
-            text = step(text)
         ids, names = [], []
-        for w in self.words.findall(text):
-            got = self.memo.get(w)  # a word as a part of its own has the same result
+        for w in self._words(chunk):
+            key = w if w.isascii() else (w,)  # an ASCII word as a part of its own has the same result
+            got = self.memo.get(key)
             if got is None:
                 i = self.word(w)
                 got = np.array(i, "<u4").tobytes(), " ".join([self.names[x] for x in i])
                 if len(w) <= LONG:
-                    self.memo[w] = got
+                    self.memo[key] = got
             ids.append(got[0])
             names.append(got[1])
         return b"".join(ids), " ".join(names)
