@@ -90,3 +90,55 @@ def test_pages_round_trip(spark, compress):
     assert {r["url"] for r in rows if r["page_id"] == 9} == {"é%0D%0AX: y"}
     empty = scratch(spark, "test-warc")
     assert W.read_archives(W.write_archives(spark.createDataFrame([], SCHEMA), empty), empty).count() == 0
+
+
+def test_damage_in_stored_archives_is_quarantined(spark):
+    """A byte turned in a stored archive: its record is reported missing, its bytes are in the quarantine table, all else is read."""
+    folder = scratch(spark, "test-warc")
+    pages = spark.createDataFrame([(i, f"u{i}", f"page {i} " * 50) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    files = W.write_archives(pages, folder)
+    fs, top = W.place(folder)
+    name = files.collect()[0]["file"]
+    with fs.open_input_file(f"{top}/{name}") as f:
+        data = f.read()
+        starts = [g[1] for g in W.salvage(f)]
+    at = (starts[20] + starts[21]) // 2
+    hurt = data[:at] + bytes([data[at] ^ 0x55]) + data[at + 1:]
+    with fs.open_output_stream(f"{top}/{name}", compression=None) as f:
+        f.write(hurt)
+    records, gaps, missing = W.read_checked(files, folder)
+    assert records.count() == 39 and [tuple(r) for r in missing.collect()] == [(name, 40, 39)]
+    got = gaps.collect()
+    assert [(r["file"], r["offset"], r["length"]) for r in got] == [(name, starts[20], starts[21] - starts[20])]
+    assert bytes(got[0]["bytes"]) == hurt[starts[20]:starts[21]] and got[0]["reason"]
+
+
+@pytest.mark.parametrize("line", [b"WARC/1.1\r\n", b"WARC/1.1\r\nA: b\r\n", b"A: WARC/1.1\r\n", b"\x1f\x8b\x08"])
+def test_flood_of_marks_takes_linear_time(line):
+    import time
+    good = archive(False, 2)
+    start = time.process_time()
+    data = line * (400_000 // len(line)) + b"\r\n\r\n" + b"".join(p for p, _ in good)
+    got = list(W.salvage(File(data)))
+    assert [g[4] for g in got if g[0] == "record"] == [b for _, b in good]
+    assert time.process_time() - start < 20
+
+
+def test_damaged_length_and_bomb_hold_nothing():
+    import tracemalloc
+    data = W.page_record(1, "u", b"x", None, None)
+    bomb = W.member(W.VERSION + b"Content-Length: 300000000\r\n\r\n" + b"0" * 200_000_000, 9)
+    tracemalloc.start()
+    got = list(W.salvage(File(bomb + data)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [g[0] for g in got] == ["gap", "record"] and peak < 60 << 20
+
+
+def test_large_payload_is_read_once_it_passed(monkeypatch):
+    monkeypatch.setattr(W, "HOLD", 100)
+    body = b"0123456789" * 500
+    for compress in (True, False):
+        data = W.page_record(1, "u", body, None, None)
+        got = list(W.salvage(File(W.member(data, 6) if compress else data)))
+        assert got[0][4] == body and got[0][5] == (hashlib.sha1(body).hexdigest(), len(body))

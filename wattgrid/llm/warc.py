@@ -5,9 +5,12 @@ payloads only one is stored whole; the others are revisits that name it.
 
 The reader checks every member (gzip checksum and size), the record's version line,
 length and ending, and the block and payload digests. After a failed check it searches on
-byte by byte for the next gzip member, or in uncompressed archives the next version line,
+for the next gzip member, or in uncompressed archives the next version line,
 whose record passes all checks, goes on from there, and reports the bytes between as a
-gap. It reads archives in blocks and holds one record at a time.
+gap. Blocks are inflated and digested piece by piece: a payload of over ``HOLD`` bytes is held only once
+its record has passed, so damaged lengths and gzip bombs take no memory. Header lines between two blank
+lines are read once, however many version lines stand among them, and so is the block behind them. Headers
+of over ``HEADER`` bytes count as damage, and gzip headers of over ``GZIP_HEADER``. ``quarantine`` stores the bytes of gaps.
 
 Defined results: NULL payload is empty; NULL addresses and ids are left out of the headers
 and read back as NULL; repeats of the row a group keeps are kept like it; an empty
@@ -38,6 +41,10 @@ VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 BLOCK = 1 << 20
 FLUSH = 8 << 20
+HOLD = 8 << 20
+HEADER = 16 << 20
+GZIP_HEADER = 4096
+PIECE = 1 << 20
 MIN_REVISIT = 1000
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time of capture
 
@@ -133,11 +140,14 @@ class Damaged(Exception):
 
 
 class Archive:
-    """One archive, read in blocks at any offset."""
+    """One archive, read in blocks at any offset, a record at a time."""
 
     def __init__(self, f):
         self.f, self.size = f, f.size()
-        self.at, self.block = 0, b""
+        self.at, self.block, self.after = 0, b"", 0
+        self.blank_line = 0, -1
+        self.lines: Lines | None = None
+        self.lines_end, self.body = -1, None
 
     def read(self, at: int, n: int) -> bytes:
         """Up to ``n`` bytes from ``at``, from the block at hand where it has them."""
@@ -160,102 +170,211 @@ class Archive:
             at += len(data) - keep
         return self.size
 
-    def member(self, at: int) -> tuple[bytes, int]:
-        """Uncompressed data of the gzip member at ``at`` and the offset after it."""
-        z, parts, pos = zlib.decompressobj(31), [], at
+    def blank(self, at: int) -> int:
+        """Offset of the next blank line from ``at`` on; remembered, as many version lines may come before it."""
+        lo, hit = self.blank_line
+        if not lo <= at <= hit:
+            pos, hit = at, self.size
+            while pos < self.size:
+                data = self.read(pos, min(BLOCK, self.size - pos))
+                cut = data.find(b"\r\n\r\n")
+                if cut >= 0:
+                    hit = pos + cut
+                    break
+                if pos + len(data) >= self.size:
+                    break
+                pos += len(data) - 3
+            self.blank_line = at, hit
+        return hit
+
+    def inflated(self, at: int) -> Iterator[bytes]:
+        """The gzip member at ``at`` in pieces of bounded size; ``after`` is then the offset behind it."""
+        z, pos, step, some = zlib.decompressobj(31), at, 512, False
         try:
             while not z.eof:
-                data = self.read(pos, min(BLOCK >> 4, self.size - pos)) if pos < self.size else b""
+                data = z.unconsumed_tail
                 if not data:
-                    raise Damaged("member is cut off")
-                parts.append(z.decompress(data))
-                pos += len(data)
+                    if not some and pos - at >= GZIP_HEADER:
+                        raise Damaged("gzip header is too long")
+                    data = self.read(pos, min(step, self.size - pos)) if pos < self.size else b""
+                    pos, step = pos + len(data), min(step * 8, BLOCK >> 4)
+                    if not data:
+                        raise Damaged("member is cut off")
+                piece = z.decompress(data, PIECE)
+                some = some or bool(piece)
+                yield piece
         except zlib.error as e:
             raise Damaged(f"gzip: {e}") from None
-        return b"".join(parts), pos - len(z.unused_data)
-
-    def plain(self, at: int) -> tuple[bytes, int]:
-        """The uncompressed record at ``at`` and the offset after it."""
-        n = 4096
-        while True:
-            head = self.read(at, min(n, self.size - at))
-            cut = head.find(b"\r\n\r\n")
+        self.after = pos - len(z.unused_data)
+
+    def packed(self, at: int, hold: int | None) -> tuple[dict[str, str], Body, int]:
+        """Headers, checked body and end of the record in the gzip member at ``at``."""
+        pieces, data, cut = self.inflated(at), b"", -1
+        for piece in pieces:
+            data += piece
+            if len(data) >= len(VERSION) and not VERSION_LINE.match(data):
+                raise Damaged("no version line")
+            cut = data.find(b"\r\n\r\n")
             if cut >= 0:
                 break
-            if at + len(head) >= self.size:
-                raise Damaged("header is cut off")
-            n *= 2
-        m = re.search(rb"\r\nContent-Length: (\d+)\r\n", head[:cut + 2], re.I)
-        if not m:
-            raise Damaged("no length")
-        end = at + cut + 4 + int(m[1]) + 4
+            if len(data) > HEADER:
+                raise Damaged("header is too long")
+        if cut < 0 or not VERSION_LINE.match(data):
+            raise Damaged("no end of header" if cut < 0 else "no version line")
+        lines = Lines(data[:cut], 0)
+        left = lines.length(0)
+        body, head, rest = lines.body(0, hold), data[:cut], data[cut + 4:]
+        while True:
+            body.feed(rest[:left])
+            rest, left = rest[left:], max(0, left - len(rest))
+            if len(rest) > 4:
+                raise Damaged("length and data differ")
+            piece = next(pieces, None)
+            if piece is None:
+                break
+            rest += piece
+        if left or rest != b"\r\n\r\n":
+            raise Damaged("length and data differ")
+        lines.check(0, head, body)
+        return lines.headers(0), body, self.after
+
+    def plain(self, at: int, hold: int | None) -> tuple[dict[str, str], Body, int]:
+        """Headers, checked body and end of the uncompressed record at ``at``."""
+        if not VERSION_LINE.match(self.read(at, min(len(VERSION), self.size - at))):
+            raise Damaged("no version line")
+        cut = self.blank(at)
+        if cut >= self.size:
+            raise Damaged("header is cut off")
+        if cut - at > HEADER:
+            raise Damaged("header is too long")
+        if self.lines is None or self.lines_end != cut or self.lines.at > at:
+            self.lines, self.lines_end, self.body = Lines(self.read(at, cut - at), at), cut, None
+        lines = self.lines
+        n = lines.length(at)
+        end = cut + 4 + n + 4
         if end > self.size:
             raise Damaged("record is cut off")
-        return self.read(at, end - at), end
+        if self.f.read_at(4, end - 4) != b"\r\n\r\n":
+            raise Damaged("length and data differ")
+        body = lines.body(at, hold)
+        key = n, body.http, hold
+        if self.body is not None and self.body[0] == key:
+            body = self.body[1]
+        else:
+            for pos in range(cut + 4, cut + 4 + n, PIECE):
+                body.feed(self.read(pos, min(PIECE, cut + 4 + n - pos)))
+            self.body = key, body
+        lines.check(at, self.read(at, cut - at), body)
+        return lines.headers(at), body, end
+
+    def record(self, at: int, hold: int | None) -> tuple[dict[str, str], Body, int]:
+        """The record at ``at``, checked; ``hold`` bounds the payload that is kept (None: no bound)."""
+        if self.read(at, 3) == GZIP:
+            return self.packed(at, hold)
+        if self.read(at, 5) == b"WARC/":
+            return self.plain(at, hold)
+        raise Damaged("no version line")
 
 
-def parse(data: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers (lower-case names) and block of one whole record; checks all it can."""
-    if not VERSION_LINE.match(data):
-        raise Damaged("no version line")
-    cut = data.find(b"\r\n\r\n")
-    if cut < 0:
-        raise Damaged("no end of header")
-    head: dict[str, str] = {}
-    for line in data[data.index(b"\r\n") + 2:cut].split(b"\r\n"):
-        k, colon, v = line.partition(b":")
-        if not colon:
+class Body:
+    """Digests of a block and of the payload in it, fed in pieces."""
+
+    def __init__(self, http: bool, hold: int | None):
+        self.http, self.hold = http, hold
+        self.block, self.digest, self.size = hashlib.sha1(), hashlib.sha1(), 0
+        self.within, self.tail = not http, b""
+        self.parts: list[bytes] | None = []
+
+    def feed(self, data: bytes) -> None:
+        self.block.update(data)
+        if not self.within:  # the payload follows the HTTP header
+            data = self.tail + data
+            cut = data.find(b"\r\n\r\n")
+            if cut < 0:
+                self.tail = data[-3:]
+                return
+            self.within, data = True, data[cut + 4:]
+        self.digest.update(data)
+        self.size += len(data)
+        if self.hold is not None and self.size > self.hold:
+            self.parts = None
+        elif self.parts is not None:
+            self.parts.append(data)
+
+
+def _named(h) -> str:
+    return "sha1:" + base64.b32encode(h.digest()).decode()
+
+
+class Lines:
+    """Header lines before a blank line, read once for all version lines among them: of each name the last
+    place and value, and the last line that is none."""
+
+    def __init__(self, data: bytes, at: int):
+        self.at, self.bad, self.last = at, 0, {}
+        pos = 0
+        for line in data.split(b"\r\n"):
+            k, colon, v = line.partition(b":")
+            if colon:
+                self.last[k.decode("utf-8", "replace").strip().lower()] = pos, v.decode("utf-8", "replace").strip()
+            else:
+                self.bad = pos
+            pos += len(line) + 2
+
+    def get(self, name: str, at: int) -> str:
+        """Value for the record whose version line is at ``at``, or nothing."""
+        pos, value = self.last.get(name, (-1, ""))
+        return value if pos >= at - self.at + len(VERSION) else ""
+
+    def headers(self, at: int) -> dict[str, str]:
+        return {k: v for k, (pos, v) in self.last.items() if pos >= at - self.at + len(VERSION)}
+
+    def length(self, at: int) -> int:
+        if self.bad >= at - self.at + len(VERSION):
             raise Damaged("bad header line")
-        head[k.decode("utf-8", "replace").strip().lower()] = v.decode("utf-8", "replace").strip()
-    if not head.get("content-length", "").isdigit():
-        raise Damaged("no length")
-    end = cut + 4 + int(head["content-length"])
-    if data[end:] != b"\r\n\r\n":
-        raise Damaged("length and data differ")
-    at = data.rfind(HEAD_CHECK, 0, cut)
-    if at >= 0 and data[at + len(HEAD_CHECK):cut] != b"%08x" % zlib.crc32(data[:at]):
-        raise Damaged("header checksum differs")
-    block = data[cut + 4:end]
-    want = head.get("warc-block-digest", "")
-    if want.startswith("sha1:") and want != sha1(block):
-        raise Damaged("block digest differs")
-    return head, block
-
-
-def payload(head: dict[str, str], block: bytes) -> bytes:
-    """The HTTP body of a response, the block of anything else; checks the payload's digest."""
-    body = block
-    if "application/http" in head.get("content-type", ""):
-        _, found, rest = block.partition(b"\r\n\r\n")
-        body = rest if found else b""
-    want = head.get("warc-payload-digest", "")
-    if head.get("warc-type") != "revisit" and want.startswith("sha1:") and want != sha1(body):
-        raise Damaged("payload digest differs")
-    return body
-
-
-def salvage(f) -> Iterator[tuple[str, int, int, object, object]]:
-    """``("record", offset, end, headers, payload)`` and ``("gap", offset, end, reason, None)``
-    of an open archive, in order."""
+        n = self.get("content-length", at)
+        if not re.fullmatch(r"[0-9]{1,18}", n):
+            raise Damaged("no length")
+        return int(n)
+
+    def body(self, at: int, hold: int | None) -> Body:
+        return Body("application/http" in self.get("content-type", at), hold)
+
+    def check(self, at: int, head: bytes, body: Body) -> None:
+        """Digests of block and payload and the header's checksum, as far as the record names them."""
+        want = self.get("warc-block-digest", at)
+        if want.startswith("sha1:") and want != _named(body.block):
+            raise Damaged("block digest differs")
+        want = self.get("warc-payload-digest", at)
+        if self.get("warc-type", at) != "revisit" and want.startswith("sha1:") and want != _named(body.digest):
+            raise Damaged("payload digest differs")
+        pos = head.rfind(HEAD_CHECK)
+        if pos >= 0 and head[pos + len(HEAD_CHECK):] != b"%08x" % zlib.crc32(head[:pos]):
+            raise Damaged("header checksum differs")
+
+
+def salvage(f, with_payload: bool = True) -> Iterator[tuple[str, int, int, object, object, object]]:
+    """``("record", offset, end, headers, payload, (SHA-1, size))`` and ``("gap", offset, end, reason, None, None)``
+    of an open archive, in order; without ``with_payload`` payloads are None."""
     a = Archive(f)
     at, gap, reason = 0, None, ""
     while at < a.size:
         try:
-            data, end = a.member(at) if a.read(at, 3) == GZIP else a.plain(at) if a.read(at, 5) == b"WARC/" else (b"", at)
-            head, block = parse(data)
-            body = payload(head, block)
+            head, body, end = a.record(at, HOLD if with_payload else 0)
+            if with_payload and body.parts is None:  # a large one that passed: read again and held
+                head, body, end = a.record(at, None)
         except Damaged as e:
             if gap is None:
                 gap, reason = at, str(e)
             at = a.find(at + 1)
             continue
         if gap is not None:
-            yield "gap", gap, at, reason, None
+            yield "gap", gap, at, reason, None, None
             gap = None
-        yield "record", at, end, head, body
+        yield "record", at, end, head, b"".join(body.parts) if with_payload else None, (body.digest.hexdigest(), body.size)
         at = end
     if gap is not None:
-        yield "gap", gap, a.size, reason, None
+        yield "gap", gap, a.size, reason, None, None
 
 
 READ_SCHEMA = ("file string, kind string, offset long, end long, reason string, record_type string, page_id long, url string, "
@@ -287,13 +406,13 @@ def _read(folder: str, with_payload: bool):
             for name in b.column("file").to_pylist():
                 rows, size = [], 0
                 with fs.open_input_file(f"{top}/{name}") as f:
-                    for kind, at, end, head, body in salvage(f):
+                    for kind, at, end, head, body, found in salvage(f, with_payload):
                         if kind == "gap":
                             rows.append((name, kind, at, end, head, *[None] * 7))
                             continue
                         revisit = head.get("warc-type") == "revisit"
-                        digest = _hex(head.get("warc-payload-digest")) if revisit else hashlib.sha1(body).hexdigest()
-                        length = _number(head.get("x-payload-length")) if revisit else len(body)
+                        digest = _hex(head.get("warc-payload-digest")) if revisit else found[0]
+                        length = _number(head.get("x-payload-length")) if revisit else found[1]
                         rows.append((name, kind, at, end, None, head.get("warc-type"), _number(head.get("x-page-id")), head.get("warc-target-uri"),
                                      _number(head.get("x-refers-to-page-id")), digest, length, body if with_payload and not revisit else None))
                         size += len(body) if with_payload else 200
@@ -307,15 +426,48 @@ def _read(folder: str, with_payload: bool):
 
 def read_archives(files: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
     """Rows of kind ``record`` and ``gap`` of every archive named in ``files.file``, one task each."""
-    return files.select("file").repartition(max(1, files.count()), F.col("file")).mapInArrow(_read(folder, with_payload), READ_SCHEMA)
+    return files.select("file").repartitionByRange(max(1, files.count()), "file").mapInArrow(_read(folder, with_payload), READ_SCHEMA)
+
+
+def _gap_bytes(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, top = place(folder)
+        for b in batches:
+            for row in b.to_pylist():
+                with fs.open_input_file(f"{top}/{row['file']}") as f:
+                    for at in range(row["offset"], row["end"], PIECE):
+                        data = f.read_at(min(PIECE, row["end"] - at), at)
+                        yield pa.RecordBatch.from_arrays([pa.array([row["file"]]), pa.array([at], pa.int64()), pa.array([len(data)], pa.int64()),
+                                                          pa.array([row["reason"]], pa.string()), pa.array([data], pa.binary())],
+                                                         names=["file", "offset", "length", "reason", "bytes"])
+    return run
+
+
+def quarantine(rows: DataFrame, folder: str) -> DataFrame:
+    """Written table of the gaps among ``rows`` of ``read_archives``: ``file``, ``offset``, ``length``, ``reason``, ``bytes``;
+    a gap of over ``PIECE`` bytes has several rows."""
+    gaps = rows.filter("kind = 'gap'").select("file", "offset", "end", "reason")
+    return written(gaps.mapInArrow(_gap_bytes(folder), "file string, offset long, length long, reason string, bytes binary"), "warc-quarantine")
+
+
+def read_checked(files: DataFrame, folder: str, with_payload: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written records, the quarantine table, and of each archive of the manifest with missing records ``file``, ``records``, ``found``."""
+    rows = written(read_archives(files, folder, with_payload), "warc-rows")
+    records = rows.filter("kind = 'record'")
+    per = records.groupBy(F.col("file").alias("_file")).agg(F.count(F.lit(1)).alias("found"))
+    missing = files.join(per, files["file"] == F.col("_file"), "left").select("file", "records", F.coalesce("found", F.lit(0)).alias("found")).filter("found <> records")
+    return records, quarantine(rows, folder), missing
 
 
 def op10_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All ``pages`` written as archives and read back: payload size, digest and record type of each."""
+    """All ``pages`` written as archives and read back: payload size, digest and record type of each. Records that
+    the manifest counts and the reader did not find are an error."""
     folder = scratch(spark, "warc")
     files = write_archives(table(spark, sf_dir, "pages"), folder)
-    return (read_archives(files, folder, with_payload=False).filter("kind = 'record'")
-            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    records, gaps, missing = read_checked(files, folder)
+    if not missing.isEmpty():
+        raise RuntimeError(f"records lost in {folder}, their bytes are in {gaps.inputFiles()[:1]}")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 # Digests, sizes and groups are functions of the table, so plain SQL can give them.
