@@ -62,11 +62,13 @@ class SuffixAutomaton:
                     else:
                         below.append((self._extend(state, c), child))
             level = below
-        self.named = [named.get(v, -1) for v in range(len(self.next))]
-        self.up = [0] * len(self.next)  # the longest proper suffix that is a string of the set
+        # of each state the longest proper suffix that is a string of the set, and the chain of all that end with its longest string
+        self.up: list[int] = [0] * len(self.next)
+        self.ends: list[tuple | None] = [None] * len(self.next)
         for v in sorted(range(1, len(self.next)), key=self.size.__getitem__):
             u = self.link[v]
-            self.up[v] = u if self.named[u] >= 0 else self.up[u]
+            self.up[v] = u if u in named else self.up[u]
+            self.ends[v] = (self.size[v], named[v], self.ends[u]) if v in named else self.ends[u]
 
     def _state(self, size: int, link: int, moves: dict[str, int]) -> int:
         self.next.append(moves)
@@ -93,22 +95,28 @@ class SuffixAutomaton:
             link[new] = q
         return new
 
-    def matches(self, s: str) -> Iterator[list[tuple[int, int]]]:
-        """For each place of ``s``, length and number of the set's strings that end there, longest first."""
-        moves, size, link, named, up = self.next, self.size, self.link, self.named, self.up
+    def places(self, s: str) -> Iterator[tuple | None]:
+        """For each place of ``s`` the strings of the set that end there, longest first, as a chain of (length, number, rest)."""
+        moves, size, link, ends, up = self.next, self.size, self.link, self.ends, self.up
         v = n = 0
         for c in s:
-            while v and c not in moves[v]:
+            move = moves[v].get(c)
+            while move is None and v:
                 v = link[v]
                 n = size[v]
-            if c in moves[v]:
-                v, n = moves[v][c], n + 1
-            u = v if n == size[v] and named[v] >= 0 else up[v]
-            found = []
-            while u:
-                found.append((size[u], named[u]))
-                u = up[u]
-            yield found
+                move = moves[v].get(c)
+            if move is not None:
+                v, n = move, n + 1
+            yield ends[v] if n == size[v] else ends[up[v]]
+
+    def matches(self, s: str) -> Iterator[list[tuple[int, int]]]:
+        """The same as lists of (length, number)."""
+        for found in self.places(s):
+            out = []
+            while found:
+                n, i, found = found
+                out.append((n, i))
+            yield out
 
 
 class Bpe:
@@ -207,20 +215,21 @@ class Bpe:
         s = word
         if self.suffix:
             s = s[:-1] + chr(END + ord(s[-1]))
-        last = [(0, -1)] * (len(s) + 1)
-        compatible = self.compatible
-        for at, hits in enumerate(self.automaton.matches(s), 1):
-            for size, i in hits:
-                if size == at or (last[at - size][1] >= 0 and compatible(last[at - size][1], i)):
-                    last[at] = (size, i)
+        size, token = [0] * (len(s) + 1), [-1] * (len(s) + 1)  # last token of each prefix
+        apart, compatible = self.apart, self.compatible
+        for at, found in enumerate(self.automaton.places(s), 1):
+            while found:
+                n, i, found = found
+                before = token[at - n]
+                if n == at or (before >= 0 and (apart[key] if (key := before << 20 | i) in apart else compatible(before, i))):
+                    size[at], token[at] = n, i
                     break
         out, at = [], len(s)
         while at:
-            size, i = last[at]
-            if not size:
+            if not size[at]:
                 raise ValueError(f"no encoding of {word!r}")
-            out.append(i)
-            at -= size
+            out.append(token[at])
+            at -= size[at]
         return out[::-1]
 
     def pieces(self, text: str) -> Iterator[tuple[bytes, str]]:
@@ -247,7 +256,7 @@ class Bpe:
 
     def _words(self, part: str) -> list[str]:
         """The part's words, as a character per byte."""
-        if part.isascii() and not any(c.isspace() for c in part):
+        if part.isascii() and part.split() == [part]:
             return self.words.findall(part.lower() if self.lower else part)
         if self.normalizer is not None:
             part = self.normalizer.normalize_str(part)
