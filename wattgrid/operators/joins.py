@@ -52,6 +52,52 @@ def key_alignment(df: DataFrame, keys: list[str], left, right) -> DataFrame:
         .withColumn("aligned", (F.col("only_left") == 0) & (F.col("only_right") == 0))
 
 
+def _hour_bits(df: DataFrame, keys: list[str], timestamp_col: str, name: str) -> DataFrame:
+    """One row per key and day: the hours that have a row, as the low 24 bits of a number."""
+    h = tc.hour_number(timestamp_col)
+    bit = F.call_function("shiftleft", F.lit(1), F.pmod(h, F.lit(24)).cast("int")).cast("bigint")
+    day = ((h - F.pmod(h, F.lit(24))) / 24).cast("bigint")
+    return df.filter(F.col(timestamp_col).isNotNull()).groupBy(*keys, day.alias("_day")).agg(F.bit_or(bit).alias(name))
+
+
+def key_shift(left: DataFrame, right: DataFrame, keys: list[str], timestamp_col: str = "timestamp", period: str = "month",
+              max_shift: int = 24) -> DataFrame:
+    """Q-merge-diag: by how many hours the right side's stamps run ahead of the left's, per series and period.
+
+    Each day's hours become a 24-bit number; for every shift within ``max_shift`` (at most 24) the
+    left day's bits are compared with those hours of the right side, and the differing ones
+    are summed per period. The shift with the fewest differences wins, ties going to the smaller
+    one, then to the later side. Output: keys, ``period_start``, ``shift_hours``, ``agreement`` (share of the compared
+    hours that are alike at that shift), ``agreement_unshifted`` and ``hours_left``.
+
+    One row per key and day reaches the comparison, whatever the number of rows; each right day is given
+    to the three days it can overlap, in one grouped pass without a join. Days without left rows are not compared.
+    Duplicates count once; rows without a stamp are left out; NULL keys are a series of their own.
+    """
+    if not 0 <= max_shift <= 24:
+        raise ValueError("max_shift must be from 0 to 24 hours")
+    lb = _hour_bits(left, keys, timestamp_col, "_l").select(*keys, "_day", "_l", F.lit(None).cast("int").alias("_at"), F.lit(None).cast("bigint").alias("_r"))
+    rb = _hour_bits(right, keys, timestamp_col, "_r").withColumn("_at", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+    rb = rb.select(*keys, (F.col("_day") - F.col("_at")).alias("_day"), F.lit(None).cast("bigint").alias("_l"), "_at", "_r")
+    # bits of the day before, the day and the day after, in one 72-hour strip: two numbers, as a long has 63
+    days = lb.unionByName(rb).groupBy(*keys, "_day").agg(
+        F.max("_l").alias("_l"), *[F.coalesce(F.max(F.when(F.col("_at") == i, F.col("_r"))), F.lit(0).cast("bigint")).alias(n) for i, n in ((-1, "_b"), (0, "_c"), (1, "_a"))])
+    days = days.filter("_l IS NOT NULL")
+    shifts = F.explode(F.sequence(F.lit(-max_shift), F.lit(max_shift))).alias("shift_hours")
+    # hour h + shift of the right side at place h: from the strip of two days that the shift reaches
+    strip = F.expr("CASE WHEN shift_hours < 0 THEN _b + shiftleft(_c, 24) ELSE _c + shiftleft(_a, 24) END")
+    moved = F.expr("shiftright(_s, CASE WHEN shift_hours < 0 THEN 24 + shift_hours ELSE shift_hours END) & 16777215")
+    votes = days.select("*", shifts).withColumn("_s", strip).withColumn("_off", F.bit_count(F.expr("_l").bitwiseXOR(moved)))
+    start = F.to_date(F.date_trunc(period, F.date_add(F.lit("1970-01-01").cast("date"), F.col("_day").cast("int")))).cast("timestamp_ntz")
+    sums = votes.groupBy(*keys, start.alias("period_start"), "shift_hours").agg(
+        F.sum("_off").alias("_off"), F.sum(F.lit(24)).alias("_n"), F.sum(F.bit_count("_l")).alias("hours_left"))
+    best = F.min(F.struct("_off", F.abs("shift_hours").alias("_abs"), (-F.col("shift_hours")).alias("_neg")))
+    out = sums.groupBy(*keys, "period_start").agg(best.alias("_best"), F.max(F.when(F.col("shift_hours") == 0, F.col("_off"))).alias("_zero"),
+                                                  F.max("_n").alias("_n"), F.max("hours_left").alias("hours_left"))
+    return out.select(*keys, "period_start", (-F.col("_best._neg")).alias("shift_hours"), (1 - F.col("_best._off") / F.col("_n")).alias("agreement"),
+                      (1 - F.col("_zero") / F.col("_n")).alias("agreement_unshifted"), "hours_left")
+
+
 def key_overlap(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     """Size of the distinct-key intersection of two columns."""
     return a.select(col).intersect(b.select(col)).agg(F.count(F.lit(1)).alias("overlap"))

@@ -124,6 +124,45 @@ def hour_labels_to_timestamp(df: DataFrame, date_col: str, hour_index_col: str,
     return df.withColumn(timestamp_col, tc.add_hours(midnight, F.col(hour_index_col)))
 
 
+STAMP_STATUS = ["ok", "first", "second", "single", "surplus", "nonexistent", "unparsed"]
+
+
+def resolve_local_stamps(df: DataFrame, key_cols: list[str], order_col: str, stamp_col: str, market_tz: str = "Europe/Madrid",
+                         timestamp_col: str = "timestamp", status_col: str = "stamp_status") -> DataFrame:
+    """Plain market-local text stamps to UTC, the repeated autumn hour told apart by row order.
+
+    In the hour that the clock passes twice a series' rows, in order, form runs of rising stamps: the first
+    run is summer time, the second winter time. The status of each row: ``ok``; ``first`` and ``second``; ``single`` (only one
+    run was delivered: summer time is assumed); ``surplus`` (a third or later run, or a repeat of the row order: winter time);
+    ``nonexistent`` (the hour that spring skips) and ``unparsed`` have a NULL timestamp.
+
+    Only rows of repeated hours enter the windows, which run per series and local day; all others are
+    single expressions. NULL keys are a series of their own; rows without an order come first.
+    """
+    local = F.col("_local")
+    hour = F.expr("INTERVAL 1 HOUR")
+
+    def back(utc):
+        return F.convert_timezone(F.lit("UTC"), F.lit(market_tz), utc)
+    b = df.withColumn("_local", tc.parse_timestamp(stamp_col)).withColumn("_utc", tc.local_to_utc(local, market_tz))
+    kind = (F.when(local.isNull(), "unparsed").when(back(F.col("_utc")) != local, "nonexistent")
+            .when((back(F.col("_utc") + hour) == local) | (back(F.col("_utc") - hour) == local), "twice").otherwise("ok"))
+    b = b.withColumn("_kind", kind)
+    plain = b.filter("_kind <> 'twice'").withColumns({
+        timestamp_col: F.when(F.col("_kind") == "ok", F.col("_utc")), status_col: F.col("_kind")})
+    day = [*key_cols, F.to_date("_local")]
+    rows = Window.partitionBy(*day).orderBy(F.col(order_col).asc_nulls_first(), "_local")
+    twice = b.filter("_kind = 'twice'").withColumn("_falls", (local <= F.lag("_local").over(rows)).cast("int"))
+    twice = twice.withColumn("_run", F.sum(F.coalesce("_falls", F.lit(0))).over(rows.rowsBetween(Window.unboundedPreceding, 0)))
+    twice = twice.withColumn("_runs", F.max("_run").over(Window.partitionBy(*day)))
+    # the earlier of the two instants, whichever one the conversion gives
+    summer = F.when(back(F.col("_utc") - hour) == local, F.col("_utc") - hour).otherwise(F.col("_utc"))
+    status = (F.when(F.col("_runs") == 0, "single").when(F.col("_run") == 0, "first").when(F.col("_run") == 1, "second").otherwise("surplus"))
+    twice = twice.withColumns({timestamp_col: F.when(F.col("_run") == 0, summer).otherwise(summer + hour), status_col: status})
+    keep = [*df.columns, timestamp_col, status_col]
+    return plain.select(*keep).unionByName(twice.select(*keep))
+
+
 def resample(df: DataFrame, key_cols: list[str], timestamp_col: str, value_col: str,
              unit: str = "month", aggs: tuple[str, ...] = ("mean",), extra: dict | None = None) -> DataFrame:
     """Calendar resample with empty periods kept (NULL aggregates).

@@ -5,7 +5,7 @@ columns to 6 digits and casts integers to BIGINT, as ``registry.finish`` does.
 """
 from __future__ import annotations
 
-from .standins import (DELAY_HOURS, TECHNOLOGIES, CITY_TO_SERIES, CITY_WEIGHTS, CONCEPTS, FILE_A_LAST_DAY, FILE_B_FIRST_DAY, FLOW_PAIRS, PAIR,
+from .standins import (AUTUMN_DAYS, DELAY_HOURS, SHIFT_FROM, SPRING_DAYS, TECHNOLOGIES, CITY_TO_SERIES, CITY_WEIGHTS, CONCEPTS, FILE_A_LAST_DAY, FILE_B_FIRST_DAY, FLOW_PAIRS, PAIR,
                        POLICY, SERIES_TO_CONCEPT)
 
 A, B = PAIR
@@ -610,3 +610,29 @@ SQL["named_sql"] = with_hourly(f"""SELECT country, count(*) AS hours, {r('avg(pr
 WHERE "timestamp" >= TIMESTAMP '{POLICY[0]} 00:00:00' AND "timestamp" < TIMESTAMP '{POLICY[1]} 00:00:00' AND country <> '{B}' GROUP BY 1""")
 SQL["csv_report"] = with_hourly(f"""SELECT country, hour("timestamp") AS hour, {r('avg(price_eur_mwh)', 'mean')}, count(price_eur_mwh) AS n FROM hourly GROUP BY 1, 2""")
 SQL["normalise_long"] = with_hourly(f"""SELECT "timestamp", country, {r('price_eur_mwh', 'price_eur_mwh')}, CAST(NULL AS DOUBLE) AS energy_mwh FROM hourly""")
+
+SQL["local_stamps"] = with_hourly(f"""SELECT country, feed, line, stamp,
+  CASE WHEN feed <> 'naive' THEN CASE WHEN status = 'single' THEN summer ELSE u END WHEN status <> 'nonexistent' THEN summer END AS "timestamp", status AS stamp_status
+FROM (SELECT *, timezone('UTC', timezone('Europe/Madrid', w)) AS conv,
+    CASE WHEN w >= TIMESTAMP '2024-10-27 02:00:00' AND w < TIMESTAMP '2024-10-27 03:00:00' THEN TIMESTAMP '2024-10-27 00:00:00' + (w - TIMESTAMP '2024-10-27 02:00:00')
+         ELSE timezone('UTC', timezone('Europe/Madrid', w)) END AS summer,
+    CASE WHEN w >= TIMESTAMP '2024-03-31 02:00:00' AND w < TIMESTAMP '2024-03-31 03:00:00' THEN 'nonexistent'
+         WHEN w >= TIMESTAMP '2024-10-27 02:00:00' AND w < TIMESTAMP '2024-10-27 03:00:00' THEN
+           CASE WHEN count(*) OVER (PARTITION BY country, feed, w) = 1 THEN 'single' WHEN u < TIMESTAMP '2024-10-27 01:00:00' THEN 'first' ELSE 'second' END
+         ELSE 'ok' END AS status
+  FROM (SELECT country, feed, u, line, strftime(w, '%Y-%m-%d %H:%M') AS stamp, w FROM (
+    SELECT country, feed, CAST(epoch("timestamp") AS BIGINT) // 3600 AS line, "timestamp" + INTERVAL 1 DAY * days AS u,
+      CASE WHEN feed = 'naive' THEN "timestamp" + INTERVAL 1 DAY * days
+           ELSE timezone('Europe/Madrid', timezone('UTC', "timestamp" + INTERVAL 1 DAY * days)) END AS w
+    FROM hourly, (VALUES ('autumn', {AUTUMN_DAYS}), ('spring', {SPRING_DAYS}), ('naive', {SPRING_DAYS})) f(feed, days) WHERE price_eur_mwh IS NOT NULL) a) b) c""")
+SQL["key_shift"] = with_hourly(f"""SELECT country, period_start, shift_hours, {r('1 - off / n', 'agreement')}, {r('1 - zero / n', 'agreement_unshifted')}, hours_left FROM (
+  SELECT *, max(off) FILTER (WHERE shift_hours = 0) OVER (PARTITION BY country, period_start) AS zero,
+    row_number() OVER (PARTITION BY country, period_start ORDER BY off, abs(shift_hours), shift_hours DESC) AS k FROM (
+    SELECT d.country, CAST(date_trunc('week', d.d) AS TIMESTAMP) AS period_start, s.shift_hours, CAST(count(*) AS DOUBLE) AS n, count(l.t) AS hours_left,
+      CAST(count(*) FILTER (WHERE (l.t IS NULL) <> (x.t IS NULL)) AS DOUBLE) AS off
+    FROM (SELECT DISTINCT country, date_trunc('day', t) AS d FROM lk) d CROSS JOIN range(24) h(h) CROSS JOIN range(-24, 25) s(shift_hours)
+    LEFT JOIN lk l ON l.country = d.country AND l.t = d.d + INTERVAL 1 HOUR * h.h
+    LEFT JOIN rk x ON x.country = d.country AND x.t = d.d + INTERVAL 1 HOUR * (h.h + s.shift_hours)
+    GROUP BY 1, 2, 3) v) w WHERE k = 1""",
+    'lk AS (SELECT country, "timestamp" AS t FROM hourly WHERE price_eur_mwh > 50)',
+    f"""rk AS (SELECT DISTINCT country, t + INTERVAL 1 HOUR * CASE WHEN t >= TIMESTAMP '{SHIFT_FROM} 00:00:00' THEN 1 ELSE 0 END AS t FROM lk)""")

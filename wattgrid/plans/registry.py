@@ -235,6 +235,19 @@ def q_coverage_islands(spark, sf):
     return each.unionByName(joint)
 
 
+@query("local_stamps")
+def q_local_stamps(spark, sf):
+    """Plain local stamps over both clock changes to UTC, with a status per row."""
+    return tx.resolve_local_stamps(SI.local_stamps(spark, sf), [KEY, "feed"], "line", "stamp")
+
+
+@query("key_shift")
+def q_key_shift(spark, sf):
+    """Q-merge-diag: the shift in hours between two key sets, per series and week."""
+    left, right = SI.shifted_keys(spark, sf)
+    return J.key_shift(left, right, [KEY], period="week")
+
+
 @query("market_clearing")
 def q_market_clearing(spark, sf):
     """Q-curve: clearing price and quantity per day, where the two step curves meet."""

@@ -166,6 +166,28 @@ def land_wide_files(spark: SparkSession, sf_dir: str, base: str) -> list[str]:
     return paths
 
 
+AUTUMN_DAYS, SPRING_DAYS = 290, 70  # moves January's series over the clock changes of the same year
+SHIFT_FROM = "2024-01-15"
+
+
+def local_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(country, feed, line, stamp): the hourly series as market files give it, plain local text in the order
+    of delivery. ``autumn`` and ``spring`` are true local time over a clock change; ``naive`` writes every wall hour of the spring days."""
+    h = hourly_prices(spark, sf_dir).filter(F.col("price_eur_mwh").isNotNull())
+    feeds = F.explode(F.array(*[F.struct(F.lit(n).alias("feed"), F.lit(d).alias("days"), F.lit(z).alias("zoned"))
+                                for n, d, z in (("autumn", AUTUMN_DAYS, True), ("spring", SPRING_DAYS, True), ("naive", SPRING_DAYS, False))])).alias("f")
+    h = h.select("country", "timestamp", feeds).withColumn("_utc", F.timestamp_add("DAY", F.col("f.days"), F.col("timestamp")))
+    wall = F.when(F.col("f.zoned"), F.convert_timezone(F.lit("UTC"), F.lit("Europe/Madrid"), F.col("_utc"))).otherwise(F.col("_utc"))
+    return h.select("country", F.col("f.feed").alias("feed"), tc.hour_number("timestamp").alias("line"), F.date_format(wall, "yyyy-MM-dd HH:mm").alias("stamp"))
+
+
+def shifted_keys(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two key sets: hours priced above 50, and the same with stamps an hour late from ``SHIFT_FROM`` on."""
+    h = hourly_prices(spark, sf_dir).filter(F.col("price_eur_mwh") > 50).select("country", "timestamp")
+    late = F.when(F.col("timestamp") >= tc.ntz(SHIFT_FROM), 1).otherwise(0)
+    return h, h.select("country", tc.add_hours("timestamp", late).alias("timestamp"))
+
+
 def bids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bid-curve stand-in in the ``bid_curves`` shape (one row per line item)."""
     li = table(spark, sf_dir, "lineitem")
