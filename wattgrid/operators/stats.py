@@ -88,7 +88,11 @@ def quantiles(df: DataFrame, group_cols: list, value_col: str, probs: list[float
         q = F.percentile_approx(_c(value_col), F.array(*[F.lit(float(p)) for p in probs]), accuracy)
         out = d.groupBy(*group_cols).agg(q.alias("_q"))
         return out.select(*group_cols, *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(names)])
-    ranks = S.value_ranks(d, list(group_cols), value_col)
+    return rank_lookup(S.value_ranks(d, list(group_cols), value_col), group_cols, probs, names)
+
+
+def rank_lookup(ranks: DataFrame, group_cols: list, probs: list[float], names: list[str]) -> DataFrame:
+    """Interpolated quantiles from ranked values (``_v``, ``rank_first``, ``n_total``), in one aggregate."""
     first, v, aggs = F.col("rank_first"), F.col("_v").cast("double"), []
     for i, p in enumerate(probs):
         at = F.lit(float(p)) * (F.col("n_total") - 1)

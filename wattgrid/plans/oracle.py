@@ -636,3 +636,6 @@ SQL["key_shift"] = with_hourly(f"""SELECT country, period_start, shift_hours, {r
     GROUP BY 1, 2, 3) v) w WHERE k = 1""",
     'lk AS (SELECT country, "timestamp" AS t FROM hourly WHERE price_eur_mwh > 50)',
     f"""rk AS (SELECT DISTINCT country, t + INTERVAL 1 HOUR * CASE WHEN t >= TIMESTAMP '{SHIFT_FROM} 00:00:00' THEN 1 ELSE 0 END AS t FROM lk)""")
+SQL["quantile_state"] = with_hourly(" UNION ALL ".join(f"""SELECT country, count(price_eur_mwh) AS n, {r('quantile_cont(price_eur_mwh, 0.25)', 'q25')}, {r('median(price_eur_mwh)', 'median')},
+  {r('quantile_cont(price_eur_mwh, 0.75)', 'q75')}, {r('quantile_cont(price_eur_mwh, 0.9)', 'p90')}, '{name}' AS span FROM hourly WHERE price_eur_mwh IS NOT NULL{where} GROUP BY 1"""
+  for name, where in (("all", ""), ("policy", f""" AND "timestamp" >= TIMESTAMP '{POLICY[0]} 00:00:00' AND "timestamp" < TIMESTAMP '{POLICY[1]} 00:00:00'"""))))

@@ -74,6 +74,21 @@ def q_panel_incremental(spark, sf):
     return stored.read()
 
 
+@query("quantile_state")
+def q_quantile_state(spark, sf):
+    """Quartiles per series of the whole time and of the policy window, from value counts stored in three arrivals."""
+    import uuid
+    from ..session import checkpoint_dir
+    from .quantile_state import QuantileState
+    state = QuantileState(spark, f"{checkpoint_dir(spark).rstrip('/')}/wattgrid-quantiles-{uuid.uuid4().hex}", [KEY], TS, PRICE)
+    hourly = SI.hourly_prices(spark, sf)
+    for part in (2, 0, 1):
+        state.add(hourly.filter(F.dayofmonth(TS) % 3 == part), f"arrival-{part}")
+    named = {"q25": 0.25, "median": 0.5, "q75": 0.75, "p90": 0.9}
+    spans = [state.quantiles(named, *span).withColumn("span", F.lit(name)) for name, span in (("all", (None, None)), ("policy", SI.POLICY))]
+    return spans[0].unionByName(spans[1])
+
+
 @query("panel_range")
 def q_panel_range(spark, sf):
     """The panel written once (by year, sorted by series and time) and read back by a pushed half-open range."""
