@@ -11,10 +11,57 @@ def test_bounds_hold():
     v, q = rng.standard_normal((2000, 64)), rng.standard_normal((50, 64))
     centre = R.unit(v).mean(0)
     turn = R.rotation(64)
-    assert np.allclose(turn @ turn.T, np.eye(64))
-    est, width = R.bounds(*R.encode(v, centre, turn), q, centre, turn)
+    assert turn.shape == (512, 64) and np.allclose(turn.T @ turn, np.eye(64))
+    codes = R.Codes(*R.encode(v, centre, turn))
+    got = [codes.bounds(R.Query(x, centre, turn)) for x in q]
+    est, width = np.array([g[0] for g in got]), np.array([g[1] for g in got])
     true = R.unit(q) @ R.unit(v).T
     assert (np.abs(est - true) <= width).mean() > 0.995 and abs((est - true).mean()) < 0.005
+    assert width.max() < 0.15
+
+
+def test_bit_counts_give_the_product_of_the_rounded_query():
+    rng = np.random.default_rng(3)
+    v, q = rng.standard_normal((300, 70)), rng.standard_normal(70)
+    centre, turn = R.unit(v).mean(0), R.rotation(70, bits=64)
+    assert len(turn) == 128
+    code, far, own, agree = R.encode(v, centre, turn)
+    one = R.Query(q, centre, turn)
+    level = sum(np.unpackbits(p.view(np.uint8).ravel()).astype(int) << j for j, p in enumerate(one.planes))
+    rounded = one.low + one.step * level
+    d = R.unit(q[None, :])[0] - centre
+    assert np.abs(rounded - turn @ d).max() <= one.step / 2 + 1e-12
+    signs = (np.unpackbits(code, axis=1).astype(float) * 2 - 1) / np.sqrt(128)
+    want = signs @ rounded * far / agree + d @ centre + own
+    assert np.allclose(R.Codes(code, far, own, agree).bounds(one)[0], want)
+
+
+def test_few_vectors_are_compared_exactly(spark):
+    """Whole table of SF 0.1: recall against brute force, and the share of exact comparisons."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    index = R.build_index(rows)
+    queries = index[0].filter("_id % 50 = 0")
+    found = R.candidates(index, queries, 5).toPandas()
+    all_rows = index[0].select("_id", "_v").toPandas().sort_values("_id")
+    ids, v = all_rows["_id"].to_numpy(), R.unit(np.array(all_rows["_v"].tolist()))
+    hits = n = 0
+    for q, g in found.groupby("query_id"):
+        sims = v @ v[ids == q][0]
+        sims[ids == q] = -2
+        want = set(ids[np.lexsort((ids, -sims))[:5]])
+        hits += len(want & set(g.sort_values(["score", "vec_id"], ascending=[False, True])["vec_id"][:5]))
+        n += 5
+    share = found["reranked"].sum() / (len(ids) * (n / 5))
+    print(f"recall {hits / n:.4f}, exact comparisons {share:.4f}")
+    assert hits >= 0.99 * n and share < 0.1
+
+
+def test_huge_and_tiny_components(spark):
+    rows = [(0, [1e200, 0.0, 1e200]), (1, [2e-200, 0.0, 2e-200]), (2, [1.0, 0.0, 1.0]), (3, [0.0, 1.0, 0.0]), (4, [5e-324, 0.0, 5e-324])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = R.build_index(df)
+    got = [(r["vec_id"], round(r["score"], 9)) for r in R.search(index, index[0].filter("_id = 0"), 4).orderBy("rank").collect()]
+    assert got == [(1, 1.0), (2, 1.0), (4, 1.0), (3, 0.0)]
 
 
 def brute(rows, every, k):
