@@ -3,6 +3,7 @@ import collections
 import itertools
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -123,41 +124,60 @@ def test_held_out_recall_by_language(spark):
 TEXTS = ["abab", "abba c", None, "", "cafe É", "É", "zzz", "a" * 300, "abab"]
 
 
-@pytest.mark.parametrize("rows", [10**6, 0])
-def test_cross_entropy_equals_brute_force(spark, rows):
+@pytest.mark.parametrize("order,size", [(5, 1 << 24), (2, 100), (7, 1)])
+def test_cross_entropy_equals_brute_force(spark, monkeypatch, order, size):
+    """Also where every text is a slice of its own, and texts are handled in pieces."""
     docs = list(enumerate(TEXTS)) + [(None, "abx")]
     good = {0, 1, 4}
     d = spark.createDataFrame([(*r, "clash", "clash") for r in docs], "doc_id long, text string, gram string, _row string")
     ids = spark.createDataFrame([(i,) for i in [*good, 0, 99]] + [(None,)], "doc_id long")
-    got = C.cross_entropy_difference(d, ids, table_rows=rows).collect()
-    counts = collections.Counter(c for i, t in docs if i in good for c in t)
-    known = {c for c, n in counts.items() if n >= 2}
+    got = C.cross_entropy_difference(d, ids, order=order, slice_bytes=size).collect()
 
     def symbols(t):
-        return ["<"] * 3 + [c if c in known else "?" for c in t or ""] + [">"]
+        return ["<"] * (order - 1) + list((t or "").encode()) + [">"]
 
     def model(texts):
-        grams = [collections.Counter(tuple(s[i - k + 1:i + 1]) for t in texts for s in [symbols(t)] for i in range(3, len(s))) for k in range(1, 5)]
+        counts = [collections.Counter(tuple(s[i - k + 1:i + 1]) for t in texts for s in [symbols(t)] for i in range(order - 1, len(s))) for k in range(1, order + 1)]
 
         def p(g):
-            q = 1 / (len(known) + 2)
-            for k in range(1, 5):
-                h = g[4 - k:-1]
-                after = [n for x, n in grams[k - 1].items() if x[:-1] == h]
+            q = 1 / 257
+            for k in range(1, order + 1):
+                h = g[order - k:-1]
+                after = [n for x, n in counts[k - 1].items() if x[:-1] == h]
                 if after:
-                    q = (grams[k - 1][g[4 - k:]] + len(after) * q) / (sum(after) + len(after))
+                    q = (counts[k - 1][g[order - k:]] + len(after) * q) / (sum(after) + len(after))
             return q
         return p
     back, target = model([t for _, t in docs]), model([t for i, t in docs if i in good])
 
     def score(t):
         s = symbols(t)
-        g = [tuple(s[i - 3:i + 1]) for i in range(3, len(s))]
-        return len(g), sum(math.log(back(x)) - math.log(target(x)) for x in g) / len(g)
+        g = [tuple(s[i - order + 1:i + 1]) for i in range(order - 1, len(s))]
+        return len(g), sum(-math.log(target(x)) for x in g) / len(g), sum(-math.log(back(x)) for x in g) / len(g)
     want = sorted(((i, *score(t)) for i, t in docs), key=str)
-    have = sorted(((r["_id"], r["n_tokens"], r["score"]) for r in got), key=str)
+    have = sorted(((r["_id"], r["n_tokens"], r["loss_target"], r["loss_background"]) for r in got), key=str)
     assert [h[:2] for h in have] == [w[:2] for w in want]
-    assert np.allclose([h[2] for h in have], [w[2] for w in want])
+    assert np.allclose([h[2:] for h in have], [w[2:] for w in want], rtol=1e-6)
+
+
+def test_grams_in_pieces(monkeypatch):
+    text = "größe und Ähre 𝄞".encode() * 5
+    whole = np.concatenate(list(C.grams(text, 5)))
+    monkeypatch.setattr(C, "PIECE", 7)
+    pieces = list(C.grams(text, 5))
+    assert len(pieces) > 10 and (np.concatenate(pieces) == whole).all() and len(whole) == len(text) + 1
+    assert [len(x) for x in C.grams(b"", 5)] == [1] and [len(x) for x in C.grams(b"a" * 7, 5)] == [7, 1]
+
+
+def test_quality_of_held_out_labels(spark):
+    """The registered query tells good documents from others in the fold of labels held out."""
+    sf = "/root/testdata/sf0.01"
+    r = C.op9_cross_entropy(spark, sf).toPandas()
+    assert len(r) == spark.read.parquet(f"{sf}/documents.parquet").count() and set(r.columns) == {"doc_id", "n_tokens", "loss_target", "loss_background", "score"}
+    x = r.merge(spark.read.parquet(f"{sf}/labels.parquet").toPandas(), on="doc_id")
+    x = x[[zlib.crc32(str(i).encode()) % 5 == 0 for i in x.doc_id]]
+    p, n = -x.score[x.quality == 1].to_numpy(), np.sort(-x.score[x.quality == 0].to_numpy())
+    assert (np.searchsorted(n, p, "left") + np.searchsorted(n, p, "right")).mean() / 2 / len(n) >= 0.95
 
 
 def test_cross_entropy_without_target_or_rows(spark):
@@ -167,6 +187,10 @@ def test_cross_entropy_without_target_or_rows(spark):
     assert C.cross_entropy_difference(d.limit(0), none).count() == 0
 
 
-def test_wide_vocabulary_lowers_the_order():
-    v = C.Vocabulary(list(range(70_000)), 4)
-    assert v.order == 3 and v.bits * v.order <= 63
+def test_order_is_the_callers_in_any_script(spark):
+    """A corpus of more characters than any alphabet has keeps its order; one that no key holds is refused."""
+    d = spark.createDataFrame([(i, "".join(chr(0x3400 + (i * 700 + j) % 90_000) for j in range(700))) for i in range(100)], "doc_id long, text string")
+    got = C.cross_entropy_difference(d, d.select("doc_id").limit(50))
+    assert got.count() == 100 and got.filter("n_tokens > 2000").count() == 100
+    with pytest.raises(ValueError):
+        C.cross_entropy_difference(d, d.select("doc_id"), order=8)

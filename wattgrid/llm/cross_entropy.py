@@ -1,15 +1,16 @@
 """Cross-entropy difference scores from matched n-gram models.
 
-Two character n-gram models, one of the target documents and one of all documents, have the
-same order, the same smoothing (interpolated Witten-Bell) and one vocabulary: the characters seen
-``min_count`` times or more in the target; any other is one unknown symbol. A document's
-score is the mean over its tokens (characters and an end mark) of the target model's loss
-minus the background model's, in nats: below zero, it is more like the target.
-
-Counts cover all documents. Tasks pass on sums, never texts; the models are tables of
-n-grams. Scoring looks n-grams up in the model table, which each worker reads when the
-table has at most ``TABLE_ROWS`` rows; a larger one is joined, with each document's
-n-grams counted first. Both ways give the same sums.
+Two n-gram models over the bytes of UTF-8, one of the target documents and one of all documents, have
+the same order, the same smoothing (interpolated Witten-Bell) and one vocabulary: the 256 bytes
+and an end mark. A document's score is the mean over its tokens (bytes and the end mark) of the
+target model's loss minus the background model's, in nats: below zero, it is more like the target.
+The order is the parameter's at any size and in any script; up to ``63 // BITS`` tokens fit a key.
+
+Counts cover all documents, and the table of n-grams grows with them; it is never held whole
+anywhere. Documents are cut into slices of about ``SLICE`` bytes. A slice asks for each
+n-gram it holds once, the questions are joined with the model, and the answers are
+written by slices, so a task that scores reads its own slices' answers only. Which documents are target is
+known from a join of ids alone. Texts are written once and never shuffled.
 
 Defined results: NULL and empty texts are an end mark alone; NULL labels name no target;
 repeats count as often as they occur; without target documents the target model
@@ -21,112 +22,184 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held, scratch, table, text_rows, written
+from .common import scratch, table, written
 from .token_records import place
-
-ORDER = 4
-MIN_COUNT = 2
-TABLE_ROWS = 4_000_000  # 32 bytes a row in a worker
+from .words import byte_rows
+
+ORDER = 5
+BITS = 9  # of a token in a key
+START, END, BYTE = 0, 1, 2  # tokens; a byte is its value plus BYTE
+CHOICES = 257  # tokens that can come next: every byte and the end
+SLICE = 1 << 24  # bytes of text, and ROW for every row
+ROW = 64
+PER_FOLDER = 3  # bits: slices of a task share a folder of answers eight at a time
+PIECE = 1 << 21  # tokens handled at a time
 HELD_KEYS = 1_000_000  # n-grams a task holds before it passes sums on
-START, END, UNKNOWN = 0, 1, 2  # symbols besides the vocabulary's
-
-
-def points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-
 
-def _char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow function: how often each character occurs in target texts."""
-    total = np.zeros(0x110000, np.int64)
-    for b in batches:
-        for t in b.column("_text"):
-            total += np.bincount(points(t.as_py()), minlength=0x110000) if len(t.as_py()) > 100_000 else 0
-            if len(t.as_py()) <= 100_000:
-                c, n = np.unique(points(t.as_py()), return_counts=True)
-                total[c] += n
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], names=["point", "n"])
 
+def grams(text: bytes, order: int) -> Iterator[np.ndarray]:
+    """The n-gram that ends at each token of the text, as one integer; a piece of the text at a time."""
+    flat = np.frombuffer(text, np.uint8)
+    for lo in range(0, len(flat) + 1, PIECE):
+        n = min(PIECE, len(flat) + 1 - lo)
+        left = max(0, lo - order + 1)
+        s = np.concatenate((np.full(order - 1 - (lo - left), START), flat[left:lo + n].astype(np.int64) + BYTE,
+                            np.full(lo + n - len(flat) if lo + n > len(flat) else 0, END)))
+        key = np.zeros(n, np.int64)
+        for i in range(order):
+            key = key << BITS | s[i:i + n]
+        yield key
 
-class Vocabulary:
-    """Character numbers, their width in bits, and the order that fits 63 bits."""
 
-    def __init__(self, found: list[int], order: int):
-        self.found = np.array(sorted(found), np.int64)
-        self.size = len(found) + 3
-        self.bits = max(2, int(self.size - 1).bit_length())
-        self.order = min(order, 63 // self.bits)
+def _numbered(size: int):
+    """Arrow function: rows with their slice, a task's rows in order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seq, held, row = TaskContext.get().partitionId(), 0, 0, 0
+        for b in batches:
+            slices = []
+            for n in pc.binary_length(b.column("_text")).to_pylist():
+                if held >= size:
+                    seq, held = seq + 1, 0
+                held += n + ROW
+                slices.append(part << 32 | seq)
+            rows = pa.array(np.arange(row, row + b.num_rows) + (part << 40), pa.int64())
+            row += b.num_rows
+            yield pa.RecordBatch.from_arrays([b.column("_id"), rows, pa.array(slices, pa.int64()), b.column("_text")], names=["_id", "_row", "_slice", "_text"])
+    return run
 
-    def table(self) -> np.ndarray:
-        t = np.full(0x110000, UNKNOWN, np.int64)
-        t[self.found] = np.arange(3, self.size)
-        return t
 
-    def grams(self, text: str, table: np.ndarray) -> np.ndarray:
-        """The n-gram that ends at each token of the text, as one integer."""
-        s = np.concatenate((np.full(self.order - 1, START), table[points(text)], [END]))
-        n = len(s) - self.order + 1
-        key = np.zeros(n, np.int64)
-        for i in range(self.order):
-            key = key << self.bits | s[i:i + n]
-        return key
+def by_slices(df: DataFrame, key: str, label: str) -> str:
+    """Folder with the rows of ``df`` (with ``_slice`` and ``key``) in a folder for every few slices."""
+    folder = scratch(df.sparkSession, label)
+    df = df.withColumn("_high", F.shiftright("_slice", 42)).withColumn("_few", F.shiftright("_slice", PER_FOLDER))
+    df.repartition("_few").sortWithinPartitions("_high", "_few", "_slice", key).write.partitionBy("_high", "_few").parquet(folder)
+    return folder
 
 
-def _gram_counts(v: Vocabulary):
+def of_slice(folder: str, number: int, columns: list[str]) -> list[np.ndarray]:
+    """What ``by_slices`` wrote for one slice, in order of the first column."""
+    fs, top = place(f"{folder}/_high={number >> 42}/_few={number >> PER_FOLDER}")
+    parts = []
+    for f in fs.get_file_info(pafs.FileSelector(top, allow_not_found=True)):
+        if f.path.endswith(".parquet"):
+            with fs.open_input_file(f.path) as h:
+                parts.append(pq.read_table(h, columns=columns, filters=[("_slice", "=", number)]))
+    if not parts:
+        return [np.empty(0, np.int64) for _ in columns]
+    t = pa.concat_tables(parts)
+    found = [t.column(c).to_numpy() for c in columns]
+    order = np.argsort(found[0], kind="stable")
+    return [c[order] for c in found]
+
+
+def _runs(b: pa.RecordBatch) -> Iterator[tuple[int, int, int]]:
+    """Slice, first and last place of the batch's rows that share a slice."""
+    s = b.column("_slice").to_numpy()
+    cut = [0, *(np.flatnonzero(np.diff(s)) + 1).tolist(), len(s)]
+    for lo, hi in zip(cut, cut[1:]):
+        if hi > lo:
+            yield int(s[lo]), lo, hi
+
+
+def _distinct(texts: pa.Array, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted n-grams of the texts and their counts, for about ``PIECE`` tokens at a time."""
+    held, size = [], 0
+    for x in texts:
+        for g in grams(x.as_py(), order):
+            held.append(g)
+            size += len(g)
+            if size >= PIECE:
+                yield np.unique(np.concatenate(held), return_counts=True)
+                held, size = [], 0
+    if held:
+        yield np.unique(np.concatenate(held), return_counts=True)
+
+
+def _gram_counts(order: int, flags: str):
+    """Arrow function: n-grams of a task's texts, how often they occur in all and in target texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = v.table()
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        size = 0
+        size, number, target_rows = 0, -1, np.empty(0, np.int64)
 
         def merged() -> tuple[np.ndarray, ...]:
             keys, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            out = [keys]
-            for i in (1, 2):
-                out.append(np.bincount(at, np.concatenate([h[i] for h in held]), len(keys)).astype(np.int64))
-            return tuple(out)
+            return keys, *(np.bincount(at, np.concatenate([h[i] for h in held]), len(keys)).astype(np.int64) for i in (1, 2))
 
         def batch(h: tuple[np.ndarray, ...]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x) for x in h], names=["gram", "n", "n_target"])
 
         for b in batches:
-            for target in (True, False):
-                texts = [x.as_py() for x, y in zip(b.column("_text"), b.column("_target").to_pylist()) if y == target]
-                for lo in range(0, len(texts), 256):
-                    k, n = np.unique(np.concatenate([v.grams(x, t) for x in texts[lo:lo + 256]]), return_counts=True)
-                    held.append((k, n, n if target else np.zeros(len(n), np.int64)))
+            for this, lo, hi in _runs(b):
+                if this != number:
+                    number, (target_rows,) = this, of_slice(flags, this, ["_row"])
+                is_target = np.isin(b.column("_row").to_numpy()[lo:hi], target_rows)
+                for target in (True, False):
+                    for k, n in _distinct(b.column("_text").slice(lo, hi - lo).filter(pa.array(is_target == target)), order):
+                        held.append((k, n, n if target else np.zeros(len(n), np.int64)))
+                        size += len(k)
+                        if size > 4 * HELD_KEYS:
+                            held = [merged()]
+                            size = len(held[0][0])
+                            if size > HELD_KEYS:
+                                yield batch(held[0])
+                                held, size = [], 0
+        if held:
+            yield batch(merged())
+    return run
+
+
+def _questions(order: int):
+    """Arrow function: the n-grams of each slice, once (again where a slice is read in two parts)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = -1, [], 0
+
+        def asked() -> Iterator[pa.RecordBatch]:
+            if held:
+                keys = np.unique(np.concatenate(held))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), number, np.int64)), pa.array(keys)], names=["_slice", "gram"])
+
+        for b in batches:
+            for this, lo, hi in _runs(b):
+                if this != number:
+                    yield from asked()
+                    number, held, size = this, [], 0
+                for k, _ in _distinct(b.column("_text").slice(lo, hi - lo), order):
+                    held.append(k)
                     size += len(k)
                     if size > 4 * HELD_KEYS:
-                        held = [merged()]
-                        size = len(held[0][0])
-                        if size > HELD_KEYS:
-                            yield batch(held[0])
+                        held = [np.unique(np.concatenate(held))]
+                        size = len(held[0])
+                        if size > 2 * HELD_KEYS:
+                            yield from asked()
                             held, size = [], 0
-        if held:
-            yield batch(merged())
+        yield from asked()
     return run
 
 
-def models(counts: DataFrame, v: Vocabulary) -> DataFrame:
+def models(counts: DataFrame, order: int) -> DataFrame:
     """Written table ``gram``, ``loss`` and ``loss_target`` of every n-gram counted."""
     grams = written(counts, "gram-counts")
-    uniform = 1.0 / (v.size - 1)  # every symbol but the start can come next
+    uniform = 1.0 / CHOICES
     lower: DataFrame | None = None
-    for k in range(1, v.order + 1):
-        mask = F.lit((1 << (v.bits * k)) - 1)
-        level = grams.groupBy(F.col("gram").bitwiseAND(mask).alias("g")).agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")) if k < v.order \
+    for k in range(1, order + 1):
+        mask = F.lit((1 << (BITS * k)) - 1)
+        level = grams.groupBy(F.col("gram").bitwiseAND(mask).alias("g")).agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")) if k < order \
             else grams.withColumnRenamed("gram", "g")
-        level = level.withColumn("h", F.shiftright("g", v.bits))
+        level = level.withColumn("h", F.shiftright("g", BITS))
         ctx = level.groupBy("h").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("t"), F.sum("n_target").alias("c_target"),
                                      F.sum((F.col("n_target") > 0).cast("long")).alias("t_target")).withColumnRenamed("h", "_h")
         level = level.join(ctx, level["h"] == ctx["_h"])
         if lower is None:
             level = level.withColumn("q", F.lit(uniform)).withColumn("q_target", F.lit(uniform))
         else:
-            short = F.lit((1 << (v.bits * (k - 1))) - 1)
+            short = F.lit((1 << (BITS * (k - 1))) - 1)
             level = level.withColumn("s", F.col("g").bitwiseAND(short)).join(lower, F.col("s") == F.col("_g"))
 
         def mixed(n: str, c: str, t: str, q: str) -> Column:
@@ -135,80 +208,45 @@ def models(counts: DataFrame, v: Vocabulary) -> DataFrame:
         level = level.select("g", mixed("n", "c", "t", "q").alias("p"), mixed("n_target", "c_target", "t_target", "q_target").alias("p_target"))
         level = written(level, f"model-{k}")
         lower = level.select(F.col("g").alias("_g"), F.col("p").alias("q"), F.col("p_target").alias("q_target"))
-    return written(level.select(F.col("g").alias("gram"), (-F.log("p")).alias("loss"), (-F.log("p_target")).alias("loss_target"))
-                   .repartitionByRange("gram").sortWithinPartitions("gram"), "model")
-
-
-def _model(folder: str) -> tuple[np.ndarray, ...]:
-    return held(("n-grams", folder), lambda: _load(folder))
+    return level.select(F.col("g").alias("gram"), (-F.log("p")).cast("float").alias("loss"), (-F.log("p_target")).cast("float").alias("loss_target"))
 
 
-def _load(folder: str) -> tuple[np.ndarray, ...]:
-    """The model table, sorted by n-gram; read from the shared folder once per worker."""
-    fs, top = place(folder)
-    parts = []
-    for f in fs.get_file_info(pa.fs.FileSelector(top)):
-        if f.path.endswith(".parquet"):
-            with fs.open_input_file(f.path) as h:
-                parts.append(pq.read_table(h, columns=["gram", "loss", "loss_target"]))
-    t = pa.concat_tables(parts)
-    cols = [t.column(c).to_numpy() for c in ("gram", "loss", "loss_target")]
-    order = np.argsort(cols[0], kind="stable")
-    return tuple(c[order] for c in cols)
-
-
-def _score(folder: str, v: Vocabulary):
+def _score(order: int, answers: str):
+    """Arrow function: tokens and summed losses of each text, from its slice's answers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = v.table()
-        keys, loss, target = _model(folder)
+        number, keys, loss, target = -1, *(np.empty(0) for _ in range(3))
         for b in batches:
             rows = []
-            for x in b.column("_text"):
-                at = np.searchsorted(keys, v.grams(x.as_py(), t))
-                rows.append((len(at), float(loss[at].sum()), float(target[at].sum())))
-            yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows])],
-                                             names=["_id", "n_tokens", "loss", "loss_target"])
-    return run
-
-
-def _doc_grams(v: Vocabulary):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = v.table()
-        for b in batches:
-            for row, x in zip(b.column("_row").to_pylist(), b.column("_text")):
-                k, n = np.unique(v.grams(x.as_py(), t), return_counts=True)
-                for lo in range(0, len(k), 100_000):
-                    part = k[lo:lo + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), row, np.int64)), pa.array(part), pa.array(n[lo:lo + 100_000].astype(np.int64))],
-                                                     names=["_row", "gram", "m"])
+            for this, lo, hi in _runs(b):
+                if this != number:
+                    number, (keys, loss, target) = this, of_slice(answers, this, ["gram", "loss", "loss_target"])
+                for x in b.column("_text").slice(lo, hi - lo):
+                    sums = [0, 0.0, 0.0]
+                    for g in grams(x.as_py(), order):
+                        at = np.searchsorted(keys, g)
+                        sums = [sums[0] + len(at), sums[1] + float(loss[at].sum(dtype=np.float64)), sums[2] + float(target[at].sum(dtype=np.float64))]
+                    rows.append(sums)
+            yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.float64()),
+                                              pa.array([r[2] for r in rows], pa.float64())], names=["_id", "n_tokens", "loss", "loss_target"])
     return run
 
 
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
-                             min_count: int = MIN_COUNT, table_rows: int = TABLE_ROWS) -> DataFrame:
+                             slice_bytes: int = SLICE) -> DataFrame:
     """``_id``, ``n_tokens``, ``loss_target`` and ``loss_background`` (nats a token) and ``score``,
     their difference, of every row. ``targets`` has the target documents' ids in its first column."""
-    ids = targets.select(targets[targets.columns[0]].alias("_tid")).filter("_tid IS NOT NULL").distinct().withColumn("_target", F.lit(True))
-    rows = text_rows(docs, id_col, text_col)
-    # one shuffle of the texts at any size, written since both counts read them
-    rows = written(rows.join(ids.hint("merge"), rows["_id"] == ids["_tid"], "left").select("_text", F.coalesce("_target", F.lit(False)).alias("_target")), "tagged")
-    chars = rows.filter("_target").select("_text").mapInArrow(_char_counts, "point long, n long")
-    chars = chars.groupBy("point").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
-    v = Vocabulary([r["point"] for r in chars.select("point").collect()], order)  # at most one row per Unicode character
-    counts = rows.select("_text", "_target").mapInArrow(_gram_counts(v), "gram long, n long, n_target long")
-    model = models(counts.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")), v)
+    if not 1 <= order <= 63 // BITS:
+        raise ValueError(f"order must be 1 to {63 // BITS}")
+    ids = targets.select(targets[targets.columns[0]].alias("_tid")).filter("_tid IS NOT NULL").distinct()
     id_type = docs.schema[id_col].dataType.simpleString()
-    texts = text_rows(docs, id_col, text_col).select("_id", "_text")
-    if model.count() <= table_rows:
-        folder = model.inputFiles()[0].rsplit("/", 1)[0] if model.inputFiles() else ""
-        scored = texts.mapInArrow(_score(folder, v), f"_id {id_type}, n_tokens long, loss double, loss_target double") if folder else \
-            texts.select("_id", F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("loss"), F.lit(0.0).alias("loss_target"))
-    else:
-        numbered = written(texts.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-        grams = numbered.select("_row", "_text").mapInArrow(_doc_grams(v), "_row long, gram long, m long")
-        sums = (grams.join(model, "gram").groupBy("_row").agg(F.sum("m").alias("n_tokens"), F.sum(F.col("m") * F.col("loss")).alias("loss"),
-                                                              F.sum(F.col("m") * F.col("loss_target")).alias("loss_target")))
-        scored = numbered.select("_row", "_id").join(sums, "_row").drop("_row")
+    rows = written(byte_rows(docs, id_col, text_col).mapInArrow(_numbered(slice_bytes), f"_id {id_type}, _row long, _slice long, _text binary"), "sliced")
+    known = rows.select("_id", "_row", "_slice")
+    flags = by_slices(known.join(ids, known["_id"] == ids["_tid"], "left_semi").select("_slice", "_row"), "_row", "targets")
+    counts = rows.select("_row", "_slice", "_text").mapInArrow(_gram_counts(order, flags), "gram long, n long, n_target long")
+    model = models(counts.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")), order)
+    questions = rows.select("_slice", "_text").mapInArrow(_questions(order), "_slice long, gram long")
+    answers = by_slices(questions.join(model, "gram").select("_slice", "gram", "loss", "loss_target"), "gram", "answers")
+    scored = rows.select("_id", "_slice", "_text").mapInArrow(_score(order, answers), f"_id {id_type}, n_tokens long, loss double, loss_target double")
     return scored.select("_id", "n_tokens", (F.col("loss_target") / F.col("n_tokens")).alias("loss_target"), (F.col("loss") / F.col("n_tokens")).alias("loss_background"),
                          ((F.col("loss_target") - F.col("loss")) / F.col("n_tokens")).alias("score"))
 
