@@ -67,6 +67,22 @@ def test_weather_by_country_plain_and_weighted(spark):
     assert math.isclose(circ, 0.0, abs_tol=1e-9) or math.isclose(circ, 360.0, abs_tol=1e-9) or circ > 179
 
 
+def test_circular_means_wrap_cancel_and_weigh(spark):
+    rows = [("north", 350.0, 1.0), ("north", 10.0, 1.0), ("north", None, 5.0), ("north", float("nan"), 5.0), ("north", float("inf"), 5.0),
+            ("cancel", 90.0, 2.0), ("cancel", 270.0, 2.0), ("weighed", 0.0, 3.0), ("weighed", 90.0, 1.0), ("weighed", 180.0, 0.0),
+            ("weighed", 180.0, None), ("none", None, 1.0), (None, 720.0, 1.0), (None, -360.0, 1.0)]
+    df = spark.createDataFrame(rows, "k string, d double, w double")
+    got = {r["k"]: (r["direction"], r["steadiness"], r["n"]) for r in A.circular_by_group(df, ["k"], "d", "w").collect()}
+    assert got["north"][0] == 0.0 or got["north"][0] < 1e-9
+    assert math.isclose(got["north"][1], math.cos(math.radians(10))) and got["north"][2] == 2
+    assert got["cancel"][0] is None and got["cancel"][1] < 1e-9 and got["cancel"][2] == 2
+    assert math.isclose(got["weighed"][0], math.degrees(math.atan2(1, 3))) and math.isclose(got["weighed"][1], math.sqrt(10) / 4) and got["weighed"][2] == 2
+    assert got["none"] == (None, None, 0)
+    assert got[None][0] < 1e-9 and math.isclose(got[None][1], 1.0)
+    plain = {r["k"]: r["n"] for r in A.circular_by_group(df, ["k"], "d").collect()}
+    assert plain["weighed"] == 4 and A.circular_by_group(df.limit(0), ["k"], "d").count() == 0
+
+
 def test_describe_and_pivot_matrix(spark):
     rows = [(2022, "ES", 1.0), (2022, "ES", 3.0), (2023, "PT", 5.0)]
     df = spark.createDataFrame(rows, "year int, country string, p double")

@@ -217,3 +217,26 @@ def circular_mean_deg(col) -> Column:
     """Mean direction in degrees [0, 360) for wind directions (Q12)."""
     r = F.radians(_c(col))
     return F.pmod(F.degrees(F.atan2(F.avg(F.sin(r)), F.avg(F.cos(r)))), F.lit(360.0))
+
+
+STILL = 1e-6  # steadiness below which directions cancel and have no mean
+
+
+def circular_by_group(df: DataFrame, group_cols: list, value_col: str, weight_col: str | None = None) -> DataFrame:
+    """Q12: mean direction per group as a vector mean, optionally weighted; one pass.
+
+    ``direction`` in degrees [0, 360); ``steadiness`` is the mean vector's length, from 0 (directions
+    cancel) to 1 (all equal); ``n`` counts the values. Missing and infinite values, and weights that
+    are missing or not above zero, are left out. Where directions cancel, ``direction`` is NULL.
+    """
+    v = F.col(value_col).cast("double")
+    w = F.lit(1.0) if weight_col is None else F.col(weight_col).cast("double")
+    used = ~F.isnan(v) & (F.abs(v) < float("inf")) & (w > 0) & (w < float("inf"))
+    a = F.radians(v)
+    sums = df.groupBy(*group_cols).agg(F.sum(F.when(used, w * F.sin(a))).alias("_s"), F.sum(F.when(used, w * F.cos(a))).alias("_c"),
+                                       F.sum(F.when(used, w)).alias("_w"), F.count_if(used).alias("n"))
+    sums = sums.withColumn("steadiness", safe_div(F.sqrt(F.col("_s") * F.col("_s") + F.col("_c") * F.col("_c")), F.col("_w")))
+    deg = F.degrees(F.atan2("_s", "_c"))
+    deg = F.when(deg < 0, deg + 360.0).otherwise(deg)
+    deg = F.when(deg >= 360.0 - 1e-9, F.lit(0.0)).otherwise(deg)  # a hair below north is north
+    return sums.select(*group_cols, F.when(F.col("steadiness") >= STILL, deg).alias("direction"), "steadiness", "n")

@@ -505,6 +505,22 @@ SQL["weather_weighted"] = with_panel(f"""SELECT c."timestamp", d.country,
   {r('sum(c.wind_speed_100m * d.weight) / NULLIF(sum(CASE WHEN c.wind_speed_100m IS NOT NULL THEN d.weight END), 0)', 'wind_speed_100m')}
 FROM city c JOIN (SELECT * FROM (VALUES {_wdim}) t(location, country, weight)) d ON c.location = d.location
 GROUP BY 1, 2""")
+
+
+def _circular(keys: str, value: str, weight: str, source: str) -> str:
+    return f"""SELECT {keys}, CASE WHEN steadiness >= 1e-6 THEN CASE WHEN deg >= 360.0 - 1e-9 THEN 0.0 ELSE deg END END AS direction, steadiness, n
+FROM (SELECT *, CASE WHEN degrees(atan2(s, c)) < 0 THEN degrees(atan2(s, c)) + 360.0 ELSE degrees(atan2(s, c)) END AS deg, sqrt(s * s + c * c) / w AS steadiness
+  FROM (SELECT {keys}, sum({weight} * sin(radians({value}))) AS s, sum({weight} * cos(radians({value}))) AS c,
+               sum(CASE WHEN {value} IS NOT NULL THEN {weight} END) AS w, count({value}) AS n FROM {source} GROUP BY ALL) t) u"""
+
+
+SQL["wind_direction"] = f"""WITH heading AS (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS "timestamp", 'L' || CAST(user_id % 7 AS VARCHAR) AS location,
+    CAST(user_id % 360 AS DOUBLE) AS d, 1.0::DOUBLE AS weight FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL),
+cities AS ({_circular('"timestamp", location', 'd', 'weight', 'heading')}),
+weighed AS (SELECT c."timestamp", w.country, c.direction, CAST(w.weight AS DOUBLE) AS weight
+  FROM cities c JOIN (SELECT * FROM (VALUES {_wdim}) t(location, country, weight)) w ON c.location = w.location)
+SELECT "timestamp", country, {r('direction', 'direction')}, {r('steadiness', 'steadiness')}, CAST(n AS BIGINT) AS n
+FROM ({_circular('"timestamp", country', 'direction', 'weight', 'weighed')}) v"""
 _gen_cols = ", ".join(f"sum(CASE WHEN l_returnflag = '{t}' THEN l_quantity END) AS gen_{t}_mw" for t in TECHNOLOGIES) + \
     ", sum(CASE WHEN NOT coalesce(l_returnflag IN (" + ", ".join(f"'{t}'" for t in TECHNOLOGIES) + "), false) THEN l_quantity END) AS gen_other_mw"
 SQL["generation_panel"] = f"""WITH g AS (SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS "timestamp", {_gen_cols}

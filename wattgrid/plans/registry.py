@@ -569,6 +569,12 @@ def q_weather_weighted(spark, sf):
     return SI.country_weather_weighted(spark, sf)
 
 
+@query("wind_direction")
+def q_wind_direction(spark, sf):
+    """Weighted circular mean of city wind directions per series and hour, and how steady it is."""
+    return SI.country_directions(spark, sf)
+
+
 @query("first_rows")
 def q_first_rows(spark, sf):
     """O3: first five hours of one series (explicit order + limit)."""

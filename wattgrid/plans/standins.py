@@ -20,6 +20,7 @@ from ..functions import timecols as tc
 from ..functions.numeric import nan_to_null
 from ..operators import panel as P
 from ..operators import reshape as R
+from ..operators import stats as A
 from ..operators import timeaxis as tx
 
 # Fixed values for the stand-ins.
@@ -80,6 +81,22 @@ def country_weather_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 weight_col="weight")
 
 
+def city_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(timestamp, location, direction): the events' directions (``user_id`` as degrees) per hour and location."""
+    e = table(spark, sf_dir, "events").filter(F.col("ts").isNotNull() & F.col("user_id").isNotNull())
+    rows = e.select(tc.trunc_hour("ts").alias("timestamp"), F.concat(F.lit("L"), (F.col("user_id") % 7).cast("string")).alias("location"),
+                    (F.col("user_id") % 360).alias("wind_direction_100m"))
+    return A.circular_by_group(rows, ["timestamp", "location"], "wind_direction_100m")
+
+
+def country_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q12: (timestamp, country, direction, steadiness, n) over its cities, by their weights."""
+    rows = [(k, v, CITY_WEIGHTS[k]) for k, v in CITY_TO_SERIES.items()]
+    dim = spark.createDataFrame(rows, "location string, country string, weight double")
+    cities = city_directions(spark, sf_dir).select("timestamp", "location", "direction").join(dim, "location")
+    return A.circular_by_group(cities, ["timestamp", "country"], "direction", "weight")
+
+
 def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gapless hour x series spine over the data's whole day range, bounds from the raw rows."""
     e = table(spark, sf_dir, "events").filter(F.col("ts").isNotNull() & F.col("event_type").isNotNull())
