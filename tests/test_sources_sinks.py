@@ -2,9 +2,11 @@
 import datetime as dt
 import math
 import os
+import random
 import re
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattgrid.operators import reshape as R
 from wattgrid.plans.registry import load_wide_prices
@@ -147,3 +149,15 @@ def test_q17_no_matching_concept_is_empty(spark):
     df = spark.createDataFrame([(dt.date(2022, 1, 1), "OTHER", *[1.0] * 25)], WIDE_PRICES).withColumn("source", F.lit("x"))
     out = load_wide_prices(df)
     assert out.count() == 0 and out.columns == ["timestamp", "country", "price_eur_mwh", "source"]
+
+
+def test_append_ignore_of_a_source_that_changes(spark, tmp_path):
+    """Bounds and rows come from one reading: hours drawn anew at every reading add no second row for a key."""
+    schema = T.StructType([T.StructField("timestamp", T.LongType()), T.StructField("source", T.StringType())])
+    path = str(tmp_path / "t")
+    sinks.append(spark.range(100_000).select(F.col("id").alias("timestamp"), F.lit("old").alias("source")), path, schema)
+    draw = F.udf(lambda: random.SystemRandom().randrange(100_000), "long").asNondeterministic()
+    for _ in range(3):
+        some = spark.range(3).select(draw().alias("timestamp"), F.lit("new").alias("source"))
+        sinks.append_ignore(spark, some, path, schema, ["timestamp"], ["source"])
+    assert spark.read.parquet(path).filter("source = 'new'").count() == 0

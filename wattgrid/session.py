@@ -3,8 +3,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library depends on. The session zone is pinned to UTC before the
 # first cast: TIMESTAMP <-> TIMESTAMP_NTZ casts depend on it (see README, "zones").
@@ -82,3 +83,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder, for written intermediates."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def read_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: two uses of it see the same rows, even
+    where its source would give others when read again."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

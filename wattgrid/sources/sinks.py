@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..operators.dedupe import insert_or_ignore
 from ..schemas import conform
+from ..session import read_once
 
 
 def append(df: DataFrame, path: str, schema: T.StructType, partition_by: list[str] | None = None) -> None:
@@ -51,13 +52,14 @@ def append_ignore(spark: SparkSession, incoming: DataFrame, path: str, schema: T
 
     With ``range_col`` the stored side is read only for the batch's
     ``[min, max]`` range (one-row bounds, pushed to the scan and to partition
-    pruning), not in full.
+    pruning), not in full. The batch is written once, so the bounds are those of the rows appended.
     """
     from ..streaming.incremental import stored_table
     target = stored_table(spark, path, schema)
     cols = [c for c in dict.fromkeys(schema.names + list(order_cols)) if c in incoming.columns]
     inc = incoming.select(*cols)
     if range_col and range_col in inc.columns:
+        inc = read_once(inc, "incoming")
         b = inc.agg(F.min(range_col).alias("lo"), F.max(range_col).alias("hi")).first()
         if b["lo"] is None:
             return

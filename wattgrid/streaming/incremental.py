@@ -19,7 +19,7 @@ from ..functions import timecols as tc
 from ..functions.numeric import nan_to_null
 from ..operators.dedupe import insert_or_ignore
 from ..schemas import conform
-from ..session import scratch_path
+from ..session import read_once, scratch_path
 
 
 FILES_PER_BATCH = 64  # a batch holds a bounded part of what has landed
@@ -53,7 +53,7 @@ def incremental_first_wins(spark: SparkSession, landing: str, source_schema: T.S
         stream = stream.withColumn("source", F.col("_metadata.file_path"))
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        incoming = transform(batch)
+        incoming = read_once(transform(batch), "batch") if range_col else transform(batch)
         stored = stored_table(spark, target, target_schema)
         if range_col:
             # One-row bounds of this batch; the stored side is read only for that
