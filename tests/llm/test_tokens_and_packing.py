@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from wattgrid.llm import packing as P
@@ -179,3 +180,11 @@ def test_pack_table(spark):
         sizes = [r["length"] for r in sorted((r for r in got if r["_id"] == i), key=lambda r: r["piece"])]
         assert all(s == 2048 for s in sizes[1:])
     assert P.pack(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_one_task_a_shard(spark):
+    """Shards are dealt evenly, whatever their numbers hash to."""
+    manifest = spark.range(40).select(F.col("id").cast("int").alias("shard"), F.lit(7).alias("tokens"))
+    per = T._shards(manifest).groupBy(F.spark_partition_id()).count().select("count").collect()
+    assert [r["count"] for r in per] == [1] * 40
+    assert T._shards(manifest.limit(0)).count() == 0

@@ -167,8 +167,8 @@ def _read(folder: str, digests: bool):
 
 
 def _shards(manifest: DataFrame) -> DataFrame:
-    """Shard numbers, a partition for each shard or so (a given number keeps them apart)."""
-    return manifest.select("shard").repartition(max(1, manifest.count()), F.col("shard"))
+    """Shard numbers, a partition for each shard."""
+    return manifest.select("shard").repartitionByRange(max(1, manifest.count()), "shard")
 
 
 def read_records(manifest: DataFrame, folder: str, digests: bool = False) -> DataFrame:
