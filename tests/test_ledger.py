@@ -1,11 +1,13 @@
 """Streams that follow their landing files: replaced, equal, vanished and late ones, repeated batches."""
 import datetime as dt
 import os
+import re
 import uuid
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,3 +99,35 @@ def test_registered_streams_follow_their_table(spark, tmpdir_path, query, folder
             pq.write_table(events(rows), path)
         answers.append(sorted(map(str, fn(spark, tmpdir_path, state).collect())))
     assert answers[0] != answers[1] == sorted(map(str, fn(spark, tmpdir_path, None).collect())) != []
+
+
+def test_log_is_not_written_by_a_task_that_runs_every_join(spark, tmpdir_path, monkeypatch):
+    land, name = tmpdir_path + "/land", "plan-" + uuid.uuid4().hex
+    put(f"{land}/a.parquet", [("x", 1.0)])
+    ledger, plans = L.Ledger(spark, land, name), []
+    real = DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **kwargs):
+        if path == ledger.log:
+            plans.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return real(self, path, *args, **kwargs)
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    assert ledger.look() == 1
+    # "Repartition n, false" is a coalesce: all partitions of the join, one after the other, in its task
+    assert len(plans) == 1 and not re.search(r"Repartition \d+, false", plans[0]) and "RepartitionByExpression" in plans[0]
+
+
+def test_a_large_file_is_not_stored_by_one_task(spark, tmpdir_path):
+    land, name = tmpdir_path + "/land", "large-" + uuid.uuid4().hex
+    put(f"{land}/a.parquet", [(f"k{i}", float(i)) for i in range(2000)])
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        assert len(totals(spark, land, name)) == 2000
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    table = L.VersionedTable(spark, f"{L.Ledger(spark, land, name).base}/rows", T.StructType([T.StructField(L.FILE, T.StringType())]), L.FILE)
+    rows = sorted(r["rows"] for r in table.manifest().collect())
+    assert len(rows) == 4 and sum(rows) == 2000 and rows[-1] < 1000

@@ -136,10 +136,12 @@ class VersionedTable:
         return [r["file"] for r in manifest.select("file").orderBy("file").collect()]
 
     def _write(self, df: DataFrame, cluster: bool) -> DataFrame:
-        """Write rows to new files; their manifest. ``cluster``: files hold ranges of the range column."""
+        """Write rows to new files; their manifest. ``cluster``: files hold ranges of the range column; rows that
+        share one value of it (a landing file's) are parted by the other columns, so none fills a task."""
         df = conform(df, self.schema)
         if cluster:
-            df = df.repartitionByRange(F.col(self.range_col)).sortWithinPartitions(self.range_col)
+            others = [f.name for f in self.schema if f.name != self.range_col and isinstance(f.dataType, T.AtomicType)]
+            df = df.repartitionByRange(self.range_col, *others).sortWithinPartitions(self.range_col)
         folder = f"data/{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{folder}")
         name = F.concat(F.lit(folder + "/"), F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)).alias("file")

@@ -80,7 +80,9 @@ class Ledger:
                                      F.coalesce("length", "_length").alias("length"), F.coalesce("modified", "_modified").alias("modified"), F.coalesce("digest", "_digest").alias("digest"))
             count = changed.count()
             if count:
-                entries.coalesce(max(1, count // (FILES_PER_BATCH * 16))).write.mode("append").option("maxRecordsPerFile", FILES_PER_BATCH).parquet(self.log)
+                # a shuffle of the few entries: coalesce would have one task run the joins of all partitions
+                dealt = entries.repartition(max(1, count // (FILES_PER_BATCH * 16)), "file")
+                dealt.write.mode("append").option("maxRecordsPerFile", FILES_PER_BATCH).parquet(self.log)
             return count
         finally:
             changed.unpersist()
