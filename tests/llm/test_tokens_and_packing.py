@@ -5,6 +5,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -62,6 +63,29 @@ def test_prefix_bpe_on_every_code_point():
         assert b.encode(t) == np.array(want.ids, "<u4").tobytes(), ascii(t)
 
 
+def calls(fn):
+    """How many Python functions ``fn`` enters; a generator's every step is one."""
+    seen = []
+    sys.setprofile(lambda frame, event, arg: seen.append(event == "call"))
+    try:
+        fn()
+    finally:
+        sys.setprofile(None)
+    return sum(seen)
+
+
+def test_known_parts_and_symbols_take_no_python_call_each():
+    from wattgrid.llm import bpe_prefix
+    b = bpe_prefix.bpe()
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["so many words again " * 1000])], names=["_id", "_text"])
+    run = lambda: list(bpe_prefix._digests(bpe_prefix.WORD_BPE)(iter([batch])))
+    run()
+    assert calls(run) < 200
+    word = "antidisestablishmentarianism" * 4
+    b.word(word)
+    assert calls(lambda: b.word(word)) < 10
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_suffix_automaton_finds_every_match(seed):
     rng = random.Random(seed)

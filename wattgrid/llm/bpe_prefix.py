@@ -19,7 +19,7 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import held, table, text_rows
-from .tokens import LONG, byte_letters, tokenizer_path
+from .tokens import LONG, PACKS, byte_letters, tokenizer_path
 
 WORD_BPE = "word_bpe_49k.json"
 WORDS = 700_000  # remembered words; a worker starts anew beyond that
-SLICE = 1 << 20
+SLICE = 1 << 16  # parts of a text handled at a time
 END = 0x1000  # code point of byte 0 with the word-end mark
 
 
@@ -119,6 +119,20 @@ class SuffixAutomaton:
             yield out
 
 
+class _Parts(dict):
+    """Ids and decoded text of blank-separated parts and of words, learned when first asked for."""
+
+    def __init__(self, learn: Callable[[str], tuple[bytes, str]]):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, part: str) -> tuple[bytes, str]:
+        got = self.learn(part)
+        if len(part) <= LONG:
+            self[part] = got
+        return got
+
+
 class Bpe:
     """Exact encoder and decoder of one byte-level BPE file."""
 
@@ -161,7 +175,7 @@ class Bpe:
         self.automaton = SuffixAutomaton(self.known)
         self.apart: dict[int, bool] = {}
         self.most = most
-        self.memo: dict[str | tuple[str], tuple[bytes, str]] = {}
+        self.memo = _Parts(self._chunk)
 
     def _read_text_rules(self, spec: dict) -> None:
         """Checks that the file's rules are those known here; how they treat ASCII parts without blanks."""
@@ -216,8 +230,20 @@ class Bpe:
         if self.suffix:
             s = s[:-1] + chr(END + ord(s[-1]))
         size, token = [0] * (len(s) + 1), [-1] * (len(s) + 1)  # last token of each prefix
-        apart, compatible = self.apart, self.compatible
-        for at, found in enumerate(self.automaton.places(s), 1):
+        apart, compatible, found_at = self.apart, self.compatible, self.automaton
+        moves, longest, link, ends, up = found_at.next, found_at.size, found_at.link, found_at.ends, found_at.up
+        v = matched = at = 0
+        for c in s:
+            at += 1
+            # the automaton's step, as in ``places``: a generator's switch per symbol cost more than the step
+            move = moves[v].get(c)
+            while move is None and v:
+                v = link[v]
+                matched = longest[v]
+                move = moves[v].get(c)
+            if move is not None:
+                v, matched = move, matched + 1
+            found = ends[v] if matched == longest[v] else ends[up[v]]
             while found:
                 n, i, found = found
                 before = token[at - n]
@@ -232,27 +258,26 @@ class Bpe:
             at -= size[at]
         return out[::-1]
 
-    def pieces(self, text: str) -> Iterator[tuple[bytes, str]]:
-        """Ids and decoded text of the text's blank-separated parts, in order."""
+    def slices(self, text: str) -> Iterator[list[tuple[bytes, str]]]:
+        """Ids and decoded text of the text's blank-separated parts, in order, in lists of at most ``SLICE``."""
         if self.special and any(s in text for s in self.special):
             for part in re.split("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")", text):
                 if part in self.special:
-                    yield np.array([self.special[part]], "<u4").tobytes(), part
+                    yield [(np.array([self.special[part]], "<u4").tobytes(), part)]
                 else:
-                    yield from self.pieces(part)
+                    yield from self.slices(part)
             return
-        if len(self.memo) > self.most:
-            self.memo = {}
-        memo = self.memo
         # blanks of str.split() that the pattern's \s lacks would part a word: leave those texts whole
         chunks = text.split() if not any(c in text for c in "\x1c\x1d\x1e\x1f") else [text]
-        for c in chunks:
-            got = memo.get(c)
-            if got is None:
-                got = self._chunk(c)
-                if len(c) <= LONG:
-                    memo[c] = got
-            yield got
+        for at in range(0, len(chunks), SLICE):
+            if len(self.memo) > self.most:
+                self.memo = _Parts(self._chunk)
+            yield list(map(self.memo.__getitem__, chunks[at:at + SLICE] if len(chunks) > SLICE else chunks))
+
+    def pieces(self, text: str) -> Iterator[tuple[bytes, str]]:
+        """The parts of ``slices`` one by one."""
+        for parts in self.slices(text):
+            yield from parts
 
     def _words(self, part: str) -> list[str]:
         """The part's words, as a character per byte."""
@@ -264,18 +289,20 @@ class Bpe:
 
     def _chunk(self, chunk: str) -> tuple[bytes, str]:
         """A part without blanks; its words are remembered too."""
-        ids, names = [], []
+        out = []
         for w in self._words(chunk):
             key = w if w.isascii() else (w,)  # an ASCII word as a part of its own has the same result
             got = self.memo.get(key)
             if got is None:
                 i = self.word(w)
-                got = np.array(i, "<u4").tobytes(), " ".join([self.names[x] for x in i])
+                ids = PACKS[len(i)](*i) if len(i) < len(PACKS) else np.array(i, "<u4").tobytes()
+                got = ids, " ".join([self.names[x] for x in i])
                 if len(w) <= LONG:
                     self.memo[key] = got
-            ids.append(got[0])
-            names.append(got[1])
-        return b"".join(ids), " ".join(names)
+            out.append(got)
+        if len(out) == 1:
+            return out[0]
+        return b"".join([i for i, _ in out]), " ".join([t for _, t in out])
 
     def encode(self, text: str) -> bytes:
         return b"".join([p[0] for p in self.pieces(text)])
@@ -326,22 +353,14 @@ def _digests(name: str):
             counts, ids, texts = [], [], []
             for t in batch.column("_text"):
                 h, d, n, sep = hashlib.sha256(), hashlib.sha256(), 0, ""
-                buffer, names, size = [], [], 0
-
-                for i, s in b.pieces(t.as_py()):
-                    if not i:
+                for parts in b.slices(t.as_py()):
+                    got = b"".join([i for i, _ in parts])
+                    if not got:
                         continue
-                    buffer.append(i)
-                    names.append(s)
-                    size += len(i)
-                    if size > SLICE:
-                        h.update(b"".join(buffer))
-                        d.update((sep + " ".join(names)).encode())
-                        n, sep, buffer, names, size = n + size // 4, " ", [], [], 0
-                h.update(b"".join(buffer))
-                if names:
-                    d.update((sep + " ".join(names)).encode())
-                counts.append(n + size // 4)
+                    h.update(got)
+                    d.update((sep + " ".join([s for i, s in parts if i])).encode())
+                    n, sep = n + len(got) // 4, " "
+                counts.append(n)
                 ids.append(h.hexdigest())
                 texts.append(d.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(counts, pa.int64()), pa.array(ids), pa.array(texts)],
